@@ -1 +1,6 @@
+"""All registered queries."""
 
+from loreweave.catalog import training  # noqa: F401
+from loreweave.catalog.base import CHECKS, QUERIES
+
+__all__ = ["CHECKS", "QUERIES"]

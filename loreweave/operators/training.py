@@ -23,21 +23,23 @@ def order_hash(id_column: Column, seed: int) -> Column:
     return F.md5(F.concat(F.lit(f"{seed}:"), id_column.cast("string")))
 
 
-def global_index(df: DataFrame, order: str, id_column: str, name: str = "global_index", digits: int = 4) -> DataFrame:
-    """Dense row number 0.. over the whole table in the order of ``(order, id_column)``.
+def global_index(
+    df: DataFrame, order: str, id_column: str, name: str = "global_index", by: Sequence[str] = (), digits: int = 4
+) -> DataFrame:
+    """Dense row number 0.. over the whole table, or per ``by``, in the order of ``(order, id_column)``.
 
     ``order`` is a hex hash of a unique id, so its first ``digits`` characters cut the table into even
     buckets: 65,536 by default.  Only the bucket counts are ranked globally.
     """
-    bucket = F.substring(order, 1, digits)
-    held = df.withColumn("_bucket", bucket)
-    counts = held.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_n"))
-    # one row per bucket: bounded by 16 ** digits whatever the table holds
-    earlier = W.orderBy("_bucket").rowsBetween(W.unboundedPreceding, -1)
-    starts = counts.select("_bucket", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_start"))
-    inside = W.partitionBy("_bucket").orderBy(order, id_column)
+    keys = [*by, "_bucket"]
+    held = df.withColumn("_bucket", F.substring(order, 1, digits))
+    counts = held.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    # one row per bucket: bounded by 16 ** digits (per split) whatever the table holds
+    earlier = W.partitionBy(*by).orderBy("_bucket").rowsBetween(W.unboundedPreceding, -1)
+    starts = counts.select(*keys, F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_start"))
+    inside = W.partitionBy(*keys).orderBy(order, id_column)
     return (
-        held.join(F.broadcast(starts), "_bucket")
+        held.join(F.broadcast(starts), keys)
         .withColumn(name, F.col("_start") + F.row_number().over(inside) - 1)
         .drop("_bucket", "_start")
     )
@@ -111,7 +113,12 @@ def encode_ids(df: DataFrame, text: Column, vocab: DataFrame, name: str = "ids",
     return df.withColumn(name, encoded(tokens(text)))
 
 
-def mask_labels(prompt_ids: Column, full_ids: Column, length: int) -> Column:
+def token_count(text: Column) -> Column:
+    """How many ids ``encode_ids`` gives, marks included."""
+    return F.size(tokens(text)) + 2
+
+
+def mask_labels(prompt_tokens: Column, full_ids: Column, length: int) -> Column:
     """Struct ``(input_ids, labels, attention_mask, real_mask)`` of fixed ``length``, padded right.
 
     The prompt, without its end mark, is ignored in the labels.  The attention mask is all ones, also on
@@ -121,7 +128,7 @@ def mask_labels(prompt_ids: Column, full_ids: Column, length: int) -> Column:
     kept = F.slice(full_ids, 1, length)
     padded = F.slice(F.concat(kept, F.array_repeat(F.lit(PAD), size)), 1, length)
     # the tokenizer truncates the prompt to length + 1 before its last id is left out
-    ignored = F.least(F.size(prompt_ids), F.lit(length + 1)) - 1
+    ignored = F.least(prompt_tokens, F.lit(length + 1)) - 1
     labels = F.concat(F.array_repeat(F.lit(IGNORED), ignored), F.slice(padded, ignored + 1, size))
     real = F.slice(
         F.concat(F.array_repeat(F.lit(1), F.size(kept)), F.array_repeat(F.lit(0), size)), 1, length

@@ -7,7 +7,15 @@ from pyspark.sql import functions as F
 
 from loreweave.functions.templates import TRAIN_TEMPLATE, fill_template
 from loreweave.operators.chat import turn_pairs
-from loreweave.operators.training import assign_batches, encode_ids, exact_split, global_index, mask_labels, order_hash
+from loreweave.operators.training import (
+    assign_batches,
+    encode_ids,
+    exact_split,
+    global_index,
+    mask_labels,
+    order_hash,
+    token_count,
+)
 
 DEFAULT_INSTRUCTION = "Continue the conversation."
 
@@ -49,19 +57,12 @@ def sft_dataset(
     """
     ids = exact_split(records.select("id"), "id", ratio, seed)
     held = ids.withColumn("_h", order_hash(F.col("id"), shuffle_seed))
-    # one shuffle order for the table; each part keeps its own positions in it
-    train = global_index(held.where(F.col("split") == "train"), "_h", "id", "position")
-    test = global_index(held.where(F.col("split") == "test"), "_h", "id", "position")
-    placed = assign_batches(train.unionByName(test).drop("_h"), "position", micro_batch, batch)
+    shuffled = global_index(held, "_h", "id", "position", by=["split"]).drop("_h")
+    placed = assign_batches(shuffled, "position", micro_batch, batch)
     fields = {c: F.col(c) for c in ("instruction", "input", "output")}
     prompts = records.select("id", "output", fill_template(template, fields).alias("prompt"))
-    encoded = encode_ids(
-        encode_ids(prompts, F.col("prompt"), vocab, "prompt_ids"),
-        F.concat("prompt", "output"),
-        vocab,
-        "full_ids",
-    )
-    masked = encoded.select("id", mask_labels(F.col("prompt_ids"), F.col("full_ids"), length).alias("_m"))
+    encoded = encode_ids(prompts, F.concat("prompt", "output"), vocab, "full_ids")
+    masked = encoded.select("id", mask_labels(token_count(F.col("prompt")), F.col("full_ids"), length).alias("_m"))
     return placed.join(masked, "id").select("id", "split", "position", "micro_batch", "step", "_m.*")
 
 
