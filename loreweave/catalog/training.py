@@ -271,6 +271,16 @@ def greedy_sql(vocab_name: str, out: str) -> str:
 {out} AS (SELECT word, k, pieces FROM {out}_chain WHERE pos > length(word))"""
 
 
+def greedy_count_sql(vocab_name: str, out: str) -> str:
+    """How many pieces each word gives: walk the best lengths by position, skipping what is covered."""
+    return f"""{out} AS (SELECT word, list_reduce(list(pos * 10000 + n ORDER BY pos), lambda acc, e:
+    CASE WHEN e // 10000 >= acc // 1000000 THEN (e // 10000 + e % 10000) * 1000000 + acc % 1000000 + 1 ELSE acc END, 1000000::BIGINT) % 1000000 AS k
+  FROM (SELECT w.word, p.pos, coalesce(max(length(v.piece)), 1) AS n
+    FROM (SELECT DISTINCT word FROM words) w, unnest(range(1, length(w.word) + 1)) p(pos),
+         unnest(range(1, least(length(w.word) - p.pos + 1, (SELECT max(length(piece)) FROM {vocab_name})) + 1)) l(len)
+    LEFT JOIN {vocab_name} v ON v.piece = substr(w.word, p.pos, l.len) GROUP BY 1, 2) GROUP BY 1)"""
+
+
 CHAT_WORDS = f"words AS (SELECT unnest({tokens_sql('text')}) AS word FROM conversations)"
 
 
@@ -286,8 +296,8 @@ def _encode_greedy(spark, sf):
 
 @query(
     "vocab_fertility",
-    f"""WITH RECURSIVE {VOCABS}, words AS (SELECT lang, unnest({tokens_sql('text')}) AS word FROM documents),
-counted AS (SELECT lang, word, count(*) AS n FROM words GROUP BY 1, 2), {greedy_sql('a', 'ga')}, {greedy_sql('b', 'gb')},
+    f"""WITH {VOCABS}, words AS (SELECT lang, unnest({tokens_sql('text')}) AS word FROM documents),
+counted AS (SELECT lang, word, count(*) AS n FROM words GROUP BY 1, 2), {greedy_count_sql('a', 'ga')}, {greedy_count_sql('b', 'gb')},
 cut AS (SELECT 'documents' AS vocab, word, k FROM ga UNION ALL SELECT 'conversations', word, k FROM gb)
 SELECT lang, vocab, sum(k * n)::BIGINT AS pieces, sum(length(word) * n)::BIGINT AS chars,
   round(sum(k * n)::DOUBLE / sum(length(word) * n), 6) AS fertility
