@@ -66,49 +66,65 @@ def _chunk_fixed(spark, sf):
     return chunking.chunk_fixed(docs, "text", CHUNK_SIZE, CHUNK_OVERLAP)
 
 
-# Parts of a document in order with their lengths; a chunk starts at part `lo` and ends before part `hi`.  From one
-# chunk to the next: `hi` is the first part that does not fit, `lo` the first whose rest is within the overlap and fits.
-SEPARATED = """parts AS (
-  SELECT doc_id, row_number() OVER (PARTITION BY doc_id ORDER BY i) - 1 AS k, p, length(p) AS n FROM (
-    SELECT doc_id, unnest(string_split(text, chr(10))) AS p, unnest(range(len(string_split(text, chr(10))))) AS i FROM documents)
-  WHERE p <> ''),
-sums AS (SELECT doc_id, k, p, n, sum(n + 1) OVER (PARTITION BY doc_id ORDER BY k) AS upto, count(*) OVER (PARTITION BY doc_id) AS parts FROM parts),
-ends AS (SELECT a.doc_id, a.k AS lo, a.upto - a.n - 1 AS base, min(b.k) AS hi, any_value(a.parts) AS parts
-  FROM sums a LEFT JOIN sums b ON a.doc_id = b.doc_id AND b.k > a.k AND b.upto - 1 - (a.upto - a.n - 1) > {size} GROUP BY 1, 2, 3),
-step AS (SELECT e.doc_id, e.lo, coalesce(e.hi, e.parts) AS hi, min(s.k) AS next_lo
-  FROM ends e LEFT JOIN sums h ON h.doc_id = e.doc_id AND h.k = e.hi
-  LEFT JOIN sums s ON s.doc_id = e.doc_id AND s.k > e.lo AND s.k <= e.hi AND (s.k = e.hi OR (
-    h.upto - h.n - 1 - (s.upto - s.n - 1) - 1 <= {overlap} AND h.upto - 1 - (s.upto - s.n - 1) <= {size})) GROUP BY 1, 2, 3),
-walk(doc_id, no, lo, hi, next_lo) AS (
-  SELECT doc_id, 0, lo, hi, next_lo FROM step WHERE lo = 0
-  UNION ALL SELECT w.doc_id, w.no + 1, s.lo, s.hi, s.next_lo FROM walk w JOIN step s ON s.doc_id = w.doc_id AND s.lo = w.next_lo),
-cut AS (SELECT w.doc_id, w.no, trim(string_agg(s.p, chr(10) ORDER BY s.k), ' ' || chr(10) || chr(9) || chr(13)) AS text FROM walk w
-  JOIN sums s ON s.doc_id = w.doc_id AND s.k >= w.lo AND s.k < w.hi GROUP BY 1, 2)"""
+# The check walks from chunk to chunk.  `parts` are the pieces of a run in order, all joined by one character.  A chunk
+# from part `lo` ends before part `hi`, the first that does not fit; the next one starts `keep` parts before `hi`, those that
+# are within the overlap and fit together with part `hi`.
+def walk_sql(size: int, overlap: int) -> str:
+    return f"""sums AS (SELECT *, length(p) AS n, sum(length(p) + 1) OVER w AS upto, lead(length(p)) OVER w AS next_n FROM parts WINDOW w AS (PARTITION BY run ORDER BY k)),
+kept AS (SELECT *, upto - n - 1 AS start, least({overlap}, {size} - 1 - coalesce(next_n, 0)) AS room FROM sums),
+step AS (SELECT run, k, k + count(*) OVER (PARTITION BY run ORDER BY upto RANGE BETWEEN CURRENT ROW AND greatest({size} - n, 0) FOLLOWING) AS hi,
+  CASE WHEN room >= n THEN count(*) OVER (PARTITION BY run ORDER BY start RANGE BETWEEN greatest(room - n, 0) PRECEDING AND CURRENT ROW) ELSE 0 END AS keep FROM kept),
+walk(run, no, lo, hi) AS (SELECT run, 0, 0::BIGINT, hi FROM step WHERE k = 0
+  UNION ALL SELECT w.run, w.no + 1, w.hi - l.keep, s.hi FROM walk w JOIN step l ON l.run = w.run AND l.k = w.hi - 1
+  JOIN step s ON s.run = w.run AND s.k = w.hi - l.keep WHERE EXISTS (SELECT 1 FROM step e WHERE e.run = w.run AND e.k = w.hi)),
+cut AS (SELECT w.run, w.no, any_value(s.doc_id) AS doc_id, trim(substr(string_agg(s.sep || s.p, '' ORDER BY s.k), 2)) AS text FROM walk w
+  JOIN parts s ON s.run = w.run AND s.k >= w.lo AND s.k < w.hi GROUP BY 1, 2)
+SELECT doc_id, row_number() OVER (PARTITION BY doc_id ORDER BY run, no) - 1 AS chunk_no, md5(text) AS text_md5, length(text) AS n_chars,
+  length(text) > {size} AS too_long FROM cut WHERE text <> ''"""
+
+
+LINES = """lines AS (SELECT doc_id, i, line, contains(text, chr(10)) AS has_lines FROM (
+  SELECT doc_id, text, unnest(string_split(text, chr(10))) AS line, unnest(range(len(string_split(text, chr(10))))) AS i FROM documents) WHERE line <> '')"""
 
 
 @query(
     "chunk_separator",
-    "WITH RECURSIVE "
-    + SEPARATED.format(size=1000, overlap=200)
-    + """ SELECT doc_id, row_number() OVER (PARTITION BY doc_id ORDER BY no) - 1 AS chunk_no, md5(text) AS text_md5, length(text) AS n_chars,
-  length(text) > 1000 AS too_long FROM cut WHERE text <> ''""",
+    f"""WITH RECURSIVE {LINES}, parts AS (SELECT doc_id, doc_id AS run, row_number() OVER (PARTITION BY doc_id ORDER BY i) - 1 AS k, line AS p, chr(10) AS sep FROM lines),
+{walk_sql(1000, 200)}""",
 )
 def _chunk_separator(spark, sf):
     docs = table(spark, sf, "documents").select("doc_id", "text")
-    cut = chunking.chunk_separator(docs, "text", "\n", 1000, 200)
+    return chunk_facts(chunking.chunk_separator(docs, "text", "\n", 1000, 200))
+
+
+def chunk_facts(cut):
     return cut.select("doc_id", "chunk_no", F.md5("text").alias("text_md5"), F.length("text").alias("n_chars"), "too_long")
 
 
-@query("chunk_recursive")
+# Short lines that follow each other are one run, joined by newlines; a long line is a run of its words.  The documents hold
+# no blank line and no word above 600 characters, so paragraphs and characters never come up; tests cover both.
+@query(
+    "chunk_recursive",
+    f"""WITH RECURSIVE {LINES}, sized AS (SELECT *, NOT has_lines OR length(line) > {CHUNK_SIZE} AS long FROM lines),
+flagged AS (SELECT *, coalesce(lag(long) OVER (PARTITION BY doc_id ORDER BY i), true) AS after_long FROM sized),
+runs AS (SELECT *, doc_id * 1000000 + sum(CASE WHEN long OR after_long THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY i) AS run FROM flagged),
+pieces AS (SELECT doc_id, run, i, 0 AS j, line AS p, chr(10) AS sep FROM runs WHERE NOT long
+  UNION ALL SELECT doc_id, run, i, unnest(range(len(string_split(line, ' ')))), unnest(string_split(line, ' ')), ' ' FROM runs WHERE long),
+parts AS (SELECT doc_id, run, p, sep, row_number() OVER (PARTITION BY run ORDER BY i, j) - 1 AS k FROM pieces WHERE p <> ''),
+{walk_sql(CHUNK_SIZE, CHUNK_OVERLAP)}""",
+)
 def _chunk_recursive(spark, sf):
     docs = table(spark, sf, "documents").select("doc_id", "text")
-    cut = chunking.chunk_recursive(docs, "text", CHUNK_SIZE, CHUNK_OVERLAP)
-    return cut.select("doc_id", "chunk_no", F.md5("text").alias("text_md5"), F.length("text").alias("n_chars"), "too_long")
+    return chunk_facts(chunking.chunk_recursive(docs, "text", CHUNK_SIZE, CHUNK_OVERLAP))
 
 
-@query("wrap_text")
+@query(
+    "wrap_text",
+    r"""SELECT conv_id, turn, list_reduce(regexp_extract_all(text, '\S+'), lambda acc, w: acc || CASE WHEN length(string_split(acc, chr(10))[-1]) + 1 + length(w) <= 80
+  THEN ' ' ELSE chr(10) END || w) AS wrapped FROM conversations""",
+)
 def _wrap_text(spark, sf):
-    return table(spark, sf, "pages").select("page_id", F.md5(wrap_text(F.col("html"), 80)).alias("wrapped_md5"))
+    return table(spark, sf, "conversations").select("conv_id", "turn", wrap_text(F.col("text"), 80).alias("wrapped"))
 
 
 @query("knn_topk", f"WITH {KNN} SELECT qid, id, distance, rank FROM hits WHERE rank <= {K}")
