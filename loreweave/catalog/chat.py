@@ -142,9 +142,8 @@ SELECT id, CASE WHEN rest >= 0 THEN array_to_string(p || h[len(h) - least(rest,
 )
 def _chat_prompt_budgeted(spark, sf):
     vocab = doc_vocab(spark, sf)
-    held = records(spark, sf).select("id", "instruction", "input", "output")
-    for column, name in (("instruction", "p"), ("output", "h"), ("input", "q")):
-        held = encode_ids(held, F.col(column), vocab, name)
+    texts = {"p": F.col("instruction"), "h": F.col("output"), "q": F.col("input")}
+    held = encode_ids(records(spark, sf).select("id", "instruction", "input", "output"), texts, vocab)
     packed = chat.chat_prompt_budgeted(F.col("p"), F.col("h"), F.col("q"), BUDGET)
     return held.select("id", packed.alias("x")).select(
         "id", joined(F.col("x.prompt_ids")).alias("prompt_ids"), F.col("x.too_long").alias("too_long")

@@ -135,7 +135,7 @@ def _pack_recent(spark, sf):
         memories(spark, sf),
         ["created_at", "memory_id"],
         F.size(tokens(F.col("page_content"))),
-        F.lit(BUDGET),
+        BUDGET,
         time_segment("created_at"),
     )
     return packed.select("agent", "memory_id", "used")

@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from loreweave.catalog.base import CHUNK_OVERLAP, CHUNK_SIZE, CHUNKS, KNN, embedding_sql, joined, query, table
-from loreweave.catalog.training import template_sql
+from loreweave.catalog.training import documents, template_sql
 from loreweave.functions.hooks import echo_client, generate_text
 from loreweave.functions.scores import logistic_relevance
 from loreweave.functions.templates import FIRST_ANSWER_TEMPLATE, REFINE_TEMPLATE, STUFF_TEMPLATE
@@ -16,13 +16,13 @@ from loreweave.functions.text import wrap_text
 from loreweave.functions.vectors import DIMS, embed_text, vec_dequant_q4, vec_quant_q4, vec_regroup
 from loreweave.operators import chunking, search
 from loreweave.plans import rag
-from loreweave.session import scratch_path
+from loreweave.session import scratch_path, written
 
 K = 4
 
 
 def chunks(spark, sf):
-    return rag.embedded_chunks(table(spark, sf, "documents"), CHUNK_SIZE, CHUNK_OVERLAP)
+    return rag.embedded_chunks(documents(spark, sf), CHUNK_SIZE, CHUNK_OVERLAP)
 
 
 def chunk_texts(spark, sf):
@@ -57,7 +57,7 @@ def rounded(array):
 SELECT doc_id, string_agg(round(val * 1e6)::BIGINT, ',' ORDER BY dim) AS vec FROM full_vec GROUP BY 1""",
 )
 def _embed_text(spark, sf):
-    return table(spark, sf, "documents").select("doc_id", rounded(embed_text(F.col("text"))).alias("vec"))
+    return documents(spark, sf).select("doc_id", rounded(embed_text(F.col("text"))).alias("vec"))
 
 
 @query("chunk_fixed", f"WITH {CHUNKS} SELECT doc_id, chunk_no, text FROM chunks")
@@ -93,7 +93,7 @@ LINES = """lines AS (SELECT doc_id, i, line, contains(text, chr(10)) AS has_line
 {walk_sql(1000, 200)}""",
 )
 def _chunk_separator(spark, sf):
-    docs = table(spark, sf, "documents").select("doc_id", "text")
+    docs = documents(spark, sf).select("doc_id", "text")
     return chunk_facts(chunking.chunk_separator(docs, "text", "\n", 1000, 200))
 
 
@@ -114,7 +114,7 @@ parts AS (SELECT doc_id, run, p, sep, row_number() OVER (PARTITION BY run ORDER
 {walk_sql(CHUNK_SIZE, CHUNK_OVERLAP)}""",
 )
 def _chunk_recursive(spark, sf):
-    docs = table(spark, sf, "documents").select("doc_id", "text")
+    docs = documents(spark, sf).select("doc_id", "text")
     return chunk_facts(chunking.chunk_recursive(docs, "text", CHUNK_SIZE, CHUNK_OVERLAP))
 
 
@@ -231,7 +231,10 @@ ann AS (SELECT qid, id, distance, row_number() OVER (PARTITION BY qid ORDER BY d
 
 def ann_hits(spark, sf, k):
     points = vectors(spark, sf)
-    return search.ann_join(points, vector_queries(spark, sf), search.sampled_cells(points, CELLS), k, NPROBE)
+    centres = search.sampled_cells(points, CELLS)
+    path = scratch_path(spark, "cells")
+    search.cell_index(points, centres).write.partitionBy("cell").parquet(path)
+    return search.ann_join(spark.read.parquet(path), vector_queries(spark, sf), centres, k, NPROBE)
 
 
 @query("ann_join", f"WITH {ANN} SELECT * FROM ann WHERE rank <= 5")
@@ -263,7 +266,8 @@ SELECT qid, count(ra) AS hits_a, count(rb) AS hits_b, count(*) FILTER (WHERE ra
   coalesce(bool_or(ra = 1 AND rb = 1), false) AS same_first FROM j GROUP BY 1""",
 )
 def _compare_retrievers(spark, sf):
-    index, q = chunks(spark, sf), questions(spark, sf)
+    # both searches read one stored index
+    index, q = written(chunks(spark, sf), "index"), questions(spark, sf)
     english = search.metadata_filter(index, {"lang": "en"})
     return search.compare_retrievers(search.knn_topk(index, q, 5), search.knn_topk(english, q, 5, "cosine"))
 
@@ -274,7 +278,7 @@ def _compare_retrievers(spark, sf):
 )
 def _index_build_or_load(spark, sf):
     path = scratch_path(spark, "index")
-    docs = table(spark, sf, "documents")
+    docs = documents(spark, sf)
     rag.chunk_index(spark, path, docs, CHUNK_SIZE, CHUNK_OVERLAP)
     index = rag.chunk_index(spark, path, docs, CHUNK_SIZE, CHUNK_OVERLAP)
     hits = search.knn_topk(index, questions(spark, sf), K)

@@ -17,7 +17,7 @@ from loreweave.functions.vectors import tokens
 from loreweave.operators import training, vocab
 from loreweave.operators.chat import turn_pairs
 from loreweave.plans.sft import DEFAULT_INSTRUCTION, instruction_records, sft_dataset
-from loreweave.session import scratch_path
+from loreweave.session import scratch_path, spread, written
 from loreweave.sources import readers
 
 VOCAB_SIZE = 2000
@@ -134,15 +134,20 @@ def _training_plan(spark, sf):
 
 @query("build_vocab", f"WITH {vocab_sql('v', 'documents', VOCAB_SIZE)} SELECT * FROM v")
 def _build_vocab(spark, sf):
-    return doc_vocab(spark, sf)
+    return training.build_vocab(documents(spark, sf), F.col("text"), VOCAB_SIZE)
 
 
-def doc_vocab(spark, sf, size=VOCAB_SIZE):
-    return training.build_vocab(table(spark, sf, "documents"), F.col("text"), size)
+def documents(spark, sf):
+    return spread(table(spark, sf, "documents"), "doc_id")
 
 
-def chat_vocab(spark, sf, size=VOCAB_SIZE):
-    return training.build_vocab(table(spark, sf, "conversations"), F.col("text"), size)
+def doc_vocab(spark, sf):
+    """Vocabulary of the documents as a stored table: it is small and used several times."""
+    return written(training.build_vocab(documents(spark, sf), F.col("text"), VOCAB_SIZE), "vocab")
+
+
+def chat_vocab(spark, sf):
+    return written(training.build_vocab(table(spark, sf, "conversations"), F.col("text"), VOCAB_SIZE), "vocab")
 
 
 def encode_sql(source: str, text: str) -> str:
@@ -159,7 +164,7 @@ def encode_sql(source: str, text: str) -> str:
 )
 def _encode_ids(spark, sf):
     text = F.concat("input", F.lit("\n"), "output")
-    coded = training.encode_ids(records(spark, sf).select("id", "input", "output"), text, doc_vocab(spark, sf))
+    coded = training.encode_ids(records(spark, sf).select("id", "input", "output"), {"ids": text}, doc_vocab(spark, sf))
     return coded.select("id", joined("ids").alias("ids"), (F.size("ids") - 2).cast("long").alias("n"))
 
 
@@ -181,7 +186,7 @@ masked AS (SELECT id, input_ids, n_real, list_concat(list_transform(range(p), la
 )
 def _mask_labels(spark, sf):
     held = records(spark, sf).withColumn("prompt", fill_template(TRAIN_TEMPLATE, fields()))
-    coded = training.encode_ids(held, F.concat("prompt", "output"), doc_vocab(spark, sf), "full_ids")
+    coded = training.encode_ids(held, {"full_ids": F.concat("prompt", "output")}, doc_vocab(spark, sf))
     masked = coded.select(
         "id", training.mask_labels(training.token_count(F.col("prompt")), F.col("full_ids"), LENGTH).alias("m")
     )
@@ -217,7 +222,7 @@ FROM positioned JOIN masked USING (id)""",
 )
 def _sft_dataset(spark, sf):
     data = sft_dataset(
-        records(spark, sf), doc_vocab(spark, sf), length=LENGTH, ratio=RATIO, seed=SEED, shuffle_seed=SHUFFLE_SEED
+        written(records(spark, sf), "records"), doc_vocab(spark, sf), length=LENGTH, ratio=RATIO, seed=SEED, shuffle_seed=SHUFFLE_SEED
     )
     return data.select(
         "id",
@@ -305,7 +310,7 @@ FROM counted JOIN cut USING (word) GROUP BY 1, 2""",
 )
 def _vocab_fertility(spark, sf):
     vocabs = {"documents": doc_vocab(spark, sf), "conversations": chat_vocab(spark, sf)}
-    return vocab.vocab_fertility(table(spark, sf, "documents"), F.col("text"), "lang", vocabs)
+    return vocab.vocab_fertility(documents(spark, sf), F.col("text"), "lang", vocabs)
 
 
 @query(

@@ -105,16 +105,24 @@ def memory_digest(
 
 
 def pack_recent(
-    memories: DataFrame, order: Sequence[str], size: Column, budget: Column, segment: Column, by: Sequence[str] = ("agent",)
+    memories: DataFrame,
+    order: Sequence[str],
+    size: Column,
+    budget: int | DataFrame,
+    segment: Column,
+    by: Sequence[str] = ("agent",),
 ) -> DataFrame:
     """The newest memories of each agent, as many in a row as fit into ``budget``.
 
-    Adds ``used``: what the kept memory and all newer ones take.
+    ``budget`` is one number or a table ``(by, budget)``.  Adds ``used``: what the kept memory and all newer ones take.
     """
-    summed = totals_before(memories, by, order, segment, {"_newer": size}, descending=True)
-    return (
-        summed.withColumn("used", F.col("_newer") + size).where(F.col("used") <= budget).drop("_newer")
-    )
+    sized = memories.withColumn("_size", size)
+    summed = totals_before(sized, by, order, segment, {"_newer": F.col("_size")}, descending=True)
+    used = F.col("_newer") + F.col("_size")
+    packed = summed.withColumn("used", used).drop("_newer", "_size")
+    if isinstance(budget, int):
+        return packed.where(F.col("used") <= budget)
+    return packed.join(budget, list(by)).where(F.col("used") <= F.col("budget")).drop("budget")
 
 
 # Reflection: importance adds up; an event that takes the sum above the threshold starts a reflection and

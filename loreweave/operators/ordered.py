@@ -93,19 +93,18 @@ def with_next_row(
     """Add ``next_<column>``: the value in the following row of the key, across segment borders."""
     keys = list(keys)
     held = df.withColumn(SEG, segment)
+    # one window function per column, so that columns nobody asks for are pruned down to the scan
     heads = _segment_rows(held, keys, zero_based).groupBy(*keys, SEG).agg(
-        F.min_by(F.struct(*columns), order).alias("_head")
-    )
-    carry = heads.select(
-        *keys, SEG, F.lead("_head").over(W.partitionBy(*keys).orderBy(SEG)).alias("_after")
+        *[F.min_by(c, order).alias(f"_h_{c}") for c in columns]
     )
+    over_segments = W.partitionBy(*keys).orderBy(SEG)
+    carry = heads.select(*keys, SEG, *[F.lead(f"_h_{c}").over(over_segments).alias(f"_c_{c}") for c in columns])
     inside = W.partitionBy(*keys, SEG).orderBy(order)
-    following = F.coalesce(F.lead(F.struct(*columns)).over(inside), F.col("_after"))
-    return (
-        held.join(carry, [*keys, SEG], "left")
-        .withColumn("_next", following)
-        .select(*df.columns, *[F.col(f"_next.{c}").alias(f"next_{c}") for c in columns])
-    )
+    here = F.lead(F.lit(True)).over(inside).isNotNull()
+    following = [
+        F.when(here, F.lead(c).over(inside)).otherwise(F.col(f"_c_{c}")).alias(f"next_{c}") for c in columns
+    ]
+    return held.join(carry, [*keys, SEG], "left").select(*df.columns, *following)
 
 
 def text_spans(

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from loreweave.functions.text import wrap_text
-from loreweave.session import bounded_rows, small_rows
+from loreweave.session import SMALL_ROWS, bounded_rows, small_rows
 
 DIGITS = 6
 QUERY_ROWS = 4096
@@ -169,19 +169,16 @@ def knn_topk(
     """
     rows = small_rows(queries.select("qid", "vec"), query_rows)
     if rows is not None:
-        hits = _hits_with_broadcast(chunks, queries, rows, k, metric)
-    else:
-        hits = _hits_by_block(
-            *_blocked(
-                chunks.select("id", "vec").withColumn("_cell", F.lit(0)),
-                queries.select("qid", "vec").withColumn("_cell", F.lit(0)),
-                block_chunks,
-                block_queries,
-            ),
-            k,
-            metric,
-        )
-    return topk_per_query(hits, k)
+        top = topk_per_query(_hits_with_broadcast(chunks, queries, rows, k, metric), k)
+        # at most k hits for each of the counted queries: later joins need not move the collection
+        return F.broadcast(top) if len(rows) * k <= SMALL_ROWS else top
+    blocks = _blocked(
+        chunks.select("id", "vec").withColumn("_cell", F.lit(0)),
+        queries.select("qid", "vec").withColumn("_cell", F.lit(0)),
+        block_chunks,
+        block_queries,
+    )
+    return topk_per_query(_hits_by_block(*blocks, k, metric), k)
 
 
 def sampled_cells(chunks: DataFrame, cells: int, seed: int = 42) -> DataFrame:
@@ -224,8 +221,13 @@ def nearest_cells(vec: Column, centres: DataFrame, n: int) -> Column:
     return nearest(vec)
 
 
+def cell_index(chunks: DataFrame, centres: DataFrame) -> DataFrame:
+    """The collection with the ``cell`` of every vector; to be stored by cell, so that a search reads only its cells."""
+    return chunks.withColumn("cell", F.get(nearest_cells(F.col("vec"), centres, 1), 0))
+
+
 def ann_join(
-    chunks: DataFrame,
+    index: DataFrame,
     queries: DataFrame,
     centres: DataFrame,
     k: int,
@@ -235,11 +237,11 @@ def ann_join(
     block_chunks: int = BLOCK_CHUNKS,
     block_queries: int = BLOCK_QUERIES,
 ) -> DataFrame:
-    """The k nearest among the chunks in the ``nprobe`` cells nearest to each query.
+    """The k nearest among the vectors in the ``nprobe`` cells nearest to each query; ``index`` is a ``cell_index``.
 
     An equi-join on the cell; a cell with many chunks or many queries is cut into several blocks.
     """
-    placed = chunks.select("id", "vec", F.get(nearest_cells(F.col("vec"), centres, 1), 0).alias("_cell"))
+    placed = index.select("id", "vec", F.col("cell").alias("_cell"))
     probes = queries.select("qid", "vec", F.explode(nearest_cells(F.col("vec"), centres, nprobe)).alias("_cell"))
     return topk_per_query(_hits_by_block(*_blocked(placed, probes, block_chunks, block_queries), k, metric), k)
 
@@ -310,23 +312,22 @@ def mmr_topk(chunks: DataFrame, queries: DataFrame, k: int = 4, fetch_k: int = 2
     types = _hit_schema(chunks, queries)
     schema = T.StructType([types["qid"], types["id"], T.StructField("pick", T.IntegerType())])
 
-    def pick(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.sort_values("id")
-        vec = _matrix(group["vec"])
+    def pick(group: pa.Table) -> pa.Table:
+        group = group.combine_chunks()
+        order = np.argsort(group.column("id").to_numpy(), kind="stable")
+        vec = _arrow_matrix(group.column("vec").chunk(0))[order]
         among = 1.0 - pairwise(vec, vec, "cosine")
-        sim = group["sim"].to_numpy()
-        worst = np.full(len(group), -np.inf)
-        left, picked = np.ones(len(group), dtype=bool), []
+        sim = group.column("sim").to_numpy()[order]
+        worst = np.zeros(len(order))
+        left, picked = np.ones(len(order), dtype=bool), []
         while left.any() and len(picked) < k:
-            against = worst if picked else np.zeros(len(group))
-            gain = np.where(left, np.round(lam * sim - (1 - lam) * against, DIGITS), -np.inf)
+            gain = np.where(left, np.round(lam * sim - (1 - lam) * worst, DIGITS), -np.inf)
             at = int(np.argmax(gain))
-            picked.append(at)
             left[at] = False
-            worst = np.maximum(worst, among[at])
-        return pd.DataFrame(
-            {"qid": group["qid"].iloc[picked], "id": group["id"].iloc[picked], "pick": range(1, len(picked) + 1)}
-        )
+            worst = np.maximum(worst, among[at]) if picked else among[at]
+            picked.append(at)
+        rows = group.select(["qid", "id"]).take(order[picked])
+        return rows.append_column("pick", pa.array(range(1, len(picked) + 1), pa.int32()))
 
-    return held.groupBy("qid").applyInPandas(pick, schema)
+    return held.groupBy("qid").applyInArrow(pick, schema)
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -84,8 +84,8 @@ def build_vocab(df: DataFrame, text: Column, size: int) -> DataFrame:
     return top.select((rank + F.lit(len(SPECIAL_PIECES) - 1)).cast("int").alias("id"), "piece", "n")
 
 
-def encode_ids(df: DataFrame, text: Column, vocab: DataFrame, name: str = "ids", limit: int = 1 << 20) -> DataFrame:
-    """Token ids with begin and end marks; a token outside the vocabulary is 0.
+def encode_ids(df: DataFrame, texts: Mapping[str, Column], vocab: DataFrame, limit: int = 1 << 20) -> DataFrame:
+    """Add, under each name, the token ids of a text with begin and end marks; unknown tokens are 0.
 
     The vocabulary, at most ``limit`` pieces, goes to every executor once; rows are not shuffled.
     """
@@ -110,7 +110,7 @@ def encode_ids(df: DataFrame, text: Column, vocab: DataFrame, name: str = "ids",
         out[inner] = values
         return pa.ListArray.from_arrays(ends.astype(np.int32), out)
 
-    return df.withColumn(name, encoded(tokens(text)))
+    return df.withColumns({name: encoded(tokens(text)) for name, text in texts.items()})
 
 
 def token_count(text: Column) -> Column:

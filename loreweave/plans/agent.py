@@ -11,24 +11,25 @@ from loreweave.functions.hooks import answered, generate_text
 from loreweave.functions.templates import DIALOGUE_FRAME, TIME_FORMAT, fill_template
 from loreweave.functions.text import observed_memory, parse_dialogue
 from loreweave.functions.vectors import tokens
-from loreweave.operators.memory import memory_digest, memory_line, pack_recent, time_weighted_topk
+from loreweave.operators.memory import memory_distinct, memory_line, pack_recent, time_weighted_topk
 from loreweave.operators.ordered import time_segment
+from loreweave.session import written
 
 
 def relevant_memories(memories: DataFrame, now: Column, k: int, decay: float = 0.01) -> DataFrame:
     """``(agent, relevant_memories)``: digest of the k best memories, best first."""
     top = time_weighted_topk(memories, now, k, decay=decay).select("agent", "rank", "page_content", "created_at")
-    # at most k lines per agent, so the digest is one part
-    return memory_digest(top, ["rank"]).select("agent", F.col("text").alias("relevant_memories"))
+    distinct = memory_distinct(top, ["rank"])
+    # at most k lines per agent
+    lines = F.array_sort(F.collect_list(F.struct(F.col("rank"), memory_line().alias("line"))))
+    text = F.array_join(F.transform(lines, lambda x: x["line"]), "\n")
+    return distinct.groupBy("agent").agg(text.alias("relevant_memories"))
 
 
-def recent_memories(memories: DataFrame, used: DataFrame, budget: int) -> DataFrame:
-    """``(agent, most_recent_memories)``: the newest memories that fit after the ``used`` tokens of each agent."""
-    held = memories.join(used, "agent").withColumn("_line", memory_line())
-    size = F.greatest(F.size(tokens(F.col("_line"))), F.lit(1))
-    packed = pack_recent(
-        held, ["created_at", "memory_id"], size, F.lit(budget) - F.col("used_tokens"), time_segment("created_at")
-    )
+def recent_memories(memories: DataFrame, budgets: DataFrame) -> DataFrame:
+    """``(agent, most_recent_memories)``: the newest memories that fit into the token ``budget`` of each agent."""
+    size = F.greatest(F.size(tokens(memory_line())), F.lit(1))
+    packed = pack_recent(memories, ["created_at", "memory_id"], size, budgets, time_segment("created_at"))
     # every kept memory has a token, so at most `budget` rows per agent
     lines = F.array_sort(F.collect_list(F.struct("created_at", "memory_id", "page_content")))
     newest_first = F.reverse(F.transform(lines, lambda x: x["page_content"]))
@@ -47,8 +48,10 @@ def agent_prompts_for(
     )
     fields = {c: F.col(c) for c in (*base.columns, "most_recent_memories")}
     empty = {**fields, "most_recent_memories": F.lit("")}
-    counted = base.withColumn("used_tokens", F.size(tokens(fill_template(DIALOGUE_FRAME, empty))))
-    recent = recent_memories(memories, counted.select("agent", "used_tokens"), budget)
+    left = F.lit(budget) - F.size(tokens(fill_template(DIALOGUE_FRAME, empty)))
+    # one row per agent, read twice below
+    counted = written(base.withColumn("budget", left), "turns")
+    recent = recent_memories(memories, counted.select("agent", "budget"))
     return counted.join(recent, "agent", "left").withColumn("prompt", fill_template(DIALOGUE_FRAME, fields))
 
 

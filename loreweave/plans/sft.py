@@ -16,6 +16,7 @@ from loreweave.operators.training import (
     order_hash,
     token_count,
 )
+from loreweave.session import written
 
 DEFAULT_INSTRUCTION = "Continue the conversation."
 
@@ -55,13 +56,14 @@ def sft_dataset(
 
     Ranks are computed on ids alone; the wide token arrays are joined on at the end and cross the network once.
     """
-    ids = exact_split(records.select("id"), "id", ratio, seed)
+    # narrow, and read twice below
+    ids = written(exact_split(records.select("id"), "id", ratio, seed), "split")
     held = ids.withColumn("_h", order_hash(F.col("id"), shuffle_seed))
     shuffled = global_index(held, "_h", "id", "position", by=["split"]).drop("_h")
     placed = assign_batches(shuffled, "position", micro_batch, batch)
     fields = {c: F.col(c) for c in ("instruction", "input", "output")}
     prompts = records.select("id", "output", fill_template(template, fields).alias("prompt"))
-    encoded = encode_ids(prompts, F.concat("prompt", "output"), vocab, "full_ids")
+    encoded = encode_ids(prompts, {"full_ids": F.concat("prompt", "output")}, vocab)
     masked = encoded.select("id", mask_labels(token_count(F.col("prompt")), F.col("full_ids"), length).alias("_m"))
     return placed.join(masked, "id").select("id", "split", "position", "micro_batch", "step", "_m.*")
 

@@ -38,6 +38,15 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Spread a scan of few splits over all cores, for work that is heavy on the processor.
+
+    Only where half of the cores or more would stand idle; a large input has splits enough and is not moved.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, *keys) if df.rdd.getNumPartitions() * 2 <= cores else df
+
+
 def small_rows(df: DataFrame, limit: int = SMALL_ROWS) -> list | None:
     """The rows of ``df`` if there are at most ``limit`` of them, else ``None``.
 
