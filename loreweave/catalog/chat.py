@@ -341,7 +341,7 @@ SPOKEN = f"""{RECORDS}, spoken AS (SELECT id, 'Agent' || conv_id AS name, input,
   WHEN 2 THEN 'GOODBYE: SAY: ' || output ELSE output END AS result FROM records),
 lines AS (SELECT *, string_split(regexp_replace(result, '^\\s+|\\s+$', '', 'g'), chr(10))[1] AS line FROM spoken),
 cut AS (SELECT *, CASE WHEN contains(line, 'GOODBYE:') THEN string_split(line, 'GOODBYE:')[-1] WHEN contains(line, 'SAY:') THEN string_split(line, 'SAY:')[-1] END AS w0 FROM lines),
-own AS (SELECT *, trim(CASE WHEN starts_with(w0, name || ' ') THEN substr(w0, length(name) + 2) ELSE w0 END) AS w FROM cut)"""
+own AS (SELECT *, trim(CASE WHEN starts_with(trim(w0), name || ' ') THEN substr(trim(w0), length(name) + 2) ELSE w0 END) AS w FROM cut)"""
 
 
 @query(

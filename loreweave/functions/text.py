@@ -87,7 +87,7 @@ def parse_dialogue(result: Column, name: Column) -> Column:
     line = F.get(F.split(strip(result), "\n", -1), 0)
 
     def said(mark: str) -> Column:
-        text = F.substring_index(line, mark, -1)
+        text = strip(F.substring_index(line, mark, -1))
         own = F.concat(name, F.lit(" "))
         text = F.when(F.startswith(text, own), text.substr(F.length(own) + 1, F.length(text))).otherwise(text)
         return strip(text)

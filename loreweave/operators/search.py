@@ -129,27 +129,38 @@ def _hits_by_block(chunks: DataFrame, queries: DataFrame, k: int, metric: str) -
     )
 
 
-def _blocked(chunks: DataFrame, queries: DataFrame, chunk_rows: int, query_rows: int) -> tuple[DataFrame, DataFrame]:
-    """Cut every cell into a grid of blocks by the sizes of its two sides, however uneven the cells are.
+def _spread(df: DataFrame, id_column: str, own: str, splits: Column, other: str, other_splits: Column) -> DataFrame:
+    """Put each row into one split of its own side, and copy it to every split of the other."""
+    return (
+        df.withColumn(own, F.pmod(F.xxhash64(id_column), splits).cast("int"))
+        .withColumn(other, F.explode(F.sequence(F.lit(0), other_splits.cast("int") - 1)))
+        .select(id_column, "vec", "_cell", "_c", "_q")
+    )
+
+
+def _in_one_grid(chunks: DataFrame, queries: DataFrame, chunk_rows: int, query_rows: int) -> tuple[DataFrame, DataFrame]:
+    """Cut both sides into blocks of about the given sizes; every pair of blocks meets once."""
+
+    def splits(df: DataFrame, rows: int) -> Column:
+        return F.greatest(df.agg(F.ceil(F.count(F.lit(1)) / F.lit(rows))).scalar(), F.lit(1))
+
+    nc, nq = splits(chunks, chunk_rows), splits(queries, query_rows)
+    left = chunks.select("id", "vec", F.lit(0).alias("_cell"))
+    right = queries.select("qid", "vec", F.lit(0).alias("_cell"))
+    return _spread(left, "id", "_c", nc, "_q", nq), _spread(right, "qid", "_q", nq, "_c", nc)
 
-    Each chunk is copied once per query split of its cell and each query once per chunk split.
-    """
+
+def _in_cell_grids(chunks: DataFrame, queries: DataFrame, chunk_rows: int, query_rows: int) -> tuple[DataFrame, DataFrame]:
+    """The same within every ``_cell``, by the sizes of its two sides, however uneven the cells are."""
 
     def sizes(df: DataFrame, name: str, rows: int) -> DataFrame:
-        return df.groupBy("_cell").agg(F.ceil(F.count(F.lit(1)) / F.lit(rows)).cast("int").alias(name))
+        return df.groupBy("_cell").agg(F.ceil(F.count(F.lit(1)) / F.lit(rows)).alias(name))
 
     # one row per cell, at most MAX_CELLS
     grid = F.broadcast(sizes(chunks, "_nc", chunk_rows).join(sizes(queries, "_nq", query_rows), "_cell"))
-
-    def spread(df: DataFrame, id_column: str, own: str, own_count: str, other: str, other_count: str) -> DataFrame:
-        return (
-            df.join(grid, "_cell")
-            .withColumn(own, F.pmod(F.xxhash64(id_column), F.col(own_count)).cast("int"))
-            .withColumn(other, F.explode(F.sequence(F.lit(0), F.col(other_count) - 1)))
-            .select(id_column, "vec", "_cell", "_c", "_q")
-        )
-
-    return spread(chunks, "id", "_c", "_nc", "_q", "_nq"), spread(queries, "qid", "_q", "_nq", "_c", "_nc")
+    nc, nq = F.col("_nc"), F.col("_nq")
+    left, right = chunks.join(grid, "_cell"), queries.join(grid, "_cell")
+    return _spread(left, "id", "_c", nc, "_q", nq), _spread(right, "qid", "_q", nq, "_c", nc)
 
 
 def knn_topk(
@@ -172,12 +183,7 @@ def knn_topk(
         top = topk_per_query(_hits_with_broadcast(chunks, queries, rows, k, metric), k)
         # at most k hits for each of the counted queries: later joins need not move the collection
         return F.broadcast(top) if len(rows) * k <= SMALL_ROWS else top
-    blocks = _blocked(
-        chunks.select("id", "vec").withColumn("_cell", F.lit(0)),
-        queries.select("qid", "vec").withColumn("_cell", F.lit(0)),
-        block_chunks,
-        block_queries,
-    )
+    blocks = _in_one_grid(chunks, queries, block_chunks, block_queries)
     return topk_per_query(_hits_by_block(*blocks, k, metric), k)
 
 
@@ -243,7 +249,8 @@ def ann_join(
     """
     placed = index.select("id", "vec", F.col("cell").alias("_cell"))
     probes = queries.select("qid", "vec", F.explode(nearest_cells(F.col("vec"), centres, nprobe)).alias("_cell"))
-    return topk_per_query(_hits_by_block(*_blocked(placed, probes, block_chunks, block_queries), k, metric), k)
+    blocks = _in_cell_grids(placed, probes, block_chunks, block_queries)
+    return topk_per_query(_hits_by_block(*blocks, k, metric), k)
 
 
 def recall(found: DataFrame, exact: DataFrame) -> DataFrame:

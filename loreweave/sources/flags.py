@@ -8,7 +8,15 @@ from pyspark.sql.streaming import StreamingQuery
 
 # The columns of the log and how they are quoted, so that answers of several lines survive.
 LOG_SCHEMA = "Input string, ggml string, chatgpt string, flag string, username string, timestamp timestamp_ntz"
-CSV = {"header": "true", "quote": '"', "escape": '"', "quoteAll": "true", "timestampNTZFormat": "yyyy-MM-dd HH:mm:ss.SSSSSS"}
+CSV = {
+    "header": "true",
+    "quote": '"',
+    "escape": '"',
+    "quoteAll": "true",
+    "ignoreLeadingWhiteSpace": "false",
+    "ignoreTrailingWhiteSpace": "false",
+    "timestampNTZFormat": "yyyy-MM-dd HH:mm:ss.SSSSSS",
+}
 
 
 def log_rows(flagged: DataFrame) -> DataFrame:
