@@ -327,12 +327,12 @@ SELECT b.item_id AS qid, {template_sql(RAG_TEMPLATE, background="coalesce(backgr
 FROM benchmark b LEFT JOIN bg ON bg.qid = b.item_id LEFT JOIN history y ON y.conv_id = b.item_id""",
 )
 def _rag_prompts(spark, sf):
-    from loreweave.operators.ordered import int_segment, join_ordered
+    from loreweave.operators.ordered import beyond_first, int_segment, join_ordered
 
     # the history of the conversation that shares the question's number, cut to its end
     turns = table(spark, sf, "conversations")
     line = F.concat(F.lit("["), F.col("role"), F.lit("]"), F.col("text"))
-    parts = join_ordered(turns, ["conv_id"], ["turn"], line, "\n", int_segment("turn"), zero_based=True)
+    parts = join_ordered(turns, ["conv_id"], ["turn"], line, "\n", int_segment("turn"), long=beyond_first("turn"))
     last = parts.groupBy("conv_id").agg(F.max_by("text", "part").alias("chat"))
     histories = last.select(F.col("conv_id").alias("qid"), F.right("chat", F.lit(512)).alias("history"))
     return rag.rag_prompts(chunks(spark, sf), asked(spark, sf), histories, wrap=None, template=RAG_TEMPLATE)

@@ -13,6 +13,7 @@ from loreweave.operators.ordered import (
     PART_CHARS,
     SEG,
     WHOLE_CELL,
+    beyond_first,
     int_segment,
     join_ordered,
     join_spans,
@@ -25,7 +26,7 @@ from loreweave.operators.ordered import (
 
 def turn_pairs(df: DataFrame, asker: str = "user", answerer: str = "assistant") -> DataFrame:
     """Each asker turn with the answer that follows it: ``(conv_id, turn, input, output)``."""
-    followed = with_next_row(df, ["conv_id"], "turn", ["role", "text"], int_segment("turn"), zero_based=True)
+    followed = with_next_row(df, ["conv_id"], "turn", ["role", "text"], int_segment("turn"), long=beyond_first("turn"))
     return followed.where((F.col("role") == asker) & (F.col("next_role") == answerer)).select(
         "conv_id", "turn", F.col("text").alias("input"), F.col("next_text").alias("output")
     )
@@ -39,7 +40,7 @@ def labelled(asker: str, answerer: str) -> Column:
 def history_text(pairs: DataFrame, line: Column, sep: str = "\n", part_chars: int = PART_CHARS) -> DataFrame:
     """The whole history of each conversation as ``(conv_id, part, text)``."""
     return join_ordered(
-        pairs, ["conv_id"], ["turn"], line, sep, int_segment("turn"), part_chars=part_chars, zero_based=True
+        pairs, ["conv_id"], ["turn"], line, sep, int_segment("turn"), part_chars=part_chars, long=beyond_first("turn")
     )
 
 
@@ -51,7 +52,7 @@ def history_before_turn(
     One row per turn and part; part 0 is always there.  The history of a conversation is joined once
     and each turn takes its prefix, so the work does not grow with the square of the turns.
     """
-    spans = text_spans(pairs, ["conv_id"], ["turn"], line, sep, int_segment("turn"), zero_based=True)
+    spans = text_spans(pairs, ["conv_id"], ["turn"], line, sep, int_segment("turn"), long=beyond_first("turn"))
     parts = join_spans(spans, ["conv_id"], part_chars)
     size = F.greatest(F.col("_before") - F.lit(drop_last), F.lit(0)).cast("long")
     wanted = spans.select("conv_id", "turn", size.alias("_size")).withColumn(
@@ -69,7 +70,7 @@ def history_tail(pairs: DataFrame, line: Column, sep: str, chars: Column, max_ch
     Every turn reads one bounded part of its conversation's history.
     """
     size = max(int(max_chars), PART_CHARS)
-    spans = text_spans(pairs, ["conv_id"], ["turn"], line, sep, int_segment("turn"), zero_based=True)
+    spans = text_spans(pairs, ["conv_id"], ["turn"], line, sep, int_segment("turn"), long=beyond_first("turn"))
     parts = join_spans(spans, ["conv_id"], size, overlap=True)
     wanted = spans.withColumn("part", last_part(F.col("_before"), size)).withColumn(
         "_take", F.greatest(F.least(chars, F.col("_before"), F.lit(int(max_chars))), F.lit(0))

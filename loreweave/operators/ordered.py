@@ -28,21 +28,28 @@ def int_segment(order: str, length: int = SEGMENT_ROWS) -> Column:
     return F.expr(f"`{order}` div {int(length)}")
 
 
+def beyond_first(order: str, length: int = SEGMENT_ROWS) -> Column:
+    """Rows outside segment 0 of an integer order, as a filter that reaches the scan.
+
+    For orders that count up from 0 it picks out the long keys.
+    """
+    return (F.col(order) >= F.lit(length)) | (F.col(order) <= F.lit(-length))
+
+
 def time_segment(order: str, seconds: int = 86_400) -> Column:
     """Segment number of a timestamp column (session time zone UTC)."""
     return F.expr(f"unix_micros(cast(`{order}` as timestamp)) div {int(seconds) * 1_000_000}")
 
 
-def _segment_rows(df: DataFrame, keys: Sequence[str], zero_based: bool) -> DataFrame:
+def _segment_rows(df: DataFrame, keys: Sequence[str], long: Column | None) -> DataFrame:
     """Rows whose segment totals can matter.
 
-    With orders that count up from 0, keys lying wholly in segment 0 need no carry.  The filter on
-    the order column reaches the scan, so without long keys this branch reads next to nothing.
+    ``long`` tells rows outside segment 0; keys without such rows need no carry, and where there are none at all
+    this branch ends after a scan that skips every row group.
     """
-    if not zero_based:
+    if long is None:
         return df
-    long_keys = df.where(F.col(SEG) != 0).select(*keys).distinct()
-    return df.join(long_keys, list(keys), "left_semi")
+    return df.join(df.where(long).select(*keys).distinct(), list(keys), "left_semi")
 
 
 def totals_before(
@@ -53,7 +60,7 @@ def totals_before(
     values: Mapping[str, Column],
     *,
     descending: bool = False,
-    zero_based: bool = False,
+    long: Column | None = None,
 ) -> DataFrame:
     """Add, for each name, the sum of its value over all earlier rows of the key (later, if descending)."""
     keys = list(keys)
@@ -61,7 +68,7 @@ def totals_before(
     for name, value in values.items():
         held = held.withColumn(f"_v_{name}", value.cast("long"))
     totals = (
-        _segment_rows(held, keys, zero_based)
+        _segment_rows(held, keys, long)
         .groupBy(*keys, SEG)
         .agg(*[F.sum(f"_v_{n}").alias(f"_t_{n}") for n in values])
     )
@@ -88,13 +95,13 @@ def with_next_row(
     columns: Sequence[str],
     segment: Column,
     *,
-    zero_based: bool = False,
+    long: Column | None = None,
 ) -> DataFrame:
     """Add ``next_<column>``: the value in the following row of the key, across segment borders."""
     keys = list(keys)
     held = df.withColumn(SEG, segment)
     # one window function per column, so that columns nobody asks for are pruned down to the scan
-    heads = _segment_rows(held, keys, zero_based).groupBy(*keys, SEG).agg(
+    heads = _segment_rows(held, keys, long).groupBy(*keys, SEG).agg(
         *[F.min_by(c, order).alias(f"_h_{c}") for c in columns]
     )
     over_segments = W.partitionBy(*keys).orderBy(SEG)
@@ -115,7 +122,7 @@ def text_spans(
     sep: str,
     segment: Column,
     *,
-    zero_based: bool = False,
+    long: Column | None = None,
 ) -> DataFrame:
     """Place each row's text in the joined string of its key.
 
@@ -129,7 +136,7 @@ def text_spans(
         order,
         segment,
         {"_cum": F.length("_text") + F.lit(width), "_rows": F.lit(1)},
-        zero_based=zero_based,
+        long=long,
     )
     first = F.col("_rows") == 0
     before = F.when(first, F.lit(0)).otherwise(F.col("_cum") - F.lit(width)).cast("long")
@@ -185,8 +192,8 @@ def join_ordered(
     segment: Column,
     *,
     part_chars: int = PART_CHARS,
-    zero_based: bool = False,
+    long: Column | None = None,
 ) -> DataFrame:
     """All texts of a key joined in order: ``(keys, part, text)``."""
-    spans = text_spans(df, keys, order, text, sep, segment, zero_based=zero_based)
+    spans = text_spans(df, keys, order, text, sep, segment, long=long)
     return join_spans(spans, keys, part_chars)

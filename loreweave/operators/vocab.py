@@ -96,13 +96,13 @@ def vocab_fertility(df: DataFrame, text: Column, group: str, vocabs: dict[str, D
         .groupBy(group, "word")
         .agg(F.count(F.lit(1)).alias("n"))
     )
-    out = None
-    for name, vocab in vocabs.items():
-        cut = encode_greedy(words, "word", vocab)
-        one = cut.groupBy(group).agg(
-            F.lit(name).alias("vocab"),
-            F.sum(F.size("pieces") * F.col("n")).alias("pieces"),
-            F.sum(F.length("word") * F.col("n")).alias("chars"),
-        )
-        out = one if out is None else out.unionByName(one)
-    return out.withColumn("fertility", F.round(F.col("pieces") / F.col("chars"), 6))
+    counts = [f"_k{i}" for i in range(len(vocabs))]
+    for k, vocab in zip(counts, vocabs.values(), strict=True):
+        words = encode_greedy(words, "word", vocab, k).withColumn(k, F.size(k))
+    per_vocab = F.array(*[F.struct(F.lit(name).alias("vocab"), F.col(k).alias("k")) for k, name in zip(counts, vocabs, strict=True)])
+    sums = (
+        words.select(group, "n", F.length("word").alias("_chars"), F.inline(per_vocab))
+        .groupBy(group, "vocab")
+        .agg(F.sum(F.col("k") * F.col("n")).alias("pieces"), F.sum(F.col("_chars") * F.col("n")).alias("chars"))
+    )
+    return sums.withColumn("fertility", F.round(F.col("pieces") / F.col("chars"), 6))

@@ -40,38 +40,52 @@ def instruction_records(conversations: DataFrame) -> DataFrame:
     )
 
 
-def sft_dataset(
+def placed_records(
     records: DataFrame,
-    vocab: DataFrame,
     *,
-    template: str = TRAIN_TEMPLATE,
-    length: int = 2048,
     ratio: float = 0.3,
     seed: int = 42,
     shuffle_seed: int = 7,
     micro_batch: int = 8,
     batch: int = 64,
 ) -> DataFrame:
-    """Examples ``(id, split, position, micro_batch, step, input_ids, labels, attention_mask, real_mask)``.
+    """The records with ``split``, ``position`` in the shuffle of their split, ``micro_batch`` and ``step``.
 
-    Ranks are computed on ids alone; the wide token arrays are joined on at the end and cross the network once.
+    Ranks are computed on ids alone; the texts are moved once, to be joined with them.
     """
     # narrow, and read twice below
     ids = written(exact_split(records.select("id"), "id", ratio, seed), "split")
-    held = ids.withColumn("_h", order_hash(F.col("id"), shuffle_seed))
-    shuffled = global_index(held, "_h", "id", "position", by=["split"]).drop("_h")
-    placed = assign_batches(shuffled, "position", micro_batch, batch)
+    hashed = ids.withColumn("_h", order_hash(F.col("id"), shuffle_seed))
+    shuffled = global_index(hashed, "_h", "id", "position", by=["split"]).drop("_h")
+    return records.join(assign_batches(shuffled, "position", micro_batch, batch), "id")
+
+
+def encoded_examples(placed: DataFrame, vocab: DataFrame, template: str = TRAIN_TEMPLATE, length: int = 2048) -> DataFrame:
+    """Ids, labels and masks of placed records.  No shuffle: the long arrays are made where the record is."""
     fields = {c: F.col(c) for c in ("instruction", "input", "output")}
-    prompts = records.select("id", "output", fill_template(template, fields).alias("prompt"))
-    encoded = encode_ids(prompts, {"full_ids": F.concat("prompt", "output")}, vocab)
-    masked = encoded.select("id", mask_labels(token_count(F.col("prompt")), F.col("full_ids"), length).alias("_m"))
-    return placed.join(masked, "id").select("id", "split", "position", "micro_batch", "step", "_m.*")
+    prompts = placed.withColumn("_prompt", fill_template(template, fields))
+    coded = encode_ids(prompts, {"_full": F.concat("_prompt", "output")}, vocab)
+    masked = mask_labels(token_count(F.col("_prompt")), F.col("_full"), length)
+    return coded.select("id", "split", "position", "micro_batch", "step", masked.alias("_m")).select(
+        "id", "split", "position", "micro_batch", "step", "_m.*"
+    )
+
 
+def sft_dataset(
+    records: DataFrame, vocab: DataFrame, *, template: str = TRAIN_TEMPLATE, length: int = 2048, **placing
+) -> DataFrame:
+    """Examples ``(id, split, position, micro_batch, step, input_ids, labels, attention_mask, real_mask)``."""
+    return encoded_examples(placed_records(records, **placing), vocab, template, length)
 
-def write_sft_dataset(dataset: DataFrame, path: str) -> DataFrame:
-    """Store the examples by split and step order and read them back."""
-    dataset.repartitionByRange("split", "position").sortWithinPartitions("split", "position").write.partitionBy(
-        "split"
-    ).parquet(path)
-    return dataset.sparkSession.read.parquet(path)
 
+def write_sft_dataset(
+    records: DataFrame, vocab: DataFrame, path: str, *, template: str = TRAIN_TEMPLATE, length: int = 2048, **placing
+) -> DataFrame:
+    """Store the examples by split in training order and read them back.
+
+    Records are put in order while they are still short.
+    """
+    placed = placed_records(records, **placing).repartitionByRange("split", "position")
+    ordered = placed.sortWithinPartitions("split", "position")
+    encoded_examples(ordered, vocab, template, length).write.partitionBy("split").parquet(path)
+    return records.sparkSession.read.parquet(path)

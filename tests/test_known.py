@@ -290,3 +290,21 @@ def test_touch_and_distinct(spark):
 def test_time_segment(spark):
     got = one(spark, time_segment("t", 3600), t=dt.datetime(1970, 1, 1, 5, 30))
     assert got == 5
+
+
+def test_sft_written_in_order(spark, sf, tmp_path):
+    from loreweave.catalog.training import doc_vocab, records
+    from loreweave.plans.sft import write_sft_dataset
+
+    held = records(spark, sf)
+    path = str(tmp_path / "sft")
+    done = write_sft_dataset(held, doc_vocab(spark, sf), path, length=32)
+    n = held.count()
+    test = done.where("split = 'test'")
+    assert done.count() == n and test.count() == int(n * 0.3)
+    assert sorted(r.position for r in test.collect()) == list(range(int(n * 0.3)))
+    assert done.where("size(input_ids) <> 32 or size(labels) <> 32 or step <> position div 64").count() == 0
+    # every file holds one run of positions, sorted
+    for f in done.inputFiles():
+        at = [r.position for r in spark.read.parquet(f).collect()]
+        assert at == list(range(at[0], at[0] + len(at)))

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from loreweave.operators import chat, memory, search
-from loreweave.operators.ordered import int_segment, join_ordered, time_segment, totals_before, with_next_row
+from loreweave.operators.ordered import beyond_first, int_segment, join_ordered, time_segment, totals_before, with_next_row
 
 
 @pytest.fixture(scope="module")
@@ -33,13 +33,13 @@ def by_key(rows):
 
 
 @pytest.mark.parametrize("length", [1, 7, 4096])
-@pytest.mark.parametrize("zero_based", [False, True])
+@pytest.mark.parametrize("only_long", [False, True])
 @pytest.mark.parametrize("descending", [False, True])
-def test_totals_before(spark, turns, length, zero_based, descending):
+def test_totals_before(spark, turns, length, only_long, descending):
     df = spark.createDataFrame(turns, SCHEMA).repartition(5)
     got = totals_before(
         df, ["conv_id"], ["turn"], int_segment("turn", length), {"n": F.lit(1), "c": F.length("text")},
-        descending=descending, zero_based=zero_based and not descending,
+        descending=descending, long=beyond_first("turn", length) if only_long else None,
     )
     want = set()
     for key, rows in by_key(turns).items():
@@ -53,7 +53,7 @@ def test_totals_before(spark, turns, length, zero_based, descending):
 @pytest.mark.parametrize("length", [1, 7, 4096])
 def test_with_next_row(spark, turns, length):
     df = spark.createDataFrame(turns, SCHEMA).repartition(5)
-    got = with_next_row(df, ["conv_id"], "turn", ["role", "text"], int_segment("turn", length), zero_based=True)
+    got = with_next_row(df, ["conv_id"], "turn", ["role", "text"], int_segment("turn", length), long=beyond_first("turn", length))
     want = set()
     for key, rows in by_key(turns).items():
         for r, after in zip(rows, [*rows[1:], (None,) * 4]):
