@@ -13,8 +13,9 @@ from loreweave.operators.ordered import (
     PART_CHARS,
     SEG,
     WHOLE_CELL,
-    beyond_first,
-    int_segment,
+    Cut,
+    Segments,
+    counted_segments,
     join_ordered,
     join_spans,
     last_part,
@@ -24,9 +25,12 @@ from loreweave.operators.ordered import (
 )
 
 
+TAIL_CHARS = 4096
+
+
 def turn_pairs(df: DataFrame, asker: str = "user", answerer: str = "assistant") -> DataFrame:
     """Each asker turn with the answer that follows it: ``(conv_id, turn, input, output)``."""
-    followed = with_next_row(df, ["conv_id"], "turn", ["role", "text"], int_segment("turn"), long=beyond_first("turn"))
+    followed = with_next_row(df, ["conv_id"], "turn", ["role", "text"], counted_segments("turn"))
     return followed.where((F.col("role") == asker) & (F.col("next_role") == answerer)).select(
         "conv_id", "turn", F.col("text").alias("input"), F.col("next_text").alias("output")
     )
@@ -39,9 +43,7 @@ def labelled(asker: str, answerer: str) -> Column:
 
 def history_text(pairs: DataFrame, line: Column, sep: str = "\n", part_chars: int = PART_CHARS) -> DataFrame:
     """The whole history of each conversation as ``(conv_id, part, text)``."""
-    return join_ordered(
-        pairs, ["conv_id"], ["turn"], line, sep, int_segment("turn"), part_chars=part_chars, long=beyond_first("turn")
-    )
+    return join_ordered(pairs, ["conv_id"], ["turn"], line, sep, counted_segments("turn"), part_chars)
 
 
 def history_before_turn(
@@ -52,7 +54,7 @@ def history_before_turn(
     One row per turn and part; part 0 is always there.  The history of a conversation is joined once
     and each turn takes its prefix, so the work does not grow with the square of the turns.
     """
-    spans = text_spans(pairs, ["conv_id"], ["turn"], line, sep, int_segment("turn"), long=beyond_first("turn"))
+    spans = text_spans(pairs, ["conv_id"], ["turn"], line, sep, counted_segments("turn"))
     parts = join_spans(spans, ["conv_id"], part_chars)
     size = F.greatest(F.col("_before") - F.lit(drop_last), F.lit(0)).cast("long")
     wanted = spans.select("conv_id", "turn", size.alias("_size")).withColumn(
@@ -69,8 +71,9 @@ def history_tail(pairs: DataFrame, line: Column, sep: str, chars: Column, max_ch
 
     Every turn reads one bounded part of its conversation's history.
     """
-    size = max(int(max_chars), PART_CHARS)
-    spans = text_spans(pairs, ["conv_id"], ["turn"], line, sep, int_segment("turn"), long=beyond_first("turn"))
+    # short parts: every turn copies from one
+    size = max(int(max_chars), TAIL_CHARS)
+    spans = text_spans(pairs, ["conv_id"], ["turn"], line, sep, counted_segments("turn"))
     parts = join_spans(spans, ["conv_id"], size, overlap=True)
     wanted = spans.withColumn("part", last_part(F.col("_before"), size)).withColumn(
         "_take", F.greatest(F.least(chars, F.col("_before"), F.lit(int(max_chars))), F.lit(0))
@@ -121,15 +124,16 @@ def last_exchange(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def fold_conversation_events(
-    events: DataFrame, keys: Sequence[str], order: Sequence[str], segment: Column
+    events: DataFrame, keys: Sequence[str], order: Sequence[str], segments: Segments | Cut
 ) -> DataFrame:
     """What is left of each conversation after its submits, cancels and clears, with its position.
 
     ``events`` has ``action`` (``submit``, ``cancel``, ``clear``).  A clear removes everything before
     it; a cancel removes the last submit still standing, if any.  With +1 per submit and -1 per cancel, a submit
-    stands exactly if the running sum never falls below its value later on, so sums and minima over segments suffice.
+    stands exactly if the running sum never falls below its value later on, so sums and minima suffice.
     """
     keys, order = list(keys), list(order)
+    cut = segments.cut(events, keys)
     step = F.when(F.col("action") == "submit", 1).when(F.col("action") == "cancel", -1).otherwise(0)
     cleared = (
         events.where(F.col("action") == "clear").groupBy(*keys).agg(F.max(F.struct(*order)).alias("_cleared"))
@@ -139,19 +143,22 @@ def fold_conversation_events(
         .where(F.col("_cleared").isNull() | (F.struct(*order) > F.col("_cleared")))
         .drop("_cleared")
     )
-    summed = totals_before(live, keys, order, segment, {"_before": step})
-    summed = summed.withColumn("_sum", F.col("_before") + step).withColumn(SEG, segment)
-    lows = summed.groupBy(*keys, SEG).agg(F.min("_sum").alias("_low"))
+    summed = totals_before(live, keys, order, cut, {"_before": step}).withColumn("_sum", F.col("_before") + step)
+    marked = cut.mark(summed)
     # later rows first: a growing frame costs one pass, one that shrinks would be quadratic
-    later_segments = W.partitionBy(*keys).orderBy(F.desc(SEG)).rowsBetween(W.unboundedPreceding, -1)
-    lows = lows.select(*keys, SEG, F.min("_low").over(later_segments).alias("_later_low"))
     later = W.partitionBy(*keys, SEG).orderBy(*map(F.desc, order)).rowsBetween(W.unboundedPreceding, -1)
-    # least ignores nulls
-    low = F.least(F.min("_sum").over(later), F.col("_later_low"))
+    low = F.min("_sum").over(later)
+    rows = cut.carried(marked)
+    if rows is not None:
+        lows = rows.groupBy(*keys, SEG).agg(F.min("_sum").alias("_low"))
+        later_segments = W.partitionBy(*keys).orderBy(F.desc(SEG)).rowsBetween(W.unboundedPreceding, -1)
+        lows = lows.select(*keys, SEG, F.min("_low").over(later_segments).alias("_later_low"))
+        marked = marked.join(lows, [*keys, SEG], "left")
+        # least ignores nulls
+        low = F.least(low, F.col("_later_low"))
     standing = (
-        summed.join(lows, [*keys, SEG], "left")
-        .withColumn("_lowest", F.coalesce(low, F.col("_sum")))
+        marked.withColumn("_lowest", F.coalesce(low, F.col("_sum")))
         .where((F.col("action") == "submit") & (F.col("_lowest") >= F.col("_sum")))
         .select(*events.columns)
     )
-    return totals_before(standing, keys, order, segment, {"position": F.lit(1)})
+    return totals_before(standing, keys, order, cut, {"position": F.lit(1)})

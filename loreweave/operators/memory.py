@@ -17,11 +17,21 @@ from pyspark.sql import types as T
 from loreweave.functions.scores import memory_score
 from loreweave.functions.templates import TIME_FORMAT
 from loreweave.functions.text import strip
-from loreweave.operators.ordered import PART_CHARS, int_segment, join_ordered, time_segment, totals_before
+from loreweave.operators.ordered import (
+    PART_CHARS,
+    Cut,
+    Segments,
+    hot_keys,
+    int_segments,
+    join_ordered,
+    time_segments,
+    totals_before,
+)
 
 REFLECTION_THRESHOLD = 8.0
 UNITS = 1_000_000
 FOLD_ROWS = 65_536
+HOT_ROWS = 1 << 20
 
 
 def buffer_index(
@@ -29,13 +39,13 @@ def buffer_index(
     order: Sequence[str],
     now: Column,
     existing: DataFrame | None = None,
-    segment_seconds: int = 86_400,
+    segments: Segments | Cut | None = None,
 ) -> DataFrame:
     """Number new memories after the ones an agent has, and fill in missing times.
 
     ``order[0]`` is a timestamp; ``existing`` is ``(agent, held)`` with the counts so far.
     """
-    numbered = totals_before(new, ["agent"], order, time_segment(order[0], segment_seconds), {"buffer_idx": F.lit(1)})
+    numbered = totals_before(new, ["agent"], order, segments or time_segments(order[0]), {"buffer_idx": F.lit(1)})
     if existing is not None:
         numbered = (
             numbered.join(existing, "agent", "left")
@@ -92,7 +102,7 @@ def memory_digest(
     memories: DataFrame,
     order: Sequence[str],
     by: Sequence[str] = ("agent",),
-    segment: Column | None = None,
+    segments: Segments | Cut | None = None,
     part_chars: int = PART_CHARS,
 ) -> DataFrame:
     """Dated lines of the distinct memories in order: ``(by, part, text)``.
@@ -100,8 +110,7 @@ def memory_digest(
     Contents are compared before they are stripped.
     """
     distinct = memory_distinct(memories, order, by)
-    segment = int_segment(order[0]) if segment is None else segment
-    return join_ordered(distinct, by, order, memory_line(), "\n", segment, part_chars=part_chars)
+    return join_ordered(distinct, by, order, memory_line(), "\n", segments or int_segments(order[0]), part_chars)
 
 
 def pack_recent(
@@ -109,7 +118,7 @@ def pack_recent(
     order: Sequence[str],
     size: Column,
     budget: int | DataFrame,
-    segment: Column,
+    segments: Segments | Cut,
     by: Sequence[str] = ("agent",),
 ) -> DataFrame:
     """The newest memories of each agent, as many in a row as fit into ``budget``.
@@ -117,7 +126,7 @@ def pack_recent(
     ``budget`` is one number or a table ``(by, budget)``.  Adds ``used``: what the kept memory and all newer ones take.
     """
     sized = memories.withColumn("_size", size)
-    summed = totals_before(sized, by, order, segment, {"_newer": F.col("_size")}, descending=True)
+    summed = totals_before(sized, by, order, segments, {"_newer": F.col("_size")}, descending=True)
     used = F.col("_newer") + F.col("_size")
     packed = summed.withColumn("used", used).drop("_newer", "_size")
     if isinstance(budget, int):
@@ -133,19 +142,6 @@ def units(importance: Column) -> Column:
     return F.greatest(F.round(importance * UNITS), F.lit(0)).cast("long")
 
 
-def _chain(values: np.ndarray, entry: int, limit: int) -> tuple[list[int], list[int], int]:
-    """Positions where the sum passes ``limit``, the sums there, and what is left at the end."""
-    sums = np.cumsum(values)
-    at, reached, base = [], [], -entry
-    while True:
-        j = int(np.searchsorted(sums, base + limit, side="right"))
-        if j >= len(sums):
-            return at, reached, (int(sums[-1]) if len(sums) else 0) - base
-        at.append(j)
-        reached.append(int(sums[j]) - base)
-        base = int(sums[j])
-
-
 def _transfer(values: np.ndarray, limit: int) -> tuple[list[int], list[int], int]:
     """How a segment maps the sum it starts with to the sum it ends with.
 
@@ -164,38 +160,37 @@ def _transfer(values: np.ndarray, limit: int) -> tuple[list[int], list[int], int
     return sums[: stop + 1].tolist(), ends.tolist(), int(sums[-1])
 
 
-def _groups(batch: pd.DataFrame) -> Iterator[tuple[object, int, slice]]:
-    """Runs of equal ``(agent, _fold)`` in a sorted batch."""
-    agent, fold = batch["agent"].to_numpy(), batch["_fold"].to_numpy()
-    cuts = np.flatnonzero((agent[1:] != agent[:-1]) | (fold[1:] != fold[:-1])) + 1
-    edges = [0, *cuts.tolist(), len(batch)]
-    for lo, hi in zip(edges[:-1], edges[1:], strict=True):
-        yield agent[lo], fold[lo], slice(lo, hi)
-
-
-def reflection_trigger(
-    memories: DataFrame,
-    order: Sequence[str],
-    threshold: float = REFLECTION_THRESHOLD,
-    *,
-    fold_rows: int = FOLD_ROWS,
-    segment_seconds: int = 86_400,
-) -> DataFrame:
-    """Memories at which an agent reflects, with the sum reached: ``(agent, order..., reached)``.
+def _fold_sorted(df: DataFrame, keys: Sequence[str], order: Sequence[str], limit: int) -> DataFrame:
+    """Walk the rows of every key in order, starting from ``_entry``, and keep those that pass the limit."""
+    keys, order = list(keys), list(order)
 
-    ``order[0]`` is a timestamp.  An agent's rows are numbered and cut into runs of ``fold_rows``.  Agents with
-    one run are folded directly; for the others each run is first reduced to the map from the sum
-    it starts with to the sum it ends with, and only these maps are chained per agent.
+    def fold(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        last, total = None, 0
+        for batch in batches:
+            at, reached = [], []
+            for i, (key, entry, value) in enumerate(
+                zip(zip(*(batch[k] for k in keys), strict=True), batch["_entry"], batch["_v"], strict=True)
+            ):
+                if key != last:
+                    last, total = key, entry
+                total += value
+                if total > limit:
+                    at.append(i)
+                    reached.append(total)
+                    total = 0
+            yield batch.iloc[at].assign(reached=reached)[[keys[0], *order, "reached"]]
+
+    schema = T.StructType([df.schema[c] for c in (keys[0], *order)] + [T.StructField("reached", T.LongType())])
+    return df.repartition(*keys).sortWithinPartitions(*keys, *order).mapInPandas(fold, schema)
+
+
+def _entries(runs: DataFrame, limit: int) -> DataFrame:
+    """``(agent, _fold, _entry)``: the sum every run of a hot agent starts with.
+
+    Each run is reduced, in parallel, to the map from the sum it starts with to the sum it ends with; only these maps are
+    chained per agent.
     """
-    limit = round(threshold * UNITS)
-    order = list(order)
-    base = memories.select("agent", *order, units(F.col("importance")).alias("_v"))
-    numbered = totals_before(base, ["agent"], order, time_segment(order[0], segment_seconds), {"_idx": F.lit(1)})
-    runs = numbered.withColumn("_fold", F.expr(f"_idx div {int(fold_rows)}"))
-    agent = memories.schema["agent"]
-
-    long_agents = runs.where(F.col("_fold") > 0).select("agent").distinct()
-    long_runs = runs.join(long_agents, "agent", "left_semi").select("agent", "_fold", "_idx", "_v")
+    agent = runs.schema["agent"]
 
     def reduce_run(run: pd.DataFrame) -> pd.DataFrame:
         run = run.sort_values("_idx")
@@ -204,12 +199,12 @@ def reflection_trigger(
             {"agent": run["agent"].iloc[:1], "_fold": run["_fold"].iloc[:1], "sums": [sums], "ends": [ends], "total": total}
         )
 
-    maps = long_runs.groupBy("agent", "_fold").applyInPandas(
+    maps = runs.groupBy("agent", "_fold").applyInPandas(
         reduce_run,
         T.StructType([agent, *T.StructType.fromDDL("_fold long, sums array<long>, ends array<long>, total long").fields]),
     )
 
-    def chain_runs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def chain(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         now_agent, carry = None, 0
         for batch in batches:
             entry = []
@@ -219,30 +214,45 @@ def reflection_trigger(
                 entry.append(carry)
                 j = int(np.searchsorted(sums, limit - carry, side="right"))
                 carry = int(ends[j]) if j < len(sums) else carry + int(total)
-            yield pd.DataFrame({"agent": batch["agent"], "_fold": batch["_fold"], "entry": entry})
+            yield pd.DataFrame({"agent": batch["agent"], "_fold": batch["_fold"], "_entry": entry})
 
-    entries = (
+    return (
         maps.repartition("agent")
         .sortWithinPartitions("agent", "_fold")
-        .mapInPandas(chain_runs, T.StructType([agent, *T.StructType.fromDDL("_fold long, entry long").fields]))
+        .mapInPandas(chain, T.StructType([agent, *T.StructType.fromDDL("_fold long, _entry long").fields]))
     )
 
-    def fold(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        last, carry = None, 0
-        for batch in batches:
-            held = []
-            for a, run, rows in _groups(batch):
-                if (a, run) != last:
-                    last, carry = (a, run), int(batch["entry"].iloc[rows.start])
-                at, reached, carry = _chain(batch["_v"].to_numpy()[rows], carry, limit)
-                if at:
-                    held.append(batch.iloc[[rows.start + i for i in at]].assign(reached=reached))
-            if held:
-                yield pd.concat(held)[["agent", *order, "reached"]]
-
-    schema = T.StructType([agent, *[memories.schema[c] for c in order], T.StructField("reached", T.LongType())])
-    started = runs.join(entries, ["agent", "_fold"], "left").withColumn("entry", F.coalesce("entry", F.lit(0)))
-    folded = (
-        started.repartition("agent", "_fold").sortWithinPartitions("agent", "_fold", "_idx").mapInPandas(fold, schema)
-    )
+
+def reflection_trigger(
+    memories: DataFrame,
+    order: Sequence[str],
+    threshold: float = REFLECTION_THRESHOLD,
+    *,
+    fold_rows: int = FOLD_ROWS,
+    hot_rows: int = HOT_ROWS,
+    segment_seconds: int = 3600,
+) -> DataFrame:
+    """Memories at which an agent reflects, with the sum reached: ``(agent, order..., reached)``.
+
+    ``order[0]`` is a timestamp.  Ordinary agents are walked through in one task each.  The rows of an agent with more
+    than ``hot_rows`` are numbered and cut into runs of ``fold_rows``, which are walked through in parallel.
+    """
+    limit = round(threshold * UNITS)
+    order = list(order)
+    rows = memories.select("agent", *order, units(F.col("importance")).alias("_v"))
+    hot = hot_keys(rows, ["agent"], hot_rows)
+    if hot == []:
+        folded = _fold_sorted(rows.withColumn("_entry", F.lit(0).cast("long")), ["agent"], order, limit)
+    else:
+        # None: too many to list, so every agent is cut
+        long = rows if hot is None else rows.join(F.broadcast(hot), "agent", "left_semi")
+        by_time = Cut(["agent"], time_segments(order[0], segment_seconds).number, None, None)
+        runs = totals_before(long, ["agent"], order, by_time, {"_idx": F.lit(1)}).withColumn(
+            "_fold", F.expr(f"_idx div {int(fold_rows)}")
+        )
+        started = runs.join(_entries(runs.select("agent", "_fold", "_idx", "_v"), limit), ["agent", "_fold"])
+        folded = _fold_sorted(started, ["agent", "_fold"], order, limit)
+        if hot is not None:
+            rest = rows.join(F.broadcast(hot), "agent", "left_anti").withColumn("_entry", F.lit(0).cast("long"))
+            folded = folded.unionByName(_fold_sorted(rest, ["agent"], order, limit))
     return folded.withColumn("reached", F.round(F.col("reached") / F.lit(float(UNITS)), 6))

@@ -1,10 +1,10 @@
 """Order-dependent work per key that stays bounded when one key holds a large share of the rows.
 
-A plain window over ``partitionBy(key)`` puts a whole key into one task.  Here every key is cut into
-segments of its order column; windows run inside a segment, and what a segment must know about its
-neighbours (a running total, the next row) is aggregated per segment, carried over the short list
-of segments, and joined back on ``(key, segment)``.  Strings that span a key are returned in parts of
-at most ``part_chars`` characters; an ordinary key is a single part 0.
+A plain window over ``partitionBy(key)`` puts a whole key into one task.  That is fine for ordinary keys, so only
+long ones are cut into segments of their order column: windows run inside a segment, and what a segment must know about its
+neighbours (a running total, the next row) is aggregated per segment, carried over the short list of segments, and
+joined back on ``(key, segment)``.  Strings that span a key are returned in parts of at most ``part_chars`` characters;
+an ordinary key is a single part 0.
 
 Keys must not be null.
 """
@@ -12,106 +12,154 @@ Keys must not be null.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from loreweave.session import small_rows
+
 SEG = "_seg"
 SEGMENT_ROWS = 4096
+HOT_ROWS = 1 << 20
 PART_CHARS = 1 << 20
 WHOLE_CELL = 1 << 30
 
 
-def int_segment(order: str, length: int = SEGMENT_ROWS) -> Column:
-    """Segment number of an integer order column; at most ``length`` distinct values per segment."""
-    return F.expr(f"`{order}` div {int(length)}")
+@dataclass
+class Segments:
+    """How long keys are cut.
+
+    ``number`` is the segment of a row.  Long keys are those with a row that meets ``beyond``, or, without it, those with
+    more than ``hot_rows`` rows by a count of the keys alone.
+    """
+
+    number: Column
+    beyond: Column | None = None
+    hot_rows: int = HOT_ROWS
 
+    def cut(self, df: DataFrame, keys: Sequence[str]) -> Cut:
+        if self.beyond is not None:
+            return Cut(list(keys), self.number, None, self.beyond)
+        hot = hot_keys(df, keys, self.hot_rows)
+        return Cut(list(keys), self.number, hot, None)
 
-def beyond_first(order: str, length: int = SEGMENT_ROWS) -> Column:
-    """Rows outside segment 0 of an integer order, as a filter that reaches the scan.
 
-    For orders that count up from 0 it picks out the long keys.
+@dataclass
+class Cut:
+    """Segments of a table whose long keys are known.
+
+    ``hot`` is a small table of them, ``None`` if every key counts as long; with ``beyond`` they are found in the plan.
     """
-    return (F.col(order) >= F.lit(length)) | (F.col(order) <= F.lit(-length))
 
+    keys: list[str]
+    number: Column
+    hot: DataFrame | list | None
+    beyond: Column | None
+
+    def cut(self, df: DataFrame, keys: Sequence[str]) -> Cut:
+        return self
+
+    def mark(self, df: DataFrame) -> DataFrame:
+        """Add the segment; ordinary keys are one segment."""
+        if self.beyond is not None or self.hot is None:
+            return df.withColumn(SEG, self.number)
+        if isinstance(self.hot, list):
+            return df.withColumn(SEG, F.lit(None).cast("long"))
+        marked = df.join(F.broadcast(self.hot.withColumn("_hot", F.lit(True))), self.keys, "left")
+        return marked.withColumn(SEG, F.when(F.col("_hot"), self.number)).drop("_hot")
+
+    def carried(self, marked: DataFrame) -> DataFrame | None:
+        """The rows of the long keys, whose segments need a carry; ``None`` if there are no long keys."""
+        if self.beyond is not None:
+            # the filter reaches the scan: without long keys this branch skips every row group and ends there
+            return marked.join(marked.where(self.beyond).select(*self.keys).distinct(), self.keys, "left_semi")
+        if isinstance(self.hot, list):
+            return None
+        return marked if self.hot is None else marked.where(F.col(SEG).isNotNull())
+
+
+def hot_keys(df: DataFrame, keys: Sequence[str], rows: int = HOT_ROWS) -> DataFrame | list | None:
+    """Keys with more than ``rows`` rows: a small table, an empty list if there are none, ``None`` if there are too many.
+
+    Reads the key columns only, and counts before the shuffle.
+    """
+    counted = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > rows).select(*keys)
+    found = small_rows(counted)
+    return df.sparkSession.createDataFrame(found, counted.schema) if found else found
 
-def time_segment(order: str, seconds: int = 86_400) -> Column:
-    """Segment number of a timestamp column (session time zone UTC)."""
-    return F.expr(f"unix_micros(cast(`{order}` as timestamp)) div {int(seconds) * 1_000_000}")
 
+def int_segments(order: str, length: int = SEGMENT_ROWS, hot_rows: int = HOT_ROWS) -> Segments:
+    """By an integer order column; at most ``length`` distinct values per segment."""
+    return Segments(F.expr(f"`{order}` div {int(length)}"), None, hot_rows)
 
-def _segment_rows(df: DataFrame, keys: Sequence[str], long: Column | None) -> DataFrame:
-    """Rows whose segment totals can matter.
 
-    ``long`` tells rows outside segment 0; keys without such rows need no carry, and where there are none at all
-    this branch ends after a scan that skips every row group.
-    """
-    if long is None:
-        return df
-    return df.join(df.where(long).select(*keys).distinct(), list(keys), "left_semi")
+def counted_segments(order: str, length: int = SEGMENT_ROWS) -> Segments:
+    """By an integer that counts up from about 0 in every key, so that long keys show by its value."""
+    beyond = (F.col(order) >= F.lit(length)) | (F.col(order) <= F.lit(-length))
+    return Segments(F.expr(f"`{order}` div {int(length)}"), beyond)
+
+
+def time_segments(order: str, seconds: int = 3600, hot_rows: int = HOT_ROWS) -> Segments:
+    """By a timestamp column (session time zone UTC)."""
+    micros = f"unix_micros(cast(`{order}` as timestamp))"
+    return Segments(F.expr(f"{micros} div {int(seconds) * 1_000_000}"), None, hot_rows)
 
 
 def totals_before(
     df: DataFrame,
     keys: Sequence[str],
     order: Sequence[str],
-    segment: Column,
+    segments: Segments | Cut,
     values: Mapping[str, Column],
     *,
     descending: bool = False,
-    long: Column | None = None,
 ) -> DataFrame:
     """Add, for each name, the sum of its value over all earlier rows of the key (later, if descending)."""
     keys = list(keys)
-    held = df.withColumn(SEG, segment)
+    cut = segments.cut(df, keys)
+    held = cut.mark(df)
     for name, value in values.items():
         held = held.withColumn(f"_v_{name}", value.cast("long"))
-    totals = (
-        _segment_rows(held, keys, long)
-        .groupBy(*keys, SEG)
-        .agg(*[F.sum(f"_v_{n}").alias(f"_t_{n}") for n in values])
-    )
-    seg_order = F.desc(SEG) if descending else F.asc(SEG)
-    over_segments = W.partitionBy(*keys).orderBy(seg_order).rowsBetween(W.unboundedPreceding, -1)
-    carry = totals.select(*keys, SEG, *[F.sum(f"_t_{n}").over(over_segments).alias(f"_c_{n}") for n in values])
     inside = (
         W.partitionBy(*keys, SEG)
         .orderBy(*[F.desc(c) if descending else F.asc(c) for c in order])
         .rowsBetween(W.unboundedPreceding, -1)
     )
-    out = held.join(carry, [*keys, SEG], "left")
-    for n in values:
-        out = out.withColumn(
-            n, F.coalesce(F.col(f"_c_{n}"), F.lit(0)) + F.coalesce(F.sum(f"_v_{n}").over(inside), F.lit(0))
-        )
-    return out.select(*df.columns, *values)
+    here = {n: F.coalesce(F.sum(f"_v_{n}").over(inside), F.lit(0)) for n in values}
+    rows = cut.carried(held)
+    if rows is None:
+        return held.select(*df.columns, *[c.alias(n) for n, c in here.items()])
+    totals = rows.groupBy(*keys, SEG).agg(*[F.sum(f"_v_{n}").alias(f"_t_{n}") for n in values])
+    seg_order = F.desc(SEG) if descending else F.asc(SEG)
+    over_segments = W.partitionBy(*keys).orderBy(seg_order).rowsBetween(W.unboundedPreceding, -1)
+    carry = totals.select(*keys, SEG, *[F.sum(f"_t_{n}").over(over_segments).alias(f"_c_{n}") for n in values])
+    return held.join(carry, [*keys, SEG], "left").select(
+        *df.columns, *[(F.coalesce(F.col(f"_c_{n}"), F.lit(0)) + c).alias(n) for n, c in here.items()]
+    )
 
 
 def with_next_row(
-    df: DataFrame,
-    keys: Sequence[str],
-    order: str,
-    columns: Sequence[str],
-    segment: Column,
-    *,
-    long: Column | None = None,
+    df: DataFrame, keys: Sequence[str], order: str, columns: Sequence[str], segments: Segments | Cut
 ) -> DataFrame:
     """Add ``next_<column>``: the value in the following row of the key, across segment borders."""
     keys = list(keys)
-    held = df.withColumn(SEG, segment)
+    cut = segments.cut(df, keys)
+    held = cut.mark(df)
     # one window function per column, so that columns nobody asks for are pruned down to the scan
-    heads = _segment_rows(held, keys, long).groupBy(*keys, SEG).agg(
-        *[F.min_by(c, order).alias(f"_h_{c}") for c in columns]
-    )
+    inside = W.partitionBy(*keys, SEG).orderBy(order)
+    after = {c: F.lead(c).over(inside) for c in columns}
+    rows = cut.carried(held)
+    if rows is None:
+        return held.select(*df.columns, *[x.alias(f"next_{c}") for c, x in after.items()])
+    heads = rows.groupBy(*keys, SEG).agg(*[F.min_by(c, order).alias(f"_h_{c}") for c in columns])
     over_segments = W.partitionBy(*keys).orderBy(SEG)
     carry = heads.select(*keys, SEG, *[F.lead(f"_h_{c}").over(over_segments).alias(f"_c_{c}") for c in columns])
-    inside = W.partitionBy(*keys, SEG).orderBy(order)
     here = F.lead(F.lit(True)).over(inside).isNotNull()
-    following = [
-        F.when(here, F.lead(c).over(inside)).otherwise(F.col(f"_c_{c}")).alias(f"next_{c}") for c in columns
-    ]
-    return held.join(carry, [*keys, SEG], "left").select(*df.columns, *following)
+    return held.join(carry, [*keys, SEG], "left").select(
+        *df.columns, *[F.when(here, x).otherwise(F.col(f"_c_{c}")).alias(f"next_{c}") for c, x in after.items()]
+    )
 
 
 def text_spans(
@@ -120,9 +168,7 @@ def text_spans(
     order: Sequence[str],
     text: Column,
     sep: str,
-    segment: Column,
-    *,
-    long: Column | None = None,
+    segments: Segments | Cut,
 ) -> DataFrame:
     """Place each row's text in the joined string of its key.
 
@@ -134,9 +180,8 @@ def text_spans(
         df.withColumn("_text", F.coalesce(text, F.lit(""))),
         keys,
         order,
-        segment,
+        segments,
         {"_cum": F.length("_text") + F.lit(width), "_rows": F.lit(1)},
-        long=long,
     )
     first = F.col("_rows") == 0
     before = F.when(first, F.lit(0)).otherwise(F.col("_cum") - F.lit(width)).cast("long")
@@ -189,11 +234,9 @@ def join_ordered(
     order: Sequence[str],
     text: Column,
     sep: str,
-    segment: Column,
-    *,
+    segments: Segments | Cut,
     part_chars: int = PART_CHARS,
-    long: Column | None = None,
 ) -> DataFrame:
     """All texts of a key joined in order: ``(keys, part, text)``."""
-    spans = text_spans(df, keys, order, text, sep, segment, long=long)
+    spans = text_spans(df, keys, order, text, sep, segments)
     return join_spans(spans, keys, part_chars)

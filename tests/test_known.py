@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from loreweave.functions import scores, templates, text, vectors
 from loreweave.operators import chat, files, memory, search, training, vocab
-from loreweave.operators.ordered import int_segment, time_segment
+from loreweave.operators.ordered import int_segments, time_segments
 
 
 def one(spark, column, **values):
@@ -190,7 +190,7 @@ def test_shard_sets(spark):
 def test_fold_events(spark):
     acts = [("submit", "x"), ("cancel", None), ("cancel", None), ("submit", "y"), ("submit", "z"), ("clear", None), ("submit", "w")]
     df = spark.createDataFrame([(1, i, a, x) for i, (a, x) in enumerate(acts)], "conv_id long, event_id long, action string, input string")
-    got = chat.fold_conversation_events(df, ["conv_id"], ["event_id"], int_segment("event_id", 2)).collect()
+    got = chat.fold_conversation_events(df, ["conv_id"], ["event_id"], int_segments("event_id", 2, 0)).collect()
     assert [(r.input, r.position) for r in got] == [("w", 0)]
 
 
@@ -221,7 +221,7 @@ def test_memory_digest(spark):
 
 def test_pack_recent(spark):
     df = spark.createDataFrame([(1, i, n) for i, n in enumerate([1, 9, 2, 3])] + [(2, 0, 9)], "agent long, i long, n int")
-    got = memory.pack_recent(df, ["i"], F.col("n"), 6, int_segment("i", 2)).collect()
+    got = memory.pack_recent(df, ["i"], F.col("n"), 6, int_segments("i", 2, 0)).collect()
     assert sorted((r.agent, r.i, r.used) for r in got) == [(1, 2, 5), (1, 3, 3)]
 
 
@@ -288,7 +288,7 @@ def test_touch_and_distinct(spark):
 
 
 def test_time_segment(spark):
-    got = one(spark, time_segment("t", 3600), t=dt.datetime(1970, 1, 1, 5, 30))
+    got = one(spark, time_segments("t", 3600).number, t=dt.datetime(1970, 1, 1, 5, 30))
     assert got == 5
 
 

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from loreweave.operators import chat, memory, search
-from loreweave.operators.ordered import beyond_first, int_segment, join_ordered, time_segment, totals_before, with_next_row
+from loreweave.operators.ordered import counted_segments, int_segments, join_ordered, time_segments, totals_before, with_next_row
 
 
 @pytest.fixture(scope="module")
@@ -25,6 +25,10 @@ def turns():
 SCHEMA = "conv_id long, turn long, role string, text string"
 
 
+def segments(length, hot_rows):
+    return counted_segments("turn", length) if hot_rows is None else int_segments("turn", length, hot_rows)
+
+
 def by_key(rows):
     out = {}
     for r in rows:
@@ -33,13 +37,12 @@ def by_key(rows):
 
 
 @pytest.mark.parametrize("length", [1, 7, 4096])
-@pytest.mark.parametrize("only_long", [False, True])
+@pytest.mark.parametrize("hot_rows", [None, 0, 20, 1000])
 @pytest.mark.parametrize("descending", [False, True])
-def test_totals_before(spark, turns, length, only_long, descending):
+def test_totals_before(spark, turns, length, hot_rows, descending):
     df = spark.createDataFrame(turns, SCHEMA).repartition(5)
     got = totals_before(
-        df, ["conv_id"], ["turn"], int_segment("turn", length), {"n": F.lit(1), "c": F.length("text")},
-        descending=descending, long=beyond_first("turn", length) if only_long else None,
+        df, ["conv_id"], ["turn"], segments(length, hot_rows), {"n": F.lit(1), "c": F.length("text")}, descending=descending
     )
     want = set()
     for key, rows in by_key(turns).items():
@@ -51,9 +54,10 @@ def test_totals_before(spark, turns, length, only_long, descending):
 
 
 @pytest.mark.parametrize("length", [1, 7, 4096])
-def test_with_next_row(spark, turns, length):
+@pytest.mark.parametrize("hot_rows", [None, 0, 20, 1000])
+def test_with_next_row(spark, turns, length, hot_rows):
     df = spark.createDataFrame(turns, SCHEMA).repartition(5)
-    got = with_next_row(df, ["conv_id"], "turn", ["role", "text"], int_segment("turn", length), long=beyond_first("turn", length))
+    got = with_next_row(df, ["conv_id"], "turn", ["role", "text"], segments(length, hot_rows))
     want = set()
     for key, rows in by_key(turns).items():
         for r, after in zip(rows, [*rows[1:], (None,) * 4]):
@@ -65,7 +69,7 @@ def test_with_next_row(spark, turns, length):
 @pytest.mark.parametrize("sep", ["", "\n", "--"])
 def test_join_ordered(spark, turns, part_chars, sep):
     df = spark.createDataFrame(turns, SCHEMA)
-    got = join_ordered(df, ["conv_id"], ["turn"], F.col("text"), sep, int_segment("turn", 9), part_chars=part_chars)
+    got = join_ordered(df, ["conv_id"], ["turn"], F.col("text"), sep, int_segments("turn", 9, 10), part_chars)
     parts = by_key(sorted((r.conv_id, r.part, r.text) for r in got.collect()))
     for key, rows in by_key(turns).items():
         assert all(len(p[2]) <= part_chars for p in parts[key])
@@ -89,7 +93,7 @@ def test_history_before_turn(spark, turns, part_chars, drop):
 
 
 def test_history_tail_over_parts(spark, turns, monkeypatch):
-    monkeypatch.setattr(chat, "PART_CHARS", 16)
+    monkeypatch.setattr(chat, "TAIL_CHARS", 16)
     rows = [(k, t, text, role) for k, t, role, text in turns]
     df = spark.createDataFrame(rows, "conv_id long, turn long, input string, output string")
     line = chat.labelled("[P]", "[N]")
@@ -102,7 +106,8 @@ def test_history_tail_over_parts(spark, turns, monkeypatch):
 
 
 @pytest.mark.parametrize("length", [3, 1000])
-def test_fold_events(spark, length):
+@pytest.mark.parametrize("hot_rows", [0, 150, 1000])
+def test_fold_events(spark, length, hot_rows):
     rng = random.Random(5)
     rows = [(rng.choice([1, 1, 1, 2, 3]), i, rng.choices(["submit", "cancel", "clear"], [5, 4, 0.2])[0]) for i in range(600)]
     df = spark.createDataFrame(rows, "conv_id long, event_id long, action string").repartition(7)
@@ -115,7 +120,7 @@ def test_fold_events(spark, length):
             del stack[-1:]
         else:
             stack.clear()
-    got = chat.fold_conversation_events(df, ["conv_id"], ["event_id"], int_segment("event_id", length)).collect()
+    got = chat.fold_conversation_events(df, ["conv_id"], ["event_id"], int_segments("event_id", length, hot_rows)).collect()
     assert {(r.conv_id, r.position, r.event_id) for r in got} == {(k, p, e) for k, s in want.items() for p, e in enumerate(s)}
 
 
@@ -130,20 +135,24 @@ def brute_reflections(rows, limit):
 
 
 @pytest.mark.parametrize("fold_rows", [1, 5, 64, 65536])
-def test_reflections(spark, fold_rows):
+@pytest.mark.parametrize("hot_rows", [0, 300, 1000, -1])
+def test_reflections(spark, fold_rows, hot_rows, monkeypatch):
+    if hot_rows < 0:  # more hot agents than can be listed
+        monkeypatch.setattr(memory, "hot_keys", lambda *a: None)
     rng = random.Random(11)
     rows = [(rng.choice([1, 1, 1, 2, 3]), i, rng.choice([0.0, 0.1, 0.25, 0.5, rng.random(), 4.0 if i % 90 == 0 else 0.3])) for i in range(900)]
     df = spark.createDataFrame(rows, "agent long, i long, importance double").repartition(6)
     df = df.withColumn("ts", F.timestamp_seconds(F.col("i") * 600)).select("agent", "ts", "i", "importance")
-    got = memory.reflection_trigger(df, ["ts", "i"], 2.0, fold_rows=fold_rows, segment_seconds=3600).collect()
+    got = memory.reflection_trigger(df, ["ts", "i"], 2.0, fold_rows=fold_rows, hot_rows=hot_rows).collect()
     assert {(r.agent, r.i, r.reached) for r in got} == brute_reflections(rows, 2.0)
 
 
-def test_pack_recent_hot_agent(spark):
+@pytest.mark.parametrize("hot_rows", [0, 200, 1000])
+def test_pack_recent_hot_agent(spark, hot_rows):
     rng = random.Random(2)
     rows = [(rng.choice([1, 1, 2]), i, rng.randint(0, 5)) for i in range(500)]
     df = spark.createDataFrame(rows, "agent long, i long, n int").withColumn("ts", F.timestamp_seconds(F.col("i") * 60))
-    got = memory.pack_recent(df, ["ts", "i"], F.col("n"), 40, time_segment("ts", 600)).collect()
+    got = memory.pack_recent(df, ["ts", "i"], F.col("n"), 40, time_segments("ts", 600, hot_rows)).collect()
     want = set()
     for agent in (1, 2):
         used = 0
