@@ -152,27 +152,28 @@ def _flag_log_read(spark, sf):
 
 
 INSTRUCTION = "Suppose you are a character of the game; talk to the player"
-GENERATED = f"""{PAIRS}, numbered AS (SELECT conv_id, (row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1) AS record_no, input, output FROM pairs),
-sized AS (SELECT conv_id, count(*) AS n FROM pairs GROUP BY 1),
-rows AS (SELECT n.conv_id, record_no, CASE WHEN n.conv_id % 3 = 1 AND record_no = 1 THEN 'Other' ELSE '{INSTRUCTION}' END AS instruction, input, output, s.n FROM numbered n JOIN sized s USING (conv_id))"""
+GENERATED = f"""{PAIRS}, numbered AS (SELECT conv_id, turn // 20 AS block, (row_number() OVER (PARTITION BY conv_id, turn // 20 ORDER BY turn) - 1) AS record_no, input, output FROM pairs),
+sized AS (SELECT conv_id, turn // 20 AS block, count(*) AS n FROM pairs GROUP BY 1, 2),
+rows AS (SELECT conv_id, block, record_no, CASE WHEN conv_id % 3 = 1 AND record_no = 1 THEN 'Other' ELSE '{INSTRUCTION}' END AS instruction, input, output, n FROM numbered JOIN sized USING (conv_id, block))"""
 
 
 @query(
     "parse_generated_records",
-    f"""WITH {GENERATED} SELECT conv_id, record_no, instruction, input, output, CASE WHEN instruction = 'Other' THEN 'other instruction' END AS reason FROM rows WHERE n = 2 AND conv_id % 7 <> 0
-UNION ALL SELECT conv_id, NULL, NULL, NULL, NULL, CASE WHEN conv_id % 7 = 0 THEN 'not a JSON array' ELSE 'wrong size' END FROM sized WHERE n <> 2 OR conv_id % 7 = 0""",
+    f"""WITH {GENERATED} SELECT conv_id, block, record_no, instruction, input, output, CASE WHEN instruction = 'Other' THEN 'other instruction' END AS reason FROM rows WHERE n = 2 AND conv_id % 7 <> 0
+UNION ALL SELECT conv_id, block, NULL, NULL, NULL, NULL, CASE WHEN conv_id % 7 = 0 THEN 'not a JSON array' ELSE 'wrong size' END FROM sized WHERE n <> 2 OR conv_id % 7 = 0""",
 )
 def _parse_generated_records(spark, sf):
-    # a model's output per conversation: its exchanges as a JSON array, broken off for every seventh
+    # a model's output per twenty turns of a conversation: its exchanges as a JSON array, some broken off
     from pyspark.sql import Window as W
 
-    row = F.row_number().over(W.partitionBy("conv_id").orderBy("turn")) - 1
+    row = F.row_number().over(W.partitionBy("conv_id", "block").orderBy("turn")) - 1
     instruction = F.when((F.col("conv_id") % 3 == 1) & (F.col("record_no") == 1), "Other").otherwise(INSTRUCTION)
     record = F.struct("record_no", F.struct(instruction.alias("instruction"), "input", "output").alias("r"))
-    held = pairs(spark, sf).withColumn("record_no", row).groupBy("conv_id").agg(F.array_sort(F.collect_list(record)).alias("rs"))
+    blocks = pairs(spark, sf).withColumn("block", F.expr("turn div 20")).withColumn("record_no", row)
+    held = blocks.groupBy("conv_id", "block").agg(F.array_sort(F.collect_list(record)).alias("rs"))
     whole = F.to_json(F.transform("rs", lambda x: x["r"]))
     text = F.when(F.col("conv_id") % 7 == 0, F.substring(whole, 1, 10)).otherwise(whole)
-    texts = held.select("conv_id", text.alias("generated"))
+    texts = held.select("conv_id", "block", text.alias("generated"))
     return parse_generated_records(texts, F.col("generated"), INSTRUCTION, 2).drop("generated")
 
 

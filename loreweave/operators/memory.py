@@ -109,8 +109,9 @@ def memory_digest(
 
     Contents are compared before they are stripped.
     """
-    distinct = memory_distinct(memories, order, by)
-    return join_ordered(distinct, by, order, memory_line(), "\n", segments or int_segments(order[0]), part_chars)
+    # hot keys are counted before the copies are removed: that reads the key alone
+    cut = (segments or int_segments(order[0])).cut(memories, by)
+    return join_ordered(memory_distinct(memories, order, by), by, order, memory_line(), "\n", cut, part_chars)
 
 
 def pack_recent(

@@ -19,7 +19,8 @@ def rated_answers(
     asked = answer_matrix(questions, models).withColumn("_prompt", F.concat_ws("\n", "model", "question"))
     answers = generate_text(asked, "_prompt", "answer", answer_client).drop("error")
     prompts = answers.withColumn("_rate", fill_template(RATING_TEMPLATE, {"answer": F.col("answer")}))
-    rated = generate_text(prompts, "_rate", "rating_text", rating_client)
+    # read twice by the comparison: the models must not be asked again
+    rated = generate_text(prompts, "_rate", "rating_text", rating_client, keep=True)
     return rated.select("qid", "model", "answer", "rating_text")
 
 

@@ -15,6 +15,7 @@ from loreweave.functions.templates import (
 from loreweave.functions.vectors import embed_text
 from loreweave.operators.chunking import chunk_fixed, chunk_key
 from loreweave.operators.search import knn_topk, retrieve_or_empty, top1_background
+from loreweave.session import written
 from loreweave.sources.readers import index_build_or_load
 
 
@@ -108,7 +109,9 @@ def qa_prompt_refine(questions: DataFrame, hits: DataFrame, texts: DataFrame, k:
             asked = last.select("qid", "question", F.col("answer").alias("existing_answer")).join(context, "qid")
             template = REFINE_TEMPLATE
         fields = {c: F.col(c) for c in asked.columns}
-        last = answer(asked.select("qid", "question", fill_template(template, fields).alias("prompt")))
+        prompts = asked.select("qid", "question", fill_template(template, fields).alias("prompt"))
+        # read by the next step and by the result: the model must not be asked twice
+        last = written(answer(prompts), "answers")
         one = last.select("qid", F.lit(step).alias("step"), "prompt", "answer")
         out = one if out is None else out.unionByName(one)
     return out

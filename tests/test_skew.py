@@ -232,3 +232,13 @@ def test_similarity_range_and_relevance(spark, points):
     assert three.select("qid", "id").exceptAll(five.select("qid", "id")).count() == 0
     both = search.compare_retrievers(three, five).collect()
     assert all((r.hits_a, r.hits_b, r.shared, r.same_first) == (3, 5, 3, True) for r in both)
+
+
+@pytest.mark.parametrize("query_rows", [1000, 0])
+def test_knn_with_text_ids(spark, points, query_rows):
+    name = F.concat(F.lit("k"), F.lpad(F.col("id").cast("string"), 4, "0"))
+    chunks = frame(spark, points, "id").withColumn("id", name)
+    queries = chunks.where("id < 'k0005'").select(F.col("id").alias("qid"), "vec")
+    got = search.knn_topk(chunks, queries, 3, query_rows=query_rows, block_chunks=50).collect()
+    want = {(f"k{q:04}", f"k{i:04}", d, r) for q, i, d, r in brute(points, points[:5], 3)}
+    assert {(r.qid, r.id, r.distance, r.rank) for r in got} == want
