@@ -3,8 +3,9 @@
 import duckdb
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
 from check_queries import TABLES, compare
+from loreweave.catalog import CHECKS, QUERIES
 
 
 @pytest.fixture(scope="module")
@@ -15,14 +16,14 @@ def con(sf):
     return c
 
 
-@pytest.mark.parametrize("name", list(queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query(spark, con, sf, name):
     ok, note, _, _ = compare(spark, con, sf, name)
     assert ok, note
 
 
 def test_every_query_has_sql():
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) == set(CHECKS)
 
 
 def test_entry(spark):
