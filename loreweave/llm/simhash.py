@@ -22,6 +22,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from loreweave.llm.queries import query, table
 from loreweave.session import written
@@ -63,7 +64,7 @@ def fingerprint(text: str | None) -> int:
     return int.from_bytes(np.packbits(counts * 2 > n, bitorder="little").tobytes(), "little")
 
 
-@F.arrow_udf("long")
+@F.arrow_udf(T.LongType())
 def fingerprint_of(texts: pa.Array) -> pa.Array:
     found = np.fromiter((fingerprint(t) for t in texts.to_pylist()), np.uint64, len(texts))
     return pa.array(found.view(np.int64))
