@@ -1,6 +1,6 @@
 """All queries of this package: importing this module registers them."""
 
-from loreweave.llm import bpe, exact_dedup, langid, mixing, simhash  # noqa: F401
+from loreweave.llm import bpe, exact_dedup, hilbert_ann, langid, mixing, simhash, warc  # noqa: F401
 from loreweave.llm.queries import CHECKS, QUERIES
 
 __all__ = ["CHECKS", "QUERIES"]
