@@ -40,10 +40,10 @@ def target_rates(df: DataFrame, source: str, text: str, weights: dict | None = N
         entries = [x for k, w in weights.items() for x in (F.lit(k), F.lit(float(w) / total))]
         share = F.element_at(F.create_map(*entries), F.coalesce("source", F.lit(""))) if entries else F.lit(0.0)
         weighed = sizes.withColumn("weight", F.coalesce(F.when(F.col("source").isNotNull(), share), F.lit(0.0)))
-    sums = weighed.agg(F.sum("size").alias("all_size"), F.sum("weight").alias("all_weight"))
-    rate = F.lit(epochs) * F.col("all_size") * F.col("weight") / F.col("all_weight") / F.col("size")
-    # sums is one row
-    return weighed.join(F.broadcast(sums), F.lit(True), "left").select("source", F.when(F.col("size") == 0, 1.0).otherwise(rate).alias("rate"))
+    weighed = written(weighed, "sizes")
+    sums = weighed.agg(F.sum("size").alias("size"), F.sum("weight").alias("weight")).first()
+    rate = F.lit(epochs) * F.lit(float(sums["size"] or 0)) * F.col("weight") / F.lit(float(sums["weight"] or 0) or 1.0) / F.col("size")
+    return weighed.select("source", F.when(F.col("size") == 0, 1.0).otherwise(rate).alias("rate"))
 
 
 def distribution(rates: DataFrame) -> DataFrame:
