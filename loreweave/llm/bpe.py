@@ -79,11 +79,14 @@ class Codec:
         for t, i in special.items():
             self.bytes[i] = t.encode()
 
-    def direct(self, text: str) -> list[int]:
+    def array(self, text: str) -> np.ndarray:
         """One leaf: in one go, or as a tree of its own if a word is very long."""
         if len(text) <= self.fine or max(map(len, text.split()), default=0) <= self.fine:
-            return self.text.encode(text, allowed_special="all")
-        return self.concatenate([(t, self.text.encode(t, allowed_special="all")) for t in self.cut(text, self.fine)])
+            return self.text.encode_to_numpy(text, allowed_special="all")  # no list of numbers: a batch has millions
+        return np.array(self.concatenate([(t, self.text.encode(t, allowed_special="all")) for t in self.cut(text, self.fine)]), np.uint32)
+
+    def direct(self, text: str) -> list[int]:
+        return self.array(text).tolist()
 
     def cut(self, text: str, size: int) -> list[str]:
         """Leaves of a text; no cut falls into a special string."""
@@ -224,9 +227,9 @@ class Decoder:
         return b"".join(parts).decode("utf-8", "replace")
 
 
-def int_lists(lists: list[list[int]]) -> pa.ListArray:
+def int_lists(lists: list[np.ndarray]) -> pa.ListArray:
     offsets = np.cumsum([0, *map(len, lists)])
-    flat = np.fromiter((i for x in lists for i in x), np.int32, int(offsets[-1]))
+    flat = np.concatenate([np.empty(0, np.uint32), *lists]).astype(np.int32)
     return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(flat, pa.int32()))
 
 
@@ -258,7 +261,7 @@ class Bpe:
         @F.arrow_udf("array<int>")
         def whole(texts: pa.Array) -> pa.Array:
             c, _ = codec()
-            return int_lists([c.direct(t) for t in texts.to_pylist()])
+            return int_lists([c.array(t.as_py()) for t in texts])
 
         @F.arrow_udf("array<string>")
         def leaves(texts: pa.Array) -> pa.Array:
@@ -284,7 +287,7 @@ class Bpe:
             texts = rows["leaf"].to_pylist()
             ids = c.concatenate(list(zip(texts, rows["ids"].to_pylist())))
             kept = rows["kept"].combine_chunks().slice(0, 1)
-            return pa.Table.from_arrays([kept, pa.array(["".join(texts)], pa.string()), int_lists([ids])], schema=out_arrow)
+            return pa.Table.from_arrays([kept, pa.array(["".join(texts)], pa.string()), int_lists([np.array(ids, np.uint32)])], schema=out_arrow)
 
         joined = encoded.groupBy("row").applyInArrow(up_the_tree, out_schema)
         at = names.index(text)
