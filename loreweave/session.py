@@ -14,18 +14,25 @@ SMALL_ROWS = 65_536
 def shared_folder(spark: SparkSession) -> str:
     """Folder every executor can reach: ``spark.checkpoint.dir`` of the session.
 
-    Only where the cluster names none (tests on one machine) a temporary folder is made and set.
+    Only on one machine (master ``local[...]``) a temporary folder is made and set where none is named; executors elsewhere
+    would not see it, so any other master without a named folder is an error.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
         folder = spark.sparkContext.getCheckpointDir()
     if not folder:
+        need_one_machine(spark.sparkContext.master)
         folder = tempfile.mkdtemp(prefix="loreweave-")
         spark.sparkContext.setCheckpointDir(folder)
         spark.conf.set("spark.checkpoint.dir", folder)
     return folder
 
 
+def need_one_machine(master: str) -> None:
+    if master != "local" and not master.startswith("local["):
+        raise ValueError(f"master {master}: name a folder that all executors share in spark.checkpoint.dir")
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A path below the shared folder that no earlier run has used."""
     return f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
