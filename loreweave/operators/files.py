@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import hashlib
+
+from pyarrow.fs import FileSystem
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,7 +18,9 @@ KIND_PATTERNS = (
     ("ggml", r"^.*ggml.*\.bin"),
 )
 ADAPTER_FILES = ("adapter_config.json", "adapter_model.bin")
+# files from this size on do not fit a cell and are streamed in blocks
 MAX_FILE_BYTES = 2_000_000_000
+BLOCK_BYTES = 8 << 20
 
 
 def file_kind(path: Column) -> Column:
@@ -54,14 +59,29 @@ def prefer_format(classified: DataFrame) -> DataFrame:
 
 
 def hash_files(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
-    """``(path, size, sha256)`` of every file; one too large for a single cell has a null hash.
+    """``(path, size, sha256)`` of every file of any size.
 
-    Sizes come from the listing, so a too large file is never read.
+    A file that fits a cell is hashed by Spark; a larger one is streamed block by block through its file system.
     """
     files = spark.read.format("binaryFile").option("pathGlobFilter", glob).option("recursiveFileLookup", True).load(path)
     fits = files.where(F.col("length") < MAX_FILE_BYTES).select("path", F.col("length").alias("size"), F.sha2("content", 256).alias("sha256"))
-    large = files.where(F.col("length") >= MAX_FILE_BYTES).select("path", F.col("length").alias("size"), F.lit(None).cast("string").alias("sha256"))
-    return fits.unionByName(large)
+    large = files.where(F.col("length") >= MAX_FILE_BYTES).select("path", F.col("length").alias("size"))
+
+    def stream(batches):
+        for pdf in batches:
+            yield pdf.assign(sha256=[streamed_sha256(p) for p in pdf["path"]])
+
+    return fits.unionByName(large.mapInPandas(stream, "path string, size long, sha256 string"))
+
+
+def streamed_sha256(uri: str, block: int = BLOCK_BYTES) -> str:
+    """Checksum of a file, one block in memory at a time."""
+    held, path = FileSystem.from_uri(uri)
+    found = hashlib.sha256()
+    with held.open_input_stream(path) as f:
+        while data := f.read(block):
+            found.update(data)
+    return found.hexdigest()
 
 
 def verify_manifest(manifest: DataFrame, observed: DataFrame) -> DataFrame:

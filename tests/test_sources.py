@@ -88,12 +88,14 @@ def test_manifest_of_files(spark, tmp_path):
     assert (total.files, total.ok, total.failed, total.missing, total.validated) == (3, 1, 1, 1, False)
 
 
-def test_too_large_files_are_not_read(spark, tmp_path, monkeypatch):
+def test_files_of_any_size_are_hashed(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(files, "MAX_FILE_BYTES", 10)
     (tmp_path / "a.bin").write_bytes(b"x" * 9)
     (tmp_path / "b.bin").write_bytes(b"x" * 10)
+    (tmp_path / "c.bin").write_bytes(b"y" * 1_000_000)
     got = {r["size"]: r.sha256 for r in files.hash_files(spark, str(tmp_path)).collect()}
-    assert got == {9: hashlib.sha256(b"x" * 9).hexdigest(), 10: None}
+    assert got == {n: hashlib.sha256(x * n).hexdigest() for n, x in ((9, b"x"), (10, b"x"), (1_000_000, b"y"))}
+    assert files.streamed_sha256(f"file://{tmp_path}/c.bin", 999) == got[1_000_000]
 
 
 def test_generated_records(spark):
