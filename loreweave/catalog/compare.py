@@ -85,8 +85,9 @@ LANGS = ["de", "en", "es", "fr"]
 def _answers_wide(spark, sf):
     # "models" are the languages, the answer of a source is its first document in each
     first = table(spark, sf, "documents").groupBy("source", F.col("lang").alias("model")).agg(F.min("doc_id").alias("doc"))
-    wide = compare.answers_wide(first, LANGS, "source", "doc")
-    columns = [c for x in LANGS for c in (F.col(x).isNotNull().alias(f"has_{x}"), F.col(x).alias(f"first_{x}"))]
+    names = compare.model_names(first.where(F.col("model").isNotNull()).select(F.col("model").alias("name")))
+    wide = compare.answers_wide(first, names, "source", "doc")
+    columns = [c for x in names for c in (F.col(x).isNotNull().alias(f"has_{x}"), F.col(x).alias(f"first_{x}"))]
     return wide.select("source", *columns)
 
 

@@ -7,6 +7,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from loreweave.operators.chat import ends_of_histories
+
 from loreweave.catalog.base import CHUNK_OVERLAP, CHUNK_SIZE, CHUNKS, KNN, embedding_sql, joined, query, table
 from loreweave.catalog.training import documents, template_sql
 from loreweave.functions.hooks import echo_client, generate_text
@@ -327,14 +329,10 @@ SELECT b.item_id AS qid, {template_sql(RAG_TEMPLATE, background="coalesce(backgr
 FROM benchmark b LEFT JOIN bg ON bg.qid = b.item_id LEFT JOIN history y ON y.conv_id = b.item_id""",
 )
 def _rag_prompts(spark, sf):
-    from loreweave.operators.ordered import counted_segments, join_ordered
-
     # the history of the conversation that shares the question's number, cut to its end
-    turns = table(spark, sf, "conversations")
     line = F.concat(F.lit("["), F.col("role"), F.lit("]"), F.col("text"))
-    parts = join_ordered(turns, ["conv_id"], ["turn"], line, "\n", counted_segments("turn"))
-    last = parts.groupBy("conv_id").agg(F.max_by("text", "part").alias("chat"))
-    histories = last.select(F.col("conv_id").alias("qid"), F.right("chat", F.lit(512)).alias("history"))
+    histories = ends_of_histories(table(spark, sf, "conversations").select("conv_id", "turn", line.alias("line")), 512)
+    histories = histories.select(F.col("conv_id").alias("qid"), F.col("tail").alias("history"))
     return rag.rag_prompts(chunks(spark, sf), asked(spark, sf), histories, wrap=None, template=RAG_TEMPLATE)
 
 

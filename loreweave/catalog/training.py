@@ -21,7 +21,7 @@ from loreweave.session import scratch_path, spread, written
 from loreweave.sources import readers
 
 VOCAB_SIZE = 2000
-LENGTH = 256
+LENGTH = 2048
 RATIO, SEED, SHUFFLE_SEED = 0.3, 42, 7
 
 

@@ -86,6 +86,19 @@ def history_tail(pairs: DataFrame, line: Column, sep: str, chars: Column, max_ch
     )
 
 
+def ends_of_histories(lines: DataFrame, chars: int, sep: str = "\n") -> DataFrame:
+    """``(conv_id, tail)``: the last ``chars`` characters of all lines ``(conv_id, turn, line)`` of a conversation, joined by ``sep``.
+
+    A line with its separator has a character at least, so the last ``chars`` lines hold the tail; the limit on the rank is
+    applied before the shuffle, and a line takes part with its last ``chars`` characters. Null lines are left out.
+    """
+    newest = W.partitionBy("conv_id").orderBy(F.desc("turn"))
+    ends = lines.where(F.col("line").isNotNull()).select("conv_id", "turn", F.right("line", F.lit(chars)).alias("line"))
+    last = ends.withColumn("_n", F.row_number().over(newest)).where(F.col("_n") <= chars + 1)
+    ordered = F.transform(F.array_sort(F.collect_list(F.struct("turn", "line"))), lambda x: x["line"])
+    return last.groupBy("conv_id").agg(F.right(F.array_join(ordered, sep), F.lit(chars)).alias("tail"))
+
+
 def _prompt(pairs: DataFrame, line: Column, sep: str, opening: Column, max_chars: int, template: str) -> DataFrame:
     """Keep the last ``max_chars`` characters of history and opening (0 keeps all) and fill the template."""
     most = max_chars or WHOLE_CELL
