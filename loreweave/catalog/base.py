@@ -60,7 +60,7 @@ def vocab_sql(name: str, source: str, size: int) -> str:
 CHUNK_SIZE, CHUNK_OVERLAP = 600, 100
 
 CHUNKS = f"""chunks AS (
-  SELECT doc_id * 1048576 + chunk_no AS id, doc_id, chunk_no, lang, source,
+  SELECT lpad(doc_id::VARCHAR, 20, '0') || '-' || lpad(chunk_no::VARCHAR, 10, '0') AS id, doc_id, chunk_no, lang, source,
          substr(text, chunk_no * {CHUNK_SIZE - CHUNK_OVERLAP} + 1, {CHUNK_SIZE}) AS text
   FROM (SELECT *, unnest(range(0, CAST(ceil(greatest(length(text) - {CHUNK_SIZE}, 0) / {CHUNK_SIZE - CHUNK_OVERLAP}.0) AS BIGINT) + 1)) AS chunk_no
         FROM documents))"""

@@ -25,7 +25,7 @@ from loreweave.functions.templates import (
     persona_prompt,
 )
 from loreweave.operators import chat
-from loreweave.operators.ordered import PART_CHARS, time_segments
+from loreweave.operators.ordered import PART_CHARS, Segments
 from loreweave.operators.training import encode_ids
 from loreweave.sources.readers import concat_pages
 
@@ -224,7 +224,7 @@ SELECT s.conv_id, s.position, s.event_id, k.input FROM standing s JOIN kept k ON
 def _fold_conversation_events(spark, sf):
     events = conversation_events(table(spark, sf, "events"))
     kept = events.where((F.col("action") != "submit") | (F.col("reply") != ""))
-    return chat.fold_conversation_events(kept, ["conv_id"], ["ts", "event_id"], time_segments("ts")).select(
+    return chat.fold_conversation_events(kept, ["conv_id"], ["ts", "event_id"], Segments()).select(
         "conv_id", "position", "event_id", "input"
     )
 

@@ -9,7 +9,7 @@ from loreweave.catalog.training import template_sql
 from loreweave.functions.scores import logistic_relevance, memory_score
 from loreweave.functions.templates import DIALOGUE_FRAME
 from loreweave.operators import memory
-from loreweave.operators.ordered import time_segments
+from loreweave.operators.ordered import Segments
 from loreweave.plans.agent import agent_turn
 
 NOW = "2024-02-01 00:00:00"
@@ -119,7 +119,7 @@ SELECT agent, 0 AS part, string_agg({DIGEST_LINE}, chr(10) ORDER BY created_at,
 )
 def _memory_digest(spark, sf):
     return memory.memory_digest(
-        memories(spark, sf), ["created_at", "memory_id"], segments=time_segments("created_at")
+        memories(spark, sf), ["created_at", "memory_id"], segments=Segments()
     )
 
 
@@ -136,7 +136,7 @@ def _pack_recent(spark, sf):
         ["created_at", "memory_id"],
         F.size(tokens(F.col("page_content"))),
         BUDGET,
-        time_segments("created_at"),
+        Segments(),
     )
     return packed.select("agent", "memory_id", "used")
 

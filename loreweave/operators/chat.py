@@ -156,8 +156,9 @@ def fold_conversation_events(
         .where(F.col("_cleared").isNull() | (F.struct(*order) > F.col("_cleared")))
         .drop("_cleared")
     )
-    summed = totals_before(live, keys, order, cut, {"_before": step}).withColumn("_sum", F.col("_before") + step)
-    marked = cut.mark(summed)
+    # marked once: all windows below share the segments
+    live = cut.mark(live, order)
+    marked = totals_before(live, keys, order, cut, {"_before": step}).withColumn("_sum", F.col("_before") + step)
     # later rows first: a growing frame costs one pass, one that shrinks would be quadratic
     later = W.partitionBy(*keys, SEG).orderBy(*map(F.desc, order)).rowsBetween(W.unboundedPreceding, -1)
     low = F.min("_sum").over(later)
@@ -172,6 +173,6 @@ def fold_conversation_events(
     standing = (
         marked.withColumn("_lowest", F.coalesce(low, F.col("_sum")))
         .where((F.col("action") == "submit") & (F.col("_lowest") >= F.col("_sum")))
-        .select(*events.columns)
+        .select(*events.columns, SEG)
     )
-    return totals_before(standing, keys, order, cut, {"position": F.lit(1)})
+    return totals_before(standing, keys, order, cut, {"position": F.lit(1)}).drop(SEG)

@@ -11,12 +11,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 SEPARATORS = ("\n\n", "\n", " ", "")
-CHUNK_BITS = 20
 
 
 def chunk_key(doc: str, chunk_no: str) -> Column:
-    """One integer id per chunk: document id and chunk number (below 2 ** 20)."""
-    return F.col(doc) * F.lit(1 << CHUNK_BITS) + F.col(chunk_no)
+    """One id per chunk: document id and chunk number as digits of fixed length, so that ids of documents from 0 up sort like numbers.
+
+    Any two chunks differ, whatever 64-bit document ids there are.
+    """
+    number, part = (F.lpad(F.col(c).cast("string"), n, "0") for c, n in ((doc, 20), (chunk_no, 10)))
+    return F.concat(number, F.lit("-"), part)
 
 
 def chunk_fixed(df: DataFrame, text: str, size: int, overlap: int) -> DataFrame:

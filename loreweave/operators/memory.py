@@ -22,9 +22,7 @@ from loreweave.operators.ordered import (
     Cut,
     Segments,
     hot_keys,
-    int_segments,
     join_ordered,
-    time_segments,
     totals_before,
 )
 
@@ -43,9 +41,9 @@ def buffer_index(
 ) -> DataFrame:
     """Number new memories after the ones an agent has, and fill in missing times.
 
-    ``order[0]`` is a timestamp; ``existing`` is ``(agent, held)`` with the counts so far.
+    ``existing`` is ``(agent, held)`` with the counts so far.
     """
-    numbered = totals_before(new, ["agent"], order, segments or time_segments(order[0]), {"buffer_idx": F.lit(1)})
+    numbered = totals_before(new, ["agent"], order, segments or Segments(), {"buffer_idx": F.lit(1)})
     if existing is not None:
         numbered = (
             numbered.join(existing, "agent", "left")
@@ -110,7 +108,7 @@ def memory_digest(
     Contents are compared before they are stripped.
     """
     # hot keys are counted before the copies are removed: that reads the key alone
-    cut = (segments or int_segments(order[0])).cut(memories, by)
+    cut = (segments or Segments()).cut(memories, by)
     return join_ordered(memory_distinct(memories, order, by), by, order, memory_line(), "\n", cut, part_chars)
 
 
@@ -169,16 +167,21 @@ def _fold_sorted(df: DataFrame, keys: Sequence[str], order: Sequence[str], limit
         last, total = None, 0
         for batch in batches:
             at, reached = [], []
-            for i, (key, entry, value) in enumerate(
-                zip(zip(*(batch[k] for k in keys), strict=True), batch["_entry"], batch["_v"], strict=True)
-            ):
+            sums, entries = np.cumsum(batch["_v"].to_numpy()), batch["_entry"].to_numpy()
+            changes = (batch[keys] != batch[keys].shift()).any(axis=1).to_numpy()
+            changes[:1] = True
+            starts = np.flatnonzero(changes)
+            for a, b in zip(starts, [*starts[1:], len(batch)]):
+                key = tuple(batch[k].iloc[a] for k in keys)
                 if key != last:
-                    last, total = key, entry
-                total += value
-                if total > limit:
+                    last, total = key, int(entries[a])
+                # from one reflection to the next; `base` is what the running sum was when the count began
+                base = (sums[a - 1] if a else 0) - total
+                while (i := int(np.searchsorted(sums[a:b], base + limit, side="right")) + a) < b:
                     at.append(i)
-                    reached.append(total)
-                    total = 0
+                    reached.append(int(sums[i] - base))
+                    base = sums[i]
+                total = int(sums[b - 1] - base)
             yield batch.iloc[at].assign(reached=reached)[[keys[0], *order, "reached"]]
 
     schema = T.StructType([df.schema[c] for c in (keys[0], *order)] + [T.StructField("reached", T.LongType())])
@@ -231,11 +234,10 @@ def reflection_trigger(
     *,
     fold_rows: int = FOLD_ROWS,
     hot_rows: int = HOT_ROWS,
-    segment_seconds: int = 3600,
 ) -> DataFrame:
     """Memories at which an agent reflects, with the sum reached: ``(agent, order..., reached)``.
 
-    ``order[0]`` is a timestamp.  Ordinary agents are walked through in one task each.  The rows of an agent with more
+    Ordinary agents are walked through in one task each.  The rows of an agent with more
     than ``hot_rows`` are numbered and cut into runs of ``fold_rows``, which are walked through in parallel.
     """
     limit = round(threshold * UNITS)
@@ -247,8 +249,7 @@ def reflection_trigger(
     else:
         # None: too many to list, so every agent is cut
         long = rows if hot is None else rows.join(F.broadcast(hot), "agent", "left_semi")
-        by_time = Cut(["agent"], time_segments(order[0], segment_seconds).number, None, None)
-        runs = totals_before(long, ["agent"], order, by_time, {"_idx": F.lit(1)}).withColumn(
+        runs = totals_before(long, ["agent"], order, Cut(["agent"], fold_rows, None), {"_idx": F.lit(1)}).withColumn(
             "_fold", F.expr(f"_idx div {int(fold_rows)}")
         )
         started = runs.join(_entries(runs.select("agent", "_fold", "_idx", "_v"), limit), ["agent", "_fold"])

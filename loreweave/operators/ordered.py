@@ -1,7 +1,7 @@
 """Order-dependent work per key that stays bounded when one key holds a large share of the rows.
 
 A plain window over ``partitionBy(key)`` puts a whole key into one task.  That is fine for ordinary keys, so only
-long ones are cut into segments of their order column: windows run inside a segment, and what a segment must know about its
+long ones are cut into segments of neighbouring rows: windows run inside a segment, and what a segment must know about its
 neighbours (a running total, the next row) is aggregated per segment, carried over the short list of segments, and
 joined back on ``(key, segment)``.  Strings that span a key are returned in parts of at most ``part_chars`` characters;
 an ordinary key is a single part 0.
@@ -18,10 +18,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from loreweave.session import small_rows
+from loreweave.session import small_rows, written
 
 SEG = "_seg"
-SEGMENT_ROWS = 4096
+# values of a counted order column, or rows of a long key, that one segment holds
+SEGMENT_VALUES = 4096
+SEGMENT_ROWS = 1 << 18
 HOT_ROWS = 1 << 20
 PART_CHARS = 1 << 20
 WHOLE_CELL = 1 << 30
@@ -29,89 +31,107 @@ WHOLE_CELL = 1 << 30
 
 @dataclass
 class Segments:
-    """How long keys are cut.
+    """Keys with more than ``hot_rows`` rows, by a count of the keys alone, are cut into segments of at most ``rows`` rows."""
 
-    ``number`` is the segment of a row.  Long keys are those with a row that meets ``beyond``, or, without it, those with
-    more than ``hot_rows`` rows by a count of the keys alone.
-    """
-
-    number: Column
-    beyond: Column | None = None
+    rows: int = SEGMENT_ROWS
     hot_rows: int = HOT_ROWS
 
     def cut(self, df: DataFrame, keys: Sequence[str]) -> Cut:
-        if self.beyond is not None:
-            return Cut(list(keys), self.number, None, self.beyond)
-        hot = hot_keys(df, keys, self.hot_rows)
-        return Cut(list(keys), self.number, hot, None)
+        found = hot_counts(df, keys, self.hot_rows)
+        return Cut(list(keys), self.rows, key_table(df, keys, found), None if found is None else sum(r["_n"] for r in found))
 
 
 @dataclass
 class Cut:
     """Segments of a table whose long keys are known.
 
-    ``hot`` is a small table of them, ``None`` if every key counts as long; with ``beyond`` they are found in the plan.
+    ``hot`` is a small table of them, an empty list if there are none, ``None`` if every key counts as long; they have ``total`` rows.
     """
 
     keys: list[str]
-    number: Column
+    rows: int
     hot: DataFrame | list | None
-    beyond: Column | None
+    total: int | None = None
 
     def cut(self, df: DataFrame, keys: Sequence[str]) -> Cut:
         return self
 
-    def mark(self, df: DataFrame) -> DataFrame:
-        """Add the segment; ordinary keys are one segment."""
-        if self.beyond is not None or self.hot is None:
-            return df.withColumn(SEG, self.number)
+    def mark(self, df: DataFrame, order: Sequence[str]) -> DataFrame:
+        """Add the segment, if it is not there yet; ordinary keys are one segment.
+
+        The rows of long keys are range-partitioned by key and order; a partition is a segment. Sampled borders are uneven, so
+        twice the partitions needed are made. The rows are written with their segment, so that every later use sees the same borders.
+        """
+        if SEG in df.columns:
+            return df
         if isinstance(self.hot, list):
             return df.withColumn(SEG, F.lit(None).cast("long"))
-        marked = df.join(F.broadcast(self.hot.withColumn("_hot", F.lit(True))), self.keys, "left")
-        return marked.withColumn(SEG, F.when(F.col("_hot"), self.number)).drop("_hot")
+        hot = None if self.hot is None else F.broadcast(self.hot)
+        long = df if hot is None else df.join(hot, self.keys, "left_semi")
+        total = long.count() if self.total is None else self.total
+        ranged = long.repartitionByRange(max(1, -(-2 * total // self.rows)), *self.keys, *order)
+        placed = written(ranged.withColumn(SEG, F.spark_partition_id().cast("long")), "segments")
+        if hot is None:
+            return placed
+        rest = df.join(hot, self.keys, "left_anti").withColumn(SEG, F.lit(None).cast("long"))
+        return rest.unionByName(placed)
 
     def carried(self, marked: DataFrame) -> DataFrame | None:
         """The rows of the long keys, whose segments need a carry; ``None`` if there are no long keys."""
-        if self.beyond is not None:
-            # the filter reaches the scan: without long keys this branch skips every row group and ends there
-            return marked.join(marked.where(self.beyond).select(*self.keys).distinct(), self.keys, "left_semi")
         if isinstance(self.hot, list):
             return None
         return marked if self.hot is None else marked.where(F.col(SEG).isNotNull())
 
 
-def hot_keys(df: DataFrame, keys: Sequence[str], rows: int = HOT_ROWS) -> DataFrame | list | None:
-    """Keys with more than ``rows`` rows: a small table, an empty list if there are none, ``None`` if there are too many.
+@dataclass
+class CountedCut:
+    """Segments by the value of an order column that counts up from about 0 in every key; long keys have a row that meets ``beyond``."""
+
+    number: Column
+    beyond: Column
+
+    def cut(self, df: DataFrame, keys: Sequence[str]) -> CountedCut:
+        self.keys = list(keys)
+        return self
+
+    def mark(self, df: DataFrame, order: Sequence[str]) -> DataFrame:
+        return df if SEG in df.columns else df.withColumn(SEG, self.number)
+
+    def carried(self, marked: DataFrame) -> DataFrame | None:
+        # the filter reaches the scan: without long keys this branch skips every row group and ends there
+        return marked.join(marked.where(self.beyond).select(*self.keys).distinct(), self.keys, "left_semi")
+
+
+def hot_counts(df: DataFrame, keys: Sequence[str], rows: int = HOT_ROWS) -> list | None:
+    """Keys with more than ``rows`` rows and their counts ``_n``; ``None`` if there are too many to list.
 
     Reads the key columns only, and counts before the shuffle.
     """
-    counted = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > rows).select(*keys)
-    found = small_rows(counted)
-    return df.sparkSession.createDataFrame(found, counted.schema) if found else found
+    return small_rows(df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > rows))
 
 
-def int_segments(order: str, length: int = SEGMENT_ROWS, hot_rows: int = HOT_ROWS) -> Segments:
-    """By an integer order column; at most ``length`` distinct values per segment."""
-    return Segments(F.expr(f"`{order}` div {int(length)}"), None, hot_rows)
+def key_table(df: DataFrame, keys: Sequence[str], found: list | None) -> DataFrame | list | None:
+    if not found:
+        return found
+    return df.sparkSession.createDataFrame([tuple(r[k] for k in keys) for r in found], df.select(*keys).schema)
 
 
-def counted_segments(order: str, length: int = SEGMENT_ROWS) -> Segments:
-    """By an integer that counts up from about 0 in every key, so that long keys show by its value."""
-    beyond = (F.col(order) >= F.lit(length)) | (F.col(order) <= F.lit(-length))
-    return Segments(F.expr(f"`{order}` div {int(length)}"), beyond)
+def hot_keys(df: DataFrame, keys: Sequence[str], rows: int = HOT_ROWS) -> DataFrame | list | None:
+    """Keys with more than ``rows`` rows: a small table, an empty list if there are none, ``None`` if there are too many."""
+    return key_table(df, keys, hot_counts(df, keys, rows))
 
 
-def time_segments(order: str, seconds: int = 3600, hot_rows: int = HOT_ROWS) -> Segments:
-    """By a timestamp column (session time zone UTC)."""
-    micros = f"unix_micros(cast(`{order}` as timestamp))"
-    return Segments(F.expr(f"{micros} div {int(seconds) * 1_000_000}"), None, hot_rows)
+def counted_segments(order: str, length: int = SEGMENT_VALUES) -> CountedCut:
+    """By an integer that counts up from about 0 in every key, so that long keys show by its value."""
+    beyond = (F.col(order) >= F.lit(length)) | (F.col(order) <= F.lit(-length))
+    return CountedCut(F.expr(f"`{order}` div {int(length)}"), beyond)
 
 
 def totals_before(
     df: DataFrame,
     keys: Sequence[str],
     order: Sequence[str],
-    segments: Segments | Cut,
+    segments: Segments | Cut | CountedCut,
     values: Mapping[str, Column],
     *,
     descending: bool = False,
@@ -119,7 +139,7 @@ def totals_before(
     """Add, for each name, the sum of its value over all earlier rows of the key (later, if descending)."""
     keys = list(keys)
     cut = segments.cut(df, keys)
-    held = cut.mark(df)
+    held = cut.mark(df, order)
     for name, value in values.items():
         held = held.withColumn(f"_v_{name}", value.cast("long"))
     inside = (
@@ -141,12 +161,12 @@ def totals_before(
 
 
 def with_next_row(
-    df: DataFrame, keys: Sequence[str], order: str, columns: Sequence[str], segments: Segments | Cut
+    df: DataFrame, keys: Sequence[str], order: str, columns: Sequence[str], segments: Segments | Cut | CountedCut
 ) -> DataFrame:
     """Add ``next_<column>``: the value in the following row of the key, across segment borders."""
     keys = list(keys)
     cut = segments.cut(df, keys)
-    held = cut.mark(df)
+    held = cut.mark(df, [order])
     # one window function per column, so that columns nobody asks for are pruned down to the scan
     inside = W.partitionBy(*keys, SEG).orderBy(order)
     after = {c: F.lead(c).over(inside) for c in columns}
@@ -168,7 +188,7 @@ def text_spans(
     order: Sequence[str],
     text: Column,
     sep: str,
-    segments: Segments | Cut,
+    segments: Segments | Cut | CountedCut,
 ) -> DataFrame:
     """Place each row's text in the joined string of its key.
 
@@ -234,7 +254,7 @@ def join_ordered(
     order: Sequence[str],
     text: Column,
     sep: str,
-    segments: Segments | Cut,
+    segments: Segments | Cut | CountedCut,
     part_chars: int = PART_CHARS,
 ) -> DataFrame:
     """All texts of a key joined in order: ``(keys, part, text)``."""

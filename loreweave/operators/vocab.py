@@ -67,14 +67,14 @@ def encode_greedy(df: DataFrame, word: str, vocab: DataFrame, name: str = "piece
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         known = held.value
-        longest = max(map(len, known), default=1)
+        # only lengths that occur, longest first
+        lengths = sorted({len(p) for p in known if len(p) > 1}, reverse=True)
 
         def cut(text: str) -> list[str]:
             out, at = [], 0
             while at < len(text):
-                size = min(longest, len(text) - at)
-                while size > 1 and text[at : at + size] not in known:
-                    size -= 1
+                rest = len(text) - at
+                size = next((n for n in lengths if n <= rest and text[at : at + n] in known), 1)
                 out.append(text[at : at + size])
                 at += size
             return out

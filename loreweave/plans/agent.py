@@ -12,7 +12,7 @@ from loreweave.functions.templates import DIALOGUE_FRAME, TIME_FORMAT, fill_temp
 from loreweave.functions.text import observed_memory, parse_dialogue
 from loreweave.functions.vectors import tokens
 from loreweave.operators.memory import memory_distinct, memory_line, pack_recent, time_weighted_topk
-from loreweave.operators.ordered import time_segments
+from loreweave.operators.ordered import Segments
 from loreweave.session import written
 
 
@@ -29,7 +29,7 @@ def relevant_memories(memories: DataFrame, now: Column, k: int, decay: float = 0
 def recent_memories(memories: DataFrame, budgets: DataFrame) -> DataFrame:
     """``(agent, most_recent_memories)``: the newest memories that fit into the token ``budget`` of each agent."""
     size = F.greatest(F.size(tokens(memory_line())), F.lit(1))
-    packed = pack_recent(memories, ["created_at", "memory_id"], size, budgets, time_segments("created_at"))
+    packed = pack_recent(memories, ["created_at", "memory_id"], size, budgets, Segments())
     # every kept memory has a token, so at most `budget` rows per agent
     lines = F.array_sort(F.collect_list(F.struct("created_at", "memory_id", "page_content")))
     newest_first = F.reverse(F.transform(lines, lambda x: x["page_content"]))

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from loreweave.operators.ordered import PART_CHARS, int_segments, join_ordered
+from loreweave.operators.ordered import PART_CHARS, Segments, join_ordered
 
 RECORD = T.StructType([T.StructField(n, T.StringType()) for n in ("instruction", "input", "output")])
 CORRUPT = "_corrupt_record"
@@ -38,7 +38,7 @@ def read_documents(spark: SparkSession, path: str) -> DataFrame:
 
 def concat_pages(pages: DataFrame, doc: str, page: str, text: str, part_chars: int = PART_CHARS) -> DataFrame:
     """Page texts of each document in page order, no separator: ``(doc, part, text)``."""
-    return join_ordered(pages.select(doc, page, text), [doc], [page], F.col(text), "", int_segments(page), part_chars)
+    return join_ordered(pages.select(doc, page, text), [doc], [page], F.col(text), "", Segments(), part_chars)
 
 
 def load_template(spark: SparkSession, path: str, fallback: str | None = None) -> str:

@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from loreweave.functions import scores, templates, text, vectors
 from loreweave.operators import chat, files, memory, search, training, vocab
-from loreweave.operators.ordered import int_segments, time_segments
+from loreweave.operators.chunking import chunk_key
+from loreweave.operators.ordered import Segments
 
 
 def one(spark, column, **values):
@@ -190,7 +191,7 @@ def test_shard_sets(spark):
 def test_fold_events(spark):
     acts = [("submit", "x"), ("cancel", None), ("cancel", None), ("submit", "y"), ("submit", "z"), ("clear", None), ("submit", "w")]
     df = spark.createDataFrame([(1, i, a, x) for i, (a, x) in enumerate(acts)], "conv_id long, event_id long, action string, input string")
-    got = chat.fold_conversation_events(df, ["conv_id"], ["event_id"], int_segments("event_id", 2, 0)).collect()
+    got = chat.fold_conversation_events(df, ["conv_id"], ["event_id"], Segments(2, 0)).collect()
     assert [(r.input, r.position) for r in got] == [("w", 0)]
 
 
@@ -221,7 +222,7 @@ def test_memory_digest(spark):
 
 def test_pack_recent(spark):
     df = spark.createDataFrame([(1, i, n) for i, n in enumerate([1, 9, 2, 3])] + [(2, 0, 9)], "agent long, i long, n int")
-    got = memory.pack_recent(df, ["i"], F.col("n"), 6, int_segments("i", 2, 0)).collect()
+    got = memory.pack_recent(df, ["i"], F.col("n"), 6, Segments(2, 0)).collect()
     assert sorted((r.agent, r.i, r.used) for r in got) == [(1, 2, 5), (1, 3, 3)]
 
 
@@ -287,9 +288,12 @@ def test_touch_and_distinct(spark):
     assert {r.memory_id for r in memory.memory_distinct(df, ["memory_id"]).collect()} == {0, 2}
 
 
-def test_time_segment(spark):
-    got = one(spark, time_segments("t", 3600).number, t=dt.datetime(1970, 1, 1, 5, 30))
-    assert got == 5
+def test_chunk_keys_differ(spark):
+    rows = [(1, 1 << 20), (2, 0), (1 << 44, 0), ((1 << 63) - 1, 5), (-(1 << 63), 5), (10, 0)]
+    df = spark.createDataFrame(rows, "doc_id long, chunk_no int").withColumn("id", chunk_key("doc_id", "chunk_no"))
+    got = {(r.doc_id, r.chunk_no): r.id for r in df.collect()}
+    assert len(set(got.values())) == len(rows)
+    assert got[(2, 0)] < got[(10, 0)] < got[(1 << 44, 0)]
 
 
 def test_sft_written_in_order(spark, sf, tmp_path):

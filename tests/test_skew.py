@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from loreweave.operators import chat, memory, search
-from loreweave.operators.ordered import counted_segments, int_segments, join_ordered, time_segments, totals_before, with_next_row
+from loreweave.operators.ordered import SEG, Segments, counted_segments, join_ordered, totals_before, with_next_row
 
 
 @pytest.fixture(scope="module")
@@ -26,7 +26,7 @@ SCHEMA = "conv_id long, turn long, role string, text string"
 
 
 def segments(length, hot_rows):
-    return counted_segments("turn", length) if hot_rows is None else int_segments("turn", length, hot_rows)
+    return counted_segments("turn", length) if hot_rows is None else Segments(length, hot_rows)
 
 
 def by_key(rows):
@@ -65,11 +65,27 @@ def test_with_next_row(spark, turns, length, hot_rows):
     assert {(r.conv_id, r.turn, r.next_role, r.next_text) for r in got.collect()} == want
 
 
+def test_segments_are_bounded_by_rows(spark):
+    """One key with 200,000 rows of one timestamp, as after a bulk import."""
+    df = spark.range(0, 200_000, 1, 8).select(
+        F.when(F.col("id") % 1000 == 0, F.col("id")).otherwise(F.lit(-1)).alias("agent"), F.lit("2024-01-01").cast("timestamp_ntz").alias("ts"), (F.col("id") * 977).alias("i")
+    )
+    cut = Segments(5_000, 1_000).cut(df, ["agent"])
+    marked = cut.mark(df, ["ts", "i"])
+    sizes = marked.groupBy("agent", SEG).count().where(F.col(SEG).isNotNull()).collect()
+    assert {r.agent for r in sizes} == {-1} and sum(r["count"] for r in sizes) == 199_800
+    assert max(r["count"] for r in sizes) <= 5_000 and len(sizes) <= 80
+    numbered = totals_before(df, ["agent"], ["ts", "i"], cut, {"n": F.lit(1)}).where("agent = -1")
+    # ids that are multiples of 1000 are missing
+    assert numbered.where(F.col("n") != F.col("i") / 977 - F.floor(F.col("i") / 977 / 1000) - 1).count() == 0
+    assert numbered.count() == 199_800
+
+
 @pytest.mark.parametrize("part_chars", [5, 64, 1 << 20])
 @pytest.mark.parametrize("sep", ["", "\n", "--"])
 def test_join_ordered(spark, turns, part_chars, sep):
     df = spark.createDataFrame(turns, SCHEMA)
-    got = join_ordered(df, ["conv_id"], ["turn"], F.col("text"), sep, int_segments("turn", 9, 10), part_chars)
+    got = join_ordered(df, ["conv_id"], ["turn"], F.col("text"), sep, Segments(9, 10), part_chars)
     parts = by_key(sorted((r.conv_id, r.part, r.text) for r in got.collect()))
     for key, rows in by_key(turns).items():
         assert all(len(p[2]) <= part_chars for p in parts[key])
@@ -120,7 +136,7 @@ def test_fold_events(spark, length, hot_rows):
             del stack[-1:]
         else:
             stack.clear()
-    got = chat.fold_conversation_events(df, ["conv_id"], ["event_id"], int_segments("event_id", length, hot_rows)).collect()
+    got = chat.fold_conversation_events(df, ["conv_id"], ["event_id"], Segments(length, hot_rows)).collect()
     assert {(r.conv_id, r.position, r.event_id) for r in got} == {(k, p, e) for k, s in want.items() for p, e in enumerate(s)}
 
 
@@ -152,7 +168,7 @@ def test_pack_recent_hot_agent(spark, hot_rows):
     rng = random.Random(2)
     rows = [(rng.choice([1, 1, 2]), i, rng.randint(0, 5)) for i in range(500)]
     df = spark.createDataFrame(rows, "agent long, i long, n int").withColumn("ts", F.timestamp_seconds(F.col("i") * 60))
-    got = memory.pack_recent(df, ["ts", "i"], F.col("n"), 40, time_segments("ts", 600, hot_rows)).collect()
+    got = memory.pack_recent(df, ["ts", "i"], F.col("n"), 40, Segments(64, hot_rows)).collect()
     want = set()
     for agent in (1, 2):
         used = 0

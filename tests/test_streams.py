@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from loreweave.catalog.chat import conversation_events
 from loreweave.catalog.memory import memories_of
 from loreweave.operators import chat, memory
-from loreweave.operators.ordered import time_segments
+from loreweave.operators.ordered import Segments
 from loreweave.streaming import state
 
 
@@ -30,7 +30,7 @@ def test_conversation_state(spark, sf, tmp_path):
     got = run(state.stream_conversation_state(conversation_events(in_batches(spark, sf, tmp_path))), tmp_path)
     events = conversation_events(spark.read.parquet(f"{sf}/events.parquet"))
     kept = events.where((F.col("action") != "submit") | (F.col("reply") != ""))
-    folded = chat.fold_conversation_events(kept, ["conv_id"], ["ts", "event_id"], time_segments("ts"))
+    folded = chat.fold_conversation_events(kept, ["conv_id"], ["ts", "event_id"], Segments())
     depth = {r.conv_id: (r.n, r.top) for r in folded.groupBy("conv_id").agg(F.count("*").alias("n"), F.max_by("event_id", "position").alias("top")).collect()}
     last = got.groupBy("conv_id").agg(F.max_by(F.struct("depth", "top_event_id"), "event_id").alias("x")).collect()
     assert {r.conv_id: (r.x.depth, r.x.top_event_id) for r in last if r.x.depth} == depth
