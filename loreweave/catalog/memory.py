@@ -4,13 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from loreweave.catalog.base import query, table, tokens_sql
+from loreweave.catalog.base import embedding_sql, query, table, tokens_sql
 from loreweave.catalog.training import template_sql
-from loreweave.functions.scores import logistic_relevance, memory_score
-from loreweave.functions.templates import DIALOGUE_FRAME
+from loreweave.functions.scores import memory_score
+from loreweave.functions.templates import ACTION_FRAME, DIALOGUE_FRAME, ENTITY_FRAME, RELATION_FRAME, SELF_FRAME, SPEAKER_FRAME
 from loreweave.operators import memory
 from loreweave.operators.ordered import Segments
-from loreweave.plans.agent import agent_turn
+from loreweave.plans import agent
 
 NOW = "2024-02-01 00:00:00"
 K, BUDGET, THRESHOLD = 15, 120, 2.0
@@ -66,19 +66,59 @@ def _buffer_index(spark, sf):
     )
 
 
-SCORED = f"""{MEMORIES}, scored AS (SELECT *, round(pow(0.99, (epoch_us(TIMESTAMP '{NOW}') - epoch_us(last_accessed_at)) / 3.6e9) + coalesce(importance, 0)
-  + (1 / (1 + exp(-length(page_content) * 1000.0 / 100000)) - 0.5), 6) AS score FROM mem),
-top AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY agent ORDER BY score DESC, memory_id) AS rank FROM scored) WHERE rank <= {K})"""
+SEARCHED = 20  # nearest memories a query adds; few enough that the choice shows in the result
+
+
+def retrieved_sql(name: str, queries: str) -> str:
+    """Tables ``<name>_top`` and ``<name>_digest`` for the queries ``(qkey, agent, query_no, query)`` of table ``queries``."""
+    return f"""{embedding_sql(f"{name}_q", queries, "qkey", "query")},
+{name}_dot AS (SELECT s.qkey, m.memory_id, sum(q.val * c.val) AS dot FROM {queries} s JOIN mem m ON m.agent = s.agent JOIN {name}_q q ON q.key = s.qkey
+  JOIN mvec c ON c.key = m.memory_id AND c.dim = q.dim GROUP BY 1, 2),
+{name}_near AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY qkey ORDER BY distance, memory_id) AS r FROM (
+  SELECT s.qkey, m.memory_id, round(greatest(qn.n2 + cn.n2 - 2 * coalesce(d.dot, 0), 0), 6) AS distance FROM {queries} s JOIN mem m ON m.agent = s.agent
+  JOIN {name}_q_norm qn ON qn.key = s.qkey JOIN mvec_norm cn ON cn.key = m.memory_id LEFT JOIN {name}_dot d ON d.qkey = s.qkey AND d.memory_id = m.memory_id)) WHERE r <= {SEARCHED}),
+{name}_last AS (SELECT * FROM (SELECT agent, memory_id, row_number() OVER (PARTITION BY agent ORDER BY created_at DESC, memory_id DESC) AS r FROM mem) WHERE r <= {K}),
+{name}_found AS (SELECT qkey, memory_id, max(rel) AS rel FROM (SELECT qkey, memory_id, 1 / (1 + exp(-distance / 100000.0)) - 0.5 AS rel FROM {name}_near
+  UNION ALL SELECT s.qkey, l.memory_id, NULL FROM {name}_last l JOIN {queries} s ON s.agent = l.agent) GROUP BY 1, 2),
+{name}_top AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY agent, query_no ORDER BY score DESC, memory_id) AS rank FROM (
+  SELECT s.agent, s.query_no, m.memory_id, m.page_content, m.created_at, round(pow(0.99, (epoch_us(TIMESTAMP '{NOW}') - epoch_us(m.last_accessed_at)) / 3.6e9)
+    + coalesce(importance, 0) + coalesce(rel, 0), 6) AS score FROM {name}_found f JOIN {queries} s ON s.qkey = f.qkey JOIN mem m ON m.memory_id = f.memory_id)) WHERE rank <= {K}),
+{name}_digest AS (SELECT agent, string_agg({DIGEST_LINE}, chr(10) ORDER BY query_no, rank) AS relevant FROM (
+  SELECT *, row_number() OVER (PARTITION BY agent, page_content ORDER BY query_no, rank) AS first FROM {name}_top) WHERE first = 1 GROUP BY 1)"""
+
+
+DIGEST_LINE = "'- ' || strftime(created_at, '%B %d, %Y, %I:%M %p') || ': ' || trim(page_content)"
+VECTORS = f"""{MEMORIES}, {embedding_sql("mvec", "mem", "memory_id", "page_content")},
+turns AS (SELECT user_id AS agent, 'Agent' || user_id AS name, count(*) || ' events' AS status, 'Saw ' || count(DISTINCT event_type) || ' kinds' AS summary,
+  arg_max(event_type, event_id) AS speaker, arg_max(props, event_id) AS observation FROM events GROUP BY 1)"""
+# what was last seen, and what it was
+ASKED = "asked AS (SELECT agent * 10 + i AS qkey, agent, i AS query_no, CASE WHEN i = 0 THEN observation ELSE speaker END AS query FROM turns, unnest(range(2)) t(i))"
+SCORED = f"{VECTORS}, {ASKED}, {retrieved_sql('a', 'asked')}"
+
+
+def agent_turns(spark, sf):
+    """One turn per agent; the speaker is the kind of the last event, what it says are its properties."""
+    return (
+        table(spark, sf, "events")
+        .groupBy(F.col("user_id").alias("agent"))
+        .agg(
+            F.concat(F.lit("Agent"), F.first("user_id").cast("string")).alias("name"),
+            F.concat(F.count(F.lit(1)).cast("string"), F.lit(" events")).alias("status"),
+            F.concat(F.lit("Saw "), F.count_distinct("event_type").cast("string"), F.lit(" kinds")).alias("summary"),
+            F.max_by("event_type", "event_id").alias("speaker"),
+            F.max_by("props", "event_id").alias("observation"),
+        )
+    )
 
 
 def top_memories(spark, sf):
-    relevance = logistic_relevance(F.length("page_content") * 1000.0)
-    return memory.time_weighted_topk(memories(spark, sf), now(), K, relevance=relevance)
+    queries = agent.queries_of(agent_turns(spark, sf), F.col("observation"), F.col("speaker"))
+    return memory.retrieve_memories(agent.embedded_memories(memories(spark, sf)), queries, now(), K, search_k=SEARCHED)
 
 
-@query("time_weighted_topk", f"WITH {SCORED} SELECT agent, memory_id, score, rank FROM top")
+@query("time_weighted_topk", f"WITH {SCORED} SELECT agent, query_no, memory_id, score, rank FROM a_top")
 def _time_weighted_topk(spark, sf):
-    return top_memories(spark, sf).select("agent", "memory_id", "score", "rank")
+    return top_memories(spark, sf).select("agent", "query_no", "memory_id", "score", "rank")
 
 
 @query(
@@ -93,7 +133,7 @@ def _memory_score(spark, sf):
 @query(
     "touch_memories",
     f"""WITH {SCORED} SELECT m.memory_id, strftime(CASE WHEN t.memory_id IS NOT NULL THEN TIMESTAMP '{NOW}' ELSE m.last_accessed_at END, '%Y-%m-%d %H:%M:%S') AS last_accessed_at
-FROM mem m LEFT JOIN top t ON t.memory_id = m.memory_id""",
+FROM mem m LEFT JOIN (SELECT DISTINCT memory_id FROM a_top) t ON t.memory_id = m.memory_id""",
 )
 def _touch_memories(spark, sf):
     touched = memory.touch_memories(memories(spark, sf), top_memories(spark, sf), now())
@@ -109,9 +149,6 @@ def _memory_distinct(spark, sf):
     return kept.select("agent", "page_content", "memory_id")
 
 
-DIGEST_LINE = "'- ' || strftime(created_at, '%B %d, %Y, %I:%M %p') || ': ' || trim(page_content)"
-
-
 @query(
     "memory_digest",
     f"""WITH {MEMORIES}, d AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY agent, page_content ORDER BY created_at, memory_id) AS r FROM mem) WHERE r = 1)
@@ -167,6 +204,7 @@ def say_client():
     return lambda prompts: [f"SAY: I read {len(p)} characters\nand more" for p in prompts]
 
 
+SAID = "'SAY: I read ' || length({}) || ' characters' || chr(10) || 'and more'"
 AGENT_COLUMNS = {
     "summary": "summary",
     "current_time": "'February 01, 2024, 12:00 AM'",
@@ -178,30 +216,60 @@ AGENT_COLUMNS = {
 }
 
 
+def framed_sql(frame: str, **columns: str) -> str:
+    return f"('### ' || {template_sql(frame, **columns)} || chr(10) || '### Response:')"
+
+
+def step_sql(name: str, source: str, prompt: str) -> str:
+    """Table ``source`` with the answer to a prompt in column ``name``."""
+    return f"{name}_step AS (SELECT * EXCLUDE (prompt), {SAID.format('prompt')} AS {name} FROM (SELECT *, {prompt} AS prompt FROM {source}))"
+
+
+SPEAKER_SQL = f"""sq AS (SELECT agent AS qkey, agent, 0 AS query_no, speaker AS query FROM turns), {retrieved_sql("s", "sq")},
+s_base AS (SELECT t.*, coalesce(relevant, '') AS relevant FROM turns t LEFT JOIN s_digest d ON d.agent = t.agent),
+{step_sql("speaker_summary", "s_base", framed_sql(SPEAKER_FRAME, name="name", speaker="speaker", relevant_memories="relevant"))}"""
+SELF_SQL = f"""cq AS (SELECT agent AS qkey, agent, 0 AS query_no, name || chr(39) || 's core characteristics' AS query FROM turns), {retrieved_sql("c", "cq")},
+c_base AS (SELECT t.*, coalesce(relevant, '') AS relevant FROM turns t LEFT JOIN c_digest d ON d.agent = t.agent),
+{step_sql("self_summary", "c_base", framed_sql(SELF_FRAME, name="name", relevant_memories="relevant"))}"""
+
+
+@query("speaker_summary", f"WITH {VECTORS}, {SPEAKER_SQL} SELECT agent, speaker_summary, NULL::VARCHAR AS error FROM speaker_summary_step")
+def _speaker_summary(spark, sf):
+    return agent.speaker_summary(memories(spark, sf), agent_turns(spark, sf), now(), say_client, k=K, search_k=SEARCHED)
+
+
+@query("self_summary", f"WITH {VECTORS}, {SELF_SQL} SELECT agent, self_summary, NULL::VARCHAR AS error FROM self_summary_step")
+def _self_summary(spark, sf):
+    return agent.self_summary(memories(spark, sf), agent_turns(spark, sf), now(), say_client, k=K, search_k=SEARCHED)
+
+
+@query(
+    "related_memories",
+    f"""WITH {VECTORS}, {step_sql("entity", "turns", framed_sql(ENTITY_FRAME, observation="observation"))},
+{step_sql("action", "entity_step", framed_sql(ACTION_FRAME, entity="entity", observation="observation"))},
+rq AS (SELECT agent * 10 + i AS qkey, agent, i AS query_no, CASE WHEN i = 0 THEN 'What is the relationship between ' || name || ' and ' || entity
+  ELSE entity || ' is ' || action END AS query FROM action_step, unnest(range(2)) t(i)), {retrieved_sql("r", "rq")},
+r_base AS (SELECT t.*, coalesce(relevant, '') AS relevant FROM action_step t LEFT JOIN r_digest d ON d.agent = t.agent),
+{step_sql("relation", "r_base", template_sql(RELATION_FRAME, name="name", entity="entity", relevant_memories="relevant"))}
+SELECT agent, entity, action, relation, NULL::VARCHAR AS error FROM relation_step""",
+)
+def _related_memories(spark, sf):
+    return agent.related_memories(memories(spark, sf), agent_turns(spark, sf), now(), say_client, k=K, search_k=SEARCHED)
+
+
 @query(
     "agent_turn",
-    f"""WITH {MEMORIES}, scored AS (SELECT *, round(pow(0.99, (epoch_us(TIMESTAMP '{NOW}') - epoch_us(last_accessed_at)) / 3.6e9) + coalesce(importance, 0), 6) AS score FROM mem),
-top AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY agent ORDER BY score DESC, memory_id) AS rank FROM scored) WHERE rank <= {K}),
-d AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY agent, page_content ORDER BY rank) AS r FROM top) WHERE r = 1),
-digest AS (SELECT agent, string_agg({DIGEST_LINE}, chr(10) ORDER BY rank) AS relevant FROM d GROUP BY 1),
-turns AS (SELECT user_id AS agent, 'Agent' || user_id AS name, count(*) || ' events' AS status, 'Saw ' || count(DISTINCT event_type) || ' kinds' AS summary,
-  'User' || max(event_id) AS speaker, arg_max(props, event_id) AS observation FROM events GROUP BY 1),
-base AS (SELECT t.*, relevant FROM turns t LEFT JOIN digest USING (agent)),
+    f"""WITH {VECTORS}, {SPEAKER_SQL}, {SELF_SQL},
+base AS (SELECT t.* EXCLUDE (summary), t.summary || chr(10) || c.self_summary AS summary, s.speaker_summary AS relevant FROM turns t
+  JOIN speaker_summary_step s ON s.agent = t.agent JOIN self_summary_step c ON c.agent = t.agent),
 used AS (SELECT agent, len({tokens_sql(template_sql(DIALOGUE_FRAME, most_recent_memories="''", **AGENT_COLUMNS))}) AS used FROM base),
 run AS (SELECT agent, memory_id, created_at, page_content, sum(greatest(len({tokens_sql(DIGEST_LINE)}), 1)) OVER (PARTITION BY agent ORDER BY created_at DESC, memory_id DESC) AS s FROM mem),
 recent AS (SELECT r.agent, string_agg(page_content, '; ' ORDER BY created_at DESC, memory_id DESC) AS recent FROM run r JOIN used u ON u.agent = r.agent WHERE s <= {TURN_BUDGET * 4} - used GROUP BY 1),
 p AS (SELECT b.*, {template_sql(DIALOGUE_FRAME, most_recent_memories="coalesce(recent, '')", **AGENT_COLUMNS)} AS prompt FROM base b LEFT JOIN recent r ON r.agent = b.agent)
 SELECT agent, md5(prompt) AS prompt_md5, true AS goes_on, name || ' said I read ' || length(prompt) || ' characters' AS reply,
-  name || ' observed ' || observation || ' and said I read ' || length(prompt) || ' characters' AS memory_text FROM p""",
+  name || ' observed ' || observation || ' and said I read ' || length(prompt) || ' characters' AS memory_text, NULL::VARCHAR AS error FROM p""",
 )
 def _agent_turn(spark, sf):
-    events = table(spark, sf, "events")
-    turns = events.groupBy(F.col("user_id").alias("agent")).agg(
-        F.concat(F.lit("Agent"), F.first("user_id").cast("string")).alias("name"),
-        F.concat(F.count(F.lit(1)).cast("string"), F.lit(" events")).alias("status"),
-        F.concat(F.lit("Saw "), F.count_distinct("event_type").cast("string"), F.lit(" kinds")).alias("summary"),
-        F.concat(F.lit("User"), F.max("event_id").cast("string")).alias("speaker"),
-        F.max_by("props", "event_id").alias("observation"),
-    )
-    done = agent_turn(memories(spark, sf), turns, now(), say_client, k=K, budget=TURN_BUDGET * 4)
-    return done.select("agent", F.md5("prompt").alias("prompt_md5"), "goes_on", "reply", "memory_text")
+    turns = agent_turns(spark, sf)
+    done = agent.agent_turn(memories(spark, sf), turns, now(), say_client, k=K, budget=TURN_BUDGET * 4, search_k=SEARCHED)
+    return done.select("agent", F.md5("prompt").alias("prompt_md5"), "goes_on", "reply", "memory_text", "error")

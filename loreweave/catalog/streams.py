@@ -8,7 +8,7 @@ from loreweave.catalog.base import query, table
 from loreweave.catalog.chat import FOLDED, conversation_events
 from loreweave.catalog.compare import FLAGGED, exchanges, flag_tries, read_log
 from loreweave.catalog.memory import MEMORIES, REFLECTED, THRESHOLD, memories_of, say_client
-from loreweave.functions.hooks import answered, generate_text
+from loreweave.functions.hooks import generate_text
 from loreweave.functions.text import observed_memory, parse_dialogue
 from loreweave.operators.compare import flag_filter
 from loreweave.session import scratch_path
@@ -83,7 +83,7 @@ def _stream_reflection(spark, sf):
     "stream_dialogue",
     """WITH known AS (SELECT user_id, count(*) AS n FROM events GROUP BY 1),
 p AS (SELECT event_id, 'Agent' || e.user_id AS name, props, length('Agent' || e.user_id || ' knows ' || n || ' things and hears ' || props) AS n FROM events e JOIN known k ON k.user_id = e.user_id)
-SELECT event_id, name || ' said I read ' || n || ' characters' AS reply, name || ' observed ' || props || ' and said I read ' || n || ' characters' AS memory_text FROM p""",
+SELECT event_id, name || ' said I read ' || n || ' characters' AS reply, name || ' observed ' || props || ' and said I read ' || n || ' characters' AS memory_text, NULL::VARCHAR AS error FROM p""",
 )
 def _stream_dialogue(spark, sf):
     path = scratch_path(spark, "memories")
@@ -92,17 +92,19 @@ def _stream_dialogue(spark, sf):
 
     def reply(turns):
         name = F.concat(F.lit("Agent"), F.col("user_id").cast("string"))
-        prompt = F.concat(name, F.lit(" knows "), F.col("n").cast("string"), F.lit(" things and hears "), F.col("props"))
-        asked = turns.join(known, "user_id").select("event_id", name.alias("name"), "props", prompt.alias("prompt"))
-        told = answered(generate_text(asked, "prompt", "answer", say_client))
-        told = told.withColumn("d", parse_dialogue(F.col("answer"), F.col("name")))
+        prompt = F.concat(name, F.lit(" knows "), F.coalesce("n", F.lit(0)).cast("string"), F.lit(" things and hears "), F.col("props"))
+        asked = turns.join(known, "user_id", "left").select("event_id", name.alias("name"), "props", prompt.alias("prompt"))
+        # a failed call keeps its row and its error, without a reply
+        told = generate_text(asked, "prompt", "answer", say_client)
+        told = told.withColumn("d", F.when(F.col("error").isNull(), parse_dialogue(F.col("answer"), F.col("name"))))
         return told.select(
             "event_id",
             F.col("d.reply").alias("reply"),
             observed_memory(F.col("name"), F.col("props"), F.col("d.said")).alias("memory_text"),
+            "error",
         )
 
     state.stream_dialogue(
         state.read_stream(spark, sf, "events"), reply, path, scratch_path(spark, "checkpoint")
     ).awaitTermination()
-    return spark.read.schema("event_id long, reply string, memory_text string, batch int").parquet(path).drop("batch")
+    return spark.read.schema("event_id long, reply string, memory_text string, error string, batch int").parquet(path).drop("batch")

@@ -58,6 +58,12 @@ def embed_text(text: Column, fn: Callable[[pd.Series], pd.Series] | None = None)
     return F.pandas_udf(fn, "array<float>")(F.replace(text, F.lit("\n"), F.lit(" ")))
 
 
+def squared_distance(a: Column, b: Column) -> Column:
+    """Squared Euclidean distance of two vectors of one length, in double."""
+    parts = F.zip_with(a, b, lambda x, y: (x.cast("double") - y.cast("double")) * (x.cast("double") - y.cast("double")))
+    return F.aggregate(parts, F.lit(0.0), lambda s, x: s + x)
+
+
 # 4-bit vectors: eight values per 32-bit integer, lowest four bits first; every `group` values share
 # a scale and, optionally, an addend.
 

@@ -5,7 +5,7 @@ A memory is ``(memory_id, agent, page_content, created_at, last_accessed_at, imp
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
@@ -14,9 +14,10 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from loreweave.functions.scores import memory_score
+from loreweave.functions.scores import logistic_relevance, memory_score
 from loreweave.functions.templates import TIME_FORMAT
 from loreweave.functions.text import strip
+from loreweave.functions.vectors import squared_distance
 from loreweave.operators.ordered import (
     PART_CHARS,
     Cut,
@@ -25,10 +26,14 @@ from loreweave.operators.ordered import (
     join_ordered,
     totals_before,
 )
+from loreweave.session import small_rows
 
 REFLECTION_THRESHOLD = 8.0
 UNITS = 1_000_000
 FOLD_ROWS = 65_536
+# nearest memories that a query adds to the newest ones; rows of an agent that meet a query in one task
+SEARCH_K = 100
+SPLIT_ROWS = 1 << 18
 HOT_ROWS = 1 << 20
 
 
@@ -72,6 +77,55 @@ def time_weighted_topk(
     return memories.withColumn("score", F.round(score, 6)).withColumn("rank", rank).where(F.col("rank") <= k)
 
 
+def with_queries(memories: DataFrame, queries: DataFrame, split_rows: int = SPLIT_ROWS) -> DataFrame:
+    """Every memory beside every query of its agent; the memories of a long agent are dealt out, its queries copied to each part."""
+    sizes = memories.groupBy("agent").agg(F.ceil(F.count(F.lit(1)) / F.lit(split_rows)).cast("long").alias("_splits"))
+    long = sizes.where(F.col("_splits") > 1)
+    found = small_rows(long)
+    if found == []:
+        return memories.join(queries, "agent")
+    if found is not None:
+        long = F.broadcast(memories.sparkSession.createDataFrame(found, long.schema))
+    splits = F.coalesce("_splits", F.lit(1).cast("long"))
+    left = memories.join(long, "agent", "left").withColumn("_split", F.pmod(F.xxhash64("memory_id"), splits)).drop("_splits")
+    right = queries.join(long, "agent", "left").withColumn("_split", F.explode(F.sequence(F.lit(0).cast("long"), splits - 1))).drop("_splits")
+    return left.join(right, ["agent", "_split"]).drop("_split")
+
+
+def retrieve_memories(
+    memories: DataFrame,
+    queries: DataFrame,
+    now: Column,
+    k: int,
+    *,
+    search_k: int = SEARCH_K,
+    decay: float = 0.01,
+    other_scores: Sequence[str] = ("importance",),
+    relevance: Callable[[Column], Column] = logistic_relevance,
+    split_rows: int = SPLIT_ROWS,
+) -> DataFrame:
+    """The k best memories for each query ``(agent, query_no, vec)`` of an agent, with ``score`` and ``rank``.
+
+    Candidates are the k newest memories of the agent and the ``search_k`` nearest to the query (squared distance of the vectors
+    ``vec``, six digits, ties to the smaller id); only the latter have a relevance. Score is recency plus other scores plus relevance.
+    """
+    by, held = ["agent", "query_no"], [c for c in memories.columns if c not in ("agent", "vec")]
+    asked = queries.select(*by, F.col("vec").alias("_asked"))
+    met = with_queries(memories, asked, split_rows).withColumn("_distance", F.round(squared_distance(F.col("vec"), F.col("_asked")), 6))
+    nearest = F.row_number().over(W.partitionBy(*by).orderBy("_distance", "memory_id"))
+    near = met.select(*by, *held, "_distance").withColumn("_r", nearest).where(F.col("_r") <= search_k)
+    near = near.select(*by, *held, relevance(F.col("_distance")).cast("double").alias("_relevance"))
+    newest = F.row_number().over(W.partitionBy("agent").orderBy(F.desc("created_at"), F.desc("memory_id")))
+    last = memories.select("agent", *held).withColumn("_r", newest).where(F.col("_r") <= k).join(queries.select(*by), "agent")
+    last = last.select(*by, *held, F.lit(None).cast("double").alias("_relevance"))
+    # at most k + search_k rows per query; a memory found both ways has its relevance
+    others = [c for c in held if c != "memory_id"]
+    both = near.unionByName(last).groupBy(*by, "memory_id").agg(F.max("_relevance").alias("_relevance"), F.first(F.struct(*others)).alias("_m"))
+    return time_weighted_topk(
+        both.select(*by, "memory_id", "_m.*", "_relevance"), now, k, decay=decay, other_scores=other_scores, relevance=F.col("_relevance"), by=by
+    ).drop("_relevance")
+
+
 def touch_memories(memories: DataFrame, retrieved: DataFrame, now: Column) -> DataFrame:
     """New snapshot in which every retrieved memory was last accessed now."""
     hits = retrieved.select("memory_id").distinct().withColumn("_hit", F.lit(True))

@@ -1,4 +1,8 @@
-"""One turn of many agents: remember, prompt, answer, store."""
+"""One turn of many agents: remember, summarise, prompt, answer, store.
+
+Every step is one pass of the model hook over all agents. An agent whose call failed in any step is asked no further; it stays in the
+result with its error and without an answer.
+"""
 
 from __future__ import annotations
 
@@ -7,21 +11,34 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loreweave.functions.hooks import answered, generate_text
-from loreweave.functions.templates import DIALOGUE_FRAME, TIME_FORMAT, fill_template
-from loreweave.functions.text import observed_memory, parse_dialogue
-from loreweave.functions.vectors import tokens
-from loreweave.operators.memory import memory_distinct, memory_line, pack_recent, time_weighted_topk
+from loreweave.functions.hooks import generate_text
+from loreweave.functions.templates import DIALOGUE_FRAME, TIME_FORMAT, agent_prompts, fill_template
+from loreweave.functions.text import observed_memory, parse_dialogue, strip
+from loreweave.functions.vectors import embed_text, tokens
+from loreweave.operators.memory import SEARCH_K, memory_distinct, memory_line, pack_recent, retrieve_memories
 from loreweave.operators.ordered import Segments
 from loreweave.session import written
 
+FRAME_FIELDS = "observation entity name speaker relevant_memories summary current_time status most_recent_memories".split()
+
+
+def embedded_memories(memories: DataFrame, embed=embed_text) -> DataFrame:
+    """The memories with their vectors, stored for the searches that follow; as they are if they have vectors."""
+    return memories if "vec" in memories.columns else written(memories.withColumn("vec", embed(F.col("page_content"))), "memories")
+
 
-def relevant_memories(memories: DataFrame, now: Column, k: int, decay: float = 0.01) -> DataFrame:
-    """``(agent, relevant_memories)``: digest of the k best memories, best first."""
-    top = time_weighted_topk(memories, now, k, decay=decay).select("agent", "rank", "page_content", "created_at")
-    distinct = memory_distinct(top, ["rank"])
-    # at most k lines per agent
-    lines = F.array_sort(F.collect_list(F.struct(F.col("rank"), memory_line().alias("line"))))
+def queries_of(turns: DataFrame, *texts: Column, embed=embed_text) -> DataFrame:
+    """``(agent, query_no, query, vec)``: the questions each agent asks its memory."""
+    asked = turns.select("agent", F.posexplode(F.array(*texts)).alias("query_no", "query"))
+    return asked.withColumn("vec", embed(F.col("query")))
+
+
+def relevant_memories(memories: DataFrame, queries: DataFrame, now: Column, k: int, decay: float = 0.01, search_k: int = SEARCH_K) -> DataFrame:
+    """``(agent, relevant_memories)``: digest of the best memories of all queries of an agent, query by query, best first."""
+    top = retrieve_memories(memories, queries, now, k, decay=decay, search_k=search_k)
+    distinct = memory_distinct(top.select("agent", "query_no", "rank", "page_content", "created_at"), ["query_no", "rank"])
+    # at most k lines per query
+    lines = F.array_sort(F.collect_list(F.struct("query_no", "rank", memory_line().alias("line"))))
     text = F.array_join(F.transform(lines, lambda x: x["line"]), "\n")
     return distinct.groupBy("agent").agg(text.alias("relevant_memories"))
 
@@ -36,22 +53,89 @@ def recent_memories(memories: DataFrame, budgets: DataFrame) -> DataFrame:
     return packed.groupBy("agent").agg(F.array_join(newest_first, "; ").alias("most_recent_memories"))
 
 
+def step(turns: DataFrame, frame: str, answer: str, make_client: Callable) -> DataFrame:
+    """Ask with one of the six frames, filled from the columns there are; adds the stripped ``answer``, keeps the first ``error``.
+
+    The answers are stored, so later steps do not ask again.
+    """
+    if "error" not in turns.columns:
+        turns = turns.withColumn("error", F.lit(None).cast("string"))
+    names = turns.columns
+    fields = {c: F.col(c) if c in names else F.lit("") for c in FRAME_FIELDS}
+    going = turns.where(F.col("error").isNull()).drop("error").withColumn("_prompt", agent_prompts(fields)[frame])
+    told = generate_text(going, "_prompt", "_answer", make_client).select(*names, strip(F.col("_answer")).alias(answer))
+    stopped = turns.where(F.col("error").isNotNull()).withColumn(answer, F.lit(None).cast("string"))
+    return written(told.unionByName(stopped), frame)
+
+
+def related_memories(
+    memories: DataFrame, turns: DataFrame, now: Column, make_client: Callable, *, k: int = 15, decay: float = 0.01, search_k: int = SEARCH_K
+) -> DataFrame:
+    """``(agent, entity, action, relation, error)`` from turns ``(agent, name, observation)``.
+
+    The model names the entity of the observation and what it does; two questions made of both search the memory; the model
+    answers the first from what was found.
+    """
+    named = step(turns.select("agent", "name", "observation"), "entity", "entity", make_client)
+    acted = step(named, "action", "action", make_client)
+    first = F.concat(F.lit("What is the relationship between "), F.col("name"), F.lit(" and "), F.col("entity"))
+    second = F.concat(F.col("entity"), F.lit(" is "), F.col("action"))
+    found = relevant_memories(embedded_memories(memories), queries_of(acted, first, second), now, k, decay, search_k)
+    return step(acted.join(found, "agent", "left"), "relation", "relation", make_client).select("agent", "entity", "action", "relation", "error")
+
+
+def speaker_summary(
+    memories: DataFrame, turns: DataFrame, now: Column, make_client: Callable, *, k: int = 15, decay: float = 0.01, search_k: int = SEARCH_K
+) -> DataFrame:
+    """``(agent, speaker_summary, error)``: what the agent's memories say of the speaker, from turns ``(agent, name, speaker)``."""
+    asked = turns.select("agent", "name", "speaker")
+    found = relevant_memories(embedded_memories(memories), queries_of(asked, F.col("speaker")), now, k, decay, search_k)
+    return step(asked.join(found, "agent", "left"), "speaker", "speaker_summary", make_client).select("agent", "speaker_summary", "error")
+
+
+def self_summary(
+    memories: DataFrame, turns: DataFrame, now: Column, make_client: Callable, *, k: int = 15, decay: float = 0.01, search_k: int = SEARCH_K
+) -> DataFrame:
+    """``(agent, self_summary, error)``: the agent's character as its memories show it, from turns ``(agent, name)``."""
+    asked = turns.select("agent", "name")
+    core = F.concat(F.col("name"), F.lit("'s core characteristics"))
+    found = relevant_memories(embedded_memories(memories), queries_of(asked, core), now, k, decay, search_k)
+    return step(asked.join(found, "agent", "left"), "self", "self_summary", make_client).select("agent", "self_summary", "error")
+
+
 def agent_prompts_for(
-    memories: DataFrame, turns: DataFrame, now: Column, *, k: int = 15, budget: int = 1200, decay: float = 0.01
+    memories: DataFrame,
+    turns: DataFrame,
+    now: Column,
+    make_client: Callable,
+    *,
+    k: int = 15,
+    budget: int = 1200,
+    decay: float = 0.01,
+    search_k: int = SEARCH_K,
 ) -> DataFrame:
-    """``turns`` ``(agent, name, status, summary, speaker, observation)`` with their dialogue ``prompt``.
+    """``turns`` ``(agent, name, status, summary, speaker, observation)`` with their dialogue ``prompt`` and ``error``.
 
-    There is one turn per agent.
+    There is one turn per agent. ``summary`` is the fixed description; what the agent thinks of itself follows it.
     """
-    base = turns.join(relevant_memories(memories, now, k, decay), "agent", "left").withColumn(
-        "current_time", F.date_format(now, TIME_FORMAT)
+    memories = embedded_memories(memories)
+    options = {"k": k, "decay": decay, "search_k": search_k}
+    of_self = self_summary(memories, turns, now, make_client, **options).withColumnRenamed("error", "_self_error")
+    of_speaker = speaker_summary(memories, turns, now, make_client, **options).withColumnRenamed("error", "_speaker_error")
+    base = turns.join(of_self, "agent").join(of_speaker, "agent").withColumns(
+        {
+            "error": F.coalesce("_self_error", "_speaker_error"),
+            "summary": F.concat_ws("\n", "summary", "self_summary"),
+            "relevant_memories": F.col("speaker_summary"),
+            "current_time": F.date_format(now, TIME_FORMAT),
+        }
     )
     fields = {c: F.col(c) for c in (*base.columns, "most_recent_memories")}
     empty = {**fields, "most_recent_memories": F.lit("")}
     left = F.lit(budget) - F.size(tokens(fill_template(DIALOGUE_FRAME, empty)))
     # one row per agent, read twice below
     counted = written(base.withColumn("budget", left), "turns")
-    recent = recent_memories(memories, counted.select("agent", "budget"))
+    recent = recent_memories(memories.drop("vec"), counted.select("agent", "budget"))
     return counted.join(recent, "agent", "left").withColumn("prompt", fill_template(DIALOGUE_FRAME, fields))
 
 
@@ -64,15 +148,17 @@ def agent_turn(
     k: int = 15,
     budget: int = 1200,
     decay: float = 0.01,
+    search_k: int = SEARCH_K,
 ) -> DataFrame:
-    """``(agent, goes_on, reply, memory_text)``: prompt, model call, parsed reply and the new memory."""
-    prompts = agent_prompts_for(memories, turns, now, k=k, budget=budget, decay=decay)
-    asked = generate_text(prompts.select("agent", "name", "observation", "prompt"), "prompt", "answer", make_client)
-    parsed = answered(asked).withColumn("_d", parse_dialogue(F.col("answer"), F.col("name")))
+    """``(agent, prompt, goes_on, reply, memory_text, error)``: summaries, prompt, model call, parsed reply and the new memory."""
+    prompts = agent_prompts_for(memories, turns, now, make_client, k=k, budget=budget, decay=decay, search_k=search_k)
+    told = step(prompts.select("agent", "name", "observation", "prompt", *FRAME_FIELDS[3:], "error"), "dialogue", "answer", make_client)
+    parsed = told.withColumn("_d", F.when(F.col("error").isNull(), parse_dialogue(F.col("answer"), F.col("name"))))
     return parsed.select(
         "agent",
         "prompt",
         F.col("_d.goes_on").alias("goes_on"),
         F.col("_d.reply").alias("reply"),
-        observed_memory(F.col("name"), F.col("observation"), F.col("_d.said")).alias("memory_text"),
+        F.when(F.col("error").isNull(), observed_memory(F.col("name"), F.col("observation"), F.col("_d.said"))).alias("memory_text"),
+        "error",
     )
