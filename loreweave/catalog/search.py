@@ -44,7 +44,9 @@ def vectors(spark, sf):
 
 
 def vector_queries(spark, sf):
-    return table(spark, sf, "embeddings").select(F.col("vec_id").alias("qid"), F.col("embedding").alias("vec"))
+    """The query set of every search: rows whose id is divisible by 100, asked against all rows."""
+    asked = table(spark, sf, "embeddings").where(F.col("vec_id") % 100 == 0)
+    return asked.select(F.col("vec_id").alias("qid"), F.col("embedding").alias("vec"))
 
 
 def rounded(array):
@@ -136,7 +138,7 @@ def _knn_topk(spark, sf):
 
 def all_pairs_sql(metric: str) -> str:
     return f"""pts AS (SELECT vec_id AS id, label, embedding::DOUBLE[] AS v FROM embeddings),
-near AS (SELECT q.id AS qid, c.id, q.label AS q_label, c.label, round({metric}, 6) + 0.0 AS distance FROM pts q CROSS JOIN pts c)"""
+near AS (SELECT q.id AS qid, c.id, q.label AS q_label, c.label, round({metric}, 6) + 0.0 AS distance FROM pts q CROSS JOIN pts c WHERE q.id % 100 = 0)"""
 
 
 L2 = "sqrt(greatest(list_dot_product(q.v, q.v) + list_dot_product(c.v, c.v) - 2 * list_dot_product(q.v, c.v), 0))"
@@ -148,7 +150,7 @@ L2 = "sqrt(greatest(list_dot_product(q.v, q.v) + list_dot_product(c.v, c.v) - 2
   SELECT *, row_number() OVER (PARTITION BY qid ORDER BY distance, id) AS rank FROM near WHERE qid <> id) WHERE rank <= 5""",
 )
 def _knn_join(spark, sf):
-    # every vector against all others: both sides grow, so both are cut into blocks
+    # both sides grow, so both are cut into blocks
     near = search.knn_topk(vectors(spark, sf), vector_queries(spark, sf), 6, query_rows=0, block_chunks=2000)
     return search.topk_per_query(near.drop("rank").where(F.col("qid") != F.col("id")), 5)
 
@@ -207,12 +209,14 @@ def mmr_sql(k: int, fetch: int, lam: float) -> str:
     """Greedy picks one after another; every pick is a CTE over at most ``fetch`` candidates per query."""
     out = f"""{all_pairs_sql("1 - list_dot_product(q.v, c.v) / (sqrt(list_dot_product(q.v, q.v)) * sqrt(list_dot_product(c.v, c.v)))")},
 cand AS (SELECT qid, id, 1 - distance AS sim FROM (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY distance, id) AS r FROM near) WHERE r <= {fetch}),
+among AS (SELECT p.id AS a, c.id AS b, round(1 - list_dot_product(p.v, c.v) / (sqrt(list_dot_product(p.v, p.v)) * sqrt(list_dot_product(c.v, c.v))), 6) + 0.0 AS distance
+  FROM pts p JOIN pts c ON p.id IN (SELECT id FROM cand) AND c.id IN (SELECT id FROM cand)),
 pick1 AS (SELECT qid, id, 1 AS pick FROM (SELECT qid, id, row_number() OVER (PARTITION BY qid ORDER BY round({lam} * sim, 6) DESC, id) AS r FROM cand) WHERE r = 1),
 done1 AS (SELECT * FROM pick1)"""
     for n in range(2, k + 1):
         out += f""", pick{n} AS (SELECT qid, id, {n} AS pick FROM (
   SELECT qid, id, row_number() OVER (PARTITION BY qid ORDER BY round({lam} * any_value(sim) - {1 - lam} * max(near_sim), 6) DESC, id) AS r FROM (
-    SELECT c.qid, c.id, c.sim, 1 - s.distance AS near_sim FROM cand c JOIN done{n - 1} d ON d.qid = c.qid JOIN near s ON s.qid = d.id AND s.id = c.id
+    SELECT c.qid, c.id, c.sim, 1 - s.distance AS near_sim FROM cand c JOIN done{n - 1} d ON d.qid = c.qid JOIN among s ON s.a = d.id AND s.b = c.id
     WHERE NOT EXISTS (SELECT 1 FROM done{n - 1} x WHERE x.qid = c.qid AND x.id = c.id)) GROUP BY qid, id) WHERE r = 1),
 done{n} AS (SELECT * FROM done{n - 1} UNION ALL SELECT * FROM pick{n})"""
     return out + f" SELECT qid, id, pick FROM done{k}"
@@ -223,8 +227,8 @@ def _mmr_topk(spark, sf):
     return search.mmr_topk(vectors(spark, sf), vector_queries(spark, sf), 4, 20, 0.5)
 
 
-CELLS, NPROBE = 16, 4
-ANN = f"""{all_pairs_sql(L2)}, centre AS (SELECT row_number() OVER (ORDER BY md5('42:' || id), id) - 1 AS cell, v FROM (SELECT * FROM pts ORDER BY md5('42:' || id), id LIMIT {CELLS})),
+NPROBE = 4
+ANN = f"""{all_pairs_sql(L2)}, centre AS (SELECT row_number() OVER (ORDER BY md5('42:' || id), id) - 1 AS cell, v FROM (SELECT * FROM pts ORDER BY md5('42:' || id), id LIMIT (SELECT least({search.MAX_CELLS}, ceil(sqrt(count(*))))::BIGINT FROM pts))),
 placed AS (SELECT id, cell, row_number() OVER (PARTITION BY id ORDER BY round(greatest(list_dot_product(p.v, p.v) + list_dot_product(c.v, c.v) - 2 * list_dot_product(p.v, c.v), 0), 6), cell) AS r
   FROM pts p CROSS JOIN centre c),
 ann AS (SELECT qid, id, distance, row_number() OVER (PARTITION BY qid ORDER BY distance, id) AS rank FROM near n
@@ -233,10 +237,9 @@ ann AS (SELECT qid, id, distance, row_number() OVER (PARTITION BY qid ORDER BY d
 
 def ann_hits(spark, sf, k):
     points = vectors(spark, sf)
-    centres = search.sampled_cells(points, CELLS)
-    path = scratch_path(spark, "cells")
-    search.cell_index(points, centres).write.partitionBy("cell").parquet(path)
-    return search.ann_join(spark.read.parquet(path), vector_queries(spark, sf), centres, k, NPROBE)
+    centres = written(search.sampled_cells(points, search.cells_for(points)), "centres")
+    index = search.store_by_cell(search.cell_index(points, centres), scratch_path(spark, "cells"))
+    return search.ann_join(index, vector_queries(spark, sf), centres, k, NPROBE)
 
 
 @query("ann_join", f"WITH {ANN} SELECT * FROM ann WHERE rank <= 5")
@@ -390,7 +393,7 @@ def _vec_regroup(spark, sf):
 {all_pairs_sql(L2)}, {EXACT},
 rough AS (SELECT qid, id, row_number() OVER (PARTITION BY qid ORDER BY distance, id) AS rank FROM (
   SELECT q.id AS qid, c.id, round(sqrt(greatest(list_dot_product(q.v, q.v) + list_dot_product(c.w, c.w) - 2 * list_dot_product(q.v, c.w), 0)), 6) + 0.0 AS distance
-  FROM pts q CROSS JOIN back c))
+  FROM pts q CROSS JOIN back c WHERE q.id % 100 = 0))
 SELECT e.qid, count(*) AS wanted, count(r.id) AS found, round(count(r.id)::DOUBLE / count(*), 6) AS recall
 FROM exact e LEFT JOIN (SELECT * FROM rough WHERE rank <= 5) r ON r.qid = e.qid AND r.id = e.id GROUP BY 1""",
 )

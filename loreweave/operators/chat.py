@@ -23,7 +23,7 @@ from loreweave.operators.ordered import (
     totals_before,
     with_next_row,
 )
-
+from loreweave.session import written
 
 TAIL_CHARS = 4096
 
@@ -46,6 +46,11 @@ def history_text(pairs: DataFrame, line: Column, sep: str = "\n", part_chars: in
     return join_ordered(pairs, ["conv_id"], ["turn"], line, sep, counted_segments("turn"), part_chars)
 
 
+def _placed(pairs: DataFrame, line: Column, sep: str) -> DataFrame:
+    """The lines with their places in the history, written once: the parts and the turns that read them are made of the same rows."""
+    return written(text_spans(pairs, ["conv_id"], ["turn"], line, sep, counted_segments("turn")), "spans")
+
+
 def history_before_turn(
     pairs: DataFrame, line: Column, sep: str = "\n", drop_last: int = 0, part_chars: int = PART_CHARS
 ) -> DataFrame:
@@ -54,7 +59,7 @@ def history_before_turn(
     One row per turn and part; part 0 is always there.  The history of a conversation is joined once
     and each turn takes its prefix, so the work does not grow with the square of the turns.
     """
-    spans = text_spans(pairs, ["conv_id"], ["turn"], line, sep, counted_segments("turn"))
+    spans = _placed(pairs, line, sep)
     parts = join_spans(spans, ["conv_id"], part_chars)
     size = F.greatest(F.col("_before") - F.lit(drop_last), F.lit(0)).cast("long")
     wanted = spans.select("conv_id", "turn", size.alias("_size")).withColumn(
@@ -73,7 +78,7 @@ def history_tail(pairs: DataFrame, line: Column, sep: str, chars: Column, max_ch
     """
     # short parts: every turn copies from one
     size = max(int(max_chars), TAIL_CHARS)
-    spans = text_spans(pairs, ["conv_id"], ["turn"], line, sep, counted_segments("turn"))
+    spans = _placed(pairs, line, sep)
     parts = join_spans(spans, ["conv_id"], size, overlap=True)
     wanted = spans.withColumn("part", last_part(F.col("_before"), size)).withColumn(
         "_take", F.greatest(F.least(chars, F.col("_before"), F.lit(int(max_chars))), F.lit(0))

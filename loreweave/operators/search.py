@@ -6,6 +6,7 @@ computed in double and rounded to six digits before ranking; ties go to the smal
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Iterator, Mapping, Sequence
 
 import numpy as np
@@ -17,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from loreweave.functions.text import wrap_text
-from loreweave.session import SMALL_ROWS, bounded_rows, small_rows
+from loreweave.session import SMALL_ROWS, bounded_rows, small_rows, written
 
 DIGITS = 6
 QUERY_ROWS = 4096
@@ -156,7 +157,7 @@ def _in_cell_grids(chunks: DataFrame, queries: DataFrame, chunk_rows: int, query
     def sizes(df: DataFrame, name: str, rows: int) -> DataFrame:
         return df.groupBy("_cell").agg(F.ceil(F.count(F.lit(1)) / F.lit(rows)).alias(name))
 
-    # one row per cell, at most MAX_CELLS
+    # one row per cell; cells are numbered by centres, of which there are at most MAX_CELLS
     grid = F.broadcast(sizes(chunks, "_nc", chunk_rows).join(sizes(queries, "_nq", query_rows), "_cell"))
     nc, nq = F.col("_nc"), F.col("_nq")
     left, right = chunks.join(grid, "_cell"), queries.join(grid, "_cell")
@@ -227,6 +228,17 @@ def nearest_cells(vec: Column, centres: DataFrame, n: int) -> Column:
     return nearest(vec)
 
 
+def cells_for(chunks: DataFrame) -> int:
+    """As many cells as a cell has rows: a search of a fixed number of cells reads a falling share of a growing collection."""
+    return min(MAX_CELLS, max(1, math.ceil(math.sqrt(chunks.count()))))
+
+
+def store_by_cell(index: DataFrame, path: str) -> DataFrame:
+    """Write a ``cell_index`` by cell and read it back; the rows are clustered first, so a cell is a few files, a large one several."""
+    index.repartitionByRange("cell", "id").write.partitionBy("cell").parquet(path)
+    return index.sparkSession.read.parquet(path)
+
+
 def cell_index(chunks: DataFrame, centres: DataFrame) -> DataFrame:
     """The collection with the ``cell`` of every vector; to be stored by cell, so that a search reads only its cells."""
     return chunks.withColumn("cell", F.get(nearest_cells(F.col("vec"), centres, 1), 0))
@@ -245,10 +257,13 @@ def ann_join(
 ) -> DataFrame:
     """The k nearest among the vectors in the ``nprobe`` cells nearest to each query; ``index`` is a ``cell_index``.
 
-    An equi-join on the cell; a cell with many chunks or many queries is cut into several blocks.
+    Only the cells that a query probes are read (at most ``MAX_CELLS`` numbers go into the filter, which prunes the folders of a
+    stored index). An equi-join on the cell; a cell with many chunks or many queries is cut into several blocks.
     """
-    placed = index.select("id", "vec", F.col("cell").alias("_cell"))
     probes = queries.select("qid", "vec", F.explode(nearest_cells(F.col("vec"), centres, nprobe)).alias("_cell"))
+    probes = written(probes, "probes")
+    probed = [r["_cell"] for r in bounded_rows(probes.select("_cell").distinct(), "cells", MAX_CELLS)]
+    placed = index.where(F.col("cell").isin(probed)).select("id", "vec", F.col("cell").alias("_cell"))
     blocks = _in_cell_grids(placed, probes, block_chunks, block_queries)
     return topk_per_query(_hits_by_block(*blocks, k, metric), k)
 
