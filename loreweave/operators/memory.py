@@ -20,6 +20,7 @@ from loreweave.functions.text import strip
 from loreweave.functions.vectors import squared_distance
 from loreweave.operators.ordered import (
     PART_CHARS,
+    SEGMENT_ROWS,
     Cut,
     Segments,
     hot_keys,
@@ -288,6 +289,7 @@ def reflection_trigger(
     *,
     fold_rows: int = FOLD_ROWS,
     hot_rows: int = HOT_ROWS,
+    segment_rows: int = SEGMENT_ROWS,
 ) -> DataFrame:
     """Memories at which an agent reflects, with the sum reached: ``(agent, order..., reached)``.
 
@@ -303,7 +305,7 @@ def reflection_trigger(
     else:
         # None: too many to list, so every agent is cut
         long = rows if hot is None else rows.join(F.broadcast(hot), "agent", "left_semi")
-        runs = totals_before(long, ["agent"], order, Cut(["agent"], fold_rows, None), {"_idx": F.lit(1)}).withColumn(
+        runs = totals_before(long, ["agent"], order, Cut(["agent"], segment_rows, None), {"_idx": F.lit(1)}).withColumn(
             "_fold", F.expr(f"_idx div {int(fold_rows)}")
         )
         started = runs.join(_entries(runs.select("agent", "_fold", "_idx", "_v"), limit), ["agent", "_fold"])

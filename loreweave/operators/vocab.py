@@ -6,11 +6,11 @@ from collections.abc import Iterator, Sequence
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from loreweave.functions.vectors import tokens
+from loreweave.operators.ordered import Segments, totals_before
 from loreweave.operators.training import SPECIAL_PIECES
 from loreweave.session import bounded_rows
 
@@ -31,12 +31,11 @@ def vocab_merge(a: DataFrame, b: DataFrame, dedup_b: bool = False) -> DataFrame:
     if dedup_b:
         new = new.groupBy("piece").agg(F.min("id").alias("id"))
     base = a.agg(F.count(F.lit(1))).scalar()
-    # vocabularies are bounded tables, so one task ranks the new pieces
-    new = new.select("piece", F.row_number().over(W.orderBy("id")).alias("_rank"))
+    new = totals_before(new.withColumn("_all", F.lit(0)), ["_all"], ["id"], Segments(), {"_rank": F.lit(1)})
     score = F.col("score") if "score" in a.columns else F.lit(0.0)
     return a.select(F.col("id").cast("int").alias("id"), "piece", score.cast("float").alias("score")).unionByName(
         new.select(
-            (base + F.col("_rank") - 1).cast("int").alias("id"),
+            (base + F.col("_rank")).cast("int").alias("id"),
             "piece",
             F.lit(0.0).cast("float").alias("score"),
         )
