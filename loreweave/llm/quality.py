@@ -37,6 +37,14 @@ SEED = 5
 SIGNS = "|!%&$*#?:;,.\"'()[]{}<>/=_-@"
 
 
+def capitals(text: str) -> int:
+    """Characters of a whole text, of any length, that lower-casing changes."""
+    codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
+    found, times = np.unique(codes[codes >= 128], return_counts=True)
+    other = sum(n for c, n in zip(found.tolist(), times.tolist()) if chr(c).lower() != chr(c))
+    return int(np.count_nonzero(codes - np.uint32(65) < 26)) + other  # A-Z, and what lies beyond ASCII
+
+
 def measures(text: str) -> list[float]:
     """Properties of one whole text; all are shares or logarithms, so length hardly matters."""
     n = max(1, len(text))
@@ -44,15 +52,13 @@ def measures(text: str) -> list[float]:
     m = max(1, len(words))
     lines = text.split("\n")
     sentences = text.replace("!", ".").replace("?", ".").split(".")
-    low = text.lower()
     counts = Counter(words)
     lengths = np.fromiter(map(len, words), np.int64, len(words))
-    capitals = sum(1 for a, b in zip(text, low) if a != b) if len(low) == len(text) and len(text) <= 4096 else sum(map(str.isupper, words)) * n / m
     commonest = max(counts.values(), default=0)
     out = [text.count(c) / m for c in SIGNS]
     out += [
         math.log1p(len(words)),
-        capitals / n,
+        capitals(text) / n,
         sum(map(str.isupper, words)) / m,
         sum(map(str.isalpha, words)) / m,
         sum(map(str.isdigit, words)) / m,
