@@ -1,7 +1,7 @@
 """Language identification: multinomial naive Bayes over hashed character n-grams.
 
 Rules: a text that is null or has no letter is ``und`` with score 0; so is every text if nothing could be learned.
-Rows with a null text or a null language teach nothing. Ties go to the language that sorts first. Other columns,
+Rows with a null text or a null language teach nothing; every other language is learned, however rare. Ties go to the language that sorts first. Other columns,
 whatever their names, are neither read nor changed.
 """
 
@@ -15,16 +15,19 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loreweave.llm.common import fold_of, sample_of, slices, strings
+from loreweave.llm.common import fold_of, slices, strings
 from loreweave.llm.queries import query, table
+from loreweave.session import written
 
 UNKNOWN = "und"
 ORDERS = (1, 2, 3)
 BUCKETS = 1 << 15
-# rows of the labelled sample that the model is fitted on, and labels that it can tell apart: together they bound
-# what reaches the driver (LABELS x BUCKETS counts at most) and what is broadcast
+# distinct texts that the model is fitted on: each label gets an equal part, but LEAST_ROWS at least; a label with fewer gives all
 FIT_ROWS = 12_000
-LABELS = 128
+LEAST_ROWS = 100
+# more labels are an error, never dropped: LABELS x BUCKETS counts reach the driver (16 bytes each, 268 MB, and as many
+# numbers of 8 bytes, 134 MB), a task holds 134 MB of counts, and 67 MB of weights are broadcast
+LABELS = 512
 SMOOTHING = 0.5
 LETTER = re.compile(r"[^\W\d_]")
 
@@ -56,8 +59,8 @@ def codes_of(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
 
 
 def count_ngrams(batches):
-    """Arrow batches ``(label, text)`` to ``(label, bucket, n)``, summed within the task."""
-    held: dict[str, np.ndarray] = {}
+    """Arrow batches ``(label, text)`` to ``(label, bucket, n)``, summed within the task; labels are numbers."""
+    held: dict[int, np.ndarray] = {}
     for batch in batches:
         labels, texts = batch.column(0).to_pylist(), strings(batch.column(1))
         for a, b in slices(texts):
@@ -69,34 +72,48 @@ def count_ngrams(batches):
     for label, counts in held.items():
         at = np.flatnonzero(counts)
         yield pa.RecordBatch.from_arrays(
-            [pa.array([label] * len(at), pa.string()), pa.array(at, pa.int32()), pa.array(counts[at], pa.int64())],
+            [pa.array(np.full(len(at), label), pa.int32()), pa.array(at, pa.int32()), pa.array(counts[at], pa.int64())],
             ["label", "bucket", "n"],
         )
 
 
+def sampled_texts(rows: DataFrame, fit_rows: int) -> tuple[list, DataFrame]:
+    """Rows ``(label, texts, rows)`` of all labels, sorted, and ``(label number, text)``: about an equal number of distinct texts of each
+    label chosen by hash, and at least one."""
+    mark = F.xxhash64(F.col("text"), F.lit(17))
+    marked = written(rows.select("label", mark.alias("mark")).groupBy("label", "mark").agg(F.count("*").alias("n")), "marks")
+    found = marked.groupBy("label").agg(F.count("*").alias("texts"), F.sum("n").alias("rows"), F.min("mark").alias("first"))
+    shares = sorted(found.limit(LABELS + 1).collect(), key=lambda r: r["label"])
+    if len(shares) > LABELS:
+        raise ValueError(f"more than {LABELS} languages in the label column: their counts would not fit the driver")
+    each = max(LEAST_ROWS, fit_rows // max(1, len(shares)))
+    limits = []
+    for i, r in enumerate(shares):
+        # marks are spread evenly, so those up to a border are a share of them
+        border = round((each / r["texts"] - 0.5) * (1 << 64)) if each < r["texts"] else (1 << 63) - 1
+        limits.append((r["label"], i, max(r["first"], border)))
+    borders = rows.sparkSession.createDataFrame(limits, "label string, place int, border long")
+    taken = rows.withColumn("mark", mark).join(F.broadcast(borders), "label").filter("mark <= border")  # LABELS rows at most
+    return shares, taken.dropDuplicates(["place", "mark"]).select(F.col("place").alias("label"), "text")
+
+
 def fit(df: DataFrame, text: str, label: str, fit_rows: int = FIT_ROWS) -> LanguageModel | None:
-    """Learn from the rows of ``df``: label shares from all of them, n-grams from a bounded sample chosen by hash."""
-    rows = df.select(F.col(label).cast("string").alias("label"), F.col(text).alias("text")).filter("label IS NOT NULL AND text IS NOT NULL")
-    shares = rows.groupBy("label").count().orderBy(F.desc("count"), "label").limit(LABELS).collect()
+    """Learn from the rows of ``df``: label shares from all of them, n-grams from a bounded sample of each label chosen by hash."""
+    rows = df.select(F.col(label).cast("string").alias("label"), F.col(text).cast("string").alias("text")).filter("label IS NOT NULL AND text IS NOT NULL")
+    shares, taken = sampled_texts(rows, fit_rows)
     if not shares:
         return None
-    shares = sorted((r["label"], r["count"]) for r in shares)
-    labels = [s[0] for s in shares]
-    counted = (
-        sample_of(rows.filter(F.col("label").isin(labels)), F.col("text"), fit_rows)
-        .repartition(8)
-        .mapInArrow(count_ngrams, "label string, bucket int, n long")
-        .groupBy("label", "bucket")
-        .agg(F.sum("n").alias("n"))
-    )
+    labels = [r["label"] for r in shares]
+    counted = taken.repartition(8).mapInArrow(count_ngrams, "label int, bucket int, n long").groupBy("label", "bucket").agg(F.sum("n").alias("n"))
     counts = np.zeros((len(labels), BUCKETS))
     found = counted.toArrow()  # at most LABELS x BUCKETS rows
-    place = {x: i for i, x in enumerate(labels)}
-    at = np.array([place[x] for x in found["label"].to_pylist()], np.int64)
-    counts[at, found["bucket"].to_numpy()] = found["n"].to_numpy()
+    counts[found["label"].to_numpy(), found["bucket"].to_numpy()] = found["n"].to_numpy()
     counts += SMOOTHING
-    totals = np.array([s[1] for s in shares], float)
-    return LanguageModel(labels, np.log(totals / totals.sum()), np.log(counts / counts.sum(1, keepdims=True)).astype(np.float32))
+    weights = np.empty(counts.shape, np.float32)
+    for k, row in enumerate(counts):
+        weights[k] = np.log(row / row.sum())
+    totals = np.array([r["rows"] for r in shares], float)
+    return LanguageModel(labels, np.log(totals / totals.sum()), weights)
 
 
 def log_scores(model: LanguageModel, texts: list[str]) -> np.ndarray:
