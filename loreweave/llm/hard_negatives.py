@@ -3,9 +3,10 @@
 Anchors are grouped around centres fitted on a bounded sample. For a cluster, a row's score with any member is at most
 |anchor| |row| cos(max(0, angle(row, centre) - widest angle(member, centre))); rows are sorted by that bound once, and every
 member walks the one list until the bound cannot reach what it still needs. A list exists in parts, so that no task holds a
-whole one: rows lie in cells (nearest centre, and the centre of the cell's furthest row bounds all its rows), a cell is cut
-into slices, and the members of a cluster into parts. A part meets a slice as one group, in two walks: its own cell first, which
-gives every member a floor, then the cells whose bound still reaches the floor of some member; the others are never read.
+whole one: rows lie in cells (nearest centre; the widest angle and the longest row bound the whole cell). Small neighbouring
+cells share a shelf, a large cell is a shelf of several slices; clusters and their members are bundled in the same way. A
+part of a bundle meets a slice of a shelf as one group, in two rounds: the shelves of the bundle's own cells first, which give
+every member a floor, then the shelves whose bound still reaches the floor of some member; the others are never read.
 
 The same walk is done twice: over rows of the anchor's label for its positives, then over rows of other labels for the best ones
 inside each positive's window, ``MARGIN`` of the positive's score. Both are certified, so results equal brute force.
@@ -40,7 +41,7 @@ MARGIN = (50, 95)  # percent of the positive's score that a negative's must lie
 MOST_SQUARE = float(1 << 56)
 # anchors that the centres are fitted on, anchors a cluster should have, clusters at most (their summaries are held on the driver)
 FIT_ROWS, MEMBERS, CLUSTERS, ROUNDS, SEED = 8_192, 32, 1_024, 8, 11
-# members of a part and rows of a slice, about: what one task holds at a time
+# members of a bundle's part and rows of a shelf's slice, about: what one task holds at a time
 PART, SLICE = 2_048, 8_192
 STEP = 512  # rows of a list that are scored at a time
 CELLS = 1 << 20  # scores that are held at a time
@@ -81,6 +82,31 @@ def spherical_centres(points: np.ndarray, clusters: int, rounds: int = ROUNDS, s
     return centres
 
 
+def chain(centres: np.ndarray) -> np.ndarray:
+    """The centres in an order in which neighbours are close: each is followed by the nearest one left."""
+    left = np.ones(len(centres), bool)
+    out = [0]
+    left[0] = False
+    while left.any():
+        near = centres @ centres[out[-1]]
+        near[~left] = -np.inf
+        out.append(int(near.argmax()))
+        left[out[-1]] = False
+    return np.array(out)
+
+
+def packed(sizes: np.ndarray, order: np.ndarray, most: int) -> np.ndarray:
+    """The group of each item: neighbours in ``order`` share one while they have ``most`` rows together; a larger item is alone."""
+    group = np.zeros(len(sizes), np.int64)
+    at, held = 0, 0
+    for i in order:
+        if held and held + sizes[i] > most:
+            at, held = at + 1, 0
+        group[i] = at
+        held += sizes[i]
+    return group
+
+
 def matrix(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
     flat = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
     return flat.flatten().to_numpy(zero_copy_only=False).reshape(len(flat), -1)
@@ -132,9 +158,9 @@ def walk(members: dict, seekers: dict, rows: dict, centre: np.ndarray, widest: f
     number of scores computed.
 
     ``members``: ``id, label, v, norm``. ``seekers``: the ``member`` each belongs to, the lowest and highest score it takes, and the
-    k-th best it has already, ``floor``. ``rows``: ``id, label, v, norm``.
+    k-th best it has already, ``floor``. ``rows``: ``id, label, v, norm`` and the vectors at length one, ``unit``.
     """
-    cosine = units(rows["v"].astype(np.float64), rows["norm"]) @ centre
+    cosine = rows["unit"] @ centre
     angle = np.where(rows["norm"] > 0, np.arccos(np.clip(cosine, -1, 1)), 0.0)
     bound = rows["norm"] * np.cos(np.maximum(angle - widest, 0.0)) + SLACK * (1.0 + rows["norm"])
     order = np.argsort(-bound, kind="stable")
@@ -176,31 +202,34 @@ def as_rows(t: pa.Table) -> dict:
 
 
 def walker(held, k: int, same: bool) -> Callable:
-    """For ``applyInArrow``: a part of a cluster's seekers and a slice of rows to the best of each seeker in the slice."""
+    """For ``applyInArrow``: the seekers of a bundle's part and the rows of a slice to the best of each seeker in the slice."""
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         # a seeker's target is the positive it belongs to, or null
-        names = ["anchor", "target", "row", "score"]
-        if not left.num_rows or not right.num_rows:
-            return pa.Table.from_arrays([pa.array([], pa.int64())] * 4, names)
-        centres, widest = held.value
-        cluster = left["cluster"][0].as_py()
-        ids, first, member = np.unique(left["id"].to_numpy(), return_index=True, return_inverse=True)
-        members = as_rows(left.take(first))
-        seekers = {n: left[n].to_numpy() for n in ("low", "high", "floor")} | {"member": member}
-        s, score, row, _ = walk(members, seekers, as_rows(right), centres[cluster], widest[cluster], k, same)
-        target = left["target"].combine_chunks().take(pa.array(s))
-        return pa.Table.from_arrays([pa.array(ids[member[s]]), target, pa.array(row), pa.array(score)], names)
+        out = [np.empty(0, np.int64)] * 3
+        targets = []
+        if left.num_rows and right.num_rows:
+            centres, widest = held.value
+            rows = as_rows(right)
+            rows["unit"] = units(rows["v"].astype(np.float64), rows["norm"])
+            clusters = left["cluster"].to_numpy()
+            for cluster in np.unique(clusters):
+                some = left.take(np.flatnonzero(clusters == cluster))
+                ids, first, member = np.unique(some["id"].to_numpy(), return_index=True, return_inverse=True)
+                seekers = {n: some[n].to_numpy() for n in ("low", "high", "floor")} | {"member": member}
+                s, score, row, _ = walk(as_rows(some.take(first)), seekers, rows, centres[cluster], widest[cluster], k, same)
+                out = [np.concatenate(x) for x in zip(out, (ids[member[s]], row, score))]
+                targets += some["target"].take(pa.array(s)).to_pylist()
+        return pa.Table.from_arrays([pa.array(out[0]), pa.array(targets, pa.int64()), pa.array(out[1]), pa.array(out[2])], ["anchor", "target", "row", "score"])
 
     return run
 
 
 class Lists:
-    """The shared lists: centres, members of clusters in parts, rows of cells in slices."""
+    """The shared lists: centres, bundles of clusters with their members, shelves of cells with their rows."""
 
     def __init__(self, rows: DataFrame, is_anchor: Column, fit_rows: int = FIT_ROWS, members: int = MEMBERS, part: int = PART, slice_rows: int = SLICE, copies: int = POSITIVES + 1) -> None:
         self.spark = spark = rows.sparkSession
-        self.part = part
         anchors = rows.filter(is_anchor)
         n = anchors.count()
         sample = sample_of(anchors.filter("norm > 0"), F.col("id"), fit_rows).select("id", "v", "norm").toArrow().sort_by("id")
@@ -212,39 +241,54 @@ class Lists:
             self.centres = np.zeros((1, first[0]["size"] if first else 1))
         spot = place(spark, self.centres, F.col("v"), F.col("norm"))
         placed = anchors.withColumn("p", spot).select("id", "label", "v", "norm", F.col("p.cell").alias("cluster"), F.col("p.angle").alias("angle"))
-        self.members = written(placed, "members")
-        self.widest = np.zeros(len(self.centres))
-        sizes = self.members.groupBy("cluster").agg(F.max("angle").alias("widest"), F.count("*").alias("n")).collect()  # CLUSTERS rows at most
-        self.parts = np.zeros(len(self.centres), np.int64)
-        for r in sizes:
-            self.widest[r["cluster"]] = r["widest"]
-            self.parts[r["cluster"]] = math.ceil(r["n"] / part)
+        members_at = written(placed, "members")
+        clusters = len(self.centres)
+        order = chain(self.centres)
+        self.widest, sizes = np.zeros(clusters), np.zeros(clusters, np.int64)
+        for r in members_at.groupBy("cluster").agg(F.max("angle").alias("widest"), F.count("*").alias("n")).collect():  # CLUSTERS rows at most
+            self.widest[r["cluster"]], sizes[r["cluster"]] = r["widest"], r["n"]
+        self.bundle = packed(sizes, order, part)
+        self.parts = np.ceil(np.bincount(self.bundle, sizes) / part).astype(np.int64)
+        self.members = members_at.join(self.groups(self.bundle, "cluster", "bundle"), "cluster")
         # of copies with one label only the smallest ids can be among the best
         rank = F.row_number().over(Window.partitionBy("label", "v").orderBy("id"))
         kept = rows.withColumn("copy", rank).filter(F.col("copy") <= copies).withColumn("p", spot)
-        self.rows = written(kept.select("id", "label", "v", "norm", F.col("p.cell").alias("cell"), F.col("p.angle").alias("angle")), "cells")
+        rows_at = written(kept.select("id", "label", "v", "norm", F.col("p.cell").alias("cell"), F.col("p.angle").alias("angle")), "cells")
         facts = [F.max("angle").alias("widest"), F.max("norm").alias("longest"), F.min("norm").alias("shortest"), F.count("*").alias("n")]
-        cells = self.rows.groupBy("cell").agg(*facts).orderBy("cell").toArrow()  # CLUSTERS rows at most
-        self.cells = {n: cells[n].to_numpy() for n in cells.column_names}
-        self.slices = np.ceil(self.cells["n"] / slice_rows).astype(np.int64)
-        self.reach = reach(self.centres, self.widest, self.cells)
-        self.own = self.cells["cell"][None, :] == np.arange(len(self.centres))[:, None]
+        found = rows_at.groupBy("cell").agg(*facts).toArrow()  # CLUSTERS rows at most
+        cells = {"cell": np.arange(clusters)} | {n: np.zeros(clusters) for n in ("widest", "longest", "shortest", "n")}
+        for n in ("widest", "longest", "shortest", "n"):
+            cells[n][found["cell"].to_numpy()] = found[n].to_numpy()
+        self.shelf = packed(cells["n"], order, slice_rows)
+        self.slices = np.ceil(np.bincount(self.shelf, cells["n"]) / slice_rows).astype(np.int64)
+        self.rows = rows_at.join(self.groups(self.shelf, "cell", "shelf"), "cell")
+        self.reach = np.where(cells["n"] > 0, reach(self.centres, self.widest, cells), -np.inf)
+        self.own = self.pairs(np.eye(clusters, dtype=bool))
         self.held = spark.sparkContext.broadcast((self.centres, self.widest))
 
+    def groups(self, numbers: np.ndarray, item: str, group: str) -> DataFrame:
+        """The group of every cluster or cell, as a table of CLUSTERS rows at most."""
+        return F.broadcast(self.spark.createDataFrame([(i, int(g)) for i, g in enumerate(numbers)], f"{item} int, {group} int"))
+
+    def pairs(self, wanted: np.ndarray) -> np.ndarray:
+        """(bundles, shelves): those that hold a wanted pair of a cluster and a cell."""
+        out = np.zeros((len(self.parts), len(self.slices)), bool)
+        c, x = np.nonzero(wanted)
+        out[self.bundle[c], self.shelf[x]] = True
+        return out
+
     def meet(self, seekers: DataFrame, wanted: np.ndarray, k: int, same: bool) -> DataFrame:
-        """Walk the wanted (cluster, cell) pairs: one group for a part of the cluster and a slice of the cell."""
-        pairs = [
-            (int(c), int(self.cells["cell"][x]), int(self.parts[c]), int(self.slices[x])) for c, x in zip(*np.nonzero(wanted)) if self.parts[c] and self.slices[x]
-        ]
+        """Walk the wanted (bundle, shelf) pairs: one group for a part of the bundle and a slice of the shelf."""
+        pairs = [(int(b), int(s), int(self.parts[b]), int(self.slices[s])) for b, s in zip(*np.nonzero(wanted)) if self.parts[b] and self.slices[s]]
         # CLUSTERS x CLUSTERS short rows at most
-        known = F.broadcast(self.spark.createDataFrame(pairs, "cluster int, cell int, parts int, slices int"))
-        group = ["cluster", "part", "cell", "slice"]
-        left = seekers.join(known, "cluster").withColumn("part", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int"))
+        known = F.broadcast(self.spark.createDataFrame(pairs, "bundle int, shelf int, parts int, slices int"))
+        group = ["bundle", "part", "shelf", "slice"]
+        left = seekers.join(known, "bundle").withColumn("part", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int"))
         left = left.withColumn("slice", F.explode(F.sequence(F.lit(0), F.col("slices") - 1)))
-        right = self.rows.join(known, "cell").withColumn("slice", F.pmod(F.xxhash64("id"), F.col("slices")).cast("int"))
+        right = self.rows.join(known, "shelf").withColumn("slice", F.pmod(F.xxhash64("id"), F.col("slices")).cast("int"))
         right = right.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-        left = left.select("cluster", "part", "cell", "slice", "id", "target", "label", "v", "norm", "low", "high", "floor")
-        right = right.select("cluster", "part", "cell", "slice", "id", "label", "v", "norm")
+        left = left.select(*group, "cluster", "id", "target", "label", "v", "norm", "low", "high", "floor")
+        right = right.select(*group, "id", "label", "v", "norm")
         schema = "anchor long, target long, row long, score long"
         return left.groupBy(*group).cogroup(right.groupBy(*group)).applyInArrow(walker(self.held, k, same), schema)
 
@@ -265,10 +309,10 @@ class Lists:
         # the least that a member of a cluster still needs, as a multiple of its length; zero vectors need to see every row
         need = F.when(F.col("norm") > 0, F.greatest("low", "floor") / F.col("norm")).otherwise(F.lit(-math.inf))
         least = asked.filter(F.col("low") <= F.col("high")).groupBy("cluster").agg(F.min(need).alias("need")).collect()  # CLUSTERS rows at most
-        wanted = np.zeros(self.own.shape, bool)
+        wanted = np.zeros(self.reach.shape, bool)
         for r in least:
             wanted[r["cluster"]] = self.reach[r["cluster"]] * (1 + SLACK) >= r["need"]
-        rest = self.meet(asked, wanted & ~self.own, k, same)
+        rest = self.meet(asked, self.pairs(wanted) & ~self.own, k, same)
         return top(own.drop("rank").unionByName(rest))
 
 

@@ -90,7 +90,7 @@ def test_walk_ends_early_and_loses_nothing():
     anchors = ids[::50]
     centres = spherical_centres(unit[anchors], 40)
     cell = (unit[anchors] @ centres.T).argmax(1)
-    rows = {"id": ids, "label": labels, "v": ints, "norm": norm}
+    rows = {"id": ids, "label": labels, "v": ints, "norm": norm, "unit": unit}
     scored = 0
     for c in np.unique(cell):
         mine = anchors[cell == c]
