@@ -25,9 +25,12 @@ BLOCK = 1 << 20
 STEPS = 256
 LEARN = 8  # what an id seen adds to its count
 FULL_STEPS, EVERY = 8, 4  # counts are brought up to date at each of the first steps, then at every few
-CONFIDENCE, RARITY = 16, 12  # levels: times in a row that a prediction was right; how rare the predicted id is, as a power of 2
+SURE_BITS = 4
+CONFIDENCE, RARITY = 1 << SURE_BITS, 12  # levels: times in a row that a prediction was right; how rare the predicted id is, as a power of 2
+# confidence after a wrong and after a right prediction, by confidence before
+NEXT = np.array([[max(1, k // 2), min(k + 1, CONFIDENCE - 1)] for k in range(CONFIDENCE)]).ravel()
 ODDS = 15  # most that a prediction adds, as a multiple of all below it: the total stays under 2^32
-SLOTS_BITS = 18
+SLOTS_BITS = 17
 SLOT_FACTOR = np.uint64(0x9E3779B97F4A7C15)
 TOP, BOTTOM, WORD = np.uint64(1 << 48), np.uint64(1 << 32), np.uint64(16)
 FLAGS = 1 << 20  # ids below it are told apart by a flag each, not by sorting
@@ -40,6 +43,38 @@ class BlockError(ValueError):
     pass
 
 
+class Prediction:
+    """What one order says about the next id of each lane."""
+
+    def __init__(self, slots: int) -> None:
+        self.held = np.zeros(slots, np.int32)  # id times CONFIDENCE, plus confidence
+        self.tries, self.right = np.full(CONFIDENCE * RARITY, 8, np.int64), np.ones(CONFIDENCE * RARITY, np.int64)
+
+    def look(self, at: np.ndarray) -> None:
+        self.at = at
+        found = self.held.take(at).astype(np.int64)
+        self.id, self.sure = found >> SURE_BITS, found & (CONFIDENCE - 1)
+
+    def weigh(self, total: np.ndarray, share: np.ndarray) -> None:
+        """``more``: what is added to the ``share`` of the predicted ids in ``total``."""
+        # quotients of whole numbers below 2^53 are rounded in one way everywhere
+        self.level = self.sure * RARITY + np.minimum(((total / share).view(np.int64) >> 52) - 1022, RARITY - 1)  # the exponent
+        odds = np.minimum(self.right / (self.tries - self.right), float(ODDS))
+        off = self.tries / (self.tries - self.right)
+        more = np.maximum(odds.take(self.level) * total - off.take(self.level) * share, 0.0).astype(np.int64)
+        self.more = more * (self.sure > 0)
+
+    def learn(self, ids: np.ndarray) -> None:
+        hit = self.id == ids
+        seen = np.bincount(self.level * 2 + hit, minlength=2 * CONFIDENCE * RARITY).reshape(-1, 2)
+        self.tries += seen.sum(1)
+        self.right += seen[:, 1]
+        # a prediction that fails loses half its confidence, and its place once none is left; lanes in the same context write in
+        # lane order, the last one stays
+        kept = hit | (self.sure > 1)
+        self.held[self.at] = np.where(kept, self.id, ids) * CONFIDENCE + NEXT.take(self.sure * 2 + hit)
+
+
 class Mixer:
     """The model that the lanes of a block share."""
 
@@ -47,79 +82,54 @@ class Mixer:
         self.size = size
         self.count = np.ones(size, np.int64)
         self.below = np.arange(size + 1, dtype=np.int64)  # sum of the counts of smaller ids
-        self.id1, self.sure1 = np.zeros(size + 1, np.int64), np.zeros(size + 1, np.int64)
-        self.id2, self.sure2 = np.zeros(1 << SLOTS_BITS, np.int64), np.zeros(1 << SLOTS_BITS, np.int64)
-        self.tries, self.right = np.full((2, CONFIDENCE * RARITY), 8, np.int64), np.ones((2, CONFIDENCE * RARITY), np.int64)
+        self.one, self.two = Prediction(size + 1), Prediction(1 << SLOTS_BITS)
         self.last = np.full((2, lanes), size, np.int64)  # ``size`` stands for no id yet
         self.waiting: list[np.ndarray] = []
         self.step = 0
 
-    def raised(self, order: int, sure: np.ndarray, total: np.ndarray, share: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """What is added to the ``share`` of predicted ids in ``total``, and the level each prediction belongs to."""
-        # quotients of whole numbers below 2^53 are rounded in one way everywhere
-        level = sure * RARITY + np.minimum(np.frexp(total / share)[1], RARITY - 1)
-        right, tries = self.right[order], self.tries[order]
-        odds, off = np.minimum(right / (tries - right), float(ODDS)), tries / (tries - right)
-        more = np.maximum(odds[level] * total - off[level] * share, 0.0).astype(np.int64)
-        more[sure == 0] = 0
-        return more, level
-
     def predict(self, lanes: int) -> None:
-        """Predictions for the next id of the first ``lanes`` lanes."""
-        one, two = self.last[0, :lanes], self.last[1, :lanes]
-        self.at1 = one
-        hashed = (two.astype(np.uint64) * np.uint64(self.size + 1) + one.astype(np.uint64)) * SLOT_FACTOR
-        self.at2 = (hashed >> np.uint64(64 - SLOTS_BITS)).astype(np.int64)
-        self.p1, self.k1 = self.id1[self.at1], self.sure1[self.at1]
-        self.p2, self.k2 = self.id2[self.at2], self.sure2[self.at2]
-        all0 = self.below[-1]
-        self.e1, self.level1 = self.raised(0, self.k1, all0, self.count_below(self.p1))
-        upto1 = all0 + self.e1
-        self.e2, self.level2 = self.raised(1, self.k2, upto1, self.count_below(self.p2) + self.e1 * (self.p1 == self.p2))
-        self.total = upto1 + self.e2
+        """Predictions for the next id of the first ``lanes`` lanes: where each predicted id starts, and how wide it is."""
+        one, two = self.one, self.two
+        hashed = (self.last[1, :lanes] * (self.size + 1) + self.last[0, :lanes]).view(np.uint64) * SLOT_FACTOR
+        one.look(self.last[0, :lanes].copy())
+        two.look((hashed >> np.uint64(64 - SLOTS_BITS)).view(np.int64))
+        share1, share2 = self.count.take(one.id), self.count.take(two.id)
+        total = self.below[-1]
+        one.weigh(total, share1)
+        same = one.id == two.id
+        total = total + one.more
+        two.weigh(total, share2 + one.more * same)
+        self.total = total + two.more
+        one.start = self.below.take(one.id) + two.more * (two.id < one.id)
+        two.start = self.below.take(two.id) + one.more * (one.id < two.id)
+        one.width = share1 + one.more + two.more * same
+        two.width = share2 + two.more + one.more * same
 
     def interval(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Start and width of each id in the mixed distribution."""
-        start = self.below[ids] + self.e1 * (self.p1 < ids) + self.e2 * (self.p2 < ids)
-        return start, self.count_below(ids) + self.e1 * (self.p1 == ids) + self.e2 * (self.p2 == ids)
-
-    def count_below(self, ids: np.ndarray) -> np.ndarray:
-        return self.below[ids + 1] - self.below[ids]
-
-    def find(self, point: np.ndarray) -> np.ndarray:
-        """The ids whose intervals hold these points."""
-        swap = self.p2 < self.p1
-        first, second = np.where(swap, self.p2, self.p1), np.where(swap, self.p1, self.p2)
-        e_first, e_second = np.where(swap, self.e2, self.e1), np.where(swap, self.e1, self.e2)
-        # an id is the first prediction, or the second, or found by counts after what lies before it is taken off
-        left = point - self.below[first]
-        wide = self.count_below(first) + e_first
-        after_first = np.where(left < 0, point, point - e_first)
-        is_first = (left >= 0) & (left < wide)
-        left = after_first - self.below[second]
-        wide = self.count_below(second) + e_second
-        # equal predictions: one interval, as wide as both
-        both = first == second
-        is_first |= both & (point >= self.below[first]) & (point < self.below[first] + wide + e_first)
-        is_second = ~is_first & (left >= 0) & (left < wide)
-        plain = np.where(left < 0, after_first, after_first - e_second)
-        out = np.where(is_first, first, second)
-        rest = np.flatnonzero(~(is_first | is_second))
-        out[rest] = np.searchsorted(self.below, plain[rest], "right") - 1
-        return out
+        one, two = self.one, self.two
+        start = self.below.take(ids) + one.more * (one.id < ids) + two.more * (two.id < ids)
+        return start, self.count.take(ids) + one.more * (one.id == ids) + two.more * (two.id == ids)
+
+    def find(self, point: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The ids whose intervals hold these points, with start and width."""
+        one, two = self.one, self.two
+        past1, past2 = point >= one.start, point >= two.start
+        in1, in2 = past1 & (point < one.start + one.width), past2 & (point < two.start + two.width)
+        ids, start, width = (np.where(in1, x, y) for x, y in ((one.id, two.id), (one.start, two.start), (one.width, two.width)))
+        # what the predictions add lies behind the point if they start before it and do not hold it
+        rest = np.flatnonzero(~(in1 | in2))
+        added = one.more[rest] * past1[rest] + two.more[rest] * past2[rest]
+        found = np.searchsorted(self.below, point[rest] - added, "right") - 1
+        ids[rest] = found
+        start[rest] = self.below.take(found) + added
+        width[rest] = self.count.take(found)
+        return ids, start, width
 
     def learn(self, ids: np.ndarray) -> None:
         lanes = len(ids)
-        one = self.p1, self.k1, self.level1, self.at1, self.id1, self.sure1
-        two = self.p2, self.k2, self.level2, self.at2, self.id2, self.sure2
-        for order, (p, k, level, at, known, sure) in enumerate((one, two)):
-            hit = p == ids
-            self.tries[order] += np.bincount(level, minlength=CONFIDENCE * RARITY)
-            self.right[order] += np.bincount(level[hit], minlength=CONFIDENCE * RARITY)
-            # lanes in the same context write in lane order, the last one stays
-            keep = hit | (k > 1)
-            known[at] = np.where(keep, p, ids)
-            sure[at] = np.where(hit, np.minimum(k + 1, CONFIDENCE - 1), np.where(keep, k >> 1, 1))
+        self.one.learn(ids)
+        self.two.learn(ids)
         self.last[1, :lanes] = self.last[0, :lanes]
         self.last[0, :lanes] = ids
         self.waiting.append(ids)
@@ -206,8 +216,7 @@ def decode_ids(words: np.ndarray, used: np.ndarray, n: int, size: int) -> np.nda
         lo, w, c = low[:here], width[:here], code[:here]
         unit = w // mixer.total.astype(np.uint64)
         point = np.minimum(((c - lo) // unit).astype(np.int64), mixer.total - 1)
-        ids = mixer.find(point)
-        start, share = mixer.interval(ids)
+        ids, start, share = mixer.find(point)
         lo += unit * start.astype(np.uint64)
         np.multiply(unit, share.astype(np.uint64), out=w)
         while True:

@@ -60,10 +60,9 @@ def test_a_full_block_and_no_more():
 def test_total_never_reaches_the_narrowest_range():
     mixer = Mixer(1 << 16, 4)
     mixer.below[-1] = (1 << 16) + range_coder.LEARN * BLOCK
-    mixer.tries[:] = BLOCK + 8
-    mixer.right[:] = BLOCK + 1
-    mixer.id1[:] = mixer.id2[:] = 1
-    mixer.sure1[:] = mixer.sure2[:] = range_coder.CONFIDENCE - 1
+    for order in (mixer.one, mixer.two):
+        order.tries[:], order.right[:] = BLOCK + 8, BLOCK + 1
+        order.held[:] = range_coder.CONFIDENCE + range_coder.CONFIDENCE - 1
     mixer.predict(4)
     assert int(mixer.total.max()) < int(range_coder.BOTTOM)
 
