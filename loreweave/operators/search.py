@@ -1,4 +1,4 @@
-"""Nearest neighbours: exact, by cells, diversified, and what is built on the hits.
+"""Nearest neighbours: exact, diversified, and what is built on the hits (by cells: ``cells``).
 
 Vectors come as ``(id, vec)``, queries as ``(qid, vec)``; hits are ``(qid, id, distance, rank)``.  Distances are
 computed in double and rounded to six digits before ranking; ties go to the smaller id.
@@ -6,7 +6,6 @@ computed in double and rounded to six digits before ranking; ties go to the smal
 
 from __future__ import annotations
 
-import math
 from collections.abc import Callable, Iterator, Mapping, Sequence
 
 import numpy as np
@@ -18,13 +17,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from loreweave.functions.text import wrap_text
-from loreweave.session import SMALL_ROWS, bounded_rows, small_rows, written
+from loreweave.session import SMALL_ROWS, small_rows
 
 DIGITS = 6
 QUERY_ROWS = 4096
 BLOCK_CHUNKS = 20_000
 BLOCK_QUERIES = 2_000
-MAX_CELLS = 16_384
 
 
 def pairwise(q: np.ndarray, c: np.ndarray, metric: str) -> np.ndarray:
@@ -49,8 +47,8 @@ def _best(hits: pd.DataFrame, k: int) -> pd.DataFrame:
     return hits[hits.groupby("qid").cumcount() < k]
 
 
-def _block_hits(qid: np.ndarray, q: np.ndarray, ids: np.ndarray, c: np.ndarray, k: int, metric: str) -> pd.DataFrame:
-    """The k best chunks of this block for each query, in slices that keep the distance matrix small."""
+def _block_hits(qid: np.ndarray, q: np.ndarray, ids: np.ndarray, c: np.ndarray, k: int, metric: str, most: np.ndarray | None = None) -> pd.DataFrame:
+    """The k best chunks of this block for each query, none beyond ``most``, in slices that keep the distance matrix small."""
     found = []
     step = max(1, 4_000_000 // max(1, len(ids)))
     for at in range(0, len(qid), step):
@@ -60,6 +58,8 @@ def _block_hits(qid: np.ndarray, q: np.ndarray, ids: np.ndarray, c: np.ndarray,
             near = d <= np.partition(d, k - 1, axis=1)[:, k - 1 : k]
         else:
             near = np.ones(d.shape, dtype=bool)
+        if most is not None:
+            near &= d <= most[at : at + step, None]
         row, col = np.nonzero(near)
         found.append(_best(pd.DataFrame({"qid": qid[at + row], "id": ids[col], "distance": d[row, col]}), k))
     if not found:
@@ -71,7 +71,7 @@ def _matrix(vectors: pd.Series) -> np.ndarray:
     return np.stack([np.asarray(v, dtype=np.float64) for v in vectors]) if len(vectors) else np.zeros((0, 1))
 
 
-def _arrow_matrix(column: pa.Array) -> np.ndarray:
+def arrow_matrix(column: pa.Array) -> np.ndarray:
     flat = column.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
     return flat.reshape(len(column), -1)
 
@@ -104,7 +104,7 @@ def _hits_with_broadcast(chunks: DataFrame, queries: DataFrame, rows: list, k: i
             if batch.num_rows == 0 or len(qids) == 0:
                 continue
             ids = batch.column("id").to_numpy(zero_copy_only=False)
-            hits = _block_hits(qids, q, ids, _arrow_matrix(batch.column("vec")), k, metric)
+            hits = _block_hits(qids, q, ids, arrow_matrix(batch.column("vec")), k, metric)
             best = hits if best is None else _best(pd.concat([best, hits], ignore_index=True), k)
         if best is not None:
             yield pa.RecordBatch.from_pandas(best[["qid", "id", "distance"]], preserve_index=False)
@@ -112,15 +112,17 @@ def _hits_with_broadcast(chunks: DataFrame, queries: DataFrame, rows: list, k: i
     return chunks.select("id", "vec").mapInArrow(run, _hit_schema(chunks, queries))
 
 
-def _hits_by_block(chunks: DataFrame, queries: DataFrame, k: int, metric: str) -> DataFrame:
-    """Score blocks: both sides carry ``_cell, _c, _q``; a block holds a bounded share of each."""
+def hits_by_block(chunks: DataFrame, queries: DataFrame, k: int, metric: str) -> DataFrame:
+    """Score blocks: both sides carry ``_cell, _c, _q``; a block holds a bounded share of each. Queries may carry ``most``, a
+    distance beyond which a hit is of no use."""
     block = ["_cell", "_c", "_q"]
 
     def score(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         if left.empty or right.empty:
             return pd.DataFrame({"qid": right["qid"][:0], "id": left["id"][:0], "distance": np.zeros(0)})
+        most = right["most"].to_numpy() if "most" in right else None
         return _block_hits(
-            right["qid"].to_numpy(), _matrix(right["vec"]), left["id"].to_numpy(), _matrix(left["vec"]), k, metric
+            right["qid"].to_numpy(), _matrix(right["vec"]), left["id"].to_numpy(), _matrix(left["vec"]), k, metric, most
         )
 
     return (
@@ -135,7 +137,7 @@ def _spread(df: DataFrame, id_column: str, own: str, splits: Column, other: str,
     return (
         df.withColumn(own, F.pmod(F.xxhash64(id_column), splits).cast("int"))
         .withColumn(other, F.explode(F.sequence(F.lit(0), other_splits.cast("int") - 1)))
-        .select(id_column, "vec", "_cell", "_c", "_q")
+        .select(id_column, "vec", *[c for c in df.columns if c == "most"], "_cell", "_c", "_q")
     )
 
 
@@ -151,13 +153,13 @@ def _in_one_grid(chunks: DataFrame, queries: DataFrame, chunk_rows: int, query_r
     return _spread(left, "id", "_c", nc, "_q", nq), _spread(right, "qid", "_q", nq, "_c", nc)
 
 
-def _in_cell_grids(chunks: DataFrame, queries: DataFrame, chunk_rows: int, query_rows: int) -> tuple[DataFrame, DataFrame]:
+def grid_by_cell(chunks: DataFrame, queries: DataFrame, chunk_rows: int, query_rows: int) -> tuple[DataFrame, DataFrame]:
     """The same within every ``_cell``, by the sizes of its two sides, however uneven the cells are."""
 
     def sizes(df: DataFrame, name: str, rows: int) -> DataFrame:
         return df.groupBy("_cell").agg(F.ceil(F.count(F.lit(1)) / F.lit(rows)).alias(name))
 
-    # one row per cell; cells are numbered by centres, of which there are at most MAX_CELLS
+    # one row per cell; cells are numbered by centres, of which there is a bounded number
     grid = F.broadcast(sizes(chunks, "_nc", chunk_rows).join(sizes(queries, "_nq", query_rows), "_cell"))
     nc, nq = F.col("_nc"), F.col("_nq")
     left, right = chunks.join(grid, "_cell"), queries.join(grid, "_cell")
@@ -185,87 +187,7 @@ def knn_topk(
         # at most k hits for each of the counted queries: later joins need not move the collection
         return F.broadcast(top) if len(rows) * k <= SMALL_ROWS else top
     blocks = _in_one_grid(chunks, queries, block_chunks, block_queries)
-    return topk_per_query(_hits_by_block(*blocks, k, metric), k)
-
-
-def sampled_cells(chunks: DataFrame, cells: int, seed: int = 42) -> DataFrame:
-    """Cell centres ``(cell, centre)``: the vectors whose seeded id hash is smallest."""
-    ranked = chunks.select("id", "vec", F.md5(F.concat(F.lit(f"{seed}:"), F.col("id").cast("string"))).alias("_h"))
-    first = ranked.orderBy("_h", "id").limit(cells)
-    number = F.row_number().over(W.orderBy("_h", "id")) - 1
-    return first.select(number.cast("int").alias("cell"), F.col("vec").alias("centre"))
-
-
-def kmeans_cells(chunks: DataFrame, cells: int, seed: int = 42, rounds: int = 10) -> DataFrame:
-    """Cell centres from k-means over the collection."""
-    from pyspark.ml.clustering import KMeans
-    from pyspark.ml.functions import array_to_vector
-
-    spark = chunks.sparkSession
-    points = chunks.select(array_to_vector(F.col("vec")).alias("features"))
-    centres = KMeans(k=cells, seed=seed, maxIter=rounds).fit(points).clusterCenters()
-    return spark.createDataFrame(
-        [(i, [float(x) for x in c]) for i, c in enumerate(centres)], "cell int, centre array<float>"
-    )
-
-
-def nearest_cells(vec: Column, centres: DataFrame, n: int) -> Column:
-    """The ``n`` nearest cells of a vector, nearest first; centres are at most ``MAX_CELLS`` rows."""
-    rows = sorted(bounded_rows(centres, "cell centres", MAX_CELLS), key=lambda r: r["cell"])
-    held = centres.sparkSession.sparkContext.broadcast(
-        (np.array([r["cell"] for r in rows], dtype=np.int32), np.array([r["centre"] for r in rows], dtype=np.float64))
-    )
-    n = min(n, len(rows))
-
-    @F.arrow_udf("array<int>")
-    def nearest(batch: pa.Array) -> pa.Array:
-        cells, c = held.value
-        if len(batch) == 0:
-            return pa.array([], pa.list_(pa.int32()))
-        order = np.argsort(pairwise(_arrow_matrix(batch), c, "l2sq"), axis=1, kind="stable")[:, :n]
-        return pa.ListArray.from_arrays(np.arange(len(batch) + 1, dtype=np.int32) * n, cells[order].ravel())
-
-    return nearest(vec)
-
-
-def cells_for(chunks: DataFrame) -> int:
-    """As many cells as a cell has rows: a search of a fixed number of cells reads a falling share of a growing collection."""
-    return min(MAX_CELLS, max(1, math.ceil(math.sqrt(chunks.count()))))
-
-
-def store_by_cell(index: DataFrame, path: str) -> DataFrame:
-    """Write a ``cell_index`` by cell and read it back; the rows are clustered first, so a cell is a few files, a large one several."""
-    index.repartitionByRange("cell", "id").write.partitionBy("cell").parquet(path)
-    return index.sparkSession.read.parquet(path)
-
-
-def cell_index(chunks: DataFrame, centres: DataFrame) -> DataFrame:
-    """The collection with the ``cell`` of every vector; to be stored by cell, so that a search reads only its cells."""
-    return chunks.withColumn("cell", F.get(nearest_cells(F.col("vec"), centres, 1), 0))
-
-
-def ann_join(
-    index: DataFrame,
-    queries: DataFrame,
-    centres: DataFrame,
-    k: int,
-    nprobe: int = 4,
-    metric: str = "l2",
-    *,
-    block_chunks: int = BLOCK_CHUNKS,
-    block_queries: int = BLOCK_QUERIES,
-) -> DataFrame:
-    """The k nearest among the vectors in the ``nprobe`` cells nearest to each query; ``index`` is a ``cell_index``.
-
-    Only the cells that a query probes are read (at most ``MAX_CELLS`` numbers go into the filter, which prunes the folders of a
-    stored index). An equi-join on the cell; a cell with many chunks or many queries is cut into several blocks.
-    """
-    probes = queries.select("qid", "vec", F.explode(nearest_cells(F.col("vec"), centres, nprobe)).alias("_cell"))
-    probes = written(probes, "probes")
-    probed = [r["_cell"] for r in bounded_rows(probes.select("_cell").distinct(), "cells", MAX_CELLS)]
-    placed = index.where(F.col("cell").isin(probed)).select("id", "vec", F.col("cell").alias("_cell"))
-    blocks = _in_cell_grids(placed, probes, block_chunks, block_queries)
-    return topk_per_query(_hits_by_block(*blocks, k, metric), k)
+    return topk_per_query(hits_by_block(*blocks, k, metric), k)
 
 
 def recall(found: DataFrame, exact: DataFrame) -> DataFrame:
@@ -337,7 +259,7 @@ def mmr_topk(chunks: DataFrame, queries: DataFrame, k: int = 4, fetch_k: int = 2
     def pick(group: pa.Table) -> pa.Table:
         group = group.combine_chunks()
         order = np.argsort(group.column("id").to_numpy(), kind="stable")
-        vec = _arrow_matrix(group.column("vec").chunk(0))[order]
+        vec = arrow_matrix(group.column("vec").chunk(0))[order]
         among = 1.0 - pairwise(vec, vec, "cosine")
         sim = group.column("sim").to_numpy()[order]
         worst = np.zeros(len(order))

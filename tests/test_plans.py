@@ -1,7 +1,6 @@
 """What the physical plans may and may not contain."""
 
 import io
-import re
 from contextlib import redirect_stdout
 
 import pytest
@@ -11,7 +10,6 @@ from __spark_entry__ import queries
 from loreweave.catalog.base import table
 from loreweave.operators import memory, search
 from loreweave.operators.chat import turn_pairs
-from loreweave.session import scratch_path, written
 
 
 def plan_of(df):
@@ -43,16 +41,6 @@ def test_histories_read_their_spans_twice(spark, sf, name):
     assert plan.count("Scan parquet") <= 4 and plan.count("Exchange") <= 8
 
 
-def test_search_reads_the_probed_cells(spark, sf):
-    points = table(spark, sf, "embeddings").select(F.col("vec_id").alias("id"), F.col("embedding").alias("vec"))
-    centres = written(search.sampled_cells(points, search.cells_for(points)), "centres")
-    index = search.store_by_cell(search.cell_index(points, centres), scratch_path(spark, "cells"))
-    one = points.where("id = 100").select(F.col("id").alias("qid"), "vec")
-    plan = plan_of(search.ann_join(index, one, centres, 3, 2))
-    assert "PartitionFilters: [isnotnull(cell" in plan or "PartitionFilters: [cell" in plan
-    assert re.search(r"PartitionFilters: \[.*cell#\d+ IN \(\d+,\d+\)", plan)
-
-
 def test_pairs_prune_the_text(spark, sf):
     plan = plan_of(turn_pairs(table(spark, sf, "conversations")).select("conv_id", "turn"))
     assert "text" not in plan

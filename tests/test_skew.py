@@ -209,22 +209,6 @@ def test_knn_both_ways(spark, points, metric, query_rows):
     assert {(r.qid, r.id, r.distance, r.rank) for r in got} == brute(points, points[:40], 7, metric)
 
 
-def test_ann_probing_all_cells_is_exact(spark, points):
-    chunks, queries = frame(spark, points, "id"), frame(spark, points[:40], "qid")
-    centres = search.sampled_cells(chunks, 6)
-    index = search.cell_index(chunks, centres)
-    got = search.ann_join(index, queries, centres, 7, nprobe=6, block_chunks=20, block_queries=5).collect()
-    assert {(r.qid, r.id, r.distance, r.rank) for r in got} == brute(points, points[:40], 7)
-
-
-def test_kmeans_cells_recall(spark, points):
-    chunks, queries = frame(spark, points, "id"), frame(spark, points[:40], "qid")
-    centres = search.kmeans_cells(chunks, 6, rounds=5)
-    found = search.ann_join(search.cell_index(chunks, centres), queries, centres, 5, nprobe=3)
-    rows = search.recall(found, search.knn_topk(chunks, queries, 5)).collect()
-    assert len(rows) == 40 and sum(r.recall for r in rows) / 40 > 0.6
-
-
 def test_mmr(spark, points):
     chunks, queries = frame(spark, points, "id"), frame(spark, points[:10], "qid")
     got = sorted((r.qid, r.pick, r.id) for r in search.mmr_topk(chunks, queries, 4, 30, 0.5).collect())
