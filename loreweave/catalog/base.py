@@ -57,6 +57,22 @@ def vocab_sql(name: str, source: str, size: int) -> str:
     GROUP BY 1 ORDER BY n DESC, piece LIMIT {size}))"""
 
 
+FULL_SIZE = 32_000
+# ids 3 to 258 spell bytes, the others are the most frequent tokens
+FULL_VOCAB = f"""v AS (
+  SELECT CAST(row_number() OVER (ORDER BY n DESC, piece) + 258 AS INTEGER) AS id, piece, n FROM (
+    SELECT piece, count(*) AS n FROM (SELECT unnest({tokens_sql("text")}) AS piece FROM documents)
+    GROUP BY 1 ORDER BY n DESC, piece LIMIT {FULL_SIZE - 256}))"""
+
+
+def ids_sql(source: str, text: str) -> str:
+    """``(id, ids)``: ids of all tokens of a text without marks, tokens that ``v`` lacks spelled in bytes; no row for a text without tokens."""
+    spelled = "list_transform(range(octet_length(encode(t.piece))), lambda i: ('0x' || substr(hex(encode(t.piece)), 2 * i + 1, 2))::INTEGER + 3)"
+    return f"""SELECT t.id, flatten(list(CASE WHEN v.id IS NULL THEN {spelled} ELSE [v.id] END ORDER BY pos)) AS ids FROM (
+    SELECT id, unnest(toks) AS piece, unnest(range(len(toks))) AS pos FROM (SELECT id, {tokens_sql(text)} AS toks FROM {source})) t
+  LEFT JOIN v ON t.piece = v.piece GROUP BY t.id"""
+
+
 CHUNK_SIZE, CHUNK_OVERLAP = 600, 100
 
 CHUNKS = f"""chunks AS (

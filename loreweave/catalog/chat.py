@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from loreweave.catalog.base import PAIRS, RECORDS, joined, query, table, tokens_sql, vocab_sql
-from loreweave.catalog.training import VOCAB_SIZE, doc_vocab, quoted, records, template_sql
+from loreweave.catalog.base import FULL_VOCAB, PAIRS, RECORDS, ids_sql, joined, query, table
+from loreweave.catalog.training import full_vocab, quoted, records, template_sql
 from loreweave.functions import text as txt
 from loreweave.functions.scores import hours_passed, logistic_relevance
 from loreweave.functions.templates import (
@@ -123,11 +123,8 @@ def _chat_prompt_plain(spark, sf):
     return chat.chat_prompt_plain(pairs(spark, sf), 1024, CHAT_TEMPLATE)
 
 
-def ids_sql(out: str, source: str, text: str) -> str:
-    return f"""{out} AS (SELECT s.id, [1] || coalesce(k.ids, []) || [2] AS ids FROM {source} s LEFT JOIN (
-  SELECT t.id, list(coalesce(v.id, 0) ORDER BY pos) AS ids FROM (
-    SELECT id, unnest(toks) AS piece, unnest(range(len(toks))) AS pos FROM (SELECT id, {tokens_sql(text)} AS toks FROM {source})) t
-  LEFT JOIN v ON t.piece = v.piece GROUP BY t.id) k ON s.id = k.id)"""
+def marked_sql(out: str, source: str, text: str) -> str:
+    return f"{out} AS (SELECT s.id, [1] || coalesce(k.ids, []) || [2] AS ids FROM {source} s LEFT JOIN ({ids_sql(source, text)}) k ON s.id = k.id)"
 
 
 BUDGET = 220
@@ -135,13 +132,13 @@ BUDGET = 220
 
 @query(
     "chat_prompt_budgeted",
-    f"""WITH {RECORDS}, {vocab_sql('v', 'documents', VOCAB_SIZE)},
-{ids_sql('p', 'records', 'instruction')}, {ids_sql('h', 'records', 'output')}, {ids_sql('q', 'records', 'input')},
+    f"""WITH {RECORDS}, {FULL_VOCAB},
+{marked_sql('p', 'records', 'instruction')}, {marked_sql('h', 'records', 'output')}, {marked_sql('q', 'records', 'input')},
 j AS (SELECT p.id, p.ids AS p, h.ids AS h, q.ids AS q, {BUDGET} - len(p.ids) - len(q.ids) AS rest FROM p JOIN h USING (id) JOIN q USING (id))
 SELECT id, CASE WHEN rest >= 0 THEN array_to_string(p || h[len(h) - least(rest, len(h)) + 1:] || q, ',') END AS prompt_ids, rest < 0 AS too_long FROM j""",
 )
 def _chat_prompt_budgeted(spark, sf):
-    vocab = doc_vocab(spark, sf)
+    vocab = full_vocab(spark, sf)
     texts = {"p": F.col("instruction"), "h": F.col("output"), "q": F.col("input")}
     held = encode_ids(records(spark, sf).select("id", "instruction", "input", "output"), texts, vocab)
     packed = chat.chat_prompt_budgeted(F.col("p"), F.col("h"), F.col("q"), BUDGET)

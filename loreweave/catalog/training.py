@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from loreweave.catalog.base import PAIRS, RECORDS, joined, query, table, tokens_sql, vocab_sql
+from loreweave.catalog.base import FULL_SIZE, FULL_VOCAB, PAIRS, RECORDS, ids_sql, joined, query, table, tokens_sql, vocab_sql
 from loreweave.functions.templates import (
     INSTRUCTION_TEMPLATE,
     NO_INPUT_TEMPLATE,
@@ -132,9 +132,9 @@ def _training_plan(spark, sf):
     return training.training_plan(records(spark, sf), RATIO, 64, 8, 10, 2)
 
 
-@query("build_vocab", f"WITH {vocab_sql('v', 'documents', VOCAB_SIZE)} SELECT * FROM v")
+@query("build_vocab", f"WITH {FULL_VOCAB} SELECT * FROM v UNION ALL SELECT (i + 3)::INTEGER, printf('<0x%02X>', i), 0 FROM unnest(range(256)) t(i)")
 def _build_vocab(spark, sf):
-    return training.build_vocab(documents(spark, sf), F.col("text"), VOCAB_SIZE)
+    return training.build_vocab(documents(spark, sf), F.col("text"), FULL_SIZE, byte_pieces=True)
 
 
 def documents(spark, sf):
@@ -146,34 +146,30 @@ def doc_vocab(spark, sf):
     return written(training.build_vocab(documents(spark, sf), F.col("text"), VOCAB_SIZE), "vocab")
 
 
-def chat_vocab(spark, sf):
-    return written(training.build_vocab(table(spark, sf, "conversations"), F.col("text"), VOCAB_SIZE), "vocab")
+def full_vocab(spark, sf):
+    """A vocabulary of production size that spells what it lacks, so no token is lost."""
+    return written(training.build_vocab(documents(spark, sf), F.col("text"), FULL_SIZE, byte_pieces=True), "vocab")
 
 
-def encode_sql(source: str, text: str) -> str:
-    return f"""SELECT id, '1' || coalesce(string_agg(',' || coalesce(v_id, 0), '' ORDER BY pos), '') || ',2' AS ids, count(pos) AS n FROM (
-  SELECT t.id, t.pos, v.id AS v_id FROM (
-    SELECT id, unnest(toks) AS piece, unnest(range(len(toks))) AS pos FROM (SELECT id, {tokens_sql(text)} AS toks FROM {source})) t
-  LEFT JOIN v ON t.piece = v.piece) GROUP BY id"""
+def chat_vocab(spark, sf):
+    return written(training.build_vocab(table(spark, sf, "conversations"), F.col("text"), VOCAB_SIZE), "vocab")
 
 
 @query(
     "encode_ids",
-    f"WITH {RECORDS}, {vocab_sql('v', 'documents', VOCAB_SIZE)} "
-    + encode_sql("records", "input || chr(10) || output"),
+    f"""WITH {RECORDS}, {FULL_VOCAB}, k AS ({ids_sql("records", "input || chr(10) || output")})
+SELECT r.id, array_to_string([1] || coalesce(ids, []) || [2], ',') AS ids, coalesce(len(ids), 0) AS n FROM records r LEFT JOIN k ON k.id = r.id""",
 )
 def _encode_ids(spark, sf):
     text = F.concat("input", F.lit("\n"), "output")
-    coded = training.encode_ids(records(spark, sf).select("id", "input", "output"), {"ids": text}, doc_vocab(spark, sf))
+    coded = training.encode_ids(records(spark, sf).select("id", "input", "output"), {"ids": text}, full_vocab(spark, sf))
     return coded.select("id", joined("ids").alias("ids"), (F.size("ids") - 2).cast("long").alias("n"))
 
 
 # prompt p and full f ids as lists, then the masked labels
-MASK = f"""{RECORDS}, {vocab_sql('v', 'documents', VOCAB_SIZE)},
-prompts AS (SELECT id, {TRAIN_SQL} AS prompt, {TRAIN_SQL} || output AS full FROM records),
-toks AS (SELECT id, len({tokens_sql('prompt')}) + 2 AS n_prompt, {tokens_sql('"full"')} AS full FROM prompts),
-coded AS (SELECT t.id, any_value(n_prompt) AS n_prompt, list(coalesce(v.id, 0) ORDER BY pos) AS ids FROM (
-  SELECT id, n_prompt, unnest("full") AS piece, unnest(range(len("full"))) AS pos FROM toks) t LEFT JOIN v ON t.piece = v.piece GROUP BY t.id),
+MASK = f"""{RECORDS}, {FULL_VOCAB}, prompts AS (SELECT id, {TRAIN_SQL} AS prompt, {TRAIN_SQL} || output AS full FROM records),
+pk AS ({ids_sql("prompts", "prompt")}), fk AS ({ids_sql("prompts", '"full"')}),
+coded AS (SELECT p.id, coalesce(len(pk.ids), 0) + 2 AS n_prompt, coalesce(fk.ids, []) AS ids FROM prompts p LEFT JOIN pk ON pk.id = p.id LEFT JOIN fk ON fk.id = p.id),
 cut AS (SELECT id, least(n_prompt, {LENGTH + 1}) - 1 AS p,
   list_resize(([1] || ids || [2])[1:{LENGTH}], {LENGTH}, 0) AS input_ids, least(len(ids) + 2, {LENGTH}) AS n_real FROM coded),
 masked AS (SELECT id, input_ids, n_real, list_concat(list_transform(range(p), lambda x: -100), input_ids[p + 1:]) AS labels FROM cut)"""
@@ -186,10 +182,8 @@ masked AS (SELECT id, input_ids, n_real, list_concat(list_transform(range(p), la
 )
 def _mask_labels(spark, sf):
     held = records(spark, sf).withColumn("prompt", fill_template(TRAIN_TEMPLATE, fields()))
-    coded = training.encode_ids(held, {"full_ids": F.concat("prompt", "output")}, doc_vocab(spark, sf))
-    masked = coded.select(
-        "id", training.mask_labels(training.token_count(F.col("prompt")), F.col("full_ids"), LENGTH).alias("m")
-    )
+    coded = training.encode_ids(held, {"full_ids": F.concat("prompt", "output")}, full_vocab(spark, sf), counted={"n_prompt": F.col("prompt")})
+    masked = coded.select("id", training.mask_labels(F.col("n_prompt"), F.col("full_ids"), LENGTH).alias("m"))
     total = lambda c: F.aggregate(c, F.lit(0), lambda a, x: a + x)
     return masked.select(
         "id",
@@ -222,7 +216,7 @@ FROM positioned JOIN masked USING (id)""",
 )
 def _sft_dataset(spark, sf):
     data = sft_dataset(
-        written(records(spark, sf), "records"), doc_vocab(spark, sf), length=LENGTH, ratio=RATIO, seed=SEED, shuffle_seed=SHUFFLE_SEED
+        written(records(spark, sf), "records"), full_vocab(spark, sf), length=LENGTH, ratio=RATIO, seed=SEED, shuffle_seed=SHUFFLE_SEED
     )
     return data.select(
         "id",

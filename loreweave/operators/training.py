@@ -12,10 +12,11 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from loreweave.functions.vectors import tokens
-from loreweave.session import bounded_rows
 
 UNK, BOS, EOS, PAD = 0, 1, 2, 0
 SPECIAL_PIECES = ("<unk>", "<s>", "</s>")
+# the pieces of single bytes, as vocabularies write them
+BYTE_PIECES = [f"<0x{b:02X}>" for b in range(256)]
 IGNORED = -100
 
 
@@ -73,35 +74,69 @@ def training_plan(df: DataFrame, ratio: float, batch: int, micro_batch: int, epo
     ).withColumn("accumulation", F.lit(batch // micro_batch // world_size).cast("long"))
 
 
-def build_vocab(df: DataFrame, text: Column, size: int) -> DataFrame:
+def build_vocab(df: DataFrame, text: Column, size: int, byte_pieces: bool = False) -> DataFrame:
     """The ``size`` most frequent tokens as ``(id, piece, n)``; ids follow the three special pieces.
 
-    Counting combines before the shuffle; ranking sees at most ``size`` rows.
+    With ``byte_pieces`` the first 256 of the ``size`` pieces stand for single bytes (``<0x00>`` to ``<0xFF>``, counted 0 times), so
+    that ``encode_ids`` can spell any other token. Counting combines before the shuffle; ranking sees at most ``size`` rows.
     """
+    held = len(BYTE_PIECES) if byte_pieces else 0
     counts = df.select(F.explode(tokens(text)).alias("piece")).groupBy("piece").agg(F.count(F.lit(1)).alias("n"))
-    top = counts.orderBy(F.desc("n"), "piece").limit(size)
+    top = counts.orderBy(F.desc("n"), "piece").limit(max(0, size - held))
     rank = F.row_number().over(W.orderBy(F.desc("n"), "piece"))
-    return top.select((rank + F.lit(len(SPECIAL_PIECES) - 1)).cast("int").alias("id"), "piece", "n")
-
-
-def encode_ids(df: DataFrame, texts: Mapping[str, Column], vocab: DataFrame, limit: int = 1 << 20) -> DataFrame:
-    """Add, under each name, the token ids of a text with begin and end marks; unknown tokens are 0.
+    ranked = top.select((rank + F.lit(len(SPECIAL_PIECES) + held - 1)).cast("int").alias("id"), "piece", "n")
+    if not byte_pieces:
+        return ranked
+    spelled = [(i, piece, 0) for i, piece in enumerate(BYTE_PIECES, len(SPECIAL_PIECES))]
+    return ranked.unionByName(df.sparkSession.createDataFrame(spelled, "id int, piece string, n long"))
+
+
+def _broadcast_vocab(vocab: DataFrame, limit: int):
+    """The pieces of a vocabulary, their ids, and the ids of the 256 bytes, or none if it does not spell them all."""
+    rows = vocab.select("id", "piece").limit(limit + 1).toArrow()
+    if rows.num_rows > limit:
+        raise ValueError(f"vocabulary has more than {limit} pieces; raise the limit if that is intended")
+    ids = dict(zip(rows["piece"].to_pylist(), rows["id"].to_pylist()))
+    spelled = np.array([ids[p] for p in BYTE_PIECES], np.int32) if all(p in ids for p in BYTE_PIECES) else None
+    return vocab.sparkSession.sparkContext.broadcast((pa.array(list(ids), pa.string()), pa.array(list(ids.values()), pa.int32()), spelled))
+
+
+def _coded(batch: pa.Array, held) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of the tokens of all lists in one array, and how many each list has."""
+    pieces, ids, spelled = held.value
+    lists = batch.fill_null([]) if batch.null_count else batch
+    flat = lists.flatten()
+    found = pc.fill_null(pc.take(ids, pc.index_in(flat, value_set=pieces)), -1).to_numpy(zero_copy_only=False)
+    counts = lists.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
+    unknown = np.flatnonzero(found < 0)
+    if spelled is None or not len(unknown):
+        return np.where(found < 0, UNK, found), counts
+    # unknown tokens become their bytes
+    spell = flat.take(pa.array(unknown)).cast(pa.large_binary())
+    bounds = np.frombuffer(spell.buffers()[1], np.int64)[spell.offset : spell.offset + len(spell) + 1]
+    sizes = np.ones(len(found), np.int64)
+    sizes[unknown] = np.diff(bounds)
+    starts = np.concatenate([[0], np.cumsum(sizes)])
+    out = np.repeat(found, sizes)
+    out[out < 0] = spelled[np.frombuffer(spell.buffers()[2], np.uint8)[bounds[0] : bounds[-1]]]
+    ends = np.concatenate([[0], np.cumsum(counts)])
+    return out, np.diff(starts[ends])
+
+
+def encode_ids(
+    df: DataFrame, texts: Mapping[str, Column], vocab: DataFrame, limit: int = 1 << 20, counted: Mapping[str, Column] | None = None
+) -> DataFrame:
+    """Add, under each name, the token ids of a text with begin and end marks; for ``counted`` texts only how many there are.
 
-    The vocabulary, at most ``limit`` pieces, goes to every executor once; rows are not shuffled.
+    A token that is not in the vocabulary becomes the ids of its UTF-8 bytes if the vocabulary has byte pieces, else 0. The
+    vocabulary, at most ``limit`` pieces, goes to every executor once; rows are not shuffled.
     """
-    rows = bounded_rows(vocab.select("id", "piece"), "vocabulary", limit)
-    held = df.sparkSession.sparkContext.broadcast(
-        (pa.array([r["piece"] for r in rows], pa.string()), pa.array([r["id"] for r in rows], pa.int32()))
-    )
+    held = _broadcast_vocab(vocab, limit)
 
     @F.arrow_udf("array<int>")
     def encoded(batch: pa.Array) -> pa.Array:
-        pieces, ids = held.value
-        lists = batch.fill_null([]) if batch.null_count else batch
-        found = pc.index_in(lists.flatten(), value_set=pieces)
-        values = pc.fill_null(pc.take(ids, found), UNK).to_numpy(zero_copy_only=False)
-        lengths = lists.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64) + 2
-        ends = np.concatenate([[0], np.cumsum(lengths)])
+        values, counts = _coded(batch, held)
+        ends = np.concatenate([[0], np.cumsum(counts + 2)])
         out = np.full(int(ends[-1]), EOS, dtype=np.int32)
         out[ends[:-1]] = BOS
         inner = np.ones(len(out), dtype=bool)
@@ -110,12 +145,12 @@ def encode_ids(df: DataFrame, texts: Mapping[str, Column], vocab: DataFrame, lim
         out[inner] = values
         return pa.ListArray.from_arrays(ends.astype(np.int32), out)
 
-    return df.withColumns({name: encoded(tokens(text)) for name, text in texts.items()})
-
+    @F.arrow_udf("int")
+    def length(batch: pa.Array) -> pa.Array:
+        return pa.array(_coded(batch, held)[1] + 2, pa.int32())
 
-def token_count(text: Column) -> Column:
-    """How many ids ``encode_ids`` gives, marks included."""
-    return F.size(tokens(text)) + 2
+    added = {name: encoded(tokens(text)) for name, text in texts.items()}
+    return df.withColumns(added | {name: length(tokens(text)) for name, text in (counted or {}).items()})
 
 
 def mask_labels(prompt_tokens: Column, full_ids: Column, length: int) -> Column:

@@ -14,7 +14,6 @@ from loreweave.operators.training import (
     global_index,
     mask_labels,
     order_hash,
-    token_count,
 )
 from loreweave.session import written
 
@@ -64,8 +63,8 @@ def encoded_examples(placed: DataFrame, vocab: DataFrame, template: str = TRAIN_
     """Ids, labels and masks of placed records.  No shuffle: the long arrays are made where the record is."""
     fields = {c: F.col(c) for c in ("instruction", "input", "output")}
     prompts = placed.withColumn("_prompt", fill_template(template, fields))
-    coded = encode_ids(prompts, {"_full": F.concat("_prompt", "output")}, vocab)
-    masked = mask_labels(token_count(F.col("_prompt")), F.col("_full"), length)
+    coded = encode_ids(prompts, {"_full": F.concat("_prompt", "output")}, vocab, counted={"_n_prompt": F.col("_prompt")})
+    masked = mask_labels(F.col("_n_prompt"), F.col("_full"), length)
     return coded.select("id", "split", "position", "micro_batch", "step", masked.alias("_m")).select(
         "id", "split", "position", "micro_batch", "step", "_m.*"
     )

@@ -5,6 +5,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
+from loreweave.catalog import QUERIES
 from loreweave.functions import scores, templates, text, vectors
 from loreweave.operators import chat, files, memory, search, training, vocab
 from loreweave.operators.chunking import chunk_key
@@ -130,6 +131,31 @@ def test_encode_ids(spark):
     assert got == [[1, 3, 4, 0, 2], [1, 2], [1, 2], [1, 4, 0, 4, 2]]
 
 
+def test_unknown_tokens_are_spelled_in_bytes(spark):
+    df = spark.createDataFrame([("a a a é b b 日x",), ("日 zz",), ("",), (None,)], "t string").coalesce(1)
+    vocab = training.build_vocab(df, F.col("t"), 258, byte_pieces=True)
+    ids = {r.piece: r.id for r in vocab.collect()}
+    assert len(ids) == 258 and (ids["a"], ids["b"], ids["<0x00>"], ids["<0xFF>"]) == (259, 260, 3, 258)
+    coded = training.encode_ids(df, {"ids": F.col("t")}, vocab, counted={"n": F.col("t")})
+    got = coded.collect()
+
+    def spelled(t):
+        return [b + 3 for b in t.encode()]
+
+    want = [[259] * 3 + spelled("é") + [260] * 2 + spelled("日x"), spelled("日") + spelled("zz"), [], []]
+    assert [r.ids for r in got] == [[1, *w, 2] for w in want]
+    assert [r.n for r in got] == [len(w) + 2 for w in want]
+
+
+def test_registered_ids_lose_no_token(spark, sf):
+    for name, column in (("encode_ids", "ids"), ("chat_prompt_budgeted", "prompt_ids")):
+        rows = QUERIES[name](spark, sf).select(F.split(column, ",").alias("x"), "*")
+        assert rows.count() and rows.where(F.array_contains("x", "0")).count() == 0
+    # zeros of the training set are padding only
+    rows = QUERIES["mask_labels"](spark, sf).select(F.split("input_ids", ",").alias("x"), "n_real")
+    assert rows.where(F.size(F.filter("x", lambda i: i == "0")) != F.size("x") - F.col("n_real")).count() == 0
+
+
 def test_training_plan_and_split(spark):
     plan = training.training_plan(spark.range(10000), 0.3, 64, 8, 10, 4).first()
     assert (plan.test, plan.train, plan.steps, plan.accumulation) == (3000, 7000, 1090, 2)
