@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 
 # characters that a task turns into number arrays at a time; longer texts are cut by the callers that need it
 SLICE_CHARS = 1 << 20
+# rows that a task turns into Python objects at a time
+SLICE_ROWS = 256
 
 
 def slices(texts: list[str], most: int = SLICE_CHARS) -> Iterator[tuple[int, int]]:
@@ -29,6 +31,12 @@ def strings(column: pa.Array) -> list[str]:
     return [t if t is not None else "" for t in column.to_pylist()]
 
 
+def row_slices(batch, rows: int = SLICE_ROWS) -> Iterator:
+    """Runs of rows of an Arrow batch or array, so that a task never holds a whole batch as Python objects."""
+    for a in range(0, len(batch), rows):
+        yield batch.slice(a, rows)
+
+
 def fold_of(key: str, folds: int) -> Column:
     """crc32 of the key as text, modulo ``folds``; a null key counts as an empty one."""
     return (F.crc32(F.coalesce(F.col(key).cast("string"), F.lit("")).cast("binary")) % F.lit(folds)).cast("int")

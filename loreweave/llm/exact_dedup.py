@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from loreweave.llm.common import place, plain_names
+from loreweave.llm.common import place, plain_names, row_slices
 from loreweave.llm.queries import query, table
 from loreweave.session import written
 
@@ -237,7 +237,7 @@ def exact_dedup(df: DataFrame, key: str = "doc_id", text: str = "text", limit: i
     def fold_split(batches):
         def records():
             for b in batches:
-                for row in zip(*(c.to_pylist() for c in b.columns)):
+                for row in (r for piece in row_slices(b) for r in zip(*(c.to_pylist() for c in piece.columns))):
                     t = row[at_text] or ""
                     yield digest_of(t), t, (row[at_key], row)
 
@@ -251,7 +251,7 @@ def exact_dedup(df: DataFrame, key: str = "doc_id", text: str = "text", limit: i
     def merge(batches):
         def records():
             for b in batches:
-                for digest, *row in zip(*(c.to_pylist() for c in b.columns)):
+                for digest, *row in (r for piece in row_slices(b) for r in zip(*(c.to_pylist() for c in piece.columns))):
                     yield digest, row[at_text] or "", (row[at_key], tuple(row))
 
         yield from batched((members[0][1] for _, _, members in grace(records(), keep_largest, limit)), out_arrow, columns_of(out_arrow))

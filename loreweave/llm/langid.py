@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loreweave.llm.common import fold_of, slices, strings
+from loreweave.llm.common import fold_of, place, plain_names, row_slices, slices, strings
 from loreweave.llm.queries import query, table
 from loreweave.session import written
 
@@ -29,6 +29,8 @@ LEAST_ROWS = 100
 # numbers of 8 bytes, 134 MB), a task holds 134 MB of counts, and 67 MB of weights are broadcast
 LABELS = 512
 SMOOTHING = 0.5
+# a filter rejects texts whose language is told with less, and corrects a label that the prediction contradicts with as much
+LEAST_SCORE, RELABEL_SCORE = 0.5, 0.99
 LETTER = re.compile(r"[^\W\d_]")
 
 
@@ -164,12 +166,36 @@ def identify(df: DataFrame, key: str, text: str, label: str, folds: int = 5, fit
     ).select(F.col(key), "held_out", "found.lang_pred", "found.score")
 
 
-def keep_identified(df: DataFrame, key: str = "doc_id", text: str = "text", label: str = "lang") -> DataFrame:
-    """The rows of ``df`` whose text has a language, columns unchanged. If nothing can be learned, all rows with a letter."""
+def keep_identified(
+    df: DataFrame, key: str = "doc_id", text: str = "text", label: str = "lang", least: float = LEAST_SCORE, relabel: float = RELABEL_SCORE
+) -> DataFrame:
+    """The rows of ``df`` whose text has a language that is told with a score of ``least`` or more.
+
+    A null label becomes the language found, and so does another label if the score is ``relabel`` or more; nothing else changes. If
+    nothing can be learned, all rows with a letter stay as they are. Repeated rows are judged alike; an empty table stays empty.
+    """
     model = fit(df.filter(fold_of(key, 5) != 0), text, label)
     if model is None:
         return df.filter(F.coalesce(F.col(text).rlike(r"\p{L}"), F.lit(False)))
-    return df.filter(language_of(df.sparkSession, model, F.col(text))["lang_pred"] != UNKNOWN)
+    shared = df.sparkSession.sparkContext.broadcast(tuple(model))
+
+    @F.arrow_udf("struct<lang_pred: string, score: double>")
+    def found(column: pa.Array) -> pa.Array:
+        langs, scores = [], []
+        for piece in row_slices(column):
+            for into, values in zip((langs, scores), predict(LanguageModel(*shared.value), strings(piece))):
+                into += values
+        return pa.StructArray.from_arrays([pa.array(langs, pa.string()), pa.array(scores, pa.float64())], ["lang_pred", "score"])
+
+    names = df.columns
+    plain = plain_names(df)
+    given = F.col(f"c{place(df, label)}")
+    # not deterministic to the planner: it would run the function once for the filter and once for the labels
+    judged = found.asNondeterministic()(F.col(f"c{place(df, text)}"))
+    kept = plain.withColumn("found", judged).filter((F.col("found.lang_pred") != UNKNOWN) & (F.col("found.score") >= least))
+    changed = F.when(given.isNull() | (F.col("found.score") >= relabel), F.col("found.lang_pred")).otherwise(given)
+    at = place(df, label)
+    return kept.select(*[changed.alias(f"c{i}") if i == at else F.col(f"c{i}") for i in range(len(names))]).toDF(*names)
 
 
 @query("op7_langid")

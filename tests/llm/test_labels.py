@@ -38,3 +38,25 @@ def test_too_many_labels_are_an_error(spark):
     docs = spark.range(langid.LABELS + 1).select(F.col("id").cast("string").alias("lang"), F.lit("text").alias("text"))
     with pytest.raises(ValueError, match="languages"):
         langid.fit(docs, "text", "lang")
+
+
+def test_stage_fills_and_corrects_labels(spark):
+    rows = [(i, t, k, "x") for i, (k, t) in enumerate(x for k in range(3) for x in tongue(k, 40))]
+    wrong, unlabelled = (200, rows[3][1] + " " + rows[4][1], "l002", "x"), (201, rows[50][1], None, "x")
+    odd = [wrong, unlabelled, (202, "123 !", "l000", "x"), (203, None, "l000", "x"), (204, "", None, "x"), wrong]
+    docs = spark.createDataFrame(rows + odd, "doc_id long, text string, lang string, found string")
+    got = langid.keep_identified(docs)
+    assert got.columns == docs.columns
+    out = sorted(tuple(r) for r in got.collect())
+    fixed = [(200, wrong[1], "l000", "x")] * 2 + [(201, unlabelled[1], "l001", "x")]
+    assert out == sorted(rows + fixed)
+    # a higher bar leaves labels alone, and rejects what is told with less
+    assert ("l002",) in {tuple(r) for r in langid.keep_identified(docs, relabel=1.1).filter("doc_id = 200").select("lang").collect()}
+    assert langid.keep_identified(docs, least=1.1).count() == 0
+    assert langid.keep_identified(docs.limit(0)).count() == 0
+
+
+def test_mixed_text_is_rejected_by_its_score(spark):
+    model = langid.LanguageModel(["a", "b"], np.log([0.5, 0.5]), np.full((2, langid.BUCKETS), -1.0, np.float32))
+    langs, scores = langid.predict(model, ["any words"])
+    assert langs == ["a"] and abs(scores[0] - 0.5) < 1e-9

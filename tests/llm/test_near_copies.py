@@ -84,3 +84,12 @@ def test_forest_links_through_a_middle():
     a = np.arange(100, dtype=np.uint64)
     sets = [a, a + np.uint64(8), a + np.uint64(16), a + np.uint64(500)]
     assert sorted(near_copies.forest(sets)) == [(0, 1), (1, 2)]
+
+
+def test_bitmap_keeps_every_candidate(spark):
+    wanted = spark.range(0, 100_000, 7).select((F.col("id") * 7_919 - 300_000).alias("mark"))
+    every = spark.range(100_000).select((F.col("id") * 7_919 - 300_000).alias("mark"))
+    kept = {r.mark for r in every.filter(near_copies.among(wanted, 20)).collect()}
+    assert {r.mark for r in wanted.collect()} <= kept
+    assert len(kept) < 20_000
+    assert every.filter(near_copies.among(wanted.limit(0), 20)).count() == 0
