@@ -252,8 +252,9 @@ class Bpe:
 
         self.codec = codec
 
-    def encode(self, df: DataFrame, text: str, ids: str = "ids") -> DataFrame:
-        """``df`` with the column ``ids`` (array of int) at its end; row order is not kept."""
+    def encode(self, df: DataFrame, text: str, ids: str = "ids", intact: str | None = None) -> DataFrame:
+        """``df`` with the column ``ids`` (array of int) at its end; row order is not kept. With ``intact`` a boolean of that name
+        follows: whether the ids decode to the text. It is told where the text is encoded, so no second worker holds the tokens."""
         codec, names = self.codec, df.columns
         plain = df.toDF(*[f"c{i}" for i in range(len(names))])
         column = F.coalesce(F.col(f"c{names.index(text)}").cast("string"), F.lit(""))
@@ -268,8 +269,21 @@ class Bpe:
             c, _ = codec()
             return pa.array([c.cut(t, c.leaf) for t in texts.to_pylist()], pa.list_(pa.string()))
 
+        @F.arrow_udf("struct<ids: array<int>, intact: boolean>")
+        def checked(texts: pa.Array) -> pa.Array:
+            c, decoder = codec()
+            lists, same = [], []
+            for t in texts:
+                lists.append(c.array(t.as_py()))
+                same.append(decoder.text(lists[-1]) == t.as_py())
+            return pa.StructArray.from_arrays([int_lists(lists), pa.array(same, pa.bool_())], ["ids", "intact"])
+
         is_long = F.length(column) > self.leaf
-        short = plain.filter(~is_long).withColumn("ids", whole(column))
+        if intact is None:
+            short = plain.filter(~is_long).withColumn("ids", whole(column))
+        else:
+            made = plain.filter(~is_long).withColumn("made", checked.asNondeterministic()(column))
+            short = made.select(*plain.columns, "made.ids", "made.intact")
         # the other columns of a long row travel with its first leaf; its number is unique within this plan
         row = F.struct(*[f"c{i}" for i in range(len(names)) if i != names.index(text)], F.col(f"c{names.index(text)}").isNull().alias("none"))
         cut = plain.filter(is_long).select(F.monotonically_increasing_id().alias("row"), row.alias("kept"), leaves(column).alias("leaves"))
@@ -278,21 +292,24 @@ class Bpe:
         )
         encoded = spread.repartition(F.col("row"), F.col("leaf_no")).withColumn("ids", whole(F.col("leaf")))
         order = [f"c{i}" for i in range(len(names))]
-        out_schema = T.StructType([T.StructField("kept", encoded.schema["kept"].dataType), T.StructField("text", T.StringType()), T.StructField("ids", T.ArrayType(T.IntegerType()))])
+        out_schema = T.StructType([T.StructField("kept", encoded.schema["kept"].dataType), T.StructField("text", T.StringType()), T.StructField("ids", T.ArrayType(T.IntegerType())), *([T.StructField("intact", T.BooleanType())] if intact else [])])
         out_arrow = to_arrow_schema(out_schema)
 
         def up_the_tree(rows: pa.Table) -> pa.Table:
-            c, _ = codec()
+            c, decoder = codec()
             rows = rows.sort_by("leaf_no")
             texts = rows["leaf"].to_pylist()
             ids = c.concatenate(list(zip(texts, rows["ids"].to_pylist())))
             kept = rows["kept"].combine_chunks().slice(0, 1)
-            return pa.Table.from_arrays([kept, pa.array(["".join(texts)], pa.string()), int_lists([np.array(ids, np.uint32)])], schema=out_arrow)
+            whole_text, found = "".join(texts), np.array(ids, np.uint32)
+            checks = [pa.array([decoder.text(found) == whole_text], pa.bool_())] if intact else []
+            return pa.Table.from_arrays([kept, pa.array([whole_text], pa.string()), int_lists([found]), *checks], schema=out_arrow)
 
         joined = encoded.groupBy("row").applyInArrow(up_the_tree, out_schema)
         at = names.index(text)
-        long = joined.select(*[F.col("text").alias(x) if i == at else F.col(f"kept.{x}").alias(x) for i, x in enumerate(order)], "ids")
-        return short.select(*order, "ids").union(long).toDF(*names, ids)
+        found = ["ids", "intact"] if intact else ["ids"]
+        long = joined.select(*[F.col("text").alias(x) if i == at else F.col(f"kept.{x}").alias(x) for i, x in enumerate(order)], *found)
+        return short.select(*order, *found).union(long).toDF(*names, ids, *([intact] if intact else []))
 
     def decode(self, ids):
         """Text of a column of id arrays."""
