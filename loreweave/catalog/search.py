@@ -9,14 +9,14 @@ from pyspark.sql import functions as F
 
 from loreweave.operators.chat import ends_of_histories
 
-from loreweave.catalog.base import CHUNK_OVERLAP, CHUNK_SIZE, CHUNKS, KNN, embedding_sql, joined, query, table
+from loreweave.catalog.base import CHUNK_OVERLAP, CHUNK_SIZE, CHUNKS, KNN, embedding_sql, joined, query, table, tokens_sql
 from loreweave.catalog.training import documents, template_sql
 from loreweave.functions.hooks import echo_client, generate_text
 from loreweave.functions.scores import logistic_relevance
 from loreweave.functions.templates import FIRST_ANSWER_TEMPLATE, REFINE_TEMPLATE, STUFF_TEMPLATE
 from loreweave.functions.text import wrap_text
 from loreweave.functions.vectors import DIMS, embed_text, vec_dequant_q4, vec_quant_q4, vec_regroup
-from loreweave.operators import cells, chunking, search
+from loreweave.operators import bm25, cells, chunking, search
 from loreweave.plans import rag
 from loreweave.session import scratch_path, written
 
@@ -253,20 +253,34 @@ def _ann_recall(spark, sf):
     return search.recall(ann_hits(spark, sf, 5), exact)
 
 
+# words of every chunk and question, lower-cased; a word counts ln(1 + (N - n + 0.5) / (n + 0.5))
+BM25 = f"""cw AS (SELECT id, unnest({tokens_sql("lower(text)")}) AS term FROM chunks),
+ct AS (SELECT id, term, count(*) AS times FROM cw GROUP BY 1, 2), cl AS (SELECT id, count(*) AS length FROM cw GROUP BY 1),
+cn AS (SELECT count(*) AS n, (SELECT sum(length) FROM cl)::DOUBLE / count(*) AS mean FROM chunks),
+cd AS (SELECT term, count(*) AS texts_with FROM ct GROUP BY 1),
+qw AS (SELECT DISTINCT item_id AS qid, unnest({tokens_sql("lower(text)")}) AS term FROM benchmark),
+bm AS (SELECT q.qid, ct.id, round(sum(ln(1 + (n - texts_with + 0.5) / (texts_with + 0.5)) * times * {bm25.SATURATION + 1}
+    / (times + {bm25.SATURATION} * (1 - {bm25.LENGTH_WEIGHT} + {bm25.LENGTH_WEIGHT} * length / mean))), 6) + 0.0 AS score
+  FROM qw q JOIN ct USING (term) JOIN cd USING (term) JOIN cl ON cl.id = ct.id CROSS JOIN cn GROUP BY 1, 2),
+words AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY score DESC, id) AS rank FROM bm) WHERE rank <= 5)"""
+
+
+@query("bm25_topk", f"WITH {CHUNKS}, {BM25} SELECT qid, id, score, rank FROM words")
+def _bm25_topk(spark, sf):
+    return bm25.bm25_topk(bm25.postings(rag.document_chunks(documents(spark, sf), CHUNK_SIZE, CHUNK_OVERLAP).select("id", "text")), asked(spark, sf), 5)
+
+
 @query(
     "compare_retrievers",
-    f"""WITH {KNN}, a AS (SELECT qid, id, rank FROM hits WHERE rank <= 5),
-b AS (SELECT qid, id, rank FROM (SELECT qid, id, row_number() OVER (PARTITION BY qid ORDER BY lang_first, cosine, id) AS rank FROM (
-  SELECT d.qid, d.id, d.cosine, 0 AS lang_first FROM dist d JOIN chunks c ON c.id = d.id WHERE c.lang = 'en')) WHERE rank <= 5),
+    f"""WITH {KNN}, {BM25}, a AS (SELECT qid, id, rank FROM hits WHERE rank <= 5), b AS (SELECT qid, id, rank FROM words),
 j AS (SELECT coalesce(a.qid, b.qid) AS qid, a.rank AS ra, b.rank AS rb FROM a FULL JOIN b ON a.qid = b.qid AND a.id = b.id)
 SELECT qid, count(ra) AS hits_a, count(rb) AS hits_b, count(*) FILTER (WHERE ra IS NOT NULL AND rb IS NOT NULL) AS shared,
   coalesce(bool_or(ra = 1 AND rb = 1), false) AS same_first FROM j GROUP BY 1""",
 )
 def _compare_retrievers(spark, sf):
-    # both searches read one stored index
-    index, q = written(chunks(spark, sf), "index"), questions(spark, sf)
-    english = search.metadata_filter(index, {"lang": "en"})
-    return search.compare_retrievers(search.knn_topk(index, q, 5), search.knn_topk(english, q, 5, "cosine"))
+    # two retrievers over all chunks: nearest vectors, and words
+    near = search.knn_topk(chunks(spark, sf), questions(spark, sf), 5)
+    return search.compare_retrievers(near, _bm25_topk(spark, sf))
 
 
 @query(
