@@ -113,7 +113,7 @@ def agent_turns(spark, sf):
 
 def top_memories(spark, sf):
     queries = agent.queries_of(agent_turns(spark, sf), F.col("observation"), F.col("speaker"))
-    return memory.retrieve_memories(agent.embedded_memories(memories(spark, sf)), queries, now(), K, search_k=SEARCHED)
+    return memory.retrieve_memories(memories(spark, sf), queries, now(), K, search_k=SEARCHED, split_queries=None)
 
 
 @query("time_weighted_topk", f"WITH {SCORED} SELECT agent, query_no, memory_id, score, rank FROM a_top")

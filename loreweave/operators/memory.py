@@ -9,6 +9,8 @@ from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -17,7 +19,7 @@ from pyspark.sql import types as T
 from loreweave.functions.scores import logistic_relevance, memory_score
 from loreweave.functions.templates import TIME_FORMAT
 from loreweave.functions.text import strip
-from loreweave.functions.vectors import squared_distance
+from loreweave.functions.vectors import embed_text
 from loreweave.operators.ordered import (
     PART_CHARS,
     SEGMENT_ROWS,
@@ -32,9 +34,12 @@ from loreweave.session import small_rows
 REFLECTION_THRESHOLD = 8.0
 UNITS = 1_000_000
 FOLD_ROWS = 65_536
-# nearest memories that a query adds to the newest ones; rows of an agent that meet a query in one task
+# nearest memories that a query adds to the newest ones
 SEARCH_K = 100
+# memories and questions of one agent that meet in one block; pairs that are scored at a time
 SPLIT_ROWS = 1 << 18
+SPLIT_QUERIES = 1 << 10
+PAIRS = 1 << 19
 HOT_ROWS = 1 << 20
 
 
@@ -78,19 +83,105 @@ def time_weighted_topk(
     return memories.withColumn("score", F.round(score, 6)).withColumn("rank", rank).where(F.col("rank") <= k)
 
 
-def with_queries(memories: DataFrame, queries: DataFrame, split_rows: int = SPLIT_ROWS) -> DataFrame:
-    """Every memory beside every query of its agent; the memories of a long agent are dealt out, its queries copied to each part."""
-    sizes = memories.groupBy("agent").agg(F.ceil(F.count(F.lit(1)) / F.lit(split_rows)).cast("long").alias("_splits"))
-    long = sizes.where(F.col("_splits") > 1)
+def dealt_out(memories: DataFrame, queries: DataFrame, split_rows: int, split_queries: int | None) -> tuple[DataFrame, DataFrame]:
+    """Both sides with the block ``(_m, _q)`` they meet in: the memories of a long agent are dealt out over blocks of about ``split_rows``,
+    its questions over blocks of about ``split_queries``, and every pair of blocks meets once. Other agents are one block."""
+
+    def sizes(df: DataFrame, rows: int, name: str) -> DataFrame:
+        return df.groupBy("agent").agg(F.ceil(F.count(F.lit(1)) / F.lit(rows)).cast("int").alias(name))
+
+    one, grid = F.lit(1), sizes(memories, split_rows, "_ms")
+    grid = grid.withColumn("_qs", one) if split_queries is None else grid.join(sizes(queries, split_queries, "_qs"), "agent")
+    long = grid.where((F.col("_ms") > 1) | (F.col("_qs") > 1))
     found = small_rows(long)
     if found == []:
-        return memories.join(queries, "agent")
+        return tuple(df.withColumns({"_m": F.lit(0), "_q": F.lit(0)}) for df in (memories, queries))
     if found is not None:
         long = F.broadcast(memories.sparkSession.createDataFrame(found, long.schema))
-    splits = F.coalesce("_splits", F.lit(1).cast("long"))
-    left = memories.join(long, "agent", "left").withColumn("_split", F.pmod(F.xxhash64("memory_id"), splits)).drop("_splits")
-    right = queries.join(long, "agent", "left").withColumn("_split", F.explode(F.sequence(F.lit(0).cast("long"), splits - 1))).drop("_splits")
-    return left.join(right, ["agent", "_split"]).drop("_split")
+
+    def deal(df: DataFrame, key: str, own: str, splits: str, other: str, other_splits: str) -> DataFrame:
+        joined = df.join(long, "agent", "left").withColumn(own, F.pmod(F.xxhash64(key), F.coalesce(splits, one)).cast("int"))
+        return joined.withColumn(other, F.explode(F.sequence(F.lit(0), F.coalesce(other_splits, one) - 1))).drop("_ms", "_qs")
+
+    return deal(memories, "memory_id", "_m", "_ms", "_q", "_qs"), deal(queries, "query_no", "_q", "_qs", "_m", "_ms")
+
+
+def _vectors(column: pa.Array) -> np.ndarray:
+    """One row per vector, of NaN where there is none."""
+    held = column.drop_null()
+    flat = held.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
+    width = len(flat) // max(len(held), 1)
+    out = np.full((len(column), width), np.nan)
+    out[column.is_valid().to_numpy(zero_copy_only=False)] = flat.reshape(len(held), width)
+    return out
+
+
+def _ranks(column: pa.Array, order: str) -> np.ndarray:
+    return pc.rank(column, sort_keys=order, null_placement="at_end", tiebreaker="dense").to_numpy().astype(np.int64)
+
+
+def _candidates(names: Sequence[str], k: int, search_k: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Batches of blocks, the questions of each before its memories, to the rows that can be among the ``search_k`` nearest to a question or
+    among the ``k`` newest, with their distance.
+
+    Only the questions of one block are kept from batch to batch. A block that spans batches gives candidates from each.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        open_key, open_no, open_q = None, None, None
+        for batch in batches:
+            n = batch.num_rows
+            if not n:
+                continue
+            keys = [batch.column(c) for c in ("agent", "_m", "_q")]
+            codes = [c.dictionary_encode().indices.to_numpy(zero_copy_only=False) for c in keys]
+            starts = np.flatnonzero(np.concatenate([[True], np.any([np.diff(c) != 0 for c in codes], axis=0)]))
+            block = np.zeros(n, dtype=np.int64)
+            block[starts[1:]] = 1
+            block = np.cumsum(block)
+            ends = np.append(starts[1:], n)
+            asking = batch.column("_asks").to_numpy(zero_copy_only=False)
+            asks, tells = np.flatnonzero(asking), np.flatnonzero(~asking)
+            firsts = starts + np.bincount(block[asks], minlength=len(starts))
+            no, of = batch.column("query_no").take(pa.array(asks)), block[asks]
+            q, told = (_vectors(batch.column("vec").take(pa.array(rows))) for rows in (asks, tells))
+            if open_no is not None and len(open_no) and tuple(c[0].as_py() for c in keys) == open_key:
+                no, of = pa.concat_arrays([open_no, no]), np.concatenate([np.zeros(len(open_no), dtype=np.int64), of])
+                width = max(open_q.shape[1], q.shape[1])  # 0 where none has a vector
+                q = np.concatenate([x if x.shape[1] == width else np.full((len(x), width), np.nan) for x in (open_q, q)])
+            open_key, still = tuple(c[n - 1].as_py() for c in keys), np.flatnonzero(of == block[-1])
+            open_no, open_q = no.take(pa.array(still)), q[still]
+            vec = np.full((n, q.shape[1]), np.nan)
+            if told.shape[1] == q.shape[1]:  # vectors of another length are near to nothing
+                vec[tells] = told
+            ids, made = _ranks(batch.column("memory_id"), "ascending"), _ranks(batch.column("created_at"), "descending")
+            by_age = np.lexsort((-ids, made, asking, block))
+            newest = np.zeros(n, dtype=bool)
+            newest[by_age] = np.arange(n) - starts[block[by_age]] < k  # the memories of a block come before its questions here
+            rows = (ends - firsts)[of]
+            upto = np.concatenate([[0], np.cumsum(rows)])
+            at = 0
+            while at < len(of):
+                to = max(at + 1, int(np.searchsorted(upto, upto[at] + PAIRS, side="right")) - 1)
+                size = rows[at:to]
+                before = np.repeat(np.cumsum(size) - size, size)
+                qi = np.repeat(np.arange(at, to), size)
+                ri = np.arange(len(qi)) - before + np.repeat(firsts[of[at:to]], size)
+                d = np.empty(len(qi))
+                for i in range(0, len(qi), 1 << 15):
+                    part = slice(i, i + (1 << 15))
+                    gap = vec[ri[part]] - q[qi[part]]
+                    d[part] = np.einsum("ij,ij->i", gap, gap)
+                d = np.round(d, 6)
+                near = np.zeros(len(qi), dtype=bool)
+                near[np.lexsort((ids[ri], d, qi))] = np.arange(len(qi)) - before < search_k
+                kept = np.flatnonzero((near & ~np.isnan(d)) | newest[ri])
+                taken = batch.select(names).take(pa.array(ri[kept]))
+                found = [*taken.columns, no.take(pa.array(qi[kept])), pa.array(d[kept], pa.float64(), mask=np.isnan(d[kept]))]
+                yield pa.RecordBatch.from_arrays(found, [*names, "query_no", "_distance"])
+                at = to
+
+    return run
 
 
 def retrieve_memories(
@@ -104,27 +195,40 @@ def retrieve_memories(
     other_scores: Sequence[str] = ("importance",),
     relevance: Callable[[Column], Column] = logistic_relevance,
     split_rows: int = SPLIT_ROWS,
+    split_queries: int | None = SPLIT_QUERIES,
+    embed: Callable[[Column], Column] = embed_text,
 ) -> DataFrame:
     """The k best memories for each query ``(agent, query_no, vec)`` of an agent, with ``score`` and ``rank``.
 
     Candidates are the k newest memories of the agent and the ``search_k`` nearest to the query (squared distance of the vectors
     ``vec``, six digits, ties to the smaller id); only the latter have a relevance. Score is recency plus other scores plus relevance.
+    A memory or a query without a vector, or with one of another length, is near to nothing.
+
+    Every memory is moved once, to the block it meets its questions in; vectors are read there and go no further. Memories without a
+    column ``vec`` are moved as texts, and their ``page_content`` and the ``query`` are embedded in the block. Where the caller knows
+    that an agent asks a few questions only, ``split_queries=None`` saves counting them.
     """
-    by, held = ["agent", "query_no"], [c for c in memories.columns if c not in ("agent", "vec")]
-    asked = queries.select(*by, F.col("vec").alias("_asked"))
-    met = with_queries(memories, asked, split_rows).withColumn("_distance", F.round(squared_distance(F.col("vec"), F.col("_asked")), 6))
-    nearest = F.row_number().over(W.partitionBy(*by).orderBy("_distance", "memory_id"))
-    near = met.select(*by, *held, "_distance").withColumn("_r", nearest).where(F.col("_r") <= search_k)
-    near = near.select(*by, *held, relevance(F.col("_distance")).cast("double").alias("_relevance"))
-    newest = F.row_number().over(W.partitionBy("agent").orderBy(F.desc("created_at"), F.desc("memory_id")))
-    last = memories.select("agent", *held).withColumn("_r", newest).where(F.col("_r") <= k).join(queries.select(*by), "agent")
-    last = last.select(*by, *held, F.lit(None).cast("double").alias("_relevance"))
-    # at most k + search_k rows per query; a memory found both ways has its relevance
-    others = [c for c in held if c != "memory_id"]
-    both = near.unionByName(last).groupBy(*by, "memory_id").agg(F.max("_relevance").alias("_relevance"), F.first(F.struct(*others)).alias("_m"))
-    return time_weighted_topk(
-        both.select(*by, "memory_id", "_m.*", "_relevance"), now, k, decay=decay, other_scores=other_scores, relevance=F.col("_relevance"), by=by
-    ).drop("_relevance")
+    by, held = ["agent", "query_no"], [c for c in memories.columns if c != "vec"]
+    texts = "vec" not in memories.columns
+    told = memories.withColumn("_text", F.col("page_content")) if texts else memories
+    asked = queries.select(*by, F.col("query").alias("_text") if texts else "vec")
+    left, right = dealt_out(told, asked, split_rows, split_queries)
+    met = left.withColumn("_asks", F.lit(False)).unionByName(right.withColumn("_asks", F.lit(True)), allowMissingColumns=True)
+    block = ["agent", "_m", "_q"]
+    sorted_blocks = met.repartition(*block).sortWithinPartitions(*block, F.desc("_asks"))
+    if texts:
+        sorted_blocks = sorted_blocks.withColumn("vec", embed(F.col("_text"))).drop("_text")
+    types = {f.name: f for f in met.schema.fields}
+    schema = T.StructType([types[c] for c in (*held, "query_no")] + [T.StructField("_distance", T.DoubleType())])
+    found = sorted_blocks.mapInArrow(_candidates(held, k, search_k), schema)
+    # candidates hold the nearest and the newest of each block and batch, so ranks among them are ranks among all
+    nearest = F.row_number().over(W.partitionBy(*by).orderBy(F.asc_nulls_last("_distance"), "memory_id"))
+    newest = F.row_number().over(W.partitionBy(*by).orderBy(F.desc("created_at"), F.desc("memory_id")))
+    ranked = found.withColumns({"_near": nearest, "_new": newest}).where((F.col("_near") <= search_k) | (F.col("_new") <= k))
+    near = F.when(F.col("_near") <= search_k, relevance(F.col("_distance")).cast("double"))
+    scored = ranked.select(*by, *[c for c in held if c != "agent"], F.when(F.col("_distance").isNotNull(), near).alias("_relevance"))
+    best = time_weighted_topk(scored, now, k, decay=decay, other_scores=other_scores, relevance=F.col("_relevance"), by=by)
+    return best.drop("_relevance")
 
 
 def touch_memories(memories: DataFrame, retrieved: DataFrame, now: Column) -> DataFrame:

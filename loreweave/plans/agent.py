@@ -22,25 +22,25 @@ from loreweave.session import written
 FRAME_FIELDS = "observation entity name speaker relevant_memories summary current_time status most_recent_memories".split()
 
 
-def embedded_memories(memories: DataFrame, embed=embed_text) -> DataFrame:
-    """The memories with their vectors, stored for the searches that follow; as they are if they have vectors."""
-    return memories if "vec" in memories.columns else written(memories.withColumn("vec", embed(F.col("page_content"))), "memories")
-
-
 def queries_of(turns: DataFrame, *texts: Column, embed=embed_text) -> DataFrame:
     """``(agent, query_no, query, vec)``: the questions each agent asks its memory."""
     asked = turns.select("agent", F.posexplode(F.array(*texts)).alias("query_no", "query"))
     return asked.withColumn("vec", embed(F.col("query")))
 
 
-def relevant_memories(memories: DataFrame, queries: DataFrame, now: Column, k: int, decay: float = 0.01, search_k: int = SEARCH_K) -> DataFrame:
-    """``(agent, relevant_memories)``: digest of the best memories of all queries of an agent, query by query, best first."""
-    top = retrieve_memories(memories, queries, now, k, decay=decay, search_k=search_k)
-    distinct = memory_distinct(top.select("agent", "query_no", "rank", "page_content", "created_at"), ["query_no", "rank"])
+def digests(top: DataFrame, by: tuple[str, ...] = ("agent",)) -> DataFrame:
+    """``(by, relevant_memories)``: the retrieved memories as dated lines, question by question, best first, each content once."""
+    order = [c for c in ("query_no", "rank") if c not in by]
+    distinct = memory_distinct(top.select("agent", "query_no", "rank", "page_content", "created_at"), order, by)
     # at most k lines per query
     lines = F.array_sort(F.collect_list(F.struct("query_no", "rank", memory_line().alias("line"))))
     text = F.array_join(F.transform(lines, lambda x: x["line"]), "\n")
-    return distinct.groupBy("agent").agg(text.alias("relevant_memories"))
+    return distinct.groupBy(*by).agg(text.alias("relevant_memories"))
+
+
+def relevant_memories(memories: DataFrame, queries: DataFrame, now: Column, k: int, decay: float = 0.01, search_k: int = SEARCH_K) -> DataFrame:
+    """``(agent, relevant_memories)``: digest of the best memories of the few queries of an agent, query by query, best first."""
+    return digests(retrieve_memories(memories, queries, now, k, decay=decay, search_k=search_k, split_queries=None))
 
 
 def recent_memories(memories: DataFrame, budgets: DataFrame) -> DataFrame:
@@ -53,6 +53,11 @@ def recent_memories(memories: DataFrame, budgets: DataFrame) -> DataFrame:
     return packed.groupBy("agent").agg(F.array_join(newest_first, "; ").alias("most_recent_memories"))
 
 
+def frame_prompt(frame: str, names: list[str]) -> Column:
+    """One of the six frames, filled from the columns there are."""
+    return agent_prompts({c: F.col(c) if c in names else F.lit("") for c in FRAME_FIELDS})[frame]
+
+
 def step(turns: DataFrame, frame: str, answer: str, make_client: Callable) -> DataFrame:
     """Ask with one of the six frames, filled from the columns there are; adds the stripped ``answer``, keeps the first ``error``.
 
@@ -61,8 +66,7 @@ def step(turns: DataFrame, frame: str, answer: str, make_client: Callable) -> Da
     if "error" not in turns.columns:
         turns = turns.withColumn("error", F.lit(None).cast("string"))
     names = turns.columns
-    fields = {c: F.col(c) if c in names else F.lit("") for c in FRAME_FIELDS}
-    going = turns.where(F.col("error").isNull()).drop("error").withColumn("_prompt", agent_prompts(fields)[frame])
+    going = turns.where(F.col("error").isNull()).drop("error").withColumn("_prompt", frame_prompt(frame, names))
     told = generate_text(going, "_prompt", "_answer", make_client).select(*names, strip(F.col("_answer")).alias(answer))
     stopped = turns.where(F.col("error").isNotNull()).withColumn(answer, F.lit(None).cast("string"))
     return written(told.unionByName(stopped), frame)
@@ -80,7 +84,7 @@ def related_memories(
     acted = step(named, "action", "action", make_client)
     first = F.concat(F.lit("What is the relationship between "), F.col("name"), F.lit(" and "), F.col("entity"))
     second = F.concat(F.col("entity"), F.lit(" is "), F.col("action"))
-    found = relevant_memories(embedded_memories(memories), queries_of(acted, first, second), now, k, decay, search_k)
+    found = relevant_memories(memories, queries_of(acted, first, second), now, k, decay, search_k)
     return step(acted.join(found, "agent", "left"), "relation", "relation", make_client).select("agent", "entity", "action", "relation", "error")
 
 
@@ -89,7 +93,7 @@ def speaker_summary(
 ) -> DataFrame:
     """``(agent, speaker_summary, error)``: what the agent's memories say of the speaker, from turns ``(agent, name, speaker)``."""
     asked = turns.select("agent", "name", "speaker")
-    found = relevant_memories(embedded_memories(memories), queries_of(asked, F.col("speaker")), now, k, decay, search_k)
+    found = relevant_memories(memories, queries_of(asked, F.col("speaker")), now, k, decay, search_k)
     return step(asked.join(found, "agent", "left"), "speaker", "speaker_summary", make_client).select("agent", "speaker_summary", "error")
 
 
@@ -99,10 +103,34 @@ def self_summary(
     """``(agent, self_summary, error)``: the agent's character as its memories show it, from turns ``(agent, name)``."""
     asked = turns.select("agent", "name")
     core = F.concat(F.col("name"), F.lit("'s core characteristics"))
-    found = relevant_memories(embedded_memories(memories), queries_of(asked, core), now, k, decay, search_k)
+    found = relevant_memories(memories, queries_of(asked, core), now, k, decay, search_k)
     return step(asked.join(found, "agent", "left"), "self", "self_summary", make_client).select("agent", "self_summary", "error")
 
 
+def summaries(
+    memories: DataFrame, turns: DataFrame, now: Column, make_client: Callable, *, k: int = 15, decay: float = 0.01, search_k: int = SEARCH_K
+) -> DataFrame:
+    """``(agent, self_summary, speaker_summary, error)``: ``self_summary`` and ``speaker_summary`` by one search and one pass of the model.
+
+    Both questions of an agent are answered from the same pass over its memories; the first error counts.
+    """
+    asked = turns.select("agent", "name", "speaker")
+    questions = queries_of(asked, F.concat(F.col("name"), F.lit("'s core characteristics")), F.col("speaker"))
+    top = retrieve_memories(memories, questions, now, k, decay=decay, search_k=search_k, split_queries=None)
+    each = asked.withColumn("query_no", F.explode(F.array(F.lit(0), F.lit(1))))
+    found = each.join(digests(top, ("agent", "query_no")), ["agent", "query_no"], "left")
+    about_self = F.col("query_no") == 0
+    prompt = F.when(about_self, frame_prompt("self", found.columns)).otherwise(frame_prompt("speaker", found.columns))
+    told = generate_text(found.select("agent", "query_no", prompt.alias("_prompt")), "_prompt", "_answer", make_client)
+    answer = strip(F.col("_answer"))
+    both = told.groupBy("agent").agg(
+        F.max(F.when(about_self, answer)).alias("self_summary"),
+        F.max(F.when(~about_self, answer)).alias("speaker_summary"),
+        F.coalesce(F.max(F.when(about_self, F.col("error"))), F.max(F.when(~about_self, F.col("error")))).alias("error"),
+    )
+    return written(both, "summaries")
+
+
 def agent_prompts_for(
     memories: DataFrame,
     turns: DataFrame,
@@ -118,13 +146,9 @@ def agent_prompts_for(
 
     There is one turn per agent. ``summary`` is the fixed description; what the agent thinks of itself follows it.
     """
-    memories = embedded_memories(memories)
-    options = {"k": k, "decay": decay, "search_k": search_k}
-    of_self = self_summary(memories, turns, now, make_client, **options).withColumnRenamed("error", "_self_error")
-    of_speaker = speaker_summary(memories, turns, now, make_client, **options).withColumnRenamed("error", "_speaker_error")
-    base = turns.join(of_self, "agent").join(of_speaker, "agent").withColumns(
+    thought = summaries(memories, turns, now, make_client, k=k, decay=decay, search_k=search_k)
+    base = turns.join(thought, "agent").withColumns(
         {
-            "error": F.coalesce("_self_error", "_speaker_error"),
             "summary": F.concat_ws("\n", "summary", "self_summary"),
             "relevant_memories": F.col("speaker_summary"),
             "current_time": F.date_format(now, TIME_FORMAT),

@@ -33,11 +33,21 @@ def frame(spark, rows):
     return spark.createDataFrame(rows, schema).repartition(5)
 
 
-@pytest.mark.parametrize("split_rows", [10, 1000])
-def test_retrieved_memories(spark, held, split_rows):
+@pytest.fixture
+def batch_rows(spark, request):
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, request.param)
+    yield
+    spark.conf.set(name, before)
+
+
+@pytest.mark.parametrize("split_rows, split_queries, batch_rows", [(10, 1, 10000), (1000, 1000, 10000), (1000, 1000, 7), (40, 1, 3)], indirect=["batch_rows"])
+def test_retrieved_memories(spark, held, split_rows, split_queries, batch_rows):
     queries = [(1, 0, [0.5, 0.0, 1.0, -1.0]), (1, 1, [0.0] * 4), (2, 0, [1.0, 1.0, 0.0, 0.0]), (9, 0, [1.0] * 4)]
     asked = spark.createDataFrame(queries, "agent long, query_no int, vec array<float>")
-    got = memory.retrieve_memories(frame(spark, held), asked, now(), 6, search_k=12, relevance=lambda d: 1 / (1 + d), split_rows=split_rows)
+    options = {"search_k": 12, "relevance": lambda d: 1 / (1 + d), "split_rows": split_rows, "split_queries": split_queries}
+    got = memory.retrieve_memories(frame(spark, held), asked, now(), 6, **options)
     want = set()
     for who, no, q in queries:
         own = [r for r in held if r[1] == who]
@@ -55,6 +65,48 @@ def test_retrieved_memories(spark, held, split_rows):
     assert not any(w[0] == 9 for w in want)  # an agent without memories finds none
 
 
+def test_retrieved_without_vectors(spark, held):
+    """A memory without a vector is found as one of the newest only; a question without a vector finds the newest; ids may be strings."""
+    rows = [(f"m{r[0]:03}", str(r[1]), *r[2:6], None if r[0] % 2 else r[6]) for r in held]
+    schema = "memory_id string, agent string, page_content string, created_at timestamp_ntz, last_accessed_at timestamp_ntz, importance double, vec array<float>"
+    asked = spark.createDataFrame([("1", 0, [0.5, 0.0, 1.0, -1.0]), ("2", 0, None)], "agent string, query_no int, vec array<float>")
+    memories = spark.createDataFrame(rows, schema)
+    got = memory.retrieve_memories(memories, asked, now(), 5, search_k=4, relevance=lambda d: F.lit(100.0)).collect()
+    near = {r.memory_id for r in got if r.agent == "1" and r.score >= 100}
+    q = [0.5, 0.0, 1.0, -1.0]
+    own = sorted((round(sum((x - y) ** 2 for x, y in zip(r[6], q)), 6), r[0]) for r in rows if r[1] == "1" and r[6])
+    assert near == {i for _, i in own[:4]}
+    newest = sorted((r for r in rows if r[1] == "2"), key=lambda r: (r[3], r[0]), reverse=True)[:5]
+    assert {r.memory_id for r in got if r.agent == "2"} == {r[0] for r in newest}
+    nothing = memory.retrieve_memories(memories.limit(0), asked, now(), 5)
+    assert nothing.count() == 0 and memory.retrieve_memories(memories, asked.limit(0), now(), 5).count() == 0
+
+
+def test_vectors_stay_in_their_block(spark, held):
+    """One exchange carries vectors, to the block that scores them; the rows ranked afterwards have none."""
+    asked = spark.createDataFrame([(1, 0, [0.0] * 4)], "agent long, query_no int, vec array<float>")
+    found = memory.retrieve_memories(frame(spark, held), asked, now(), 3)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    above = plan[: plan.index("MapInArrow")]
+    assert "vec" not in above.lower() and "vec" not in found.columns
+
+
+def test_one_pass_for_both_summaries(spark, held, tmp_path):
+    def client():
+        def answer(prompts):
+            (tmp_path / f"{len(list(tmp_path.iterdir()))}-{id(prompts)}").write_text(str(len(prompts)))
+            return [p.split("?")[0][-20:] for p in prompts]
+
+        return answer
+
+    turns = spark.createDataFrame([(i, n, "", "", "Tom", "hello") for i, n in ((1, "Anna"), (2, "Bea"))], TURNS)
+    both = agent.summaries(frame(spark, held).drop("vec"), turns.coalesce(1), now(), client, k=3)
+    assert sum(int(p.read_text()) for p in tmp_path.iterdir()) == 4
+    for name in ("self_summary", "speaker_summary"):
+        alone = getattr(agent, name)(frame(spark, held).drop("vec"), turns, now(), client, k=3)
+        assert {(r.agent, r[name]) for r in alone.collect()} == {(r.agent, r[name]) for r in both.collect()}
+
+
 TURNS = "agent long, name string, status string, summary string, speaker string, observation string"
 
 
