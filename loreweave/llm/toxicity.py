@@ -130,11 +130,12 @@ class Grammar:
     def features(self, text: str) -> list[float]:
         """Largest clause score, sum of clause scores, matched clauses: the latter two as logarithms."""
         low = text.lower().replace("’", "'")
-        scores, end = [], -1
+        scores, end = [], 0
         for m in self.find.finditer(low):
             if m.start() < end:
                 continue  # its clause has been scored
-            begin = max((low.rfind(c, 0, m.start()) for c in ".!?;:,\n"), default=-1) + 1
+            # the mark that closed the last clause is at `end`, so no character is looked at more than once for each mark
+            begin = max(max(low.rfind(c, end, m.start()) for c in ".!?;:,\n") + 1, end)
             close = CLAUSE_END.search(low, m.end())
             end = close.start() if close else len(low)
             scores.append(self.clause(low[begin:end]))
