@@ -4,14 +4,17 @@ from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
 
-import pandas as pd
-from pyspark.sql import Column, DataFrame
+import numpy as np
+import pyarrow as pa
+from pyspark import Broadcast
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from loreweave.functions.vectors import tokens
 from loreweave.operators.ordered import Segments, totals_before
 from loreweave.operators.training import SPECIAL_PIECES
+from loreweave.operators.trie import Trie, piece_counts, piece_lists, word_bytes
 from loreweave.session import bounded_rows
 
 VOCAB_LIMIT = 1 << 20
@@ -56,48 +59,58 @@ def vocab_stats(before: DataFrame, after: DataFrame, special: Sequence[str] = SP
     return stats(before, "before").unionByName(stats(after, "after"))
 
 
+def broadcast_trie(spark: SparkSession, vocabs: Sequence[DataFrame]) -> Broadcast[Trie]:
+    """The pieces of vocabularies of at most ``VOCAB_LIMIT`` rows each, as one trie on every executor."""
+    return spark.sparkContext.broadcast(
+        Trie([[r["piece"] for r in bounded_rows(v.select("piece"), "vocabulary", VOCAB_LIMIT)] for v in vocabs])
+    )
+
+
 def encode_greedy(df: DataFrame, word: str, vocab: DataFrame, name: str = "pieces") -> DataFrame:
     """Split each word from the left into the longest vocabulary pieces; a lost character stands alone.
 
-    ``df`` should hold distinct words, so that each is segmented once.
+    ``df`` should hold distinct words, so that each is segmented once.  A null word has null pieces, an empty one none.
+    """
+    trie = broadcast_trie(df.sparkSession, [vocab])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns, piece_lists(batch.column(word), trie.value)], [*batch.schema.names, name]
+            )
+
+    return df.mapInArrow(run, T.StructType([*df.schema.fields, T.StructField(name, T.ArrayType(T.StringType()))]))
+
+
+def greedy_counts(df: DataFrame, word: str, vocabs: dict[str, DataFrame]) -> DataFrame:
+    """How many pieces each word has under each of the vocabularies, a long column for each name.
+
+    Words are segmented under all vocabularies in one pass.  A null or empty word has 0 pieces.
     """
-    rows = bounded_rows(vocab.select("piece"), "vocabulary", VOCAB_LIMIT)
-    held = df.sparkSession.sparkContext.broadcast(frozenset(r["piece"] for r in rows if r["piece"]))
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        known = held.value
-        # only lengths that occur, longest first
-        lengths = sorted({len(p) for p in known if len(p) > 1}, reverse=True)
-
-        def cut(text: str) -> list[str]:
-            out, at = [], 0
-            while at < len(text):
-                rest = len(text) - at
-                size = next((n for n in lengths if n <= rest and text[at : at + n] in known), 1)
-                out.append(text[at : at + size])
-                at += size
-            return out
+    trie, names = broadcast_trie(df.sparkSession, list(vocabs.values())), list(vocabs)
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            batch[name] = [cut(w) for w in batch[word]]
-            yield batch
+            data, offsets, _ = word_bytes(batch.column(word))
+            counts = [pa.array(np.diff(piece_counts(m, offsets))) for m in trie.value.piece_starts(data, offsets)]
+            yield pa.RecordBatch.from_arrays([*batch.columns, *counts], [*batch.schema.names, *names])
 
-    return df.mapInPandas(run, T.StructType([*df.schema.fields, T.StructField(name, T.ArrayType(T.StringType()))]))
+    return df.mapInArrow(run, T.StructType([*df.schema.fields, *[T.StructField(k, T.LongType()) for k in names]]))
 
 
 def vocab_fertility(df: DataFrame, text: Column, group: str, vocabs: dict[str, DataFrame]) -> DataFrame:
     """Pieces per character of the words of a corpus, per group, under several vocabularies.
 
-    Words are counted first (combined before the shuffle), so every distinct word is segmented once.
+    Words are counted first (combined before the shuffle), so every distinct word is segmented once, under all
+    vocabularies together.
     """
+    counts = {f"_k{i}": vocab for i, vocab in enumerate(vocabs.values())}
     words = (
         df.select(group, F.explode(tokens(text)).alias("word"))
         .groupBy(group, "word")
         .agg(F.count(F.lit(1)).alias("n"))
     )
-    counts = [f"_k{i}" for i in range(len(vocabs))]
-    for k, vocab in zip(counts, vocabs.values(), strict=True):
-        words = encode_greedy(words, "word", vocab, k).withColumn(k, F.size(k))
+    words = greedy_counts(words, "word", counts)
     per_vocab = F.array(*[F.struct(F.lit(name).alias("vocab"), F.col(k).alias("k")) for k, name in zip(counts, vocabs, strict=True)])
     sums = (
         words.select(group, "n", F.length("word").alias("_chars"), F.inline(per_vocab))
