@@ -189,7 +189,9 @@ def _compare_prompt(spark, sf):
 EVENT_ACTIONS = """acts AS (SELECT user_id AS conv_id, ts, event_id, props AS input, CASE WHEN value < 5 THEN '' ELSE event_type END AS reply,
   CASE event_type WHEN 'error' THEN 'cancel' WHEN 'signup' THEN 'clear' ELSE 'submit' END AS action FROM events)"""
 # the list of standing (event_id, input) after each event
-FOLDED = f"""{EVENT_ACTIONS}, kept AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY ts, event_id) AS rn
+def folded_sql(order: str = "ts, event_id") -> str:
+    """What stands after each kept event of a conversation, applied in the given order."""
+    return f"""{EVENT_ACTIONS}, kept AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY {order}) AS rn
   FROM acts WHERE action <> 'submit' OR reply <> ''),
 fold(conv_id, rn, event_id, stack) AS (
   SELECT conv_id, 0::BIGINT, NULL::BIGINT, []::BIGINT[] FROM (SELECT DISTINCT conv_id FROM kept)
@@ -198,6 +200,9 @@ fold(conv_id, rn, event_id, stack) AS (
   FROM fold f JOIN kept k ON k.conv_id = f.conv_id AND k.rn = f.rn + 1)"""
 
 
+FOLDED = folded_sql()
+
+
 def conversation_events(events):
     """``events`` as submits, cancels and clears keyed by user."""
     kind = F.col("event_type")

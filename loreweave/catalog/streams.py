@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from loreweave.catalog.base import query, table
-from loreweave.catalog.chat import FOLDED, conversation_events
+from loreweave.catalog.chat import conversation_events, folded_sql
 from loreweave.catalog.compare import FLAGGED, exchanges, flag_tries, read_log
 from loreweave.catalog.memory import MEMORIES, REFLECTED, THRESHOLD, memories_of, say_client
 from loreweave.functions.hooks import generate_text
@@ -16,16 +16,36 @@ from loreweave.sources import flags
 from loreweave.streaming import state
 
 
+FILES = 1000  # files of a micro-batch
+
+
+def arrivals(events):
+    """The events in the two waves they arrive in: every fourth comes after the others, so many come late."""
+    second = F.col("event_id") % 4 == 3
+    return [events.where(~second), events.where(second)]
+
+
+WAVE = "(event_id % 4 = 3)::INTEGER"
+
+
 @query(
     "stream_conversation_state",
-    f"""WITH RECURSIVE {FOLDED}, whole AS (SELECT a.conv_id, a.event_id, (SELECT max(k.rn) FROM kept k WHERE k.conv_id = a.conv_id AND (k.ts, k.event_id) <= (a.ts, a.event_id)) AS rn FROM acts a)
-SELECT w.conv_id, w.event_id, coalesce(len(f.stack), 0) AS depth, f.stack[-1] AS top_event_id, false AS late FROM whole w LEFT JOIN fold f ON f.conv_id = w.conv_id AND f.rn = w.rn""",
+    f"""WITH RECURSIVE {folded_sql(f"{WAVE}, ts, event_id")},
+before AS (SELECT conv_id, max((ts, event_id)) AS newest FROM acts WHERE {WAVE} = 0 GROUP BY 1),
+whole AS (SELECT a.conv_id, a.event_id, a.event_id % 4 = 3 AND coalesce((a.ts, a.event_id) < b.newest, false) AS late, (
+  SELECT max(k.rn) FROM kept k WHERE k.conv_id = a.conv_id AND ((k.event_id % 4 = 3)::INTEGER, k.ts, k.event_id) <= ((a.event_id % 4 = 3)::INTEGER, a.ts, a.event_id)) AS rn
+  FROM acts a LEFT JOIN before b ON b.conv_id = a.conv_id)
+SELECT w.conv_id, w.event_id, coalesce(len(f.stack), 0) AS depth, f.stack[-1] AS top_event_id, late FROM whole w LEFT JOIN fold f ON f.conv_id = w.conv_id AND f.rn = w.rn""",
 )
 def _stream_conversation_state(spark, sf):
-    events = conversation_events(state.read_stream(spark, sf, "events"))
-    return state.run_to_parquet(
-        state.stream_conversation_state(events), scratch_path(spark, "out"), scratch_path(spark, "checkpoint")
-    )
+    events = table(spark, sf, "events")
+    folder, out, checkpoint = (scratch_path(spark, name) for name in ("events", "out", "checkpoint"))
+    for wave in arrivals(events):
+        wave.write.mode("append").parquet(folder)
+        # each wave starts the stream again, from the state that the last one left
+        arrived = conversation_events(state.read_arrivals(spark, folder, events.schema, FILES))
+        done = state.run_to_parquet(state.stream_conversation_state(arrived), out, checkpoint)
+    return done
 
 
 @query(
@@ -34,7 +54,7 @@ def _stream_conversation_state(spark, sf):
 )
 def _stream_flag_log(spark, sf):
     path = scratch_path(spark, "log")
-    tries = flag_tries(state.read_stream(spark, sf, "conversations"))
+    tries = flag_tries(state.read_stream(spark, sf, "conversations", FILES))
     rows = flags.log_rows(flag_filter(exchanges(spark, sf), tries))
     flags.stream_flag_log(rows, path, scratch_path(spark, "checkpoint")).awaitTermination()
     return read_log(spark, path)
@@ -46,7 +66,7 @@ def _stream_flag_log(spark, sf):
   row_number() OVER (PARTITION BY agent ORDER BY created_at, memory_id) - 1 AS buffer_idx FROM mem""",
 )
 def _stream_memory_ingest(spark, sf):
-    held = memories_of(state.read_stream(spark, sf, "events")).withColumnsRenamed(
+    held = memories_of(state.read_stream(spark, sf, "events", FILES)).withColumnsRenamed(
         {"created_at": "ts", "memory_id": "event_id"}
     )
     done = state.run_to_parquet(
@@ -67,7 +87,7 @@ def _stream_memory_ingest(spark, sf):
     f"WITH RECURSIVE {REFLECTED} SELECT agent, memory_id AS event_id, round(total / 1e6, 6) AS reached FROM run WHERE total > {round(THRESHOLD * 1_000_000)}",
 )
 def _stream_reflection(spark, sf):
-    held = memories_of(state.read_stream(spark, sf, "events")).select(
+    held = memories_of(state.read_stream(spark, sf, "events", FILES)).select(
         "agent",
         F.col("created_at").alias("ts"),
         F.col("memory_id").alias("event_id"),
@@ -105,6 +125,6 @@ def _stream_dialogue(spark, sf):
         )
 
     state.stream_dialogue(
-        state.read_stream(spark, sf, "events"), reply, path, scratch_path(spark, "checkpoint")
+        state.read_stream(spark, sf, "events", FILES), reply, path, scratch_path(spark, "checkpoint")
     ).awaitTermination()
     return spark.read.schema("event_id long, reply string, memory_text string, error string, batch int").parquet(path).drop("batch")

@@ -11,6 +11,7 @@ from collections.abc import Callable, Iterator
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 
 from loreweave.operators.memory import UNITS
@@ -18,13 +19,16 @@ from loreweave.operators.memory import UNITS
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
-def read_stream(spark: SparkSession, folder: str, table: str, max_files: int | None = None) -> DataFrame:
-    """A table of a folder that holds several, as a stream of its files."""
+def read_stream(spark: SparkSession, folder: str, table: str, max_files: int) -> DataFrame:
+    """A table of a folder that holds several, as a stream of its files, at most ``max_files`` in a micro-batch."""
     schema = spark.read.parquet(f"{folder}/{table}.parquet").schema
     reader = spark.readStream.schema(schema).option("pathGlobFilter", f"{table}.parquet")
-    if max_files:
-        reader = reader.option("maxFilesPerTrigger", max_files)
-    return reader.parquet(folder)
+    return reader.option("maxFilesPerTrigger", max_files).parquet(folder)
+
+
+def read_arrivals(spark: SparkSession, folder: str, schema: T.StructType, max_files: int) -> DataFrame:
+    """The files that arrive in a folder, as a stream, at most ``max_files`` in a micro-batch."""
+    return spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files).parquet(folder)
 
 
 def use_rocksdb(spark: SparkSession) -> None:
@@ -37,58 +41,87 @@ def _sorted(rows: Iterator[pd.DataFrame]) -> pd.DataFrame:
 
 
 class _Conversation(StatefulProcessor):
-    """Standing inputs of a conversation, as a list of (event_id, input)."""
+    """Standing inputs of a conversation by position, beside a head that counts them.
+
+    A batch writes the inputs that it adds and removes those that it cancels; what stood before and still stands is neither read nor
+    written, so the state touched by an event does not grow with the conversation. An input is removed once, by its cancel or by a clear.
+    """
+
+    def __init__(self, idle_ms: int | None) -> None:
+        self.idle_ms = idle_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.standing = handle.getListState("standing", "event_id long, input string")
-        self.last = handle.getValueState("last", "ts timestamp, event_id long")
+        self.handle = handle
+        self.standing = handle.getMapState("standing", "position long", "event_id long, input string")
+        self.head = handle.getValueState("head", "depth long, ts timestamp, event_id long, expires long")
+
+    def _event_at(self, position: int) -> int | None:
+        return self.standing.getValue((position,))[0] if position >= 0 else None
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        stack = [tuple(s) for s in self.standing.get()]
-        last = self.last.get() if self.last.exists() else None
+        depth, ts, event_id, expires = self.head.get() if self.head.exists() else (0, None, None, None)
+        last = newest = None if ts is None else (pd.Timestamp(ts), event_id)
+        # the first `kept` stored inputs still stand, then come the fresh ones
+        kept, fresh, top = depth, [], self._event_at(depth - 1)
         out = []
-        batch = _sorted(rows)
-        newest = last
-        for e in batch.itertuples(index=False):
-            late = last is not None and (pd.Timestamp(e.ts), e.event_id) < (pd.Timestamp(last[0]), last[1])
+        for e in _sorted(rows).itertuples(index=False):
+            at = (pd.Timestamp(e.ts), int(e.event_id))
             if e.action == "submit":
                 if e.reply:
-                    stack.append((int(e.event_id), e.input))
+                    fresh.append((at[1], e.input))
             elif e.action == "cancel":
-                stack = stack[:-1]
+                if fresh:
+                    fresh.pop()
+                elif kept:
+                    kept -= 1
+                    top = self._event_at(kept - 1)
             elif e.action == "clear":
-                stack = []
-            out.append((key[0], int(e.event_id), len(stack), stack[-1][0] if stack else None, late))
-            if newest is None or (pd.Timestamp(e.ts), e.event_id) > (pd.Timestamp(newest[0]), newest[1]):
-                newest = (e.ts.to_pydatetime(), int(e.event_id))
-        if stack:
-            self.standing.put(stack)
-        else:
+                kept, fresh, top = 0, [], None
+            out.append((key[0], at[1], kept + len(fresh), fresh[-1][0] if fresh else top, last is not None and at < last))
+            newest = at if newest is None else max(newest, at)
+        if not kept and depth:
             self.standing.clear()
-        self.last.update(newest)
+        else:
+            for position in range(kept + len(fresh), depth):
+                self.standing.removeKey((position,))
+        for position, entry in enumerate(fresh, kept):
+            self.standing.updateValue((position,), entry)
+        if self.idle_ms is not None:
+            if expires is not None:
+                self.handle.deleteTimer(expires)
+            expires = timerValues.getCurrentProcessingTimeInMs() + self.idle_ms
+            self.handle.registerTimer(expires)
+        self.head.update((kept + len(fresh), newest[0].to_pydatetime(), newest[1], expires))
         yield pd.DataFrame(out, columns=["conv_id", "event_id", "depth", "top_event_id", "late"]).astype(
             {"top_event_id": "Int64"}
         )
 
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        self.standing.clear()
+        self.head.clear()
+        yield from ()
+
     def close(self) -> None:
         pass
 
 
-def stream_conversation_state(events: DataFrame) -> DataFrame:
+def stream_conversation_state(events: DataFrame, idle_seconds: int | None = None) -> DataFrame:
     """After every event of a conversation: how many inputs stand and which is the last.
 
     ``events`` is a stream of ``(conv_id, ts, event_id, action, input, reply)``; a submit whose reply is
-    empty is not kept.
+    empty is not kept.  The rows of a conversation in one micro-batch are sorted in one task; the trigger limit of the stream bounds them.
+    With ``idle_seconds`` a conversation without events for that long (processing time) is forgotten as a whole, and starts anew if it goes on;
+    such a stream goes on making batches for its timers, so it needs a processing-time trigger (``availableNow`` would not end).
     """
     use_rocksdb(events.sparkSession)
     return (
         events.select("conv_id", F.col("ts").cast("timestamp").alias("ts"), "event_id", "action", "input", "reply")
         .groupBy("conv_id")
         .transformWithStateInPandas(
-            _Conversation(),
+            _Conversation(None if idle_seconds is None else idle_seconds * 1000),
             "conv_id long, event_id long, depth long, top_event_id long, late boolean",
             "Append",
-            "None",
+            "None" if idle_seconds is None else "ProcessingTime",
         )
     )
 

@@ -1,7 +1,9 @@
 """Streams over several micro-batches give what their batch twins give."""
 
+import time
 import uuid
 
+import pandas as pd
 from pyspark.sql import functions as F
 
 from loreweave.catalog.chat import conversation_events
@@ -37,6 +39,105 @@ def test_conversation_state(spark, sf, tmp_path):
     assert got.where("late").count() == 0
 
 
+def conversation(spark, tmp_path, *batches):
+    """Events of conversation 1 as a stream of one micro-batch for each list of (event_id, action)."""
+    schema = "conv_id long, ts timestamp_ntz, event_id long, action string, input string, reply string"
+    for rows in batches:
+        rows = [(1, f"2024-01-01 00:00:{i:02d}", i, action, f"said {i}", "x") for i, action in rows]
+        df = spark.createDataFrame(rows, schema.replace("timestamp_ntz", "string")).withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+        df.coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    return spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
+
+
+def test_cancel_and_clear_reach_inputs_of_earlier_batches(spark, tmp_path):
+    stream = conversation(
+        spark,
+        tmp_path,
+        [(1, "submit"), (2, "submit"), (3, "submit")],
+        [(4, "cancel"), (5, "cancel"), (6, "submit")],  # position 1 is written again, position 2 is removed
+        [(7, "cancel"), (8, "cancel"), (9, "cancel"), (10, "submit")],  # one cancel too many
+        [(11, "clear"), (12, "cancel"), (13, "submit"), (14, "submit")],
+        [(15, "cancel"), (16, "cancel")],
+    )
+    got = {r.event_id: (r.depth, r.top_event_id) for r in run(state.stream_conversation_state(stream), tmp_path).collect()}
+    assert got == {
+        1: (1, 1), 2: (2, 2), 3: (3, 3), 4: (2, 2), 5: (1, 1), 6: (2, 6), 7: (1, 1), 8: (0, None), 9: (0, None), 10: (1, 10),
+        11: (0, None), 12: (0, None), 13: (1, 13), 14: (2, 14), 15: (1, 13), 16: (0, None),
+    }
+
+
+def test_idle_conversation_is_forgotten(spark, tmp_path):
+    out = str(tmp_path / "out")
+    stream = state.stream_conversation_state(conversation(spark, tmp_path, [(1, "submit")]), idle_seconds=1)
+    running = (
+        stream.writeStream.option("checkpointLocation", str(tmp_path / "check")).trigger(processingTime="2 seconds").start(out, "parquet")
+    )
+
+    def depths(n):
+        for _ in range(120):
+            time.sleep(0.5)
+            if (tmp_path / "out" / "_spark_metadata").exists():
+                got = {r.event_id: r.depth for r in spark.read.schema(stream.schema).parquet(out).collect()}
+                if len(got) == n:
+                    return got
+        raise AssertionError(running.lastProgress)
+
+    try:
+        depths(1)
+        time.sleep(6)  # batches without data let the timer expire
+        conversation(spark, tmp_path, [(2, "submit")])
+        assert depths(2) == {1: 1, 2: 1}
+    finally:
+        running.stop()
+
+
+class CountingMap(dict):
+    """A map state that counts what is done to it."""
+
+    calls = 0
+
+    def getValue(self, key):
+        self.calls += 1
+        return self[key]
+
+    def updateValue(self, key, value):
+        self.calls += 1
+        self[key] = value
+
+    def removeKey(self, key):
+        self.calls += 1
+        del self[key]
+
+
+class Value:
+    held = None
+
+    def exists(self):
+        return self.held is not None
+
+    def get(self):
+        return self.held
+
+    def update(self, value):
+        self.held = value
+
+
+def test_state_touched_by_an_event_does_not_grow(spark):
+    p = state._Conversation(None)
+    p.standing, p.head = CountingMap(), Value()
+
+    def apply(first, actions):
+        ids = range(first, first + len(actions))
+        rows = pd.DataFrame({"ts": pd.to_datetime(ids, unit="s"), "event_id": ids, "action": actions, "input": "a", "reply": "b"})
+        before = p.standing.calls
+        list(p.handleInputRows((1,), iter([rows]), None))
+        return p.standing.calls - before
+
+    apply(0, ["submit"] * 5000)
+    assert len(p.standing) == 5000 and apply(6000, ["submit", "cancel", "cancel"]) <= 6 and apply(7000, ["submit"]) <= 2
+    assert sorted(p.standing) == [(i,) for i in range(5000)] and p.standing[(4999,)][0] == 7000
+
+
 def test_late_event_is_flagged(spark, tmp_path):
     schema = "conv_id long, ts timestamp_ntz, event_id long, action string, input string, reply string"
     for i, rows in enumerate(([(1, "2024-01-02", 2, "submit", "b", "x")], [(1, "2024-01-01", 1, "submit", "a", "x"), (1, "2024-01-03", 3, "submit", "c", "")])):
