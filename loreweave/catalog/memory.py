@@ -69,20 +69,20 @@ def _buffer_index(spark, sf):
 SEARCHED = 20  # nearest memories a query adds; few enough that the choice shows in the result
 
 
-def retrieved_sql(name: str, queries: str) -> str:
-    """Tables ``<name>_top`` and ``<name>_digest`` for the queries ``(qkey, agent, query_no, query)`` of table ``queries``."""
+def retrieved_sql(name: str, queries: str, mem: str = "mem", mvec: str = "mvec") -> str:
+    """Tables ``<name>_top`` and ``<name>_digest`` for the queries ``(qkey, agent, query_no, query)`` of table ``queries`` over the memories ``mem``."""
     return f"""{embedding_sql(f"{name}_q", queries, "qkey", "query")},
-{name}_dot AS (SELECT s.qkey, m.memory_id, sum(q.val * c.val) AS dot FROM {queries} s JOIN mem m ON m.agent = s.agent JOIN {name}_q q ON q.key = s.qkey
-  JOIN mvec c ON c.key = m.memory_id AND c.dim = q.dim GROUP BY 1, 2),
+{name}_dot AS (SELECT s.qkey, m.memory_id, sum(q.val * c.val) AS dot FROM {queries} s JOIN {mem} m ON m.agent = s.agent JOIN {name}_q q ON q.key = s.qkey
+  JOIN {mvec} c ON c.key = m.memory_id AND c.dim = q.dim GROUP BY 1, 2),
 {name}_near AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY qkey ORDER BY distance, memory_id) AS r FROM (
-  SELECT s.qkey, m.memory_id, round(greatest(qn.n2 + cn.n2 - 2 * coalesce(d.dot, 0), 0), 6) AS distance FROM {queries} s JOIN mem m ON m.agent = s.agent
-  JOIN {name}_q_norm qn ON qn.key = s.qkey JOIN mvec_norm cn ON cn.key = m.memory_id LEFT JOIN {name}_dot d ON d.qkey = s.qkey AND d.memory_id = m.memory_id)) WHERE r <= {SEARCHED}),
-{name}_last AS (SELECT * FROM (SELECT agent, memory_id, row_number() OVER (PARTITION BY agent ORDER BY created_at DESC, memory_id DESC) AS r FROM mem) WHERE r <= {K}),
+  SELECT s.qkey, m.memory_id, round(greatest(qn.n2 + cn.n2 - 2 * coalesce(d.dot, 0), 0), 6) AS distance FROM {queries} s JOIN {mem} m ON m.agent = s.agent
+  JOIN {name}_q_norm qn ON qn.key = s.qkey JOIN {mvec}_norm cn ON cn.key = m.memory_id LEFT JOIN {name}_dot d ON d.qkey = s.qkey AND d.memory_id = m.memory_id)) WHERE r <= {SEARCHED}),
+{name}_last AS (SELECT * FROM (SELECT agent, memory_id, row_number() OVER (PARTITION BY agent ORDER BY created_at DESC, memory_id DESC) AS r FROM {mem}) WHERE r <= {K}),
 {name}_found AS (SELECT qkey, memory_id, max(rel) AS rel FROM (SELECT qkey, memory_id, 1 / (1 + exp(-distance / 100000.0)) - 0.5 AS rel FROM {name}_near
   UNION ALL SELECT s.qkey, l.memory_id, NULL FROM {name}_last l JOIN {queries} s ON s.agent = l.agent) GROUP BY 1, 2),
 {name}_top AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY agent, query_no ORDER BY score DESC, memory_id) AS rank FROM (
   SELECT s.agent, s.query_no, m.memory_id, m.page_content, m.created_at, round(pow(0.99, (epoch_us(TIMESTAMP '{NOW}') - epoch_us(m.last_accessed_at)) / 3.6e9)
-    + coalesce(importance, 0) + coalesce(rel, 0), 6) AS score FROM {name}_found f JOIN {queries} s ON s.qkey = f.qkey JOIN mem m ON m.memory_id = f.memory_id)) WHERE rank <= {K}),
+    + coalesce(importance, 0) + coalesce(rel, 0), 6) AS score FROM {name}_found f JOIN {queries} s ON s.qkey = f.qkey JOIN {mem} m ON m.memory_id = f.memory_id)) WHERE rank <= {K}),
 {name}_digest AS (SELECT agent, string_agg({DIGEST_LINE}, chr(10) ORDER BY query_no, rank) AS relevant FROM (
   SELECT *, row_number() OVER (PARTITION BY agent, page_content ORDER BY query_no, rank) AS first FROM {name}_top) WHERE first = 1 GROUP BY 1)"""
 

@@ -4,16 +4,16 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from loreweave.catalog.base import query, table
+from loreweave.catalog.base import embedding_sql, query, table
 from loreweave.catalog.chat import conversation_events, folded_sql
 from loreweave.catalog.compare import FLAGGED, exchanges, flag_tries, read_log
-from loreweave.catalog.memory import MEMORIES, REFLECTED, THRESHOLD, memories_of, say_client
-from loreweave.functions.hooks import generate_text
-from loreweave.functions.text import observed_memory, parse_dialogue
+from loreweave.catalog.memory import DIGEST_LINE, MEMORIES, REFLECTED, SEARCHED, THRESHOLD, K, memories_of, now, retrieved_sql
+from loreweave.functions.vectors import embed_text
 from loreweave.operators.compare import flag_filter
-from loreweave.session import scratch_path
+from loreweave.session import scratch_path, written
 from loreweave.sources import flags
 from loreweave.streaming import state
+from loreweave.streaming.dialogue import remembered_replies, replies, stream_dialogue
 
 
 FILES = 1000  # files of a micro-batch
@@ -99,32 +99,58 @@ def _stream_reflection(spark, sf):
     return done.select("agent", "event_id", "reached")
 
 
+def told_sql(name: str, turns: str) -> str:
+    """``<name>_told``: what is said and remembered for the turns, from the memories ``<name>_top``."""
+    return f"""{name}_lines AS (SELECT query_no, string_agg({DIGEST_LINE}, chr(10) ORDER BY rank) AS relevant FROM (
+  SELECT *, row_number() OVER (PARTITION BY query_no, page_content ORDER BY rank) AS first FROM {name}_top) WHERE first = 1 GROUP BY 1),
+{name}_prompt AS (SELECT t.*, name || ' remembers:' || chr(10) || coalesce(relevant, 'nothing') || chr(10) || 'and hears ' || query AS prompt
+  FROM {turns} t LEFT JOIN {name}_lines l ON l.query_no = t.query_no),
+{name}_told AS (SELECT qkey AS event_id, agent, ts, name || ' said ' || said AS reply, name || ' observed ' || query || ' and said ' || said AS memory_text
+  FROM (SELECT *, length(prompt) || ' characters, first ' || split_part(prompt, chr(10), 2) AS said FROM {name}_prompt))"""
+
+
+def recalling_client():
+    """Stands in for a model: says how long the prompt was and what is remembered first."""
+    return lambda prompts: [f"SAY: {len(p)} characters, first {p.split(chr(10))[1]}" for p in prompts]
+
+
+# a click is a turn that an agent hears, every other event is a memory from before; what the first wave says is remembered in the second
+HEARD = f"""{MEMORIES.replace("mem AS", "every AS")},
+mem AS (SELECT v.* FROM every v JOIN events e ON e.event_id = v.memory_id WHERE event_type <> 'click'),
+heard AS (SELECT event_id AS qkey, user_id AS agent, event_id AS query_no, 'Agent' || user_id AS name, props AS query, ts FROM events WHERE event_type = 'click'),
+t0 AS (SELECT * FROM heard WHERE query_no % 4 <> 3), t1 AS (SELECT * FROM heard WHERE query_no % 4 = 3),
+{embedding_sql("mvec", "mem", "memory_id", "page_content")}, {retrieved_sql("a", "t0")}, {told_sql("a", "t0")},
+later AS (SELECT * FROM mem UNION ALL SELECT event_id, agent, memory_text, ts, ts, NULL FROM a_told),
+{embedding_sql("lvec", "later", "memory_id", "page_content")}, {retrieved_sql("b", "t1", "later", "lvec")}, {told_sql("b", "t1")}"""
+
+
 @query(
     "stream_dialogue",
-    """WITH known AS (SELECT user_id, count(*) AS n FROM events GROUP BY 1),
-p AS (SELECT event_id, 'Agent' || e.user_id AS name, props, length('Agent' || e.user_id || ' knows ' || n || ' things and hears ' || props) AS n FROM events e JOIN known k ON k.user_id = e.user_id)
-SELECT event_id, name || ' said I read ' || n || ' characters' AS reply, name || ' observed ' || props || ' and said I read ' || n || ' characters' AS memory_text, NULL::VARCHAR AS error FROM p""",
+    f"""WITH {HEARD} SELECT event_id, reply, memory_text, NULL::VARCHAR AS error
+FROM (SELECT * FROM a_told UNION ALL SELECT * FROM b_told)""",
 )
 def _stream_dialogue(spark, sf):
-    path = scratch_path(spark, "memories")
-    # the memory snapshot the turns are answered from
-    known = table(spark, sf, "events").groupBy("user_id").agg(F.count(F.lit(1)).alias("n"))
-
-    def reply(turns):
-        name = F.concat(F.lit("Agent"), F.col("user_id").cast("string"))
-        prompt = F.concat(name, F.lit(" knows "), F.coalesce("n", F.lit(0)).cast("string"), F.lit(" things and hears "), F.col("props"))
-        asked = turns.join(known, "user_id", "left").select("event_id", name.alias("name"), "props", prompt.alias("prompt"))
-        # a failed call keeps its row and its error, without a reply
-        told = generate_text(asked, "prompt", "answer", say_client)
-        told = told.withColumn("d", F.when(F.col("error").isNull(), parse_dialogue(F.col("answer"), F.col("name"))))
-        return told.select(
+    events = table(spark, sf, "events")
+    clicks = F.col("event_type") == "click"
+    base = memories_of(events.where(~clicks)).withColumn("vec", embed_text(F.col("page_content")))
+    base = written(base, "base")  # embedded once, for all batches
+    folder, out, checkpoint = (scratch_path(spark, name) for name in ("turns", "memories", "checkpoint"))
+    known = F.coalesce("relevant_memories", F.lit("nothing"))
+    prompt = F.concat("name", F.lit(" remembers:\n"), known, F.lit("\nand hears "), "heard")
+
+    def reply(turns, memories):
+        return remembered_replies(turns, memories, now(), K, recalling_client, prompt=prompt, search_k=SEARCHED)
+
+    for wave in arrivals(events.where(clicks)):
+        wave.write.mode("append").parquet(folder)
+        turns = state.read_arrivals(spark, folder, events.schema, FILES).select(
             "event_id",
-            F.col("d.reply").alias("reply"),
-            observed_memory(F.col("name"), F.col("props"), F.col("d.said")).alias("memory_text"),
-            "error",
+            F.col("user_id").alias("agent"),
+            F.concat(F.lit("Agent"), F.col("user_id").cast("string")).alias("name"),
+            "ts",
+            F.col("props").alias("heard"),
         )
-
-    state.stream_dialogue(
-        state.read_stream(spark, sf, "events", FILES), reply, path, scratch_path(spark, "checkpoint")
-    ).awaitTermination()
-    return spark.read.schema("event_id long, reply string, memory_text string, error string, batch int").parquet(path).drop("batch")
+        stream_dialogue(turns, base, reply, out, checkpoint).awaitTermination()
+    return replies(spark, out, "event_id long, reply string, page_content string, error string").withColumnRenamed(
+        "page_content", "memory_text"
+    ).select("event_id", "reply", "memory_text", "error")

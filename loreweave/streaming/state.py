@@ -6,13 +6,13 @@ applied in an earlier batch is applied on arrival and flagged ``late``.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from loreweave.operators.memory import UNITS
 
@@ -230,23 +230,3 @@ def run_to_parquet(stream: DataFrame, path: str, checkpoint: str) -> DataFrame:
     )
     query.awaitTermination()
     return stream.sparkSession.read.schema(stream.schema).parquet(path)
-
-
-def stream_dialogue(
-    turns: DataFrame, reply: Callable[[DataFrame], DataFrame], path: str, checkpoint: str
-) -> StreamingQuery:
-    """Answer a stream of speaker turns and write the new memories.
-
-    ``reply`` maps the turns of a batch to memories.  Each batch has its own folder, overwritten if the batch is run
-    again, so a repeated batch adds nothing twice.
-    """
-
-    def answer(batch: DataFrame, batch_id: int) -> None:
-        reply(batch).write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
-
-    return (
-        turns.writeStream.foreachBatch(answer)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )

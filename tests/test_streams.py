@@ -10,7 +10,7 @@ from loreweave.catalog.chat import conversation_events
 from loreweave.catalog.memory import memories_of
 from loreweave.operators import chat, memory
 from loreweave.operators.ordered import Segments
-from loreweave.streaming import state
+from loreweave.streaming import dialogue, state
 
 
 def in_batches(spark, sf, tmp_path, n=4):
@@ -168,16 +168,48 @@ def test_reflection(spark, sf, tmp_path):
     assert want.count() > 50 and sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
 
 
-def test_dialogue_batch_can_repeat(spark, sf, tmp_path):
-    path = str(tmp_path / "memories")
-    seen = []
-
-    def reply(batch):
-        seen.append(1)
-        return batch.select("event_id")
-
-    stream = in_batches(spark, sf, tmp_path, 2)
-    for attempt in ("a", "b"):  # a lost checkpoint runs every batch again
-        state.stream_dialogue(stream, reply, path, str(tmp_path / attempt)).awaitTermination()
-    assert len(seen) == 4
-    assert spark.read.parquet(path).count() == spark.read.parquet(f"{sf}/events.parquet").count()
+def test_folders_hold_every_earlier_batch_once():
+    for merged in (2, 3, 8):
+        made = set()
+        for batch in range(200):
+            for level, number in dialogue.merges_before(batch, merged):
+                assert {(level - 1, number * merged + i) for i in range(merged)} <= made
+                made.add((level, number))
+            read = list(dialogue.folders_before(batch, merged))
+            assert set(read) <= made and len(read) <= (merged - 1) * 8
+            held = [b for level, n in read for b in range(n * merged**level, (n + 1) * merged**level)]
+            assert sorted(held) == list(range(batch))
+            made.add((0, batch))
+
+
+def test_dialogue_remembers_what_it_said(spark, tmp_path):
+    """Five batches of one agent, merged by twos; each answer says how many memories there were. A lost checkpoint runs them all again."""
+    turn = "event_id long, agent long, name string, ts timestamp_ntz, heard string"
+    for i in range(5):
+        rows = spark.createDataFrame([(i, 1, "Ann", "2024-01-01", f"word{i}"), (100 + i, 2, "Bob", "2024-01-01", "FAIL")], turn.replace("timestamp_ntz", "string"))
+        rows.withColumn("ts", F.col("ts").cast("timestamp_ntz")).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    turns = spark.readStream.schema(turn).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
+    columns = "memory_id long, agent long, page_content string, created_at timestamp_ntz, last_accessed_at timestamp_ntz, importance double, vec array<float>"
+    base = spark.createDataFrame([(900, 1, "the base", None, None, 0.5, None), (901, 3, "of another", None, None, 0.5, None)], columns)
+
+    def client():
+        def answer(prompts):
+            if any("FAIL" in p for p in prompts):
+                raise ValueError("no answer")
+            return [f"SAY: {p.count('- ')} known" for p in prompts]
+
+        return answer
+
+    prompt = F.concat(F.coalesce("relevant_memories", F.lit("")), F.lit("\n"), "heard")
+
+    def reply(batch, memories):
+        # lines need a time
+        memories = memories.withColumn("created_at", F.coalesce("created_at", F.lit("2023-01-01").cast("timestamp_ntz")))
+        return dialogue.remembered_replies(batch, memories, F.lit("2024-02-01").cast("timestamp_ntz"), 50, client, prompt=prompt)
+
+    for attempt in ("a", "b"):
+        dialogue.stream_dialogue(turns, base, reply, str(tmp_path / "out"), str(tmp_path / attempt), merged=2).awaitTermination()
+        rows = dialogue.replies(spark, str(tmp_path / "out"), "event_id long, reply string, page_content string, error string").collect()
+        assert {r.event_id: r.reply for r in rows if r.event_id < 100} == {i: f"Ann said {i + 1} known" for i in range(5)}
+        failed = [r for r in rows if r.event_id >= 100]
+        assert len(failed) == 5 and all(r.reply is None and r.page_content is None and "no answer" in r.error for r in failed)
