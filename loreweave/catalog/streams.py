@@ -8,13 +8,16 @@ from loreweave.catalog.base import embedding_sql, query, table
 from loreweave.catalog.chat import conversation_events, folded_sql
 from loreweave.catalog.compare import FLAGGED, exchanges, flag_tries, read_log
 from loreweave.catalog.memory import DIGEST_LINE, MEMORIES, REFLECTED, SEARCHED, THRESHOLD, K, memories_of, now, retrieved_sql
+from loreweave.catalog.training import template_sql
+from loreweave.functions.templates import IMPORTANCE_TEMPLATE
 from loreweave.functions.vectors import embed_text
 from loreweave.operators.compare import flag_filter
 from loreweave.session import scratch_path, written
 from loreweave.sources import flags
 from loreweave.streaming import state
-from loreweave.streaming.dialogue import remembered_replies, replies, stream_dialogue
-
+from loreweave.streaming.dialogue import remembered_replies, stream_dialogue
+from loreweave.streaming.folders import batch_rows
+from loreweave.streaming.ingest import IMPORTANCE_WEIGHT, rate_importance, stream_memory_ingest
 
 FILES = 1000  # files of a micro-batch
 
@@ -60,25 +63,30 @@ def _stream_flag_log(spark, sf):
     return read_log(spark, path)
 
 
+def rating_client():
+    """Stands in for a model: rates a prompt by its length."""
+    return lambda prompts: [str(len(p) % 10) for p in prompts]
+
+
 @query(
     "stream_memory_ingest",
-    f"""WITH {MEMORIES} SELECT agent, memory_id, page_content, importance, strftime(created_at, '%Y-%m-%d %H:%M:%S.%f') AS created_at,
-  row_number() OVER (PARTITION BY agent ORDER BY created_at, memory_id) - 1 AS buffer_idx FROM mem""",
+    f"""WITH {MEMORIES}, rated AS (SELECT *, length({template_sql(IMPORTANCE_TEMPLATE, memory_content="page_content")}) % 10 AS rating FROM mem)
+SELECT agent, memory_id, page_content, round(rating / 10.0 * {IMPORTANCE_WEIGHT}, 6)::DOUBLE AS importance, strftime(created_at, '%Y-%m-%d %H:%M:%S.%f') AS created_at,
+  row_number() OVER (PARTITION BY agent ORDER BY memory_id % 4 = 3, created_at, memory_id) - 1 AS buffer_idx FROM rated""",
 )
 def _stream_memory_ingest(spark, sf):
-    held = memories_of(state.read_stream(spark, sf, "events", FILES)).withColumnsRenamed(
-        {"created_at": "ts", "memory_id": "event_id"}
-    )
-    done = state.run_to_parquet(
-        state.stream_memory_ingest(held), scratch_path(spark, "out"), scratch_path(spark, "checkpoint")
-    )
-    return done.select(
-        "agent",
-        "memory_id",
-        "page_content",
-        "importance",
-        F.date_format("created_at", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("created_at"),
-        "buffer_idx",
+    events = table(spark, sf, "events")
+    folder, out, checkpoint = (scratch_path(spark, name) for name in ("events", "memories", "checkpoint"))
+    for wave in arrivals(events):
+        wave.write.mode("append").parquet(folder)
+        seen = memories_of(state.read_arrivals(spark, folder, events.schema, FILES)).drop("importance", "last_accessed_at")
+        stream_memory_ingest(seen, lambda df: rate_importance(df, rating_client), now(), out, checkpoint).awaitTermination()
+    schema = "agent long, memory_id long, page_content string, importance double, created_at timestamp_ntz, buffer_idx long"
+    stamp = F.date_format("created_at", "yyyy-MM-dd HH:mm:ss.SSSSSS")
+    return (
+        batch_rows(spark, f"{out}/memories", schema)
+        .withColumns({"created_at": stamp, "importance": F.round("importance", 6)})
+        .select("agent", "memory_id", "page_content", "importance", "created_at", "buffer_idx")
     )
 
 
@@ -151,6 +159,6 @@ def _stream_dialogue(spark, sf):
             F.col("props").alias("heard"),
         )
         stream_dialogue(turns, base, reply, out, checkpoint).awaitTermination()
-    return replies(spark, out, "event_id long, reply string, page_content string, error string").withColumnRenamed(
+    return batch_rows(spark, out, "event_id long, reply string, page_content string, error string").withColumnRenamed(
         "page_content", "memory_text"
     ).select("event_id", "reply", "memory_text", "error")

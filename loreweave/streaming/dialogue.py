@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -13,33 +13,7 @@ from loreweave.functions.text import observed_memory, parse_dialogue
 from loreweave.functions.vectors import embed_text
 from loreweave.operators.memory import SEARCH_K, retrieve_memories
 from loreweave.plans.agent import digests
-
-# folders of one level that are merged into one of the next
-MERGED = 8
-
-
-def folder(path: str, level: int, number: int) -> str:
-    return f"{path}/level={level}/number={number}"
-
-
-def folders_before(batch_id: int, merged: int = MERGED) -> Iterator[tuple[int, int]]:
-    """Level and number of the folders that hold what the batches before this one wrote, each batch once.
-
-    Folder ``number`` of a level holds ``merged ** level`` batches, so the list grows with the logarithm of the batches.
-    """
-    level = 0
-    while batch_id:
-        last = batch_id % merged
-        yield from ((level, number) for number in range(batch_id - last, batch_id))
-        batch_id, level = batch_id // merged, level + 1
-
-
-def merges_before(batch_id: int, merged: int = MERGED) -> Iterator[tuple[int, int]]:
-    """Level and number of the folders that become complete with the batch before this one, lowest level first."""
-    level = 0
-    while batch_id and batch_id % merged == 0:
-        batch_id, level = batch_id // merged, level + 1
-        yield level, batch_id - 1
+from loreweave.streaming.folders import MERGED, BatchFolders
 
 
 def remembered_replies(
@@ -90,27 +64,17 @@ def stream_dialogue(
     ``reply`` maps the turns of a batch, and the memories of their agents, to rows that hold the columns of ``base``; a row without
     ``page_content`` is no memory.  Turns of one batch are answered from what was known before it.  A batch writes a folder of its own and
     reads folders of earlier batches alone, so a batch that is run again writes the same rows once.  Every ``merged`` folders of a
-    level are copied into one of the next, which later batches read instead; ``replies`` reads the folders of level 0, which stay.
+    level are copied into one of the next, which later batches read instead (``folders.py``).
     """
-    spark, schema = turns.sparkSession, base.schema
 
-    def read(parts: list[str]) -> DataFrame:
-        return spark.read.schema(schema).parquet(*parts)
+    def is_memory(df: DataFrame) -> DataFrame:
+        return df.where(F.col("page_content").isNotNull())
+
+    told = BatchFolders(turns.sparkSession, path, base.schema, is_memory, merged)
 
     def answer(batch: DataFrame, batch_id: int) -> None:
-        for level, number in merges_before(batch_id, merged):
-            parts = [folder(path, level - 1, number * merged + i) for i in range(merged)]
-            read(parts).where(F.col("page_content").isNotNull()).write.mode("overwrite").parquet(folder(path, level, number))
-        memories = base
-        if batch_id:
-            written = read([folder(path, *at) for at in folders_before(batch_id, merged)])
-            memories = base.unionByName(written.where(F.col("page_content").isNotNull()))
-        asked = memories.join(batch.select("agent").distinct(), "agent", "left_semi")
-        reply(batch, asked).write.mode("overwrite").parquet(folder(path, 0, batch_id))
+        before = told.before(batch_id)
+        memories = base if before is None else base.unionByName(before)
+        told.write(reply(batch, memories.join(batch.select("agent").distinct(), "agent", "left_semi")), batch_id)
 
     return turns.writeStream.foreachBatch(answer).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
-
-
-def replies(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """All rows that the batches of a dialogue wrote."""
-    return spark.read.schema(schema).parquet(f"{path}/level=0")

@@ -126,51 +126,6 @@ def stream_conversation_state(events: DataFrame, idle_seconds: int | None = None
     )
 
 
-class _Counter(StatefulProcessor):
-    """How many memories an agent has."""
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.held = handle.getValueState("held", "n long")
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        n = self.held.get()[0] if self.held.exists() else 0
-        batch = _sorted(rows)
-        self.held.update((n + len(batch),))
-        yield batch.assign(buffer_idx=range(n, n + len(batch)), agent=key[0])[
-            ["agent", "event_id", "ts", "page_content", "importance", "buffer_idx"]
-        ]
-
-    def close(self) -> None:
-        pass
-
-
-def stream_memory_ingest(observations: DataFrame) -> DataFrame:
-    """Observations become memories: times filled in and numbered per agent.
-
-    ``observations`` is a stream of ``(agent, ts, event_id, page_content, importance)``.
-    """
-    use_rocksdb(observations.sparkSession)
-    numbered = (
-        observations.select("agent", F.col("ts").cast("timestamp").alias("ts"), "event_id", "page_content", "importance")
-        .groupBy("agent")
-        .transformWithStateInPandas(
-            _Counter(),
-            "agent long, event_id long, ts timestamp, page_content string, importance double, buffer_idx long",
-            "Append",
-            "None",
-        )
-    )
-    return numbered.select(
-        "agent",
-        F.col("event_id").alias("memory_id"),
-        "page_content",
-        F.col("ts").cast("timestamp_ntz").alias("created_at"),
-        F.col("ts").cast("timestamp_ntz").alias("last_accessed_at"),
-        "importance",
-        "buffer_idx",
-    )
-
-
 class _Reflection(StatefulProcessor):
     """Importance an agent has gathered since its last reflection, in millionths."""
 

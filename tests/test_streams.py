@@ -10,7 +10,7 @@ from loreweave.catalog.chat import conversation_events
 from loreweave.catalog.memory import memories_of
 from loreweave.operators import chat, memory
 from loreweave.operators.ordered import Segments
-from loreweave.streaming import dialogue, state
+from loreweave.streaming import dialogue, folders, ingest, state
 
 
 def in_batches(spark, sf, tmp_path, n=4):
@@ -149,12 +149,46 @@ def test_late_event_is_flagged(spark, tmp_path):
 
 
 def test_memory_ingest(spark, sf, tmp_path):
-    stream = memories_of(in_batches(spark, sf, tmp_path)).withColumnsRenamed({"created_at": "ts", "memory_id": "event_id"})
-    got = run(state.stream_memory_ingest(stream), tmp_path)
-    held = memories_of(spark.read.parquet(f"{sf}/events.parquet")).drop("last_accessed_at")
-    want = memory.buffer_index(held, ["created_at", "memory_id"], F.lit("2024-02-01").cast("timestamp_ntz"))
-    columns = ["agent", "memory_id", "buffer_idx", "created_at", "page_content", "importance"]
-    assert got.count() == want.count() and got.select(columns).exceptAll(want.select(columns)).count() == 0
+    """An agent with a third of the rows, cut into segments; four batches, merged by twos, run twice, are numbered like one table."""
+    events = spark.read.parquet(f"{sf}/events.parquet")
+    hot = events.withColumn("user_id", F.when(F.col("event_id") % 3 == 0, F.lit(7)).otherwise(F.col("user_id")))
+    hot.write.parquet(str(tmp_path / "hot" / "events.parquet"))
+    held = memories_of(hot)
+    seen = memories_of(in_batches(spark, str(tmp_path / "hot"), tmp_path)).drop("importance", "last_accessed_at")
+    now = F.lit("2024-02-01").cast("timestamp_ntz")
+
+    def client():
+        return lambda prompts: [str(len(p) % 10) for p in prompts]
+
+    for attempt in ("a", "b"):  # a lost checkpoint runs every batch again
+        ingest.stream_memory_ingest(
+            seen, lambda df: ingest.rate_importance(df, client), now, str(tmp_path / "out"), str(tmp_path / attempt), Segments(20, 60), 2
+        ).awaitTermination()
+    schema = "agent long, memory_id long, buffer_idx long, created_at timestamp_ntz, page_content string, importance double"
+    got = folders.batch_rows(spark, str(tmp_path / "out" / "memories"), schema)
+    assert got.count() == held.count()
+    step = -(-events.count() // 4)
+    order = sorted(((r.agent, r.memory_id // step, r.created_at, r.memory_id) for r in held.collect()))
+    numbers, last = {}, None
+    for agent, _, _, memory_id in order:
+        last = (agent, last[1] + 1) if last and last[0] == agent else (agent, 0)
+        numbers[memory_id] = last[1]
+    assert {r.memory_id: r.buffer_idx for r in got.collect()} == numbers
+    assert got.where("importance is null").count() == 0 and got.select("importance").distinct().count() > 3
+
+
+def test_failed_rating_is_kept(spark):
+    def client():
+        def answer(prompts):
+            if any("bad" in p for p in prompts):
+                raise ValueError("no")
+            return ["7"] * len(prompts)
+
+        return answer
+
+    df = spark.createDataFrame([(1, "good"), (2, "bad"), (3, None)], "memory_id int, page_content string")
+    got = {r.memory_id: (r.importance, r.error) for r in ingest.rate_importance(df, client).collect()}
+    assert got[1] == got[3] == (0.7 * 0.15, None) and got[2][0] is None and "no" in got[2][1]
 
 
 def test_reflection(spark, sf, tmp_path):
@@ -172,10 +206,10 @@ def test_folders_hold_every_earlier_batch_once():
     for merged in (2, 3, 8):
         made = set()
         for batch in range(200):
-            for level, number in dialogue.merges_before(batch, merged):
+            for level, number in folders.merges_before(batch, merged):
                 assert {(level - 1, number * merged + i) for i in range(merged)} <= made
                 made.add((level, number))
-            read = list(dialogue.folders_before(batch, merged))
+            read = list(folders.folders_before(batch, merged))
             assert set(read) <= made and len(read) <= (merged - 1) * 8
             held = [b for level, n in read for b in range(n * merged**level, (n + 1) * merged**level)]
             assert sorted(held) == list(range(batch))
@@ -209,7 +243,7 @@ def test_dialogue_remembers_what_it_said(spark, tmp_path):
 
     for attempt in ("a", "b"):
         dialogue.stream_dialogue(turns, base, reply, str(tmp_path / "out"), str(tmp_path / attempt), merged=2).awaitTermination()
-        rows = dialogue.replies(spark, str(tmp_path / "out"), "event_id long, reply string, page_content string, error string").collect()
+        rows = folders.batch_rows(spark, str(tmp_path / "out"), "event_id long, reply string, page_content string, error string").collect()
         assert {r.event_id: r.reply for r in rows if r.event_id < 100} == {i: f"Ann said {i + 1} known" for i in range(5)}
         failed = [r for r in rows if r.event_id >= 100]
         assert len(failed) == 5 and all(r.reply is None and r.page_content is None and "no answer" in r.error for r in failed)
