@@ -20,10 +20,10 @@ ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvi
 
 
 def read_stream(spark: SparkSession, folder: str, table: str, max_files: int) -> DataFrame:
-    """A table of a folder that holds several, as a stream of its files, at most ``max_files`` in a micro-batch."""
-    schema = spark.read.parquet(f"{folder}/{table}.parquet").schema
-    reader = spark.readStream.schema(schema).option("pathGlobFilter", f"{table}.parquet")
-    return reader.option("maxFilesPerTrigger", max_files).parquet(folder)
+    """A table, one file or a folder of files, as a stream of its files, at most ``max_files`` in a micro-batch."""
+    path = f"{folder}/{table}.parquet"
+    # as a plain path the stream takes folders alone; a pattern that fits this one name may find a file
+    return read_arrivals(spark, f"{path[:-1]}[{path[-1]}]", spark.read.parquet(path).schema, max_files)
 
 
 def read_arrivals(spark: SparkSession, folder: str, schema: T.StructType, max_files: int) -> DataFrame:

@@ -247,3 +247,11 @@ def test_dialogue_remembers_what_it_said(spark, tmp_path):
         assert {r.event_id: r.reply for r in rows if r.event_id < 100} == {i: f"Ann said {i + 1} known" for i in range(5)}
         failed = [r for r in rows if r.event_id >= 100]
         assert len(failed) == 5 and all(r.reply is None and r.page_content is None and "no answer" in r.error for r in failed)
+
+
+def test_stream_reads_a_table_of_one_file_or_of_a_folder(spark, sf, tmp_path):
+    table = spark.read.parquet(f"{sf}/conversations.parquet")
+    table.repartition(3).write.parquet(str(tmp_path / "in" / "conversations.parquet"))
+    table.limit(1).write.parquet(str(tmp_path / "in" / "xconversations.parquet"))
+    for folder in (sf, str(tmp_path / "in")):
+        assert run(state.read_stream(spark, folder, "conversations", 2), tmp_path).count() == table.count()
