@@ -30,7 +30,7 @@ def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies (Jaccard similarity of at least 0.8 on shingles of five words) the document with the smallest id."""
+    """Of each group of near copies (SimHash and MinHash candidates with a Jaccard similarity of at least 0.8 on shingles of five words) the document with the smallest id."""
     return near_dedup(docs, "doc_id", "text")
 
 

@@ -1,9 +1,10 @@
-"""Near copies by the shingles two texts share: banded MinHash finds candidates, an exact Jaccard check decides.
+"""Near copies by the shingles two texts share: SimHash and banded MinHash find candidates, an exact Jaccard check decides.
 
 A text is the set of its shingles of ``WORDS`` words (a shorter text is one shingle, a text without words one fixed
 shingle). Texts are linked if the Jaccard similarity of their sets is at least ``LEAST``; the check is on whole sets,
-so nothing is merged on a sketch alone. Candidates share one of ``BANDS`` keys, each of ``ROWS`` MinHash values: a pair at
-similarity s meets under none with probability (1 - s^ROWS)^BANDS, 3 in a million at 0.8 and less above it.
+so nothing is merged on a sketch alone. Candidates are what SimHash groups (``simhash``, fingerprints of these shingles), and what shares one
+of ``BANDS`` keys, each of ``ROWS`` MinHash values: a pair at similarity s meets under none of these with probability (1 - s^ROWS)^BANDS, 3 in a
+million at 0.8 and less above it. SimHash alone would miss most pairs near 0.8, whose fingerprints differ in more bits than it links.
 
 Texts with the same set are one node. Under a key, nodes are compared in chunks bounded by nodes and by shingles; a key
 with more becomes all pairs of its chunks, so no pair is lost. Each list of nodes returns a spanning forest of its links, and
@@ -24,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loreweave.llm.common import row_slices
-from loreweave.llm.simhash import components
+from loreweave.llm.simhash import PIECE, components, fingerprint_links, majority
 from loreweave.session import written
 
 WORDS = 5
@@ -72,21 +73,24 @@ def band_keys(held: np.ndarray) -> np.ndarray:
     return keys
 
 
-SKETCH = "doc_id {key}, mark long, fp long, size int, keys array<long>"
+SKETCH = "doc_id {key}, mark long, fp long, sim long, size int, keys array<long>"
 
 
 def sketched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows ``(doc_id, mark, text)`` to ``(doc_id, mark, fp, size, keys)``; a text is dropped as soon as its sketch is made."""
+    """Rows ``(doc_id, mark, text)`` to ``(doc_id, mark, fp, sim, size, keys)``; a text is dropped as soon as its sketch is made."""
     for batch in batches:
         for rows in row_slices(batch):
-            fps, sizes, keys = np.empty(len(rows), np.uint64), np.empty(len(rows), np.int32), np.empty((len(rows), BANDS), np.uint64)
+            fps, sims = np.empty((2, len(rows)), np.uint64)
+            sizes, keys = np.empty(len(rows), np.int32), np.empty((len(rows), BANDS), np.uint64)
             for i, t in enumerate(rows.column(2)):
                 held = shingles(t.as_py())
                 fps[i] = xxhash.xxh64_intdigest(held.tobytes(), SEED)
+                sims[i] = majority(held[a : a + PIECE] for a in range(0, len(held), PIECE))
                 sizes[i] = len(held)
                 keys[i] = band_keys(held)
             lists = pa.ListArray.from_arrays(pa.array(np.arange(len(rows) + 1) * BANDS, pa.int32()), pa.array(keys.ravel().view(np.int64)))
-            yield pa.RecordBatch.from_arrays([rows.column(0), rows.column(1), pa.array(fps.view(np.int64)), pa.array(sizes), lists], ["doc_id", "mark", "fp", "size", "keys"])
+            numbers = [pa.array(fps.view(np.int64)), pa.array(sims.view(np.int64)), pa.array(sizes)]
+            yield pa.RecordBatch.from_arrays([rows.column(0), rows.column(1), *numbers, lists], ["doc_id", "mark", "fp", "sim", "size", "keys"])
 
 
 def shingled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -180,9 +184,15 @@ def links_in_lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
         yield out
 
 
+def simhash_keys(nodes: DataFrame, chunk: int = CHUNK) -> DataFrame:
+    """``(fp, size, key)``: nodes whose SimHash fingerprints ``sim`` are linked have one key."""
+    roots = components(fingerprint_links(nodes.select(F.col("sim").alias("fp")).distinct(), chunk)).select(F.col("node").alias("sim"), "root")
+    return nodes.join(roots, "sim", "left").select("fp", "size", F.xxhash64(F.coalesce("root", "sim"), F.lit(BANDS + 1)).alias("key"))
+
+
 def candidate_lists(nodes: DataFrame, chunk: int = CHUNK, chunk_shingles: int = CHUNK_SHINGLES) -> DataFrame:
-    """``(list, fp)``: lists of nodes to compare, from distinct ``(fp, size, keys)``."""
-    keyed = nodes.select("fp", "size", F.explode("keys").alias("key"))
+    """``(list, fp)``: lists of nodes to compare, from distinct ``(fp, sim, size, keys)``."""
+    keyed = nodes.select("fp", "size", F.explode("keys").alias("key")).unionByName(simhash_keys(nodes, chunk))
     shared = keyed.groupBy("key").agg(F.count("*").alias("n"), F.sum("size").alias("held")).filter("n > 1")
     parts = F.ceil(F.greatest(F.col("n") / chunk, F.col("held") / chunk_shingles)).cast("int")
     own = F.pmod(F.xxhash64("fp", F.lit(1)), F.col("parts")).cast("int")
@@ -200,7 +210,7 @@ def candidate_lists(nodes: DataFrame, chunk: int = CHUNK, chunk_shingles: int =
 
 
 def near_links(nodes: DataFrame, texts: DataFrame, chunk: int = CHUNK, chunk_shingles: int = CHUNK_SHINGLES) -> DataFrame:
-    """Links ``(a, b)`` of nodes ``(fp, mark, size, keys)`` that are similar enough; ``texts (mark, text)`` are read for candidates only."""
+    """Links ``(a, b)`` of nodes ``(fp, mark, sim, size, keys)`` that are similar enough; ``texts (mark, text)`` are read for candidates only."""
     lists = written(candidate_lists(nodes, chunk, chunk_shingles), "lists")
     wanted = written(lists.select("fp").distinct().join(nodes.select("fp", "mark"), "fp"), "candidates")
     # texts of no candidate are left out before the shuffle, but for those that share a bit with one
@@ -216,8 +226,8 @@ def near_dedup(df: DataFrame, key: str = "doc_id", text: str = "text", chunk: in
     marked = texts.select("doc_id", F.xxhash64("text").alias("mark"), "text")
     sketches = marked.mapInArrow(sketched, SKETCH.format(key=marked.schema["doc_id"].dataType.simpleString()))
     # the first row of every distinct set
-    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "mark", "size", "keys")).alias("f")
-    nodes = written(sketches.groupBy("fp").agg(first).select("fp", "f.none", "f.doc_id", "f.mark", "f.size", "f.keys"), "nodes")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "mark", "sim", "size", "keys")).alias("f")
+    nodes = written(sketches.groupBy("fp").agg(first).select("fp", "f.none", "f.doc_id", "f.mark", "f.sim", "f.size", "f.keys"), "nodes")
     links = near_links(nodes, texts.select(F.xxhash64("text").alias("mark"), "text"), chunk, chunk_shingles)
     roots = components(links).select(F.col("node").alias("fp"), "root")
     rooted = nodes.select("fp", F.struct("none", "doc_id", "mark").alias("first")).join(roots, "fp", "left")

@@ -14,7 +14,7 @@ empty results; other columns are neither read nor changed.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from itertools import combinations
 
 import numpy as np
@@ -54,16 +54,21 @@ def shingle_hashes(text: str) -> Iterator[list[int]]:
         yield [h(joined[x:y], SEED) for x, y in zip(starts[a : a + PIECE], last[a : a + PIECE])]
 
 
-def fingerprint(text: str | None) -> int:
-    """The fingerprint as an unsigned number."""
+def majority(parts: Iterable[np.ndarray]) -> int:
+    """The bits that are set in over half of the 64-bit hashes of all parts, as an unsigned number."""
     counts, n = np.zeros(64, np.int64), 0
-    for hashes in shingle_hashes(text or ""):
-        bits = np.unpackbits(np.array(hashes, "<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+    for hashes in parts:
+        bits = np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
         counts += bits.sum(0, dtype=np.int64)
         n += len(hashes)
     return int.from_bytes(np.packbits(counts * 2 > n, bitorder="little").tobytes(), "little")
 
 
+def fingerprint(text: str | None) -> int:
+    """The fingerprint as an unsigned number."""
+    return majority(np.array(hashes, "<u8") for hashes in shingle_hashes(text or ""))
+
+
 @F.arrow_udf(T.LongType())
 def fingerprint_of(texts: pa.Array) -> pa.Array:
     found = np.fromiter((fingerprint(t) for t in texts.to_pylist()), np.uint64, len(texts))

@@ -93,3 +93,15 @@ def test_bitmap_keeps_every_candidate(spark):
     assert {r.mark for r in wanted.collect()} <= kept
     assert len(kept) < 20_000
     assert every.filter(near_copies.among(wanted.limit(0), 20)).count() == 0
+
+
+def test_simhash_finds_what_no_band_does(spark, monkeypatch):
+    rng = random.Random(6)
+    words = [f"w{rng.randrange(5_000)}" for _ in range(3_000)]
+    edited = [*words[:1_500], "edited", *words[1_501:]]
+    other = [f"v{rng.randrange(5_000)}" for _ in range(3_000)]
+    docs = spark.createDataFrame([(i, " ".join(t), "en", "s", 1) for i, t in enumerate([words, other, edited])], DOCS)
+    # every text has keys of its own, so none meet in a band
+    numbers = np.arange(1, 1 + near_copies.BANDS, dtype=np.uint64)
+    monkeypatch.setattr(near_copies, "band_keys", lambda held: numbers * held.sum())
+    assert {r.doc_id for r in near_copies.near_dedup(docs).collect()} == {0, 1}
