@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -14,12 +14,23 @@ from pyspark.sql import functions as F
 # Fixed value: what counts as one token everywhere in this package.
 TOKEN_PATTERN = r"[\p{L}\p{N}_]+|[^\s\p{L}\p{N}_]"
 DIMS = 64
+SLICE_TOKENS = 1 << 17  # tokens whose places a task holds as numbers at a time
 
 
 def tokens(text: Column) -> Column:
     return F.regexp_extract_all(text, F.lit(TOKEN_PATTERN), F.lit(0))
 
 
+def token_slices(lengths: np.ndarray, most: int | None = None) -> Iterator[tuple[int, int]]:
+    """Borders ``[a, b)`` of runs of lists with about ``most`` tokens together; one list is never cut."""
+    upto = np.concatenate([[0], np.cumsum(lengths + 1)])
+    at = 0
+    while at < len(lengths):
+        to = max(at + 1, int(np.searchsorted(upto, upto[at] + (most or SLICE_TOKENS), side="right")) - 1)
+        yield at, to
+        at = to
+
+
 def embed_hashed(text: Column, dims: int = DIMS) -> Column:
     """Signed feature hashing of the tokens, L2-normalised; a text without tokens gives zeros.
 
@@ -35,14 +46,17 @@ def embed_hashed(text: Column, dims: int = DIMS) -> Column:
         dim = np.array([int(h[:15], 16) % dims for h in hashes], dtype=np.int64)
         sign = np.array([1.0 - 2.0 * (int(h[15], 16) % 2) for h in hashes])
         code = words.indices.to_numpy(zero_copy_only=False)
-        lengths = held.value_lengths().to_numpy(zero_copy_only=False)
-        row = np.repeat(np.arange(len(held)), lengths)
-        sums = np.zeros(len(held) * dims)
-        if len(code):
-            sums = np.bincount(row * dims + dim[code], weights=sign[code], minlength=len(held) * dims)
-        sums = sums.reshape(len(held), dims)
-        norm = np.sqrt((sums * sums).sum(axis=1, keepdims=True))
-        vec = (sums / np.where(norm == 0, 1.0, norm)).astype(np.float32)
+        lengths = held.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
+        ends = np.concatenate([[0], np.cumsum(lengths)])
+        vec = np.zeros((len(held), dims), np.float32)
+        for a, b in token_slices(lengths):
+            part = code[ends[a] : ends[b]]
+            if not len(part):
+                continue
+            row = np.repeat(np.arange(b - a), lengths[a:b])
+            sums = np.bincount(row * dims + dim[part], weights=sign[part], minlength=(b - a) * dims).reshape(b - a, dims)
+            norm = np.sqrt((sums * sums).sum(axis=1, keepdims=True))
+            vec[a:b] = sums / np.where(norm == 0, 1.0, norm)
         return pa.ListArray.from_arrays(np.arange(len(held) + 1, dtype=np.int32) * dims, vec.ravel())
 
     return embedded(tokens(F.replace(text, F.lit("\n"), F.lit(" "))))

@@ -5,12 +5,17 @@ from __future__ import annotations
 from collections import deque
 from collections.abc import Callable, Iterable, Iterator, Sequence
 
-import pandas as pd
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from loreweave.functions.vectors import token_slices
+
 SEPARATORS = ("\n\n", "\n", " ", "")
+SLICE_BYTES = 1 << 20  # bytes of the texts that a task cuts at a time, about; one text is never divided
 
 
 def chunk_key(doc: str, chunk_no: str) -> Column:
@@ -72,7 +77,7 @@ def split_recursive(
 
 
 def _chunked(df: DataFrame, text: str, size: int, cut: Callable[[str], Iterator[str]]) -> DataFrame:
-    """Apply ``cut`` batch-wise, one row in and n rows out; blank chunks go, the others are stripped."""
+    """Apply ``cut`` to some texts of a batch at a time, one row in and n rows out; blank chunks go, the others are stripped."""
     others = [c for c in df.columns if c != text]
     schema = T.StructType(
         [
@@ -83,16 +88,20 @@ def _chunked(df: DataFrame, text: str, size: int, cut: Callable[[str], Iterator[
         ]
     )
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            chunks = [[c for c in (raw.strip() for raw in cut(t or "")) if c] for t in batch[text]]
-            out = batch[others].loc[batch.index.repeat([len(c) for c in chunks])].reset_index(drop=True)
-            out["chunk_no"] = [i for c in chunks for i in range(len(c))]
-            out[text] = [x for c in chunks for x in c]
-            out["too_long"] = [len(x) > size for x in out[text]]
-            yield out
-
-    return df.select(*others, text).mapInPandas(run, schema)
+            lengths = pc.fill_null(pc.binary_length(batch.column(text)), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+            for a, b in token_slices(lengths, SLICE_BYTES):
+                rows = batch.slice(a, b - a)
+                chunks = [[c for c in (raw.strip() for raw in cut(t or "")) if c] for t in rows.column(text).to_pylist()]
+                row = pa.array(np.repeat(np.arange(len(chunks)), [len(c) for c in chunks]))
+                number = pa.array([i for c in chunks for i in range(len(c))], pa.int32())
+                texts = [x for c in chunks for x in c]
+                long = pa.array([len(x) > size for x in texts], pa.bool_())
+                columns = [*[rows.column(c).take(row) for c in others], number, pa.array(texts, rows.column(text).type), long]
+                yield pa.RecordBatch.from_arrays(columns, schema.names)
+
+    return df.select(*others, text).mapInArrow(run, schema)
 
 
 def chunk_separator(
