@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from loreweave.functions.vectors import tokens
+from loreweave.functions.vectors import token_slices, tokens
 
 UNK, BOS, EOS, PAD = 0, 1, 2, 0
 SPECIAL_PIECES = ("<unk>", "<s>", "</s>")
@@ -133,9 +133,12 @@ def encode_ids(
     """
     held = _broadcast_vocab(vocab, limit)
 
-    @F.arrow_udf("array<int>")
-    def encoded(batch: pa.Array) -> pa.Array:
-        values, counts = _coded(batch, held)
+    def coded(batch: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        lengths = pc.fill_null(batch.value_lengths(), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+        for a, b in token_slices(lengths):
+            yield _coded(batch.slice(a, b - a), held)
+
+    def marked(values: np.ndarray, counts: np.ndarray) -> pa.Array:
         ends = np.concatenate([[0], np.cumsum(counts + 2)])
         out = np.full(int(ends[-1]), EOS, dtype=np.int32)
         out[ends[:-1]] = BOS
@@ -145,9 +148,14 @@ def encode_ids(
         out[inner] = values
         return pa.ListArray.from_arrays(ends.astype(np.int32), out)
 
+    @F.arrow_udf("array<int>")
+    def encoded(batch: pa.Array) -> pa.Array:
+        parts = [marked(*part) for part in coded(batch)]
+        return pa.concat_arrays(parts) if parts else pa.array([], pa.list_(pa.int32()))
+
     @F.arrow_udf("int")
     def length(batch: pa.Array) -> pa.Array:
-        return pa.array(_coded(batch, held)[1] + 2, pa.int32())
+        return pa.array(np.concatenate([np.zeros(0, np.int64), *[counts + 2 for _, counts in coded(batch)]]), pa.int32())
 
     added = {name: encoded(tokens(text)) for name, text in texts.items()}
     return df.withColumns(added | {name: length(tokens(text)) for name, text in (counted or {}).items()})

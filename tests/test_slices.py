@@ -2,9 +2,10 @@
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from loreweave.functions import vectors
-from loreweave.operators import chunking
+from loreweave.operators import chunking, training
 
 TEXTS = [(0, "one two three\nfour five"), (1, None), (2, ""), (3, "a\n" * 30 + "w " * 40), (4, "dragon"), (5, "ä ö\nü " * 9)]
 
@@ -28,3 +29,15 @@ def test_chunks(texts, monkeypatch):
     whole = cut()
     monkeypatch.setattr(chunking, "SLICE_BYTES", 8)
     assert cut() == whole and len(whole) > 6
+
+
+def test_vectors_and_ids(texts, monkeypatch):
+    vocab = training.build_vocab(texts, F.col("text"), 5)
+
+    def made():
+        coded = training.encode_ids(texts, {"ids": F.col("text")}, vocab, counted={"n": F.col("text")})
+        return sorted(map(str, coded.withColumn("vec", vectors.embed_text(F.col("text"))).collect()))
+
+    whole = made()
+    monkeypatch.setattr(vectors, "SLICE_TOKENS", 3)
+    assert made() == whole
