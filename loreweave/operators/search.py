@@ -23,6 +23,8 @@ DIGITS = 6
 QUERY_ROWS = 4096
 BLOCK_CHUNKS = 20_000
 BLOCK_QUERIES = 2_000
+# chunks, and pairs of a chunk and a query, that a task scores at a time where the queries are broadcast
+SLICE_CHUNKS, SLICE_PAIRS = 1 << 11, 1 << 19
 
 
 def pairwise(q: np.ndarray, c: np.ndarray, metric: str) -> np.ndarray:
@@ -47,10 +49,10 @@ def _best(hits: pd.DataFrame, k: int) -> pd.DataFrame:
     return hits[hits.groupby("qid").cumcount() < k]
 
 
-def _block_hits(qid: np.ndarray, q: np.ndarray, ids: np.ndarray, c: np.ndarray, k: int, metric: str, most: np.ndarray | None = None) -> pd.DataFrame:
+def _block_hits(qid: np.ndarray, q: np.ndarray, ids: np.ndarray, c: np.ndarray, k: int, metric: str, most: np.ndarray | None = None, pairs: int = 4_000_000) -> pd.DataFrame:
     """The k best chunks of this block for each query, none beyond ``most``, in slices that keep the distance matrix small."""
     found = []
-    step = max(1, 4_000_000 // max(1, len(ids)))
+    step = max(1, pairs // max(1, len(ids)))
     for at in range(0, len(qid), step):
         d = pairwise(q[at : at + step], c, metric)
         if len(ids) > k:
@@ -103,9 +105,11 @@ def _hits_with_broadcast(chunks: DataFrame, queries: DataFrame, rows: list, k: i
         for batch in batches:
             if batch.num_rows == 0 or len(qids) == 0:
                 continue
-            ids = batch.column("id").to_numpy(zero_copy_only=False)
-            hits = _block_hits(qids, q, ids, arrow_matrix(batch.column("vec")), k, metric)
-            best = hits if best is None else _best(pd.concat([best, hits], ignore_index=True), k)
+            for at in range(0, batch.num_rows, SLICE_CHUNKS):
+                part = batch.slice(at, SLICE_CHUNKS)
+                ids = part.column("id").to_numpy(zero_copy_only=False)
+                hits = _block_hits(qids, q, ids, arrow_matrix(part.column("vec")), k, metric, pairs=SLICE_PAIRS)
+                best = hits if best is None else _best(pd.concat([best, hits], ignore_index=True), k)
         if best is not None:
             yield pa.RecordBatch.from_pandas(best[["qid", "id", "distance"]], preserve_index=False)
 

@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from loreweave.functions import vectors
-from loreweave.operators import chunking, training
+from loreweave.operators import chunking, search, training
 
 TEXTS = [(0, "one two three\nfour five"), (1, None), (2, ""), (3, "a\n" * 30 + "w " * 40), (4, "dragon"), (5, "ä ö\nü " * 9)]
 
@@ -41,3 +41,13 @@ def test_vectors_and_ids(texts, monkeypatch):
     whole = made()
     monkeypatch.setattr(vectors, "SLICE_TOKENS", 3)
     assert made() == whole
+
+
+def test_hits(spark, monkeypatch):
+    rng = np.random.default_rng(1)
+    points = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(rng.normal(size=(90, 4)).round(1))], "id long, vec array<double>").coalesce(1)
+    asked = points.where("id < 7").withColumnRenamed("id", "qid")
+    whole = sorted(map(tuple, search.knn_topk(points, asked, 5).collect()))
+    monkeypatch.setattr(search, "SLICE_CHUNKS", 3)
+    monkeypatch.setattr(search, "SLICE_PAIRS", 4)
+    assert sorted(map(tuple, search.knn_topk(points, asked, 5).collect())) == whole
