@@ -39,7 +39,7 @@ SEARCH_K = 100
 # memories and questions of one agent that meet in one block; pairs that are scored at a time
 SPLIT_ROWS = 1 << 18
 SPLIT_QUERIES = 1 << 10
-PAIRS = 1 << 19
+PAIRS = 1 << 17
 HOT_ROWS = 1 << 20
 
 
