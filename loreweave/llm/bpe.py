@@ -19,10 +19,12 @@ from __future__ import annotations
 
 import json
 import sys
+from collections.abc import Iterator
 
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 import tiktoken
 from pyspark.sql import DataFrame, SparkSession
@@ -39,6 +41,8 @@ LEAF = 1 << 15
 FINE = 1 << 9
 UNSPLIT = 1 << 8
 WINDOW = 8
+WHITE_SPACE = "\t\n\v\f\r \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+RUN_BYTES = 1 << 24  # bytes of the texts whose words are looked up together
 
 
 def byte_letters() -> dict[str, int]:
@@ -78,6 +82,7 @@ class Codec:
             self.bytes[i] = b
         for t, i in special.items():
             self.bytes[i] = t.encode()
+        self.lengths = np.fromiter(map(len, self.bytes), np.int64, len(self.bytes))
 
     def array(self, text: str) -> np.ndarray:
         """One leaf: in one go, or as a tree of its own if a word is very long."""
@@ -85,6 +90,49 @@ class Codec:
             return self.text.encode_to_numpy(text, allowed_special="all")  # no list of numbers: a batch has millions
         return np.array(self.concatenate([(t, self.text.encode(t, allowed_special="all")) for t in self.cut(text, self.fine)]), np.uint32)
 
+    def arrays(self, texts: pa.Array, run_bytes: int = RUN_BYTES) -> Iterator[np.ndarray]:
+        """Ids of each text, encoded in one go, where every distinct word of a run of texts is encoded once."""
+        ends = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False).astype(np.int64))
+        a = 0
+        while a < len(texts):
+            b = max(a + 1, int(np.searchsorted(ends, (ends[a - 1] if a else 0) + run_bytes, "right")))
+            if b > a + 1 and not any(" " in t for t in self.special):
+                yield from self.by_words(texts.slice(a, b - a))
+            else:
+                yield from (self.text.encode_to_numpy(t.as_py(), allowed_special="all") for t in texts.slice(a, b - a))
+            a = b
+
+    def by_words(self, texts: pa.Array) -> Iterator[np.ndarray]:
+        """The pre-tokenizer splits before a space that something else than white space follows, whatever comes before: white space
+        ahead of it leaves its last character. So the ids of a text are those of its words, each with the space before it. A text in
+        which white space or a special string follows a space, or that ends with one, is encoded as it is."""
+        split = pc.split_pattern(texts, " ")
+        at, words = split.offsets.to_numpy(), split.values.dictionary_encode()
+        codes, distinct = words.indices.to_numpy(), words.dictionary
+        odd = pc.is_in(pc.utf8_slice_codeunits(distinct, 0, 1), pa.array(["", *WHITE_SPACE]))
+        for t in self.special:
+            odd = pc.or_(odd, pc.match_substring(distinct, t))
+        plain = ~odd.to_numpy(zero_copy_only=False)
+        good = distinct.filter(pc.invert(odd))
+        joined = pc.binary_join(pa.ListArray.from_arrays(pa.array([0, len(good)], pa.int32()), good), " ")[0].as_py()
+        ids = self.text.encode_to_numpy(f" {joined}", allowed_special="all") if len(good) else np.empty(0, np.uint32)
+        borders = np.cumsum(pc.binary_length(good).to_numpy(zero_copy_only=False).astype(np.int64) + 1)
+        ends = np.searchsorted(np.cumsum(self.lengths[ids]), borders) + 1
+        first, count = np.zeros(len(distinct), np.int64), np.zeros(len(distinct), np.int64)
+        first[plain] = np.concatenate([[0], ends])[:-1]
+        count[plain] = ends - first[plain]
+        for t, a, b in zip(texts, at[:-1].tolist(), at[1:].tolist()):
+            here = codes[a + 1 : b]
+            head = distinct[codes[a]].as_py()
+            if b - a == 1 or not plain[here].all() or self.any_special.search(head):
+                yield self.text.encode_to_numpy(t.as_py(), allowed_special="all")
+                continue
+            n = count[here]
+            before = np.cumsum(n)
+            places = np.repeat(first[here] - before + n, n)
+            places += np.arange(len(places))
+            yield np.concatenate([self.text.encode_to_numpy(head, allowed_special="all"), ids[places]])
+
     def direct(self, text: str) -> list[int]:
         return self.array(text).tolist()
 

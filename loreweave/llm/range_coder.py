@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import struct
 import zlib
+from collections.abc import Iterator
 from typing import NamedTuple
 
 import numpy as np
@@ -27,8 +28,9 @@ LEARN = 8  # what an id seen adds to its count
 FULL_STEPS, EVERY = 8, 4  # counts are brought up to date at each of the first steps, then at every few
 SURE_BITS = 4
 CONFIDENCE, RARITY = 1 << SURE_BITS, 12  # levels: times in a row that a prediction was right; how rare the predicted id is, as a power of 2
-# confidence after a wrong and after a right prediction, by confidence before
-NEXT = np.array([[max(1, k // 2), min(k + 1, CONFIDENCE - 1)] for k in range(CONFIDENCE)]).ravel()
+# confidence after a wrong and after a right prediction, by confidence before and rarity
+NEXT = np.array([[max(1, k // 2), min(k + 1, CONFIDENCE - 1)] for k in range(CONFIDENCE) for _ in range(RARITY)], np.int32).ravel()
+GUIDE_BITS = 13  # the points of the counts are cut into about this many stretches, as a power of 2, to look ids up
 ODDS = 15  # most that a prediction adds, as a multiple of all below it: the total stays under 2^32
 SLOTS_BITS = 17
 SLOT_FACTOR = np.uint64(0x9E3779B97F4A7C15)
@@ -36,13 +38,18 @@ TOP, BOTTOM, WORD = np.uint64(1 << 48), np.uint64(1 << 32), np.uint64(16)
 FLAGS = 1 << 20  # ids below it are told apart by a flag each, not by sorting
 HEAD = "<4sIIIIIIII"  # magic, ids, alphabet, lanes, words, extra bytes, crc of ids, crc of the rest, crc of the head
 HEAD_BYTES = struct.calcsize(HEAD)
-MAGIC = b"CMB1"
+MAGIC = b"CMB2"
 
 
 class BlockError(ValueError):
     pass
 
 
+def taken(values: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """``values[at]``, all of which exist: "clip" spares numpy a copy."""
+    return values.take(at, mode="clip")
+
+
 class Prediction:
     """What one order says about the next id of each lane."""
 
@@ -52,27 +59,35 @@ class Prediction:
 
     def look(self, at: np.ndarray) -> None:
         self.at = at
-        found = self.held.take(at).astype(np.int64)
-        self.id, self.sure = found >> SURE_BITS, found & (CONFIDENCE - 1)
+        found = taken(self.held, at)
+        self.id32 = found >> SURE_BITS
+        self.id, self.sure = self.id32.astype(np.int64), found & (CONFIDENCE - 1)
 
-    def weigh(self, total: np.ndarray, share: np.ndarray) -> None:
+    def weigh(self, total: np.ndarray, share: np.ndarray, rarity: np.ndarray) -> None:
         """``more``: what is added to the ``share`` of the predicted ids in ``total``."""
         # quotients of whole numbers below 2^53 are rounded in one way everywhere
-        self.level = self.sure * RARITY + np.minimum(((total / share).view(np.int64) >> 52) - 1022, RARITY - 1)  # the exponent
-        odds = np.minimum(self.right / (self.tries - self.right), float(ODDS))
-        off = self.tries / (self.tries - self.right)
-        more = np.maximum(odds.take(self.level) * total - off.take(self.level) * share, 0.0).astype(np.int64)
-        self.more = more * (self.sure > 0)
+        self.level = self.sure * RARITY + rarity
+        wrong = self.tries - self.right
+        odds, off = np.minimum(self.right / wrong, float(ODDS)), self.tries / wrong
+        odds[:RARITY] = 0.0  # no confidence, nothing added
+        more = taken(odds, self.level)
+        more *= total
+        more -= taken(off, self.level) * share
+        added = more.astype(np.int64)
+        self.more = np.maximum(added, 0, out=added)
 
     def learn(self, ids: np.ndarray) -> None:
         hit = self.id == ids
-        seen = np.bincount(self.level * 2 + hit, minlength=2 * CONFIDENCE * RARITY).reshape(-1, 2)
+        case = self.level * 2 + hit
+        seen = np.bincount(case, minlength=2 * CONFIDENCE * RARITY).reshape(-1, 2)
         self.tries += seen.sum(1)
         self.right += seen[:, 1]
         # a prediction that fails loses half its confidence, and its place once none is left; lanes in the same context write in
         # lane order, the last one stays
-        kept = hit | (self.sure > 1)
-        self.held[self.at] = np.where(kept, self.id, ids) * CONFIDENCE + NEXT.take(self.sure * 2 + hit)
+        held = np.where(hit | (self.sure > 1), self.id32, ids.astype(np.int32))
+        held <<= SURE_BITS
+        held += taken(NEXT, case)
+        self.held[self.at] = held
 
 
 class Mixer:
@@ -81,49 +96,81 @@ class Mixer:
     def __init__(self, size: int, lanes: int) -> None:
         self.size = size
         self.count = np.ones(size, np.int64)
-        self.below = np.arange(size + 1, dtype=np.int64)  # sum of the counts of smaller ids
+        self.below = np.zeros(size + 1, np.int64)  # sum of the counts of smaller ids
         self.one, self.two = Prediction(size + 1), Prediction(1 << SLOTS_BITS)
         self.last = np.full((2, lanes), size, np.int64)  # ``size`` stands for no id yet
         self.waiting: list[np.ndarray] = []
         self.step = 0
+        self.counted()
+
+    def counted(self) -> None:
+        """Bring up to date what follows from the counts."""
+        np.cumsum(self.count, out=self.below[1:])
+        total = int(self.below[-1])
+        self.rarity = np.minimum(((total / self.count).view(np.int64) >> 52) - 1022, RARITY - 1)  # the exponent
+        self.guide = None
 
     def predict(self, lanes: int) -> None:
-        """Predictions for the next id of the first ``lanes`` lanes: where each predicted id starts, and how wide it is."""
+        """Predictions for the next id of the first ``lanes`` lanes, and what they add."""
         one, two = self.one, self.two
-        hashed = (self.last[1, :lanes] * (self.size + 1) + self.last[0, :lanes]).view(np.uint64) * SLOT_FACTOR
-        one.look(self.last[0, :lanes].copy())
-        two.look((hashed >> np.uint64(64 - SLOTS_BITS)).view(np.int64))
-        share1, share2 = self.count.take(one.id), self.count.take(two.id)
+        last = self.last[0, :lanes].copy()
+        hashed = self.last[1, :lanes] * (self.size + 1)
+        hashed += last
+        hashed = hashed.view(np.uint64)
+        hashed *= SLOT_FACTOR
+        hashed >>= np.uint64(64 - SLOTS_BITS)
+        one.look(last)
+        two.look(hashed.view(np.int64))
+        self.share1, self.share2 = taken(self.count, one.id), taken(self.count, two.id)
         total = self.below[-1]
-        one.weigh(total, share1)
-        same = one.id == two.id
+        one.weigh(total, self.share1, taken(self.rarity, one.id))
+        self.same = one.id == two.id
         total = total + one.more
-        two.weigh(total, share2 + one.more * same)
+        two.weigh(total, self.share2 + one.more * self.same, taken(self.rarity, two.id))
         self.total = total + two.more
-        one.start = self.below.take(one.id) + two.more * (two.id < one.id)
-        two.start = self.below.take(two.id) + one.more * (one.id < two.id)
-        one.width = share1 + one.more + two.more * same
-        two.width = share2 + two.more + one.more * same
 
     def interval(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Start and width of each id in the mixed distribution."""
         one, two = self.one, self.two
-        start = self.below.take(ids) + one.more * (one.id < ids) + two.more * (two.id < ids)
-        return start, self.count.take(ids) + one.more * (one.id == ids) + two.more * (two.id == ids)
+        start, width = taken(self.below, ids), taken(self.count, ids)
+        for order in (one, two):
+            start += order.more * (order.id < ids)
+            width += order.more * (order.id == ids)
+        return start, width
+
+    def smaller(self, point: np.ndarray) -> np.ndarray:
+        """The last id that starts at or before each point, among the counts alone."""
+        if self.guide is None:
+            self.shift = max(0, int(self.below[-1]).bit_length() - GUIDE_BITS)
+            # ids that end before each stretch of 2^shift points
+            ended = np.bincount((self.below[1:] >> self.shift) + 1, minlength=(1 << GUIDE_BITS) + 2)
+            self.guide = np.cumsum(ended)
+        ends = self.below[1:]
+        found = taken(self.guide, point >> self.shift)
+        found += taken(ends, found) <= point
+        left = np.flatnonzero(taken(ends, found) <= point)
+        if len(left):
+            found[left] = np.searchsorted(self.below, point[left], "right") - 1
+        return found
 
     def find(self, point: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """The ids whose intervals hold these points, with start and width."""
         one, two = self.one, self.two
-        past1, past2 = point >= one.start, point >= two.start
-        in1, in2 = past1 & (point < one.start + one.width), past2 & (point < two.start + two.width)
-        ids, start, width = (np.where(in1, x, y) for x, y in ((one.id, two.id), (one.start, two.start), (one.width, two.width)))
+        start1 = taken(self.below, one.id) + two.more * (two.id < one.id)
+        start2 = taken(self.below, two.id) + one.more * (one.id < two.id)
+        both = (one.more + two.more) * self.same
+        width1 = self.share1 + np.where(self.same, both, one.more)
+        width2 = self.share2 + np.where(self.same, both, two.more)
+        past1, past2 = point >= start1, point >= start2
+        in1, in2 = past1 & (point < start1 + width1), past2 & (point < start2 + width2)
+        ids, start, width = (np.where(in1, x, y) for x, y in ((one.id, two.id), (start1, start2), (width1, width2)))
         # what the predictions add lies behind the point if they start before it and do not hold it
         rest = np.flatnonzero(~(in1 | in2))
-        added = one.more[rest] * past1[rest] + two.more[rest] * past2[rest]
-        found = np.searchsorted(self.below, point[rest] - added, "right") - 1
+        added = taken(one.more * past1 + two.more * past2, rest)
+        found = self.smaller(taken(point, rest) - added)
         ids[rest] = found
-        start[rest] = self.below.take(found) + added
-        width[rest] = self.count.take(found)
+        start[rest] = taken(self.below, found) + added
+        width[rest] = taken(self.count, found)
         return ids, start, width
 
     def learn(self, ids: np.ndarray) -> None:
@@ -137,7 +184,7 @@ class Mixer:
         if self.step <= FULL_STEPS or self.step % EVERY == 0:
             self.count += LEARN * np.bincount(np.concatenate(self.waiting), minlength=self.size)
             self.waiting.clear()
-            np.cumsum(self.count, out=self.below[1:])
+            self.counted()
 
 
 def lanes_of(n: int) -> tuple[int, np.ndarray]:
@@ -167,16 +214,12 @@ def encode_ids(ranks: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
         unit = w // mixer.total.astype(np.uint64)
         lo += unit * start.astype(np.uint64)
         np.multiply(unit, share.astype(np.uint64), out=w)
-        while True:
-            at = ready(lo, w)
-            if not len(at):
-                break
-            if int(used.max()) >= out.shape[1]:
+        for at, words in settled(lo, w):
+            put = taken(used, at)
+            if int(put.max()) >= out.shape[1]:
                 out = np.concatenate([out, np.zeros_like(out)], axis=1)
-            out[at, used[at]] = (lo[at] >> TOP_SHIFT).astype(np.uint16)
-            used[at] += 1
-            lo[at] <<= WORD
-            w[at] <<= WORD
+            out.ravel()[at * out.shape[1] + put] = words
+            used[at] = put + 1
         mixer.learn(ids)
     if out.shape[1] < int(used.max()) + 4:
         out = np.concatenate([out, np.zeros((lanes, 4), np.uint16)], axis=1)
@@ -200,6 +243,20 @@ def ready(low: np.ndarray, width: np.ndarray) -> np.ndarray:
     return np.flatnonzero(same)
 
 
+def settled(low: np.ndarray, width: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Lanes and their leading words, as long as any is settled; both leave the ranges."""
+    at = ready(low, width)
+    while len(at):
+        lo, w = taken(low, at), taken(width, at)
+        yield at, (lo >> TOP_SHIFT).astype(np.uint16)
+        lo <<= WORD
+        w <<= WORD
+        # only these lanes can be settled again
+        again = ready(lo, w)
+        low[at], width[at] = lo, w
+        at = taken(at, again)
+
+
 def decode_ids(words: np.ndarray, used: np.ndarray, n: int, size: int) -> np.ndarray:
     lanes, active = lanes_of(n)
     mixer = Mixer(size, lanes)
@@ -219,14 +276,10 @@ def decode_ids(words: np.ndarray, used: np.ndarray, n: int, size: int) -> np.nda
         ids, start, share = mixer.find(point)
         lo += unit * start.astype(np.uint64)
         np.multiply(unit, share.astype(np.uint64), out=w)
-        while True:
-            at = ready(lo, w)
-            if not len(at):
-                break
-            c[at] = (c[at] << WORD) | held[np.minimum(at_word[at], len(held) - 1)]
-            at_word[at] += 1
-            lo[at] <<= WORD
-            w[at] <<= WORD
+        for at, _ in settled(lo, w):
+            read = taken(at_word, at)
+            c[at] = (taken(c, at) << WORD) | taken(held, read)
+            at_word[at] = read + 1
         mixer.learn(ids)
         steps[t, :here] = ids
     return np.ascontiguousarray(steps.T).reshape(-1)[:n]

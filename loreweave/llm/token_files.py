@@ -101,8 +101,8 @@ def write_token_files(df: DataFrame, folder: str, key: str = "doc_id", text: str
         writer = BlockWriter(TaskContext.get().partitionId(), block)
         last = np.array([end], np.uint32)
         for batch in batches:
-            for k, t in zip(batch.column(0), batch.column(1)):
-                for made in writer.add(k.as_py(), np.concatenate([bpe.text.encode_to_numpy(t.as_py(), allowed_special="all"), last])):
+            for k, ids in zip(batch.column(0), bpe.arrays(batch.column(1))):
+                for made in writer.add(k.as_py(), np.concatenate([ids, last])):
                     yield pa.RecordBatch.from_arrays([pa.array([made], pa.binary())], ["block"])
         if writer.held:
             yield pa.RecordBatch.from_arrays([pa.array([writer.flush()], pa.binary())], ["block"])

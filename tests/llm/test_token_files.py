@@ -2,10 +2,12 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
 from loreweave.llm import range_coder, token_files
+from loreweave.llm.bpe import VOCABULARY, Codec, read_vocabulary
 from loreweave.llm.range_coder import BLOCK, STEPS, BlockError, Mixer, pack, unpack
 from loreweave.session import scratch_path
 
@@ -144,3 +146,40 @@ def test_query_equals_brute_force_and_ids_come_back(spark, sf):
     ids = np.concatenate([np.array(r.ids, "<u4") for r in stored])
     assert len(ids) == got[-1][1] + got[-1][2]
     assert zlib.crc32(ids[got[5][1] :][: got[5][2]].tobytes()) == got[5][3]
+
+
+class Counted:
+    """An encoding that counts the characters it is given."""
+
+    def __init__(self, inner):
+        self.inner, self.given = inner, 0
+
+    def encode_to_numpy(self, text, allowed_special):
+        self.given += len(text)
+        return self.inner.encode_to_numpy(text, allowed_special=allowed_special)
+
+
+def test_texts_of_a_run_encode_each_word_once():
+    codec = Codec(*read_vocabulary(public_tokenizers.path(VOCABULARY)))
+    parts = ["", " ", "\n", " \n", "a", "b's", "'s", "é", "　", "\x1c", "<|endoftext|>", "9.", "x\n\n", "日本"]
+    rng = np.random.default_rng(4)
+    odd = ["".join(rng.choice(parts, rng.integers(0, 6))) + " ".join(rng.choice(parts, rng.integers(0, 6))) for _ in range(5_000)]
+    plain = [" ".join(rng.choice(["some", "unusualish", "words,", "zażółć", "and\nlines"], 200)) for _ in range(100)]
+    for texts, run in ((odd, 1 << 24), (odd, 200), (odd, 1), (plain, 1 << 24), ([], 1)):
+        got = list(codec.arrays(pa.array(texts, pa.string()), run))
+        assert len(got) == len(texts)
+        assert all(np.array_equal(x, codec.text.encode_to_numpy(t, allowed_special="all")) for x, t in zip(got, texts))
+    codec.text = Counted(codec.text)
+    list(codec.arrays(pa.array(plain)))
+    assert codec.text.given < 0.05 * sum(map(len, plain))
+
+
+@pytest.mark.parametrize("size", [1, 2, 3_000, 70_000])
+def test_ids_are_found_without_a_search_of_all(size):
+    mixer = Mixer(size, 64)
+    rng = np.random.default_rng(size)
+    for _ in range(12):
+        points = rng.integers(0, mixer.below[-1], 500)
+        assert np.array_equal(mixer.smaller(points), np.searchsorted(mixer.below, points, "right") - 1)
+        mixer.predict(64)
+        mixer.learn(rng.zipf(1.3, 64) % size)
