@@ -41,6 +41,8 @@ SPLIT_ROWS = 1 << 18
 SPLIT_QUERIES = 1 << 10
 PAIRS = 1 << 17
 HOT_ROWS = 1 << 20
+# memories of one agent that a task holds together, so that no window has to rank them again
+WHOLE_ROWS = 1 << 14
 
 
 def buffer_index(
@@ -83,27 +85,62 @@ def time_weighted_topk(
     return memories.withColumn("score", F.round(score, 6)).withColumn("rank", rank).where(F.col("rank") <= k)
 
 
-def dealt_out(memories: DataFrame, queries: DataFrame, split_rows: int, split_queries: int | None) -> tuple[DataFrame, DataFrame]:
+def dealt_out(
+    memories: DataFrame, queries: DataFrame, split_rows: int, split_queries: int | None, whole_rows: int = WHOLE_ROWS
+) -> tuple[DataFrame, DataFrame, bool]:
     """Both sides with the block ``(_m, _q)`` they meet in: the memories of a long agent are dealt out over blocks of about ``split_rows``,
-    its questions over blocks of about ``split_queries``, and every pair of blocks meets once. Other agents are one block."""
+    its questions over blocks of about ``split_queries``, and every pair of blocks meets once. Other agents are one block.
 
-    def sizes(df: DataFrame, rows: int, name: str) -> DataFrame:
-        return df.groupBy("agent").agg(F.ceil(F.count(F.lit(1)) / F.lit(rows)).cast("int").alias(name))
+    The third says whether no block parts the memories of an agent and none has more than ``whole_rows`` of them."""
 
-    one, grid = F.lit(1), sizes(memories, split_rows, "_ms")
+    def sizes(df: DataFrame, rows: int, name: str, *more: Column) -> DataFrame:
+        return df.groupBy("agent").agg(F.ceil(F.count(F.lit(1)) / F.lit(rows)).cast("int").alias(name), *more)
+
+    one, grid = F.lit(1), sizes(memories, split_rows, "_ms", (F.count(F.lit(1)) > whole_rows).alias("_large"))
     grid = grid.withColumn("_qs", one) if split_queries is None else grid.join(sizes(queries, split_queries, "_qs"), "agent")
-    long = grid.where((F.col("_ms") > 1) | (F.col("_qs") > 1))
-    found = small_rows(long)
+    parted = (F.col("_ms") > 1) | (F.col("_qs") > 1)
+    long, found = grid.where(parted).drop("_large"), small_rows(grid.where(parted | F.col("_large")))
+    whole = found is not None and not any(r["_ms"] > 1 or r["_large"] for r in found)
+    if found is not None:
+        found = [(r["agent"], r["_ms"], r["_qs"]) for r in found if r["_ms"] > 1 or r["_qs"] > 1]
     if found == []:
-        return tuple(df.withColumns({"_m": F.lit(0), "_q": F.lit(0)}) for df in (memories, queries))
+        return *(df.withColumns({"_m": F.lit(0), "_q": F.lit(0)}) for df in (memories, queries)), whole
     if found is not None:
-        long = F.broadcast(memories.sparkSession.createDataFrame(found, long.schema))
+        long = F.broadcast(memories.sparkSession.createDataFrame(found, long.select("agent", "_ms", "_qs").schema))
 
     def deal(df: DataFrame, key: str, own: str, splits: str, other: str, other_splits: str) -> DataFrame:
         joined = df.join(long, "agent", "left").withColumn(own, F.pmod(F.xxhash64(key), F.coalesce(splits, one)).cast("int"))
         return joined.withColumn(other, F.explode(F.sequence(F.lit(0), F.coalesce(other_splits, one) - 1))).drop("_ms", "_qs")
 
-    return deal(memories, "memory_id", "_m", "_ms", "_q", "_qs"), deal(queries, "query_no", "_q", "_qs", "_m", "_ms")
+    return deal(memories, "memory_id", "_m", "_ms", "_q", "_qs"), deal(queries, "query_no", "_q", "_qs", "_m", "_ms"), whole
+
+
+def whole_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches that end where a block does: the last block of a batch waits for its other rows."""
+    waiting: list[pa.RecordBatch] = []
+    for batch in batches:
+        n = batch.num_rows
+        if not n:
+            continue
+        at = [batch.column(c) for c in ("agent", "_m", "_q")]
+        inside = np.ones(n, dtype=bool)
+        for column in at:
+            codes = column.dictionary_encode(null_encoding="encode").indices.to_numpy(zero_copy_only=False)
+            inside &= codes == codes[-1]
+        last = n - int(np.argmin(inside[::-1])) if not inside.all() else 0
+        if waiting and (last or any(c[0] != w for c, w in zip(at, [waiting[-1].column(c)[-1] for c in ("agent", "_m", "_q")]))):
+            waiting.append(batch.slice(0, last))
+            yield from one_batch(waiting)
+            waiting = []
+        elif last:
+            yield batch.slice(0, last)
+        waiting.append(batch.slice(last))
+    if waiting:
+        yield from one_batch(waiting)
+
+
+def one_batch(batches: Sequence[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    yield from pa.Table.from_batches(batches).combine_chunks().to_batches()
 
 
 def _vectors(column: pa.Array) -> np.ndarray:
@@ -120,16 +157,17 @@ def _ranks(column: pa.Array, order: str) -> np.ndarray:
     return pc.rank(column, sort_keys=order, null_placement="at_end", tiebreaker="dense").to_numpy().astype(np.int64)
 
 
-def _candidates(names: Sequence[str], k: int, search_k: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+def _candidates(names: Sequence[str], k: int, search_k: int, whole: bool) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """Batches of blocks, the questions of each before its memories, to the rows that can be among the ``search_k`` nearest to a question or
     among the ``k`` newest, with their distance.
 
-    Only the questions of one block are kept from batch to batch. A block that spans batches gives candidates from each.
+    Only the questions of one block are kept from batch to batch. A block that spans batches gives candidates from each. Where every block
+    is ``whole`` its rows wait for each other, so what it gives is final.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         open_key, open_no, open_q = None, None, None
-        for batch in batches:
+        for batch in whole_blocks(batches) if whole else batches:
             n = batch.num_rows
             if not n:
                 continue
@@ -177,8 +215,8 @@ def _candidates(names: Sequence[str], k: int, search_k: int) -> Callable[[Iterat
                 near[np.lexsort((ids[ri], d, qi))] = np.arange(len(qi)) - before < search_k
                 kept = np.flatnonzero((near & ~np.isnan(d)) | newest[ri])
                 taken = batch.select(names).take(pa.array(ri[kept]))
-                found = [*taken.columns, no.take(pa.array(qi[kept])), pa.array(d[kept], pa.float64(), mask=np.isnan(d[kept]))]
-                yield pa.RecordBatch.from_arrays(found, [*names, "query_no", "_distance"])
+                found = [*taken.columns, no.take(pa.array(qi[kept])), pa.array(d[kept], pa.float64(), mask=np.isnan(d[kept])), pa.array(near[kept])]
+                yield pa.RecordBatch.from_arrays(found, [*names, "query_no", "_distance", "_nearest"])
                 at = to
 
     return run
@@ -196,6 +234,7 @@ def retrieve_memories(
     relevance: Callable[[Column], Column] = logistic_relevance,
     split_rows: int = SPLIT_ROWS,
     split_queries: int | None = SPLIT_QUERIES,
+    whole_rows: int = WHOLE_ROWS,
     embed: Callable[[Column], Column] = embed_text,
 ) -> DataFrame:
     """The k best memories for each query ``(agent, query_no, vec)`` of an agent, with ``score`` and ``rank``.
@@ -206,26 +245,29 @@ def retrieve_memories(
 
     Every memory is moved once, to the block it meets its questions in; vectors are read there and go no further. Memories without a
     column ``vec`` are moved as texts, and their ``page_content`` and the ``query`` are embedded in the block. Where the caller knows
-    that an agent asks a few questions only, ``split_queries=None`` saves counting them.
+    that an agent asks a few questions only, ``split_queries=None`` saves counting them. Where no agent has more than ``whole_rows`` memories
+    its block ranks them for good; otherwise windows rank the candidates of all blocks again.
     """
     by, held = ["agent", "query_no"], [c for c in memories.columns if c != "vec"]
     texts = "vec" not in memories.columns
     told = memories.withColumn("_text", F.col("page_content")) if texts else memories
     asked = queries.select(*by, F.col("query").alias("_text") if texts else "vec")
-    left, right = dealt_out(told, asked, split_rows, split_queries)
+    left, right, whole = dealt_out(told, asked, split_rows, split_queries, whole_rows)
     met = left.withColumn("_asks", F.lit(False)).unionByName(right.withColumn("_asks", F.lit(True)), allowMissingColumns=True)
     block = ["agent", "_m", "_q"]
     sorted_blocks = met.repartition(*block).sortWithinPartitions(*block, F.desc("_asks"))
     if texts:
         sorted_blocks = sorted_blocks.withColumn("vec", embed(F.col("_text"))).drop("_text")
     types = {f.name: f for f in met.schema.fields}
-    schema = T.StructType([types[c] for c in (*held, "query_no")] + [T.StructField("_distance", T.DoubleType())])
-    found = sorted_blocks.mapInArrow(_candidates(held, k, search_k), schema)
-    # candidates hold the nearest and the newest of each block and batch, so ranks among them are ranks among all
-    nearest = F.row_number().over(W.partitionBy(*by).orderBy(F.asc_nulls_last("_distance"), "memory_id"))
-    newest = F.row_number().over(W.partitionBy(*by).orderBy(F.desc("created_at"), F.desc("memory_id")))
-    ranked = found.withColumns({"_near": nearest, "_new": newest}).where((F.col("_near") <= search_k) | (F.col("_new") <= k))
-    near = F.when(F.col("_near") <= search_k, relevance(F.col("_distance")).cast("double"))
+    found_fields = [T.StructField("_distance", T.DoubleType()), T.StructField("_nearest", T.BooleanType())]
+    schema = T.StructType([types[c] for c in (*held, "query_no")] + found_fields)
+    ranked = sorted_blocks.mapInArrow(_candidates(held, k, search_k, whole), schema)
+    if not whole:
+        # candidates hold the nearest and the newest of each block and batch, so ranks among them are ranks among all
+        nearest = F.row_number().over(W.partitionBy(*by).orderBy(F.asc_nulls_last("_distance"), "memory_id"))
+        newest = F.row_number().over(W.partitionBy(*by).orderBy(F.desc("created_at"), F.desc("memory_id")))
+        ranked = ranked.withColumns({"_nearest": (nearest <= search_k) & F.col("_distance").isNotNull(), "_new": newest}).where(F.col("_nearest") | (F.col("_new") <= k))
+    near = F.when(F.col("_nearest"), relevance(F.col("_distance")).cast("double"))
     scored = ranked.select(*by, *[c for c in held if c != "agent"], F.when(F.col("_distance").isNotNull(), near).alias("_relevance"))
     best = time_weighted_topk(scored, now, k, decay=decay, other_scores=other_scores, relevance=F.col("_relevance"), by=by)
     return best.drop("_relevance")

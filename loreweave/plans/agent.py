@@ -31,6 +31,13 @@ def queries_of(turns: DataFrame, *texts: Column, embed=embed_text) -> DataFrame:
 def digests(top: DataFrame, by: tuple[str, ...] = ("agent",)) -> DataFrame:
     """``(by, relevant_memories)``: the retrieved memories as dated lines, question by question, best first, each content once."""
     order = [c for c in ("query_no", "rank") if c not in by]
+    if order == ["rank"]:
+        # a list of at most k lines: copies are told apart in it, without another sort of all lines
+        line = F.struct("rank", "page_content", memory_line().alias("line"))
+        found = top.groupBy(*by).agg(F.array_sort(F.collect_list(line)).alias("lines"))
+        contents = F.transform("lines", lambda x: x["page_content"])
+        first = F.filter("lines", lambda x, i: F.array_position(contents, x["page_content"]) == i + 1)
+        return found.select(*by, F.array_join(F.transform(first, lambda x: x["line"]), "\n").alias("relevant_memories"))
     distinct = memory_distinct(top.select("agent", "query_no", "rank", "page_content", "created_at"), order, by)
     # at most k lines per query
     lines = F.array_sort(F.collect_list(F.struct("query_no", "rank", memory_line().alias("line"))))

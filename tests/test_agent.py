@@ -91,6 +91,32 @@ def test_vectors_stay_in_their_block(spark, held):
     assert "vec" not in above.lower() and "vec" not in found.columns
 
 
+@pytest.mark.parametrize("batch_rows", [10000, 7, 1], indirect=True)
+def test_blocks_of_ordinary_agents_rank_for_good(spark, held, batch_rows):
+    """One window, over what the blocks give; an agent with more rows than are held together takes the two others, with the same result."""
+    queries = [(a, 10 * a + i, [i / 2, 0.0, 1.0, -1.0]) for a in (1, 2, 3) for i in range(6)] + [(2, 99, None)]
+    asked = spark.createDataFrame(queries, "agent long, query_no int, vec array<float>")
+    found, windows = [], []
+    for rows in (1 << 14, 20):
+        top = memory.retrieve_memories(frame(spark, held), asked, now(), 6, search_k=12, whole_rows=rows)
+        windows.append(top._jdf.queryExecution().optimizedPlan().toString().count("Window ["))
+        found.append(sorted((r.agent, r.query_no, r.rank, r.memory_id, r.score) for r in top.collect()))
+    assert windows[0] == 1 < windows[1]
+    assert found[0] == found[1] and len(found[0]) == 6 * len(queries)
+
+
+def test_digest_of_a_question_holds_each_content_once(spark):
+    rows = [(1, q, rank, text, NOW - dt.timedelta(hours=rank)) for q in (7, 8) for rank, text in enumerate([" a", "b", None, " a", "a", "b"], 1)]
+    top = spark.createDataFrame(rows, "agent long, query_no int, rank int, page_content string, created_at timestamp_ntz")
+    lines = agent.digests(top, ("agent", "query_no"))
+    stamps = [(NOW - dt.timedelta(hours=h)).strftime("%B %d, %Y") for h in (1, 2, 5)]
+    for r in lines.collect():
+        told = r.relevant_memories.split("\n")
+        assert [t[-1] for t in told] == ["a", "b", "a"] and all(s[:3] in t for s, t in zip(stamps, told))
+    plan = lines._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in plan and lines.count() == 2
+
+
 def test_one_pass_for_both_summaries(spark, held, tmp_path):
     def client():
         def answer(prompts):
