@@ -43,6 +43,7 @@ UNSPLIT = 1 << 8
 WINDOW = 8
 WHITE_SPACE = "\t\n\v\f\r \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
 RUN_BYTES = 1 << 24  # bytes of the texts whose words are looked up together
+GROUP_WORDS = 1 << 18  # words whose ids are put in place together
 
 
 def byte_letters() -> dict[str, int]:
@@ -121,17 +122,25 @@ class Codec:
         first, count = np.zeros(len(distinct), np.int64), np.zeros(len(distinct), np.int64)
         first[plain] = np.concatenate([[0], ends])[:-1]
         count[plain] = ends - first[plain]
-        for t, a, b in zip(texts, at[:-1].tolist(), at[1:].tolist()):
-            here = codes[a + 1 : b]
-            head = distinct[codes[a]].as_py()
-            if b - a == 1 or not plain[here].all() or self.any_special.search(head):
-                yield self.text.encode_to_numpy(t.as_py(), allowed_special="all")
-                continue
+        a = 0
+        while a < len(texts):
+            # some texts at a time, or the places of all ids would be held at once
+            b = max(a + 1, int(np.searchsorted(at, at[a] + GROUP_WORDS, "right")) - 1)
+            heads, here = at[a:b] - at[a], codes[at[a] : at[b]]
+            other = np.add.reduceat(~plain[here], heads, dtype=np.int64) - ~plain[here[heads]]
             n = count[here]
-            before = np.cumsum(n)
-            places = np.repeat(first[here] - before + n, n)
+            n[heads] = 0  # a head has no space before it
+            upto = np.cumsum(n)
+            places = np.repeat(first[here] - upto + n, n)
             places += np.arange(len(places))
-            yield np.concatenate([self.text.encode_to_numpy(head, allowed_special="all"), ids[places]])
+            found = ids[places]
+            cuts = [*upto[heads].tolist(), len(found)]
+            for i, head in enumerate(distinct.take(pa.array(here[heads])).to_pylist()):
+                if other[i] or self.any_special.search(head):
+                    yield self.text.encode_to_numpy(texts[a + i].as_py(), allowed_special="all")
+                else:
+                    yield np.concatenate([self.text.encode_to_numpy(head, allowed_special="all"), found[cuts[i] : cuts[i + 1]]])
+            a = b
 
     def direct(self, text: str) -> list[int]:
         return self.array(text).tolist()

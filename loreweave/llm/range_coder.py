@@ -22,9 +22,9 @@ from typing import NamedTuple
 
 import numpy as np
 
-BLOCK = 1 << 20
+BLOCK = 1 << 21
 STEPS = 256
-LEARN = 8  # what an id seen adds to its count
+LEARN = 4  # what an id seen adds to its count
 FULL_STEPS, EVERY = 8, 4  # counts are brought up to date at each of the first steps, then at every few
 SURE_BITS = 4
 CONFIDENCE, RARITY = 1 << SURE_BITS, 12  # levels: times in a row that a prediction was right; how rare the predicted id is, as a power of 2
